@@ -22,14 +22,43 @@ def _dir_status(spark: SparkSession, path: str) -> tuple[bool, str]:
     return fs.getFileStatus(hpath).isDirectory(), fs.makeQualified(hpath).toString()
 
 
+def _norm_uri(p: str) -> str:
+    # the file index spells local files "file:///x", the scan "file:/x"
+    return "file:/" + p[len("file:///"):] if p.startswith("file:///") else p
+
+
+def _zero_length_files(spark: SparkSession, raw: DataFrame, listed: DataFrame) -> DataFrame | None:
+    """Spark's file scans skip zero-length files, its file index does not.
+    Only when the two counts differ are the missing ones found (anti join)
+    and stat'ed; their number is that of the empty files, not of the folder."""
+    jfiles = raw._jdf.inputFiles()
+    if len(jfiles) == listed.count():
+        return None
+    every = spark.createDataFrame([(_norm_uri(p),) for p in jfiles], "path string")
+    empty = [r["path"] for r in every.join(listed.select("path"), "path", "left_anti").collect()]
+    if not empty:
+        return None
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    rows = []
+    for p in empty:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        st = hp.getFileSystem(conf).getFileStatus(hp)
+        rows.append((p, int(st.getLen()), int(st.getModificationTime())))
+    return (spark.createDataFrame(rows, "path string, length long, ms long")
+            .select("path", "length", F.timestamp_millis("ms").alias("modificationTime")))
+
+
 def landing_inventory(spark: SparkSession, path: str, recursive: bool = False,
-                      feed: str | None = None, path_glob: str | None = None) -> DataFrame:
+                      feed: str | None = None, path_glob: str | None = None,
+                      include_empty: bool = True) -> DataFrame:
     """``feed, path, name, length, mtime`` of every file below ``path``.
 
     A path that is not a directory is an error, as in the reference.  Spark
     never lists names starting with ``_`` or ``.`` (a documented limit).
-    ``mtime`` is the modification time as ``timestamp_ntz`` in the session
-    time zone.
+    Zero-length files, which Spark's scans skip, are added back unless
+    ``include_empty`` is off.  ``mtime`` is the modification time as
+    ``timestamp_ntz`` in the session time zone.
     """
     is_dir, qualified = _dir_status(spark, path)
     if not is_dir:
@@ -39,10 +68,15 @@ def landing_inventory(spark: SparkSession, path: str, recursive: bool = False,
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
-    df = reader.load(path)
+    raw = reader.load(path)
+    listed = raw.select("path", "length", "modificationTime")
+    if include_empty:
+        empty = _zero_length_files(spark, raw, listed)
+        if empty is not None:
+            listed = listed.unionByName(empty)
     if not recursive:
-        df = df.where(parent_dir(F.col("path")) == F.lit(qualified.rstrip("/")))
-    return df.select(
+        listed = listed.where(parent_dir(F.col("path")) == F.lit(_norm_uri(qualified).rstrip("/")))
+    return listed.select(
         F.lit(feed).cast("string").alias("feed"),
         F.col("path"),
         file_name(F.col("path")).alias("name"),
