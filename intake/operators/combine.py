@@ -17,30 +17,33 @@ from pyspark.sql import functions as F
 from intake.schemas import ENTRY_COLUMNS, ENTRY_KEY
 
 
-def dedupe_entries(entries: DataFrame) -> DataFrame:
-    """Drop exact duplicates (same key, ts and value): a redelivered file."""
-    return entries.dropDuplicates(ENTRY_COLUMNS)
+def dedupe_entries(entries: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Drop exact duplicates (same key, ts and value): a redelivered file.
+    ``scope`` columns (e.g. ``work_id`` in bulk mode, where each input file
+    has its own writer chain) are part of the identity and kept."""
+    return entries.dropDuplicates([*scope, *ENTRY_COLUMNS])
 
 
 def aggregate_entries(entries: DataFrame, sum_tables: Sequence[str] = (),
-                      sum_type: str = "decimal(18,2)") -> DataFrame:
+                      sum_type: str = "decimal(18,2)", scope: Sequence[str] = ()) -> DataFrame:
     """Combine entries of equal key.
 
     Tables in ``sum_tables`` are counters: values are summed as ``sum_type``.
     Every other table keeps the newest value (latest ``ts``; equal ``ts``
     resolved by the greater value, so the result never depends on row order).
-    ``n_combined`` counts the entries folded into each output row.
+    ``n_combined`` counts the entries folded into each output row.  ``scope``
+    columns are grouped on as well and kept (per work item combining).
     """
     sums = list(sum_tables)
     is_sum = F.col("table_name").isin(sums) if sums else F.lit(False)
-    agg = entries.groupBy(*ENTRY_KEY).agg(
+    agg = entries.groupBy(*scope, *ENTRY_KEY).agg(
         F.max("ts").alias("ts"),
         F.sum(F.when(is_sum, F.col("value").cast(sum_type))).alias("_sum"),
         F.max_by("value", F.struct("ts", "value")).alias("_newest"),
         F.count(F.lit(1)).alias("n_combined"),
     )
     value = F.when(is_sum, F.col("_sum").cast("string")).otherwise(F.col("_newest"))
-    return agg.select(*ENTRY_KEY, "ts", value.alias("value"), "n_combined")
+    return agg.select(*scope, *ENTRY_KEY, "ts", value.alias("value"), "n_combined")
 
 
 def sort_entries(entries: DataFrame, partitions: int | None = None) -> DataFrame:

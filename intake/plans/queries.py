@@ -128,7 +128,7 @@ def _bulk_written(spark, d):
 @register("read_entries", _cte(_event_entries_sql(True)) + "\nSELECT * FROM entries")
 def q_read_entries(spark, d):
     paths = _bulk_written(spark, d)
-    return read_entries(spark, paths["data"], "work_id")
+    return read_entries(spark, paths["data"]).drop("batch_id", "bucket")
 
 
 STREAM_SQL = _cte(S.EVENT_ENTRIES_SQL) + """
@@ -427,7 +427,7 @@ FROM (SELECT *, '/landing/flagged/events/user-' || CAST(user_id AS VARCHAR) || '
 GROUP BY src""")
 def q_write_bulk(spark, d):
     paths = _bulk_written(spark, d)
-    data = read_entries(spark, paths["data"], "work_id")
+    data = read_entries(spark, paths["data"])
     lines = bulk.read_manifests(spark, paths["manifests"])
     parts = F.split("value", "\t", -1)
     man = lines.select(F.get(parts, 0).alias("work_id"), F.get(parts, 1).alias("source_path"))

@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 
 ENTRY_COLUMNS = ["table_name", "row_key", "family", "qualifier", "ts", "value"]
 ENTRY_KEY = ["table_name", "row_key", "family", "qualifier"]
+ENTRY_DDL = ("table_name string, row_key string, family string, qualifier string, "
+             "ts timestamp_ntz, value string")
 
 ENTRY_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType(), False),

@@ -1,39 +1,68 @@
-"""Bulk mode: entries of each input file go to their own output, then a
-manifest ``work_id<TAB>source path`` is written.
-
-Commit order is kept: the data job commits first, the manifest job runs only
-after it, so a manifest's presence means its data is complete.  Both writes
-overwrite only the ``work_id`` partitions they carry (dynamic partition
-overwrite), so a redelivered work item replaces its own output and nothing
-else.  ``rebalance`` lets AQE split a work item with a huge input over
-several tasks (several files in its folder) and pack small ones together.
+"""Bulk mode: entries of each input file are written, then a manifest line
+``work_id<TAB>source path`` per input.
+
+Commit order is kept: the data job commits first and the manifest job runs
+only after it, so a manifest's presence means its data is complete.
+
+Layout: the reference writes one file per input.  With Spark's committer
+every partition folder costs a serial rename on the driver at job commit, so
+one folder per input would make the driver the bottleneck at millions of
+inputs.  Outputs are therefore partitioned by ``batch_id`` (the planned batch
+the inputs came in) and ``bucket`` = ``pmod(xxhash64(work_id), buckets)``,
+with ``work_id`` kept as a column.  Dynamic partition overwrite replaces
+exactly the partitions of the replayed batch, so a redelivered batch changes
+nothing.  ``rebalance`` lets AQE split a bucket that holds a huge input over
+several tasks and pack small buckets together.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intake.schemas import ENTRY_COLUMNS
 
+DEFAULT_BUCKETS = 64
+
+
+def work_bucket(work_id, buckets: int = DEFAULT_BUCKETS) -> Column:
+    c = F.col(work_id) if isinstance(work_id, str) else work_id
+    return F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
+
 
 def _writer(df: DataFrame, *partition_cols: str):
     return (df.hint("rebalance", *partition_cols).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols))
 
 
-def write_bulk(entries: DataFrame, items: DataFrame, out_dir: str) -> dict[str, str]:
-    """Write ``entries`` (entry columns + ``work_id``) under ``out_dir/data``
-    partitioned by ``work_id``, then one manifest line per row of ``items``
-    (``work_id, source_path``) under ``out_dir/manifests``."""
+def write_bulk(entries: DataFrame, items: DataFrame, out_dir: str, batch_id: str = "0",
+               buckets: int = DEFAULT_BUCKETS) -> dict[str, str]:
+    """Write ``entries`` (entry columns + ``work_id``) under ``out_dir/data``,
+    then one manifest line per row of ``items`` (``work_id, source_path``)
+    under ``out_dir/manifests``, both for batch ``batch_id``."""
     base = out_dir.rstrip("/")
     data_dir, manifest_dir = f"{base}/data", f"{base}/manifests"
-    _writer(entries.select(*ENTRY_COLUMNS, "work_id"), "work_id").parquet(data_dir)
-    lines = items.select(F.concat_ws("\t", "work_id", "source_path").alias("value"), "work_id")
-    _writer(lines, "work_id").text(manifest_dir)
+    data = (entries.select(*ENTRY_COLUMNS, "work_id")
+            .withColumn("batch_id", F.lit(batch_id))
+            .withColumn("bucket", work_bucket("work_id", buckets)))
+    _writer(data, "batch_id", "bucket").parquet(data_dir)
+    lines = items.select(F.concat_ws("\t", "work_id", "source_path").alias("value"),
+                         F.lit(batch_id).alias("batch_id"))
+    _writer(lines, "batch_id").text(manifest_dir)
     return {"data": data_dir, "manifests": manifest_dir}
 
 
+def read_work_item(spark: SparkSession, data_dir: str, batch_id: str, work_id: str,
+                   buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Entries of one input: partition pruning on (batch, bucket), then a
+    pushed-down filter on ``work_id``."""
+    from intake.sources.entries import read_entries
+    bucket = spark.range(1).select(work_bucket(F.lit(work_id), buckets)).first()[0]
+    df = read_entries(spark, data_dir, "work_id string, batch_id string, bucket int")
+    return df.where((F.col("batch_id") == batch_id) & (F.col("bucket") == bucket)
+                    & (F.col("work_id") == work_id))
+
+
 def read_manifests(spark: SparkSession, manifest_dir: str) -> DataFrame:
     """Manifest lines with the file they came from."""
     return (spark.read.text(manifest_dir)

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
-from intake.schemas import ENTRY_SCHEMA
+from intake.schemas import ENTRY_DDL
 
+BULK_COLUMNS = "work_id string, batch_id string, bucket int"
 
-def read_entries(spark: SparkSession, path: str | list[str], partition_col: str | None = "work_id") -> DataFrame:
-    """Entries with the fixed schema; the folder column (``work_id`` or
-    ``bundle_id``) comes back as a string, never inferred."""
-    fields = list(ENTRY_SCHEMA.fields)
-    if partition_col:
-        fields.append(T.StructField(partition_col, T.StringType()))
+
+def read_entries(spark: SparkSession, path: str | list[str],
+                 extra: str | None = BULK_COLUMNS) -> DataFrame:
+    """Entries with the fixed schema plus ``extra`` columns (a DDL list: the
+    bulk layout's ``work_id`` and partition folders, or ``bundle_id``), never
+    inferred."""
+    schema = ENTRY_DDL + (f", {extra}" if extra else "")
     paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.schema(T.StructType(fields)).parquet(*paths)
+    return spark.read.schema(schema).parquet(*paths)

@@ -12,7 +12,7 @@ from intake.operators.batching import batch_plan
 from intake.operators.bundle import dated_output, file_accounting
 from intake.operators.combine import aggregate_entries, dedupe_entries, sort_entries, table_counters
 from intake.operators.shred import metadata_updates, shred_entries
-from intake.sinks.bulk import read_manifests, write_bulk
+from intake.sinks.bulk import read_manifests, read_work_item, write_bulk
 from intake.sinks.bundles import bundle_folder, compact_bundles
 from intake.sinks.live import live_current, run_id_for, upsert_live
 from intake.sources.entries import read_entries
@@ -71,8 +71,16 @@ def test_bulk_write_replay_and_manifest(spark, tmp_path):
     assert back.select("work_id").distinct().count() == 4
     lines = read_manifests(spark, paths["manifests"]).collect()
     assert len(lines) == 4 and all("\t/in/u" in r["value"] for r in lines)
-    # one folder per work item
-    assert len(glob.glob(os.path.join(paths["data"], "work_id=*"))) == 4
+    # one folder per (batch, bucket), not per work item
+    assert 1 <= len(glob.glob(os.path.join(paths["data"], "batch_id=0", "bucket=*"))) <= 4
+    # a second batch leaves the first alone; replaying it changes nothing
+    write_bulk(entries, items, out, batch_id="1")
+    write_bulk(entries, items, out, batch_id="1")
+    assert read_entries(spark, paths["data"]).count() == 240
+    wid = rec.select("work_id").first()[0]
+    one = read_work_item(spark, paths["data"], "1", wid)
+    assert one.count() == 30
+    assert "PartitionFilters" in one._jdf.queryExecution().executedPlan().toString()
 
 
 def test_live_upsert_replay_and_newest(spark, tmp_path):
@@ -109,7 +117,7 @@ def test_bundles_and_accounting(spark, tmp_path):
     assert len(first) == 6 and members.count() == 12
     compact_bundles(entries, plan, folder)  # replay: same bundle ids
     assert sorted(glob.glob(os.path.join(folder, "bundle_id=*"))) == first
-    back = read_entries(spark, folder, "bundle_id")
+    back = read_entries(spark, folder, "source_path string, bundle_id string")
     assert back.count() == 36
     lines = spark.createDataFrame([(f"w{i}\t/data/flagged/in/{i}.seq",) for i in range(3)] + [("no tab here",)], "value string")
     inv = files.select("path").where(F.col("path") != "/data/flagged/in/2.seq")
