@@ -78,7 +78,7 @@ def threshold_trigger(scan: DataFrame, cfg: ScanConfig) -> DataFrame:
 
 
 def batch_plan(files: DataFrame, cfg: ScanConfig, as_of, admitted: str | None = "admitted",
-               chunks: int | None = None) -> DataFrame:
+               chunks: int | None = None, chunk_rows: int = 100_000) -> DataFrame:
     """Cut the whole backlog of admitted files of each feed into consecutive
     batches, as repeated scans would: a batch closes at the file that reaches
     ``max_files`` or ``max_size``, the next one starts fresh.
@@ -87,11 +87,15 @@ def batch_plan(files: DataFrame, cfg: ScanConfig, as_of, admitted: str | None =
     ``batch_files``, ``batch_bytes`` and ``fired`` of its batch (full batches
     fire; the last, partial one fires by the rule of :func:`threshold_trigger`).
 
-    The restart makes the cut sequential; it runs distributed anyway:
-    ``next(r)`` — the first file of the batch that would follow a batch
-    starting at file ``r`` — comes from prefix sums, then pointer doubling
-    over ``next`` finds the starts reachable from file 1 in ``log2(batches)``
-    join rounds.  Count-only and degenerate limits use closed forms.
+    The restart makes the cut sequential; it runs distributed anyway.
+    Count-only and degenerate limits use closed forms.  With both a file and
+    a byte limit, every batch has at most ``max_files`` files, so each slice
+    of ``chunk_rows`` files (by rank) can be entered at only ``max_files``
+    places: :func:`_cut_by_chunks` walks every slice from each of them in
+    parallel, a per-feed pass over the small (slice, entry) table picks the
+    true entries, and a second slice pass numbers the batches — O(files).
+    With only a byte limit, batches are unbounded and :func:`_cut_by_doubling`
+    is used: pointer doubling over ``next`` in ``log2(batches)`` join rounds.
     """
     f = _with_admitted(files, admitted).where(F.col("admitted"))
     run = running_totals(f, ["feed"], ORDER, ["length"], chunks)
@@ -101,6 +105,8 @@ def batch_plan(files: DataFrame, cfg: ScanConfig, as_of, admitted: str | None =
     elif ms < 0:
         planned = run.withColumn(
             "batch_no", ((F.col("seq") - 1) / F.lit(mf)).cast("long") if mf > 0 else F.lit(0).cast("long"))
+    elif mf > 0:
+        planned = _cut_by_chunks(run, mf, ms, chunk_rows)
     else:
         planned = _cut_by_doubling(run, mf, ms, chunks)
     planned = planned.withColumn("_old", _over_age(cfg, as_of))
@@ -116,6 +122,88 @@ def batch_plan(files: DataFrame, cfg: ScanConfig, as_of, admitted: str | None =
                       "batch_files", "batch_bytes", "fired")
 
 
+def _next_starts(lengths, mf: int, ms: int):
+    """Local index of the next batch start for a batch starting at each index
+    (``len`` = past the end).  Exact for every index whose batch ends inside
+    the array, which the halo guarantees for core rows."""
+    import numpy as np
+    n = len(lengths)
+    incl = np.cumsum(lengths)
+    prev = incl - lengths
+    k_size = np.searchsorted(incl, prev + ms, side="left")
+    idx = np.arange(n)
+    end = np.minimum(np.minimum(idx + (mf - 1), k_size), n - 1)
+    return end + 1
+
+
+def _cut_by_chunks(run: DataFrame, mf: int, ms: int, chunk_rows: int) -> DataFrame:
+    """Exact cut when batches hold at most ``mf`` files (see batch_plan)."""
+    import numpy as np
+    import pandas as pd
+
+    size = max(int(chunk_rows), mf)
+    base = run.select("feed", "seq", "length").withColumn(
+        "_chunk", F.floor((F.col("seq") - 1) / F.lit(size)).cast("long"))
+    core = base.withColumn("_core", F.lit(True))
+    # the first mf-1 rows of each slice also go to the slice before (halo)
+    halo = (base.where(((F.col("seq") - 1) % F.lit(size) < F.lit(mf - 1)) & (F.col("_chunk") > 0))
+            .withColumn("_chunk", F.col("_chunk") - 1).withColumn("_core", F.lit(False)))
+    slices = core.unionByName(halo)
+
+    def entries_of_slice(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("seq")
+        seq0 = int(pdf["seq"].iloc[0])
+        ncore = int(pdf["_core"].sum())
+        nxt = _next_starts(pdf["length"].to_numpy(dtype="int64"), mf, ms)
+        exit_ = np.empty(ncore, dtype="int64")
+        count = np.empty(ncore, dtype="int64")
+        for p in range(ncore - 1, -1, -1):
+            q = nxt[p]
+            if q < ncore:
+                exit_[p], count[p] = exit_[q], count[q] + 1
+            else:
+                exit_[p], count[p] = q, 1
+        m = min(mf, ncore)
+        return pd.DataFrame({"feed": pdf["feed"].iloc[0], "_chunk": pdf["_chunk"].iloc[0],
+                             "entry": seq0 + np.arange(m), "exit": seq0 + exit_[:m], "starts": count[:m]})
+
+    table = slices.groupBy("feed", "_chunk").applyInPandas(
+        entries_of_slice, "feed string, _chunk long, entry long, exit long, starts long")
+
+    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
+        step = {(int(c), int(e)): (int(x), int(n)) for c, e, x, n in
+                zip(pdf["_chunk"], pdf["entry"], pdf["exit"], pdf["starts"])}
+        entry, offset, rows = 1, 0, []
+        for c in sorted({int(c) for c in pdf["_chunk"]}):
+            rows.append((c, entry, offset))
+            if (c, entry) in step:
+                entry, n = step[(c, entry)]
+                offset += n
+        out = pd.DataFrame(rows, columns=["_chunk", "entry", "offset"])
+        out.insert(0, "feed", pdf["feed"].iloc[0])
+        return out
+
+    # one small group per feed: (slices x mf) rows, not files
+    walk = table.groupBy("feed").applyInPandas(compose, "feed string, _chunk long, entry long, offset long")
+
+    def number_slice(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("seq")
+        seq0 = int(pdf["seq"].iloc[0])
+        ncore = int(pdf["_core"].sum())
+        nxt = _next_starts(pdf["length"].to_numpy(dtype="int64"), mf, ms)
+        starts, p = [], int(pdf["entry"].iloc[0]) - seq0
+        while p < ncore:
+            starts.append(p)
+            p = int(nxt[p])
+        seen = np.searchsorted(np.asarray(starts, dtype="int64"), np.arange(ncore), side="right")
+        return pd.DataFrame({"feed": pdf["feed"].iloc[0], "seq": pdf["seq"].to_numpy()[:ncore],
+                             "batch_no": int(pdf["offset"].iloc[0]) + seen - 1})
+
+    numbered = (slices.join(walk, ["feed", "_chunk"])
+                .groupBy("feed", "_chunk").applyInPandas(number_slice, "feed string, seq long, batch_no long"))
+    return run.join(numbered, ["feed", "seq"])
+
+
 def _cut_by_doubling(run: DataFrame, mf: int, ms: int, chunks: int | None) -> DataFrame:
     """Batch numbers when a byte limit is on (``ms > 0``)."""
     counts = run.groupBy("feed").agg(F.max("seq").alias("n_total"))

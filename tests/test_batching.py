@@ -80,6 +80,7 @@ CONFIGS = [
     ScanConfig(max_files=1, max_size=1_000_000_000, max_age=10_000),
     ScanConfig(max_files=0, max_size=-1),
     ScanConfig(max_files=4, max_size=0),
+    ScanConfig(max_files=2, max_size=20),
     ScanConfig(),
 ]
 
@@ -104,7 +105,7 @@ def test_threshold_batch_matches_loop(spark, cfg):
 def test_batch_plan_matches_greedy_cut(spark, cfg):
     rows = make_cases(7 + cfg.max_files * 31 + cfg.max_size)
     df = spark.createDataFrame(rows, "feed string, path string, length long, mtime timestamp_ntz, admitted boolean")
-    plan = batch_plan(df, cfg, AS_OF, chunks=6).collect()
+    plan = batch_plan(df, cfg, AS_OF, chunks=6, chunk_rows=4).collect()
     got = {r["path"]: r["batch_no"] for r in plan}
     want = {}
     for files in by_feed(rows).values():
@@ -121,7 +122,7 @@ def test_batch_plan_hot_feed_is_spread(spark):
     rows += [("cold", f"/in/cold/{i:03d}", 5, AS_OF, True) for i in range(20)]
     cfg = ScanConfig(max_files=25, max_size=300)
     df = spark.createDataFrame(rows, "feed string, path string, length long, mtime timestamp_ntz, admitted boolean")
-    got = {r["path"]: r["batch_no"] for r in batch_plan(df, cfg, AS_OF, chunks=16).collect()}
+    got = {r["path"]: r["batch_no"] for r in batch_plan(df, cfg, AS_OF, chunks=16, chunk_rows=97).collect()}
     want = {}
     for files in by_feed(rows).values():
         want.update(loop_cut(files, cfg))
