@@ -20,13 +20,28 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ntz_literal(value) -> Column:
+    """A ``timestamp_ntz`` literal.  Built from text: a Python ``datetime``
+    literal would be read as local time and shifted by the session zone."""
+    if isinstance(value, _dt.datetime):
+        value = value.replace(tzinfo=None).isoformat(sep=" ")
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
 def epoch_ntz() -> Column:
-    return F.lit(EPOCH).cast("timestamp_ntz")
+    return ntz_literal(EPOCH)
 
 
 def epoch_micros(ts) -> Column:
-    """Microseconds since 1970-01-01 of a ``timestamp_ntz`` (no zone involved)."""
-    return F.timestamp_diff("MICROSECOND", epoch_ntz(), _col(ts))
+    """Microseconds since 1970-01-01 of a ``timestamp_ntz``.
+
+    Computed from the day-time interval ``ts - epoch``, which involves no
+    zone (``timestamp_diff`` would cast to the session zone and be off by
+    the DST shift)."""
+    iv = _col(ts) - epoch_ntz()
+    part = lambda unit: F.extract(F.lit(unit), iv).cast("long")
+    return ((part("DAY") * 24 + part("HOUR")) * 60 + part("MINUTE")) * 60_000_000 + \
+        (F.extract(F.lit("SECOND"), iv) * 1_000_000).cast("long")
 
 
 def from_epoch_seconds(secs) -> Column:
@@ -36,15 +51,13 @@ def from_epoch_seconds(secs) -> Column:
 
 def age_micros(ts, as_of) -> Column:
     """``as_of - ts`` in microseconds."""
-    return F.timestamp_diff("MICROSECOND", _col(ts), as_of_col(as_of))
+    return epoch_micros(as_of_col(as_of)) - epoch_micros(ts)
 
 
 def as_of_col(as_of) -> Column:
     if isinstance(as_of, Column):
         return as_of
-    if isinstance(as_of, str):
-        return F.lit(as_of).cast("timestamp_ntz")
-    return F.lit(as_of).cast("timestamp_ntz")
+    return ntz_literal(as_of)
 
 
 def content_id(*parts) -> Column:

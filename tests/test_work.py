@@ -92,3 +92,19 @@ def test_config_profiles_and_strict_keys():
         ScanConfig.from_dict({"maxFiles": 3})
     with pytest.raises(ValueError):
         ScanConfig(error_retry_time_unit="FORTNIGHTS").retry_ms
+
+
+def test_time_arithmetic_ignores_session_zone(spark):
+    from pyspark.sql import functions as F
+    from intake.functions.ids import age_micros, epoch_micros, from_epoch_seconds
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([(dt.datetime(2024, 7, 1, 12, 0, 0, 7),)], "ts timestamp_ntz")
+        row = df.select(epoch_micros("ts").alias("m"), from_epoch_seconds(F.lit(3600)).alias("t"),
+                        age_micros("ts", dt.datetime(2024, 7, 1, 13)).alias("age")).collect()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert row["m"] == 1719835200000007
+    assert row["t"] == dt.datetime(1970, 1, 1, 1, 0)
+    assert row["age"] == 3_600_000_000 - 7
