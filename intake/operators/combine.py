@@ -47,11 +47,12 @@ def aggregate_entries(entries: DataFrame, sum_tables: Sequence[str] = (),
 
 
 def sort_entries(entries: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Key order for a sorted store: range partitions on (table, row), each
-    sorted by the full key.  No global ``orderBy`` into one task."""
+    """Key order for a sorted store: range partitions on the full key (so one
+    row key holding a third of the entries still spans many partitions), each
+    sorted within.  Partition i holds keys below those of partition i+1."""
     n = partitions or int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (entries.repartitionByRange(n, "table_name", "row_key")
-            .sortWithinPartitions(*ENTRY_KEY, "ts"))
+    order = [*ENTRY_KEY, "ts", "value"]
+    return entries.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
 
 def table_counters(entries: DataFrame) -> DataFrame:

@@ -54,9 +54,15 @@ def test_aggregate_has_partial_and_final(spark):
 
 def test_sort_entries_orders_each_range(spark):
     e = sort_entries(shred(records(spark)), partitions=3)
-    parts = e.rdd.glom().map(lambda rows: [(r.table_name, r.row_key) for r in rows]).collect()
-    for p in parts:
-        assert p == sorted(p)
+    parts = e.rdd.glom().map(lambda rows: [(r.table_name, r.row_key, r.family, r.qualifier) for r in rows]).collect()
+    flat = [k for p in parts for k in p]
+    assert flat == sorted(flat)
+
+
+def test_sort_entries_splits_a_hot_row(spark):
+    hot = shred(records(spark, 400)).withColumn("row_key", F.lit("hot"))
+    sizes = sort_entries(hot, partitions=4).rdd.glom().map(len).collect()
+    assert max(sizes) < sum(sizes)
 
 
 def test_bulk_write_replay_and_manifest(spark, tmp_path):
