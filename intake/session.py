@@ -66,3 +66,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/intake-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input.
+
+    Shuffle partitions are sized so one partition holds about
+    ``target_partition_bytes`` (at least 3 per core, so AQE has room to
+    coalesce); AQE splits skewed joins and rebalanced writes at run time;
+    speculation stays off because ``foreachBatch`` sinks overwrite by batch.
+    """
+    parts = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.speculation": "false",
+    }

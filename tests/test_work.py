@@ -108,3 +108,10 @@ def test_time_arithmetic_ignores_session_zone(spark):
     assert row["m"] == 1719835200000007
     assert row["t"] == dt.datetime(1970, 1, 1, 1, 0)
     assert row["age"] == 3_600_000_000 - 7
+
+
+def test_cluster_conf_sizes_partitions():
+    from intake.session import cluster_conf
+    conf = cluster_conf(100 << 40, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(cluster_conf(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 24
