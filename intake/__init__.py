@@ -1,8 +1,8 @@
 """intake: a Spark-native file ingest, compaction and accounting toolkit.
 
 Every operator is a ``DataFrame -> DataFrame`` function (or a sink that writes
-one).  Planning is left to Catalyst; the only grouped Python code is none —
-even the restart-on-threshold batch cut runs as joins over prefix sums.
+one).  Planning is left to Catalyst; the only Python inside tasks is the
+restart-on-threshold batch cut, over slices of bounded size.
 """
 
 from intake.schemas import ENTRY_COLUMNS, ENTRY_SCHEMA  # noqa: F401

@@ -2,7 +2,8 @@
 
 from intake.operators.batching import batch_plan, threshold_batch, threshold_trigger  # noqa: F401
 from intake.operators.bundle import (  # noqa: F401
-    bundle_ids, dated_output, file_accounting, mark_paired, pair_manifests, unpaired_files)
+    STAGES, bundle_ids, dated_output, file_accounting, file_ledger, mark_paired, pair_manifests,
+    unpaired_files)
 from intake.operators.combine import (  # noqa: F401
     aggregate_entries, dedupe_entries, sort_entries, table_counters)
 from intake.operators.filters import (  # noqa: F401

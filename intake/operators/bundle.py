@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from intake.functions.ids import as_of_col
-from intake.functions.paths import file_name, loaded_path
+from intake.functions.paths import loaded_path
 
 
 def pair_manifests(data: DataFrame, manifests: DataFrame, suffix: str = ".manifest") -> DataFrame:
@@ -89,5 +89,21 @@ def file_accounting(manifest_lines: DataFrame, inventory: DataFrame | None = Non
     return lines.withColumn("status", status.otherwise(F.lit("moved")))
 
 
-def origin_name(col="origin"):
-    return file_name(col)
+# Lifecycle stages, in the order a tie on time is broken.
+STAGES = ("landed", "flagged", "quarantined", "dead_letter", "loaded")
+
+
+def file_ledger(events: DataFrame) -> DataFrame:
+    """Where every input is: one row per original ``path`` from stage events
+    (``path, stage, at``).  ``status`` is the latest stage (a tie on ``at``
+    goes to the later stage in :data:`STAGES`); the first time of each stage
+    is kept beside it.  A partial-aggregated ``groupBy``: a path with many
+    events costs one row per map task in the shuffle."""
+    rank = F.array_position(F.array(*[F.lit(s) for s in STAGES]), F.col("stage"))
+    ev = events.select("path", "stage", "at", rank.alias("_rank"))
+    firsts = [F.min(F.when(F.col("stage") == s, F.col("at"))).alias(f"{s}_at") for s in STAGES]
+    return ev.groupBy("path").agg(
+        F.max_by("stage", F.struct("at", "_rank")).alias("status"),
+        F.max("at").alias("status_at"),
+        F.count(F.lit(1)).alias("n_events"),
+        *firsts)

@@ -11,7 +11,6 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from intake.functions.ids import content_id, epoch_micros
 from intake.functions.paths import flagged_path
@@ -117,11 +116,3 @@ def attempt_ledger(outcomes: DataFrame, max_attempts: int) -> DataFrame:
              .when(F.col("attempts") >= F.lit(max_attempts), F.lit("dead_letter"))
              .otherwise(F.lit("retry")))
     return led.withColumn("state", state)
-
-
-WORK_SCHEMA = T.StructType([
-    T.StructField("work_id", T.StringType(), False),
-    T.StructField("target_path", T.StringType(), False),
-    T.StructField("format", T.StringType(), False),
-    T.StructField("data_type", T.StringType(), False),
-])

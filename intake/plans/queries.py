@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from intake.functions.ids import as_of_col
 from intake.functions.paths import file_name, flagged_path, loaded_path
 from intake.operators import batching, bundle, combine, filters, metrics, shred, work
 from intake.plans import standins as S
@@ -534,6 +535,46 @@ def q_file_accounting(spark, d):
     return bundle.file_accounting(lines, inv).select("value", "work_id", "origin", "loaded_path", "status")
 
 
+_LEDGER_SQL = f"""events AS (
+  SELECT path, 'landed' AS stage, mtime AS "at" FROM landing
+  UNION ALL
+  SELECT l.path, 'flagged', TIMESTAMP '{S.FILE_AS_OF:%Y-%m-%d %H:%M:%S}' FROM landing l
+  JOIN manifests m ON m.path = l.path || '.manifest'
+  UNION ALL
+  SELECT path, 'quarantined', failed_at FROM failures
+  UNION ALL
+  SELECT s[2], 'loaded', TIMESTAMP '{S.FILE_AS_OF:%Y-%m-%d %H:%M:%S}' + INTERVAL 1 HOUR
+  FROM (SELECT string_split(value, chr(9)) AS s FROM lines) WHERE s[2] IS NOT NULL AND s[2] <> ''),
+ranked AS (
+  SELECT *, list_position(['landed','flagged','quarantined','dead_letter','loaded'], stage) AS rk FROM events)"""
+
+
+@register("file_ledger", _cte(S.LANDING_SQL, S.MANIFEST_SQL, S.FAILURES_SQL, _LINES_SQL, _LEDGER_SQL) + """
+SELECT path, first(stage ORDER BY "at" DESC, rk DESC) AS status, max("at") AS status_at, count(*) AS n_events,
+       min("at") FILTER (WHERE stage = 'landed') AS landed_at,
+       min("at") FILTER (WHERE stage = 'flagged') AS flagged_at,
+       min("at") FILTER (WHERE stage = 'quarantined') AS quarantined_at,
+       min("at") FILTER (WHERE stage = 'dead_letter') AS dead_letter_at,
+       min("at") FILTER (WHERE stage = 'loaded') AS loaded_at
+FROM ranked GROUP BY path""")
+def q_file_ledger(spark, d):
+    files = S.landing_files(spark, d)
+    manifests = S.manifest_files(spark, d)
+    paired = bundle.pair_manifests(files, manifests).join(
+        manifests.select(F.col("path").alias("manifest_path"), "toxic"), "manifest_path")
+    lines = paired.select(F.when(F.col("toxic") == 1, F.md5("path")).otherwise(
+        F.concat(F.md5("path"), F.lit("\t"), F.col("path"))).alias("value"))
+    acc = bundle.file_accounting(lines).where(F.col("status") != "malformed")
+    as_of = as_of_col(S.FILE_AS_OF)
+    events = (files.select("path", F.lit("landed").alias("stage"), F.col("mtime").alias("at"))
+              .unionByName(paired.select("path", F.lit("flagged").alias("stage"), as_of.alias("at")))
+              .unionByName(S.failures(spark, d).select("path", F.lit("quarantined").alias("stage"),
+                                                       F.col("failed_at").alias("at")))
+              .unionByName(acc.select(F.col("origin").alias("path"), F.lit("loaded").alias("stage"),
+                                      F.timestamp_add("HOUR", F.lit(1), as_of).alias("at"))))
+    return bundle.file_ledger(events)
+
+
 @register("ingest_metrics", _cte(S.LANDING_SQL) + """
 SELECT md5(l.path) AS work_id, count(*) AS n_records, CAST(sum(length(line)) AS BIGINT) AS n_bytes
 FROM documents d JOIN landing l ON l.doc_id = d.doc_id,
