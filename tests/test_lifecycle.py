@@ -90,3 +90,25 @@ def test_bundler_quarantines_unreadable_member(spark, tmp_path):
 
 def test_profiles_are_usable():
     assert PROFILES["feeder_csv"].max_files == 2
+
+
+def test_feeder_stream_takes_files_tick_by_tick(spark, tmp_path):
+    import time
+    from intake.streaming.feeder import feeder_stream
+    land = tmp_path / "landing"
+    write_csvs(land, 5)
+    scan = ScanConfig(input_dir=str(land), ignore_prefix=".", max_files=2)
+    feeder = FeederConfig(target_dir="/flagged/csv", input_format="csv", data_type="mycsv")
+    state = str(tmp_path / "state")
+    q = feeder_stream(spark, str(land), state, scan, feeder, feed="csv", trigger_ms=1000)
+    try:
+        deadline = time.time() + 90
+        while time.time() < deadline and len(q.recentProgress) < 4:
+            time.sleep(1)
+    finally:
+        q.stop()
+    items = spark.read.parquet(state + "/work_items")
+    per_tick = {r["tick"]: r["n"] for r in items.groupBy("tick").agg(F.count("*").alias("n")).collect()}
+    # two files per tick until one is left, which waits (below max_files, no age limit)
+    assert per_tick.get(0) == 2 and per_tick.get(1) == 2 and sum(per_tick.values()) == 4
+    assert items.select("path").distinct().count() == 4
