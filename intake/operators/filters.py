@@ -45,8 +45,10 @@ def current_quarantine(failures: DataFrame, as_of, ttl_ms: int) -> DataFrame:
 
 
 def quarantine_filter(files: DataFrame, failures: DataFrame, as_of, ttl_ms: int) -> DataFrame:
-    """Skip files that failed within the retry interval (anti join on path)."""
-    live = failures.where(age_micros("failed_at", as_of) < F.lit(ttl_ms * 1000)).select("path")
+    """Skip files that failed within the retry interval (anti join on path).
+    Repeated failures of one path are collapsed first (partial aggregate), so
+    a path that fails very often does not skew the join."""
+    live = failures.where(age_micros("failed_at", as_of) < F.lit(ttl_ms * 1000)).select("path").distinct()
     return files.join(live, "path", "left_anti")
 
 

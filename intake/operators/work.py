@@ -79,15 +79,23 @@ def config_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Dat
     return spark.createDataFrame(list(rows), schema)
 
 
-def route_work(items: DataFrame, feeds: DataFrame, pools: DataFrame) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Broadcast hint only after checking the row count (one small job); a
+    larger table is left to a shuffle join."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def route_work(items: DataFrame, feeds: DataFrame, pools: DataFrame,
+               max_broadcast_rows: int = 100_000) -> DataFrame:
     """Feed -> queue -> pool.  Items of a feed without config are dropped; a
     queue without pool keeps its items with a null pool.
 
-    ``feeds`` and ``pools`` are settings tables whose size is that of the
-    configuration, not of the data, so both are broadcast.
+    ``feeds`` and ``pools`` are settings tables (one row per configured feed
+    or pool); they are broadcast once their size is checked.
     """
-    return (items.join(F.broadcast(feeds.select("feed", "queue")), "feed")
-            .join(F.broadcast(pools.select("pool", "queue", "replicas")), "queue", "left"))
+    f = broadcast_if_small(feeds.select("feed", "queue"), max_broadcast_rows)
+    p = broadcast_if_small(pools.select("pool", "queue", "replicas"), max_broadcast_rows)
+    return items.join(f, "feed").join(p, "queue", "left")
 
 
 def route_orphans(feeds: DataFrame, pools: DataFrame) -> DataFrame:
