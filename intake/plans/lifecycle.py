@@ -37,14 +37,28 @@ from intake.sources.inventory import _norm_uri
 from intake.sources.typed import TypeSpec, read_typed_feed
 
 
+Hook = Callable[[DataFrame], DataFrame]
+
+
+def scan_filters(inventory: DataFrame, failures: DataFrame, scan: ScanConfig, as_of,
+                 pre_check: Hook | None = None, admit: Hook | None = None) -> DataFrame:
+    """What reaches the threshold loop, in the reference's order: quarantine,
+    ignored prefix, pre-check hook; then the admit hook adds ``admitted``
+    (default: every file).  Hooks are ``DataFrame -> DataFrame`` functions."""
+    files = quarantine_filter(inventory, failures, as_of, scan.retry_ms)
+    files = ignore_prefix(files, scan.ignore_prefix)
+    if pre_check is not None:
+        files = pre_check(files)
+    return admit(files) if admit is not None else files.withColumn("admitted", F.lit(True))
+
+
 def feeder_tick(inventory: DataFrame, failures: DataFrame, scan: ScanConfig, feeder: FeederConfig,
-                as_of) -> dict[str, DataFrame]:
+                as_of, pre_check: Hook | None = None, admit: Hook | None = None) -> dict[str, DataFrame]:
     """One scan of every feed in ``inventory`` (``feed, path, name, length,
     mtime``).  Returns the scan flags, the trigger per feed, the work items
     of the feeds that fire and any flagged-path collisions."""
-    files = ignore_prefix(inventory, scan.ignore_prefix)
-    files = quarantine_filter(files, failures, as_of, scan.retry_ms)
-    scanned = threshold_batch(files, scan, as_of, admitted=None)
+    files = scan_filters(inventory, failures, scan, as_of, pre_check, admit)
+    scanned = threshold_batch(files, scan, as_of)
     trigger = threshold_trigger(scanned, scan)
     fired = trigger.where("fired").select("feed")
     taken = scanned.where("taken").join(fired, "feed", "left_semi")
@@ -113,11 +127,11 @@ def bundle_files(spark: SparkSession, inventory: DataFrame, failures: DataFrame,
     ``read_members(paths)`` reads member files into entries with a
     ``source_path`` column.  Returns (members written, failure log).
     """
-    data = exclude_manifests(ignore_prefix(inventory, scan.ignore_prefix))
     manifests = inventory.where(F.col("path").endswith(".manifest"))
     for _ in range(max_replans + 1):
-        live = quarantine_filter(data, failures, as_of, scan.retry_ms)
-        plan = batch_plan(mark_paired(live, manifests), scan, as_of).cache()
+        files = scan_filters(inventory, failures, scan, as_of, pre_check=exclude_manifests,
+                             admit=lambda df: mark_paired(df, manifests))
+        plan = batch_plan(files, scan, as_of).cache()
         paths = [r["path"] for r in plan.where("fired").select("path").collect()]
         if not paths:
             return plan.limit(0), failures
