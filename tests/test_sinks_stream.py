@@ -168,3 +168,32 @@ def test_stream_restart_and_live_ingest(spark, tmp_path):
     q = ingest_stream(spark, str(src), "csv", schema, str(tmp_path / "ck2"), tdir, to_entries, available_now=True)
     q.awaitTermination()
     assert live_current(spark, tdir).count() == 3
+
+
+def test_hot_work_item_is_split_over_files(spark, tmp_path):
+    """A work item holding most entries: AQE's rebalance splits its bucket
+    over several tasks (several files) instead of one long task."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        n = 6000
+        df = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit("cold")).otherwise(F.lit("hot")).alias("work_id"),
+            F.lit("t").alias("table_name"), F.col("id").cast("string").alias("row_key"),
+            F.lit("f").alias("family"), F.lit("q").alias("qualifier"),
+            F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("ts"),
+            F.lpad(F.col("id").cast("string"), 40, "x").alias("value"))
+        items = spark.createDataFrame([("hot", "/in/hot"), ("cold", "/in/cold")], "work_id string, source_path string")
+        paths = write_bulk(df, items, str(tmp_path / "bulk"))
+        hot_bucket = spark.range(1).select(F.pmod(F.xxhash64(F.lit("hot")), F.lit(64))).first()[0]
+        files = glob.glob(os.path.join(paths["data"], "batch_id=0", f"bucket={hot_bucket}", "*.parquet"))
+        assert len(files) > 1
+        assert read_entries(spark, paths["data"]).count() == n
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_observed_counts_rows_of_the_write(spark, tmp_path):
+    from intake.operators.metrics import observed
+    df, obs = observed(shred(records(spark)), "entries")
+    df.write.mode("overwrite").parquet(str(tmp_path / "o"))
+    assert obs.get["rows"] == 120
