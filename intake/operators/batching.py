@@ -142,13 +142,16 @@ def _cut_by_chunks(run: DataFrame, mf: int, ms: int, chunk_rows: int) -> DataFra
     import pandas as pd
 
     size = max(int(chunk_rows), mf)
-    base = run.select("feed", "seq", "length").withColumn(
-        "_chunk", F.floor((F.col("seq") - 1) / F.lit(size)).cast("long"))
-    core = base.withColumn("_core", F.lit(True))
-    # the first mf-1 rows of each slice also go to the slice before (halo)
-    halo = (base.where(((F.col("seq") - 1) % F.lit(size) < F.lit(mf - 1)) & (F.col("_chunk") > 0))
-            .withColumn("_chunk", F.col("_chunk") - 1).withColumn("_core", F.lit(False)))
-    slices = core.unionByName(halo)
+    chunk = F.floor((F.col("seq") - 1) / F.lit(size)).cast("long")
+    # every row goes to its slice; the first mf-1 rows of a slice also go to
+    # the slice before (its halo), so a batch starting near a slice end is
+    # fully visible there.  One pass over the input.
+    in_halo = ((F.col("seq") - 1) % F.lit(size) < F.lit(mf - 1)) & (chunk > 0)
+    home = F.struct(chunk.alias("_chunk"), F.lit(True).alias("_core"))
+    guest = F.struct((chunk - 1).alias("_chunk"), F.lit(False).alias("_core"))
+    slices = (run.select("feed", "path", "length", "mtime", "seq",
+                         F.explode(F.when(in_halo, F.array(home, guest)).otherwise(F.array(home))).alias("_s"))
+              .select("feed", "path", "length", "mtime", "seq", "_s._chunk", "_s._core"))
 
     def entries_of_slice(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("seq")
@@ -167,8 +170,8 @@ def _cut_by_chunks(run: DataFrame, mf: int, ms: int, chunk_rows: int) -> DataFra
         return pd.DataFrame({"feed": pdf["feed"].iloc[0], "_chunk": pdf["_chunk"].iloc[0],
                              "entry": seq0 + np.arange(m), "exit": seq0 + exit_[:m], "starts": count[:m]})
 
-    table = slices.groupBy("feed", "_chunk").applyInPandas(
-        entries_of_slice, "feed string, _chunk long, entry long, exit long, starts long")
+    table = (slices.select("feed", "_chunk", "seq", "length", "_core").groupBy("feed", "_chunk")
+             .applyInPandas(entries_of_slice, "feed string, _chunk long, entry long, exit long, starts long"))
 
     def compose(pdf: pd.DataFrame) -> pd.DataFrame:
         step = {(int(c), int(e)): (int(x), int(n)) for c, e, x, n in
@@ -196,12 +199,15 @@ def _cut_by_chunks(run: DataFrame, mf: int, ms: int, chunk_rows: int) -> DataFra
             starts.append(p)
             p = int(nxt[p])
         seen = np.searchsorted(np.asarray(starts, dtype="int64"), np.arange(ncore), side="right")
-        return pd.DataFrame({"feed": pdf["feed"].iloc[0], "seq": pdf["seq"].to_numpy()[:ncore],
+        core = pdf.iloc[:ncore]
+        return pd.DataFrame({"feed": core["feed"], "path": core["path"], "length": core["length"],
+                             "mtime": core["mtime"], "seq": core["seq"],
                              "batch_no": int(pdf["offset"].iloc[0]) + seen - 1})
 
-    numbered = (slices.join(walk, ["feed", "_chunk"])
-                .groupBy("feed", "_chunk").applyInPandas(number_slice, "feed string, seq long, batch_no long"))
-    return run.join(numbered, ["feed", "seq"])
+    return (slices.join(walk, ["feed", "_chunk"])
+            .groupBy("feed", "_chunk")
+            .applyInPandas(number_slice, "feed string, path string, length long, mtime timestamp_ntz, "
+                                         "seq long, batch_no long"))
 
 
 def _cut_by_doubling(run: DataFrame, mf: int, ms: int, chunks: int | None) -> DataFrame:
