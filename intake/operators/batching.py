@@ -20,6 +20,17 @@ from intake.operators.prefix import running_totals
 ORDER = ["mtime", "path"]
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where a null feed matches a null feed."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def _with_admitted(files: DataFrame, admitted: str | None) -> DataFrame:
     if admitted and admitted in files.columns:
         return files.withColumn("admitted", F.col(admitted).cast("boolean"))
@@ -117,7 +128,7 @@ def batch_plan(files: DataFrame, cfg: ScanConfig, as_of, admitted: str | None =
     if ms > -1:
         fired = fired | (F.col("batch_bytes") >= F.lit(ms))
     stats = stats.select("feed", "batch_no", "batch_files", "batch_bytes", fired.alias("fired"))
-    out = planned.join(stats, ["feed", "batch_no"])
+    out = _join_null_safe(planned, stats, ["feed", "batch_no"])
     return out.select("feed", "path", "length", "mtime", "seq", "batch_no",
                       "batch_files", "batch_bytes", "fired")
 
@@ -204,7 +215,7 @@ def _cut_by_chunks(run: DataFrame, mf: int, ms: int, chunk_rows: int) -> DataFra
                              "mtime": core["mtime"], "seq": core["seq"],
                              "batch_no": int(pdf["offset"].iloc[0]) + seen - 1})
 
-    return (slices.join(walk, ["feed", "_chunk"])
+    return (_join_null_safe(slices, walk, ["feed", "_chunk"])
             .groupBy("feed", "_chunk")
             .applyInPandas(number_slice, "feed string, path string, length long, mtime timestamp_ntz, "
                                          "seq long, batch_no long"))
@@ -223,7 +234,7 @@ def _cut_by_doubling(run: DataFrame, mf: int, ms: int, chunks: int | None) -> Da
                             chunks, seq_col="_pos")
     size_end = (merged.where(F.col("kind") == 0)
                 .select("feed", F.col("seq").alias("r"), (F.col("w_before") + 1).alias("k_size")))
-    nodes = size_end.join(counts, "feed")
+    nodes = _join_null_safe(size_end, counts, ["feed"])
     end = F.greatest(F.col("r"), F.col("k_size"))
     if mf > 0:
         end = F.least(end, F.col("r") + F.lit(mf - 1))
@@ -235,19 +246,19 @@ def _cut_by_doubling(run: DataFrame, mf: int, ms: int, chunks: int | None) -> Da
     while _chain_open(levels[-1]):
         a = levels[-1]
         b = a.select(F.col("feed").alias("_bf"), F.col("r").alias("_br"), F.col("nx").alias("_bnx"))
-        step = a.join(b, (F.col("feed") == F.col("_bf")) & (F.col("nx") == F.col("_br")), "left")
+        step = a.join(b, (F.col("feed").eqNullSafe(F.col("_bf"))) & (F.col("nx") == F.col("_br")), "left")
         levels.append(step.select("feed", "r", "n_total",
                                   F.coalesce(F.col("_bnx"), F.col("nx")).alias("nx")).checkpoint(eager=True))
 
     # Starts reachable from r = 1: add next^(2^k) of every known start, top level first.
     starts = levels[0].where(F.col("r") == 1).select("feed", "r")
     for lv in reversed(levels):
-        hop = (starts.join(lv, ["feed", "r"]).where(F.col("nx") <= F.col("n_total"))
+        hop = (_join_null_safe(starts, lv, ["feed", "r"]).where(F.col("nx") <= F.col("n_total"))
                .select("feed", F.col("nx").alias("r")))
         starts = starts.unionByName(hop).checkpoint(eager=True)
 
-    marked = (run.join(starts.withColumn("_start", F.lit(1).cast("long"))
-                       .withColumnRenamed("r", "seq"), ["feed", "seq"], "left")
+    marked = (_join_null_safe(run, starts.withColumn("_start", F.lit(1).cast("long"))
+                              .withColumnRenamed("r", "seq"), ["feed", "seq"], "left")
               .withColumn("_start", F.coalesce(F.col("_start"), F.lit(0).cast("long"))))
     numbered = running_totals(marked.drop("length_before").withColumnRenamed("seq", "_seq0"),
                               ["feed"], ORDER, ["_start"], chunks, seq_col="_seq1")

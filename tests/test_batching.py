@@ -136,3 +136,13 @@ def test_running_totals_slices_hot_group(spark):
     out = running_totals(df, ["g"], ["o"], ["x"], chunks=8)
     bad = out.where((F.col("seq") != F.col("o") + 1) | (F.col("x_before") != F.col("o") * 2)).count()
     assert bad == 0
+
+
+@pytest.mark.parametrize("cfg", [ScanConfig(max_files=3, max_size=40), ScanConfig(max_files=-1, max_size=40)],
+                         ids=["chunks", "doubling"])
+def test_batch_plan_keeps_files_without_feed(spark, cfg):
+    rows = [(None, f"/in/x{i}", 15, AS_OF, True) for i in range(7)]
+    df = spark.createDataFrame(rows, "feed string, path string, length long, mtime timestamp_ntz, admitted boolean")
+    got = {r["path"]: r["batch_no"] for r in batch_plan(df, cfg, AS_OF, chunk_rows=4).collect()}
+    want = loop_cut([(p, l, m, a) for _f, p, l, m, a in sorted(rows, key=lambda r: r[1])], cfg)
+    assert got == want
