@@ -74,3 +74,35 @@ def run_id_for(spark: SparkSession, checkpoint: str) -> str:
     finally:
         out.close()
     return rid
+
+
+def compact_live(spark: SparkSession, table_dir: str, upto: str | None = None) -> str:
+    """Fold every batch with ``batch_id <= upto`` (default: all) into one
+    snapshot batch per table holding the newest value per key, then drop the
+    folded batch folders.
+
+    The snapshot is written first (dynamic partition overwrite: a replay
+    writes the same snapshot); until the old folders are gone a reader sees
+    each value twice, and :func:`newest_per_key` still returns the same
+    answer.  Returns the snapshot's batch id.
+    """
+    schema = T.StructType([*ENTRY_SCHEMA.fields, T.StructField("batch_id", T.StringType())])
+    history = spark.read.schema(schema).parquet(table_dir)
+    if upto is None:
+        upto = history.agg(F.max("batch_id")).first()[0]
+        if upto is None:
+            return ""
+    folded = history.where(F.col("batch_id") <= upto)
+    tag = f"{upto}~snapshot"
+    snapshot = (newest_per_key(folded).select(*ENTRY_COLUMNS)
+                .withColumn("batch_id", F.lit(tag)))
+    (snapshot.hint("rebalance", "table_name")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("table_name", "batch_id").parquet(table_dir))
+    old = folded.where(F.col("batch_id") != tag).select("table_name", "batch_id").distinct().collect()
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for r in old:
+        p = jvm.org.apache.hadoop.fs.Path(f"{table_dir.rstrip('/')}/table_name={r['table_name']}/batch_id={r['batch_id']}")
+        p.getFileSystem(conf).delete(p, True)
+    return tag

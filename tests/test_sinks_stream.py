@@ -14,7 +14,7 @@ from intake.operators.combine import aggregate_entries, dedupe_entries, sort_ent
 from intake.operators.shred import metadata_updates, shred_entries
 from intake.sinks.bulk import read_manifests, read_work_item, write_bulk
 from intake.sinks.bundles import bundle_folder, compact_bundles
-from intake.sinks.live import live_current, run_id_for, upsert_live
+from intake.sinks.live import compact_live, live_current, run_id_for, upsert_live
 from intake.sources.entries import read_entries
 from intake.streaming.feed import ingest_stream, stream_feed
 
@@ -197,3 +197,20 @@ def test_observed_counts_rows_of_the_write(spark, tmp_path):
     df, obs = observed(shred(records(spark)), "entries")
     df.write.mode("overwrite").parquet(str(tmp_path / "o"))
     assert obs.get["rows"] == 120
+
+
+def test_compact_live_keeps_the_current_view(spark, tmp_path):
+    e = shred(records(spark)).drop("work_id")
+    tdir = str(tmp_path / "live")
+    for b in range(3):
+        upsert_live(e.withColumn("value", F.concat(F.col("value"), F.lit(f"-{b}")))
+                     .withColumn("ts", F.col("ts") + F.expr(f"INTERVAL {b} SECOND")), tdir, "r", b)
+    before = sorted(tuple(r) for r in live_current(spark, tdir).drop("n_versions").collect())
+    tag = compact_live(spark, tdir)
+    assert tag == "r-000000000002~snapshot"
+    after = sorted(tuple(r) for r in live_current(spark, tdir).drop("n_versions").collect())
+    assert after == before
+    assert glob.glob(os.path.join(tdir, "table_name=event", "batch_id=*")) == \
+        [os.path.join(tdir, "table_name=event", "batch_id=" + tag)]
+    upsert_live(e, tdir, "r", 3)   # later batches still land beside the snapshot
+    assert live_current(spark, tdir).count() == 120
