@@ -117,7 +117,7 @@ def batch_plan(files: DataFrame, cfg: ScanConfig, as_of, admitted: str | None =
         planned = run.withColumn(
             "batch_no", ((F.col("seq") - 1) / F.lit(mf)).cast("long") if mf > 0 else F.lit(0).cast("long"))
     elif mf > 0:
-        planned = _cut_by_chunks(run, mf, ms, chunk_rows)
+        return _cut_by_chunks(run.withColumn("_old", _over_age(cfg, as_of)), mf, ms, chunk_rows)
     else:
         planned = _cut_by_doubling(run, mf, ms, chunks)
     planned = planned.withColumn("_old", _over_age(cfg, as_of))
@@ -160,9 +160,9 @@ def _cut_by_chunks(run: DataFrame, mf: int, ms: int, chunk_rows: int) -> DataFra
     in_halo = ((F.col("seq") - 1) % F.lit(size) < F.lit(mf - 1)) & (chunk > 0)
     home = F.struct(chunk.alias("_chunk"), F.lit(True).alias("_core"))
     guest = F.struct((chunk - 1).alias("_chunk"), F.lit(False).alias("_core"))
-    slices = (run.select("feed", "path", "length", "mtime", "seq",
+    slices = (run.select("feed", "path", "length", "mtime", "seq", "_old",
                          F.explode(F.when(in_halo, F.array(home, guest)).otherwise(F.array(home))).alias("_s"))
-              .select("feed", "path", "length", "mtime", "seq", "_s._chunk", "_s._core"))
+              .select("feed", "path", "length", "mtime", "seq", "_old", "_s._chunk", "_s._core"))
 
     def entries_of_slice(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("seq")
@@ -201,24 +201,38 @@ def _cut_by_chunks(run: DataFrame, mf: int, ms: int, chunk_rows: int) -> DataFra
     walk = table.groupBy("feed").applyInPandas(compose, "feed string, _chunk long, entry long, offset long")
 
     def number_slice(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq")
+        # Emits every row whose batch starts in this slice's core (halo rows
+        # included), with that batch's stats: a batch holds at most mf files,
+        # so it is fully visible here.  Core rows before the entry belong to a
+        # batch of the slice before, which emits them from its halo.
+        pdf = pdf.sort_values("seq").reset_index(drop=True)
         seq0 = int(pdf["seq"].iloc[0])
         ncore = int(pdf["_core"].sum())
-        nxt = _next_starts(pdf["length"].to_numpy(dtype="int64"), mf, ms)
+        lengths = pdf["length"].to_numpy(dtype="int64")
+        nxt = _next_starts(lengths, mf, ms)
         starts, p = [], int(pdf["entry"].iloc[0]) - seq0
         while p < ncore:
             starts.append(p)
             p = int(nxt[p])
-        seen = np.searchsorted(np.asarray(starts, dtype="int64"), np.arange(ncore), side="right")
-        core = pdf.iloc[:ncore]
-        return pd.DataFrame({"feed": core["feed"], "path": core["path"], "length": core["length"],
-                             "mtime": core["mtime"], "seq": core["seq"],
-                             "batch_no": int(pdf["offset"].iloc[0]) + seen - 1})
+        first, stop = (starts[0], min(int(nxt[starts[-1]]), len(pdf))) if starts else (0, 0)
+        rows = pdf.iloc[first:stop]
+        which = np.searchsorted(np.asarray(starts, dtype="int64"), np.arange(first, stop), side="right") - 1
+        n = np.bincount(which, minlength=len(starts))
+        size = np.bincount(which, weights=lengths[first:stop], minlength=len(starts)).astype("int64")
+        old = np.bincount(which, weights=rows["_old"].to_numpy(dtype="int64"), minlength=len(starts)) > 0
+        fired = (n >= mf) | old | (size >= ms)
+        return pd.DataFrame({
+            "feed": rows["feed"], "path": rows["path"], "length": rows["length"], "mtime": rows["mtime"],
+            "seq": rows["seq"], "batch_no": int(pdf["offset"].iloc[0]) + which,
+            "batch_files": n[which], "batch_bytes": size[which], "fired": fired[which]})
 
     return (_join_null_safe(slices, walk, ["feed", "_chunk"])
             .groupBy("feed", "_chunk")
-            .applyInPandas(number_slice, "feed string, path string, length long, mtime timestamp_ntz, "
-                                         "seq long, batch_no long"))
+            .applyInPandas(number_slice, OUT_SCHEMA))
+
+
+OUT_SCHEMA = ("feed string, path string, length long, mtime timestamp_ntz, seq long, batch_no long, "
+              "batch_files long, batch_bytes long, fired boolean")
 
 
 def _cut_by_doubling(run: DataFrame, mf: int, ms: int, chunks: int | None) -> DataFrame:

@@ -64,6 +64,23 @@ def loop_cut(files, cfg):
     return out
 
 
+def batch_stats(rows, cut, cfg):
+    """(files, bytes, fired) of each file's batch, from a cut."""
+    info = {p: (f, l, m) for f, p, l, m, _a in rows}
+    per = {}
+    for path, b in cut.items():
+        feed, length, mtime = info[path]
+        n, size, old = per.get((feed, b), (0, 0, False))
+        aged = cfg.max_age > -1 and (AS_OF - mtime).total_seconds() * 1000 > cfg.max_age
+        per[(feed, b)] = (n + 1, size + length, old or aged)
+    out = {}
+    for path, b in cut.items():
+        n, size, old = per[(info[path][0], b)]
+        fired = n >= cfg.max_files or old or (cfg.max_size > -1 and size >= cfg.max_size)
+        out[path] = (n, size, fired)
+    return out
+
+
 def by_feed(rows):
     feeds = {}
     for feed, path, length, mtime, admitted in rows:
@@ -111,6 +128,8 @@ def test_batch_plan_matches_greedy_cut(spark, cfg):
     for files in by_feed(rows).values():
         want.update(loop_cut(files, cfg))
     assert got == want
+    assert len(plan) == len(want)
+    assert {r["path"]: (r["batch_files"], r["batch_bytes"], r["fired"]) for r in plan} == batch_stats(rows, want, cfg)
 
 
 def test_batch_plan_hot_feed_is_spread(spark):
