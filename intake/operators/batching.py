@@ -109,7 +109,8 @@ def batch_plan(files: DataFrame, cfg: ScanConfig, as_of, admitted: str | None =
     is used: pointer doubling over ``next`` in ``log2(batches)`` join rounds.
     """
     f = _with_admitted(files, admitted).where(F.col("admitted"))
-    run = running_totals(f, ["feed"], ORDER, ["length"], chunks)
+    # ranked once and frozen: every path below reads the ranks more than once
+    run = running_totals(f, ["feed"], ORDER, ["length"], chunks).checkpoint(eager=True)
     mf, ms = cfg.max_files, cfg.max_size
     if mf == 0 or ms == 0:
         planned = run.withColumn("batch_no", F.col("seq") - 1)
