@@ -28,14 +28,16 @@ def _entry(table, row_key, family, qualifier, ts, value) -> Column:
 
 def shred_entries(records: DataFrame, data_type: str, row_key, fields: Mapping[str, object],
                   ts, index_fields: Sequence[str] = (), table: str = "event",
-                  index_table: str = "index", carry: Sequence[str] = ()) -> DataFrame:
+                  index_table: str = "index", carry: Sequence[str] = (),
+                  extra: Sequence[Column] = ()) -> DataFrame:
     """One entry per (record, field) in ``table``; for ``index_fields`` also an
     inverted entry in ``index_table`` (row = value, qualifier = record row).
 
     ``fields`` maps a qualifier name to a column or expression; its text form is
     the entry value, so the caller picks the formatting (e.g. a fixed-scale
     decimal for money).  Null values make no entry.  ``carry`` columns (e.g.
-    ``work_id``) are kept beside every entry.
+    ``work_id``) are kept beside every entry; ``extra`` entry structs (e.g.
+    counters) are emitted from the same pass over the records.
     """
     unknown = set(index_fields) - set(fields)
     if unknown:
@@ -49,7 +51,7 @@ def shred_entries(records: DataFrame, data_type: str, row_key, fields: Mapping[s
         items.append(_entry(F.lit(table), rk, dt, F.lit(name), t, v))
         if name in index_fields:
             items.append(_entry(F.lit(index_table), v, F.lit(name), rk, t, dt))
-    out = records.select(*carry, F.inline(F.array(*items)))
+    out = records.select(*carry, F.inline(F.array(*items, *extra)))
     return (out.where(F.col("row_key").isNotNull() & F.col("value").isNotNull())
             .select(*ENTRY_COLUMNS, *carry))
 

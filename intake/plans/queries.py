@@ -65,8 +65,7 @@ FROM allentries GROUP BY table_name, row_key, family, qualifier"""
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """shred -> dedupe -> aggregate over all events (the ingest writer chain)."""
     rec = S.event_records(spark, d)
-    entries = S.event_entries(rec).unionByName(
-        S.event_counters(rec).where(F.col("row_key").isNotNull()))
+    entries = S.event_entries(rec, extra=[S.event_counter()])
     return combine.aggregate_entries(combine.dedupe_entries(entries), sum_tables=["event_count"])
 
 
