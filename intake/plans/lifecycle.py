@@ -86,7 +86,7 @@ def ingest_items(spark: SparkSession, messages: DataFrame, inventory: DataFrame,
     the outcome rows (``work_id, at, status``) and, for live, the moves."""
     parsed = parse_work_items(messages, inventory.select("path", "length"))
     ok = parsed.where(F.col("status") == "ok")
-    records = read_typed_feed(spark, ok.select("path", "data_type"),
+    records = read_typed_feed(spark, ok.select("path", "data_type", "format"),
                               {k: v.spec for k, v in types.items()})
     records = records.join(ok.select(F.col("path").alias("source_path"), "work_id"), "source_path")
     parts = []

@@ -27,20 +27,25 @@ class TypeSpec:
 
 def read_typed_feed(spark: SparkSession, items: DataFrame,
                     registry: Mapping[str, TypeSpec]) -> DataFrame:
-    """Records of every work item (``path, data_type``), tagged with the
-    trimmed ``data_type`` and their ``source_path``.  A data type missing from
-    the registry is an error."""
-    groups: dict[str, list[str]] = {}
-    for row in items.select(F.trim("data_type").alias("dt"), "path").distinct().collect():
-        groups.setdefault(row["dt"], []).append(row["path"])
-    unknown = set(groups) - set(registry)
+    """Records of every work item (``path, data_type`` and optionally the
+    item's ``format``), tagged with the trimmed ``data_type`` and their
+    ``source_path``.  The item's format wins over the registry's, as the
+    reference opens each file with the format its message names; schema and
+    options come from the registry.  A data type missing from the registry is
+    an error."""
+    has_format = "format" in items.columns
+    cols = [F.trim("data_type").alias("dt"), "path"] + ([F.col("format").alias("fmt")] if has_format else [])
+    groups: dict[tuple[str, str | None], list[str]] = {}
+    for row in items.select(*cols).distinct().collect():
+        groups.setdefault((row["dt"], row["fmt"] if has_format else None), []).append(row["path"])
+    unknown = {dt for dt, _ in groups} - set(registry)
     if unknown:
         raise KeyError(f"data types without a registry entry: {sorted(unknown)}")
     frames = []
-    for dt in sorted(groups):
+    for (dt, fmt) in sorted(groups, key=lambda k: (k[0], k[1] or "")):
         spec = registry[dt]
-        df = (spark.read.format(spec.format).schema(spec.schema).options(**dict(spec.options))
-              .load(sorted(groups[dt])))
+        df = (spark.read.format(fmt or spec.format).schema(spec.schema).options(**dict(spec.options))
+              .load(sorted(groups[(dt, fmt)])))
         frames.append(df.select(F.lit(dt).alias("data_type"),
                                 F.col("_metadata.file_path").alias("source_path"), "*"))
     if not frames:
