@@ -318,8 +318,8 @@ SELECT message, n_fields, p[1] AS path, p[2] AS format, trim(p[3]) AS data_type,
             WHEN inv.inv_path IS NULL THEN 'missing'
             ELSE 'ok' END AS status
 FROM (SELECT message, string_split(regexp_replace(message, ',+$', ''), ',') AS p,
-             CASE WHEN message = '' THEN 0
-                  ELSE len(string_split(regexp_replace(message, ',+$', ''), ',')) END AS n_fields
+             CAST(CASE WHEN message = '' THEN 0
+                  ELSE len(string_split(regexp_replace(message, ',+$', ''), ',')) END AS INTEGER) AS n_fields
       FROM msgs) m
 LEFT JOIN inv ON inv.inv_path = m.p[1]""")
 def q_parse_work_items(spark, d):
