@@ -27,6 +27,11 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+# Spark type -> DuckDB type name, for the schema part of the check
+TYPE_NAMES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN",
+              "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
 def canon(v) -> str:
     if v is None:
         return "NULL"
@@ -51,13 +56,19 @@ def compare(spark, name: str, run, sql: str | None, sf_dir: str, con) -> dict:
     if sql is None:
         res["status"] = "rows-only"
         return res
-    cur = con.execute(sql)
-    d_cols = [c[0] for c in cur.description]
-    d_rows = [tuple(canon(x) for x in r) for r in cur.fetchall()]
+    rel = con.sql(sql)
+    d_cols = list(rel.columns)
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    d_rows = [tuple(canon(x) for x in r) for r in rel.fetchall()]
     res["duck_rows"] = len(d_rows)
     if sorted(s_cols) != sorted(d_cols):
         res["status"] = f"COLUMNS spark={s_cols} duck={d_cols}"
         return res
+    s_types = {f.name: TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in sdf.schema.fields}
+    if s_types != d_types:
+        res["status"] = f"TYPES spark={s_types} duck={d_types}"
+        return res
     order = [d_cols.index(c) for c in sorted(s_cols)]
     s_order = [s_cols.index(c) for c in sorted(s_cols)]
     s_set = sorted(tuple(r[i] for i in s_order) for r in s_rows)
