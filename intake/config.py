@@ -58,9 +58,21 @@ class FeederConfig:
         return _strict(cls, d)
 
 
+@dataclass(frozen=True)
+class IngestConfig:
+    """``live_ingest`` picks live upserts over bulk output + manifests."""
+    live_ingest: bool = False
+    output_dir: str | None = None
+
+    @classmethod
+    def from_dict(cls, d: dict) -> "IngestConfig":
+        return _strict(cls, d)
+
+
 @dataclass(frozen=True)
 class BundlerConfig:
     bundle_output_dir: str
+    work_dir: str | None = None
     date_bundle_output: bool = True
     date_format: str = "yyyy/MM/dd"
     manifest_path_to_replace: str = "/flagged/"
@@ -92,3 +104,44 @@ PROFILES = {
 # Sample feeds (name, queue) and ingest pools (name, queue, replicas).
 SAMPLE_FEEDS = [("feed1", "fast"), ("feed2", "fastest"), ("feed3", "fastest")]
 SAMPLE_POOLS = [("speedy", "fast", 1), ("speediest", "fastest", 1)]
+
+
+# The reference's property names per section and ours.
+# Settings that have no meaning in Spark (file-system resource lists, scan
+# frequency, broker and store credentials) are accepted and ignored; any
+# other unknown key is refused.
+REFERENCE_KEYS = {
+    "file": {"inputDir": "input_dir", "ignorePrefix": "ignore_prefix", "maxAge": "max_age",
+             "maxFiles": "max_files", "maxSize": "max_size", "recursive": "recursive",
+             "errorRetryInterval": "error_retry_interval", "errorRetryTimeUnit": "error_retry_time_unit"},
+    "feeder": {"targetDir": "target_dir", "inputFormatClass": "input_format", "dataType": "data_type",
+               "preservePath": "preserve_path"},
+    "bundler": {"workDir": "work_dir", "bundleOutputDir": "bundle_output_dir",
+                "dateBundleOutput": "date_bundle_output", "dateFormat": "date_format",
+                "manifestPathToReplace": "manifest_path_to_replace",
+                "manifestPathReplacement": "manifest_path_replacement"},
+    "ingest": {"liveIngest": "live_ingest"},
+}
+IGNORED_KEYS = {
+    "file": {"fsConfigResources", "frequency"},
+    "ingest": {"fsConfigResources", "resourceDirPatterns", "accumuloProperties"},
+}
+_SECTION_CLASS = {"file": ScanConfig, "feeder": FeederConfig, "bundler": BundlerConfig, "ingest": IngestConfig}
+
+
+def from_reference(section: str, props: dict):
+    """Settings from one section of a reference configuration (camelCase
+    keys), e.g. ``from_reference("file", {"maxFiles": 2, "maxAge": 60000})``."""
+    names = REFERENCE_KEYS[section]
+    ignored = IGNORED_KEYS.get(section, set())
+    unknown = set(props) - set(names) - ignored
+    if unknown:
+        raise ValueError(f"unknown {section} settings: {sorted(unknown)}")
+    return _SECTION_CLASS[section](**{names[k]: v for k, v in props.items() if k in names})
+
+
+def load_reference_yaml(text: str) -> dict:
+    """All known sections of a reference YAML configuration."""
+    import yaml
+    doc = yaml.safe_load(text) or {}
+    return {sec: from_reference(sec, doc[sec]) for sec in _SECTION_CLASS if isinstance(doc.get(sec), dict)}

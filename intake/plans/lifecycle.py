@@ -8,7 +8,8 @@
 * :func:`bundle_files` — cut paired files into batches, compact each fired
   batch into a bundle; a member that cannot be read is quarantined and the
   batches are planned again without it (the reference fails the whole batch
-  and retries later).
+  and retries later); :func:`bundler_run` adds the dated output folder and
+  the accounting of the members' manifests.
 
 Driver-side control flow only: every data step is a DataFrame job.
 """
@@ -22,16 +23,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from intake.config import FeederConfig, ScanConfig
+from intake.config import BundlerConfig, FeederConfig, ScanConfig
 from intake.functions.ids import as_of_col
 from intake.functions.paths import loaded_path
 from intake.operators.batching import batch_plan, threshold_batch, threshold_trigger
-from intake.operators.bundle import mark_paired
+from intake.operators.bundle import file_accounting, mark_paired
 from intake.operators.combine import aggregate_entries, dedupe_entries
 from intake.operators.filters import exclude_manifests, ignore_prefix, quarantine_filter, quarantine_update
 from intake.operators.work import flagged_collisions, parse_work_items, work_items
 from intake.sinks.bulk import write_bulk
-from intake.sinks.bundles import compact_bundles
+from intake.sinks.bundles import bundle_folder, compact_bundles
 from intake.sinks.live import upsert_live
 from intake.sources.inventory import _norm_uri
 from intake.sources.typed import TypeSpec, read_typed_feed
@@ -147,3 +148,24 @@ def bundle_files(spark: SparkSession, inventory: DataFrame, failures: DataFrame,
         finally:
             plan.unpersist()
     raise RuntimeError(f"gave up after {max_replans} re-plans")
+
+
+def bundler_run(spark: SparkSession, inventory: DataFrame, failures: DataFrame, scan: ScanConfig,
+                bundler: BundlerConfig, as_of, read_members: Callable[[list[str]], DataFrame],
+                flagged: DataFrame | None = None) -> dict[str, DataFrame | str]:
+    """One bundler tick: bundles under ``bundle_output_dir[/as_of date]``,
+    then the accounting ledger of the bundled members' manifests (origin,
+    loaded path, ``moved`` / ``missing`` against ``flagged`` / ``malformed``)."""
+    stamp = spark.range(1).select(F.date_format(as_of_col(as_of), bundler.date_format)).first()[0]
+    folder = bundle_folder(bundler.bundle_output_dir, stamp, bundler.date_bundle_output)
+    members, failures = bundle_files(spark, inventory, failures, scan, as_of, folder, read_members)
+    manifest_paths = [r["m"] for r in members.select(F.concat("path", F.lit(".manifest")).alias("m")).collect()]
+    if manifest_paths:
+        lines = spark.read.text(manifest_paths).select(
+            "value", F.col("_metadata.file_path").alias("manifest_file"))
+        accounting = file_accounting(lines, flagged, bundler.manifest_path_to_replace,
+                                     bundler.manifest_path_replacement)
+    else:
+        accounting = spark.createDataFrame([], "value string, manifest_file string, work_id string, "
+                                               "origin string, loaded_path string, status string")
+    return {"folder": folder, "members": members, "failures": failures, "accounting": accounting}

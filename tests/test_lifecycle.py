@@ -87,6 +87,17 @@ def test_bundler_quarantines_unreadable_member(spark, tmp_path):
     back = read_entries(spark, str(tmp_path / "bundles"), "source_path string, bundle_id string")
     assert back.count() == 5 * 3
 
+    # the whole bundler tick with dated output and accounting
+    from intake.config import BundlerConfig
+    from intake.plans.lifecycle import bundler_run
+    flagged = spark.createDataFrame([(f"/data/flagged/in/{i}.csv",) for i in (0, 1, 2, 4)], "path string")
+    out = bundler_run(spark, inv, spark.createDataFrame([], NO_FAILURES), cfg,
+                      BundlerConfig(bundle_output_dir=str(tmp_path / "pub")), as_of, read_members, flagged)
+    assert out["folder"].startswith(str(tmp_path / "pub") + "/") and out["folder"].count("/") >= 3
+    acc = {r["origin"]: (r["status"], r["loaded_path"]) for r in out["accounting"].collect()}
+    assert acc["/data/flagged/in/0.csv"] == ("moved", "/data/loaded/in/0.csv")
+    assert acc["/data/flagged/in/5.csv"][0] == "missing" and len(acc) == 5
+
 
 def test_profiles_are_usable():
     assert PROFILES["feeder_csv"].max_files == 2

@@ -115,3 +115,35 @@ def test_cluster_conf_sizes_partitions():
     conf = cluster_conf(100 << 40, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert int(cluster_conf(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 24
+
+
+def test_reference_configuration_sections():
+    from intake.config import from_reference, load_reference_yaml
+    text = """
+file:
+  frequency: 1000
+  recursive: true
+  inputDir: '/data/input/csv'
+  ignorePrefix: '.'
+  maxFiles: 2
+  maxAge: 60000
+feeder:
+  targetDir: '/data/input/flagged/csv'
+  inputFormatClass: 'csv'
+  dataType: 'mycsv'
+  preservePath: true
+bundler:
+  workDir: /tmp/work
+  bundleOutputDir: /data/input/csvSeq/
+ingest:
+  liveIngest: true
+  fsConfigResources: [a.xml]
+"""
+    cfg = load_reference_yaml(text)
+    assert cfg["file"].max_files == 2 and cfg["file"].recursive and cfg["file"].max_size == -1
+    assert cfg["feeder"].preserve_path and cfg["bundler"].date_format == "yyyy/MM/dd"
+    assert cfg["ingest"].live_ingest
+    # retry settings belong to `file`, not `feeder` (refused, not silently dropped)
+    with pytest.raises(ValueError):
+        from_reference("feeder", {"targetDir": "/x", "inputFormatClass": "csv", "dataType": "t",
+                                  "errorRetryInterval": 60})
