@@ -108,8 +108,8 @@ SAMPLE_POOLS = [("speedy", "fast", 1), ("speediest", "fastest", 1)]
 
 # The reference's property names per section and ours.
 # Settings that have no meaning in Spark (file-system resource lists, scan
-# frequency, broker and store credentials) are accepted and ignored; any
-# other unknown key is refused.
+# frequency) are accepted and ignored; any other unknown key is refused, so
+# table-store connection settings (not built here) must be left out.
 REFERENCE_KEYS = {
     "file": {"inputDir": "input_dir", "ignorePrefix": "ignore_prefix", "maxAge": "max_age",
              "maxFiles": "max_files", "maxSize": "max_size", "recursive": "recursive",
@@ -124,7 +124,7 @@ REFERENCE_KEYS = {
 }
 IGNORED_KEYS = {
     "file": {"fsConfigResources", "frequency"},
-    "ingest": {"fsConfigResources", "resourceDirPatterns", "accumuloProperties"},
+    "ingest": {"fsConfigResources", "resourceDirPatterns"},
 }
 _SECTION_CLASS = {"file": ScanConfig, "feeder": FeederConfig, "bundler": BundlerConfig, "ingest": IngestConfig}
 
