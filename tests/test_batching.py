@@ -29,25 +29,23 @@ def make_cases(seed, n_feeds=60):
 
 
 def loop_scan(files, cfg):
-    """The reference's scan loop, for one feed (files already in order)."""
-    out = {}
-    active = size = 0
-    exceeded_count = exceeded_size = aged = False
+    """One scan of a feed by the documented rules (files already in order):
+    a file is looked at while no limit has been reached by the files before
+    it; the first file is always looked at."""
+    def reached(taken, seen_bytes):
+        return ((cfg.max_files > -1 and taken >= cfg.max_files)
+                or (cfg.max_size > -1 and seen_bytes >= cfg.max_size))
+
+    looked, taken, seen_bytes, any_old = {}, 0, 0, False
     for path, length, mtime, admitted in files:
-        if exceeded_count or exceeded_size:
+        if looked and reached(taken, seen_bytes):
             break
-        active += 1 if admitted else 0
-        out[path] = admitted
-        if cfg.max_files > -1 and active >= cfg.max_files:
-            exceeded_count = True
-        if cfg.max_size > -1:
-            size += length
-        if cfg.max_age > -1 and (AS_OF - mtime).total_seconds() * 1000 > cfg.max_age:
-            aged = True
-        if cfg.max_size > -1 and size >= cfg.max_size:
-            exceeded_size = True
-    fired = active >= cfg.max_files or aged or exceeded_size
-    return out, fired
+        looked[path] = admitted
+        taken += int(admitted)
+        seen_bytes += length
+        any_old = any_old or (cfg.max_age > -1 and (AS_OF - mtime).total_seconds() * 1000 > cfg.max_age)
+    fired = taken >= cfg.max_files or any_old or (cfg.max_size > -1 and seen_bytes >= cfg.max_size)
+    return looked, fired
 
 
 def loop_cut(files, cfg):
