@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from intake.functions.ids import content_id, epoch_micros
 from intake.functions.paths import flagged_path
+from intake.operators.joins import broadcast_if_small
 
 # Input formats a work item may name (Spark file sources).
 KNOWN_FORMATS = ("csv", "json", "parquet", "orc", "text", "avro", "binaryFile")
@@ -79,12 +80,6 @@ def config_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Dat
     return spark.createDataFrame(list(rows), schema)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint only after checking the row count (one small job); a
-    larger table is left to a shuffle join."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def route_work(items: DataFrame, feeds: DataFrame, pools: DataFrame,
                max_broadcast_rows: int = 100_000) -> DataFrame:
     """Feed -> queue -> pool.  Items of a feed without config are dropped; a

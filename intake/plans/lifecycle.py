@@ -29,6 +29,7 @@ from intake.functions.paths import loaded_path
 from intake.operators.batching import batch_plan, threshold_batch, threshold_trigger
 from intake.operators.bundle import file_accounting, mark_paired
 from intake.operators.combine import aggregate_entries, dedupe_entries
+from intake.operators.joins import broadcast_if_small
 from intake.operators.filters import exclude_manifests, ignore_prefix, quarantine_filter, quarantine_update
 from intake.operators.work import flagged_collisions, parse_work_items, work_items
 from intake.sinks.bulk import write_bulk
@@ -89,7 +90,8 @@ def ingest_items(spark: SparkSession, messages: DataFrame, inventory: DataFrame,
     ok = parsed.where(F.col("status") == "ok")
     records = read_typed_feed(spark, ok.select("path", "data_type", "format"),
                               {k: v.spec for k, v in types.items()})
-    records = records.join(ok.select(F.col("path").alias("source_path"), "work_id"), "source_path")
+    records = records.join(broadcast_if_small(ok.select(F.col("path").alias("source_path"), "work_id")),
+                           "source_path")
     parts = []
     for dt, t in types.items():
         part = t.shred(records.where(F.col("data_type") == dt))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from intake.operators.bundle import bundle_ids
+from intake.operators.joins import broadcast_if_small
 from intake.schemas import ENTRY_COLUMNS
 
 
@@ -30,7 +31,10 @@ def compact_bundles(entries: DataFrame, plan: DataFrame, folder: str,
     p = plan.where(F.col("fired")) if only_fired else plan
     members = p.select("feed", "path", "batch_no").join(bundle_ids(p), ["feed", "batch_no"])
     keep = list(columns) if columns else [*ENTRY_COLUMNS]
-    rows = entries.join(members.select(F.col("path").alias("source_path"), "bundle_id"), "source_path")
+    # one row per member file: broadcast when small, so the bundle data is
+    # shuffled once (by bundle) instead of twice
+    lookup = broadcast_if_small(members.select(F.col("path").alias("source_path"), "bundle_id"))
+    rows = entries.join(lookup, "source_path")
     (rows.select(*keep, "source_path", "bundle_id").hint("rebalance", "bundle_id")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("bundle_id").parquet(folder))
