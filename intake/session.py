@@ -33,6 +33,9 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("INTAKE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # wide string keys (entry dedupe): the first-level "fast" hash map
+        # thrashes; measured 9.3 s -> 7.3 s for 4.6M entries without it
+        .config("spark.sql.codegen.aggregate.map.twolevel.enabled", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -87,5 +90,6 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.codegen.aggregate.map.twolevel.enabled": "false",
         "spark.speculation": "false",
     }
