@@ -9,7 +9,9 @@ feeds that fire into ``state_dir/work_items/tick=<n>``.
 
 Replay safety: the time a tick runs at is recorded once per tick and reused
 when Spark replays the tick after a failure, the tick's items overwrite only
-their own partition, and "already taken" only looks at earlier ticks.
+their own partition, and "already taken" is the snapshot written by the tick
+before (files taken earlier and still in the folder), so its size follows
+the landing folder, not the history.
 """
 
 from __future__ import annotations
@@ -44,11 +46,13 @@ def tick_time(spark: SparkSession, ticks_dir: str, tick: int) -> dt.datetime:
     return spark.read.parquet(where).first()["as_of"]
 
 
-def taken_before(spark: SparkSession, items_dir: str, tick: int) -> DataFrame:
-    if not _exists(spark, items_dir):
+def taken_before(spark: SparkSession, taken_dir: str, tick: int) -> DataFrame:
+    """Paths taken by ticks before ``tick``: the snapshot the previous tick
+    wrote (immutable once the next tick runs)."""
+    where = f"{taken_dir}/tick={tick - 1}"
+    if tick == 0 or not _exists(spark, f"{where}/_SUCCESS"):
         return spark.createDataFrame([], "path string")
-    items = spark.read.schema("path string, tick long").parquet(items_dir)
-    return items.where(F.col("tick") < tick).select("path")
+    return spark.read.schema("path string").parquet(where)
 
 
 def feeder_stream(spark: SparkSession, landing_dir: str, state_dir: str, scan: ScanConfig,
@@ -56,12 +60,13 @@ def feeder_stream(spark: SparkSession, landing_dir: str, state_dir: str, scan: S
                   failures_dir: str | None = None, query_name: str | None = None) -> StreamingQuery:
     """Start the feeder loop; see the module docstring."""
     state = state_dir.rstrip("/")
-    items_dir, ticks_dir = f"{state}/work_items", f"{state}/ticks"
+    items_dir, ticks_dir, taken_dir = f"{state}/work_items", f"{state}/ticks", f"{state}/taken"
 
     def tick(_clock: DataFrame, batch_id: int) -> None:
         as_of = tick_time(spark, ticks_dir, batch_id)
         inv = landing_inventory(spark, landing_dir, scan.recursive, feed)
-        pending = inv.join(taken_before(spark, items_dir, batch_id), "path", "left_anti")
+        taken = taken_before(spark, taken_dir, batch_id)
+        pending = inv.join(taken, "path", "left_anti")
         if failures_dir and _exists(spark, failures_dir):
             failures = spark.read.schema(QUARANTINE_SCHEMA).parquet(failures_dir)
         else:
@@ -72,6 +77,16 @@ def feeder_stream(spark: SparkSession, landing_dir: str, state_dir: str, scan: S
          .withColumn("tick", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("tick").parquet(items_dir))
+        # taken set for the next tick: earlier takes still in the folder plus
+        # this tick's; its size is bounded by the landing folder, not history
+        still = taken.join(inv.select("path"), "path", "left_semi")
+        if _exists(spark, items_dir):
+            now = (spark.read.schema("path string, tick long").parquet(items_dir)
+                   .where(F.col("tick") == batch_id).select("path"))
+        else:
+            now = spark.createDataFrame([], "path string")
+        (still.unionByName(now).distinct()
+         .write.mode("overwrite").parquet(f"{taken_dir}/tick={batch_id}"))
 
     clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     writer = (clock.writeStream.foreachBatch(tick)
