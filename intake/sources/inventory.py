@@ -83,3 +83,18 @@ def landing_inventory(spark: SparkSession, path: str, recursive: bool = False,
         F.col("length"),
         F.col("modificationTime").cast("timestamp_ntz").alias("mtime"),
     )
+
+
+def feed_inventories(spark: SparkSession, feeds: dict[str, str], recursive: bool = False,
+                     include_empty: bool = True) -> DataFrame:
+    """One inventory over several feeds, one folder each (``{feed: folder}``):
+    each folder is listed by its own file index, then the listings are
+    stacked."""
+    frames = [landing_inventory(spark, folder, recursive, feed, include_empty=include_empty)
+              for feed, folder in sorted(feeds.items())]
+    if not frames:
+        raise ValueError("no feeds given")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out

@@ -96,3 +96,10 @@ def test_quarantine_update_appends(spark):
     new = spark.createDataFrame([("/x",)], "path string")
     out = quarantine_update(log, new, as_of=dt.datetime(2024, 1, 1), reason="bad member").collect()
     assert out[0]["reason"] == "bad member" and out[0]["failed_at"] == dt.datetime(2024, 1, 1)
+
+
+def test_feed_inventories_tag_each_folder(spark, landing):
+    from intake.sources.inventory import feed_inventories
+    inv = feed_inventories(spark, {"fa": str(landing / "a"), "fb": str(landing / "b")})
+    assert sorted((r["feed"], r["name"], r["length"]) for r in inv.collect()) == \
+        [("fa", "same.csv", 2), ("fb", "same.csv", 3)]
