@@ -147,3 +147,17 @@ ingest:
     with pytest.raises(ValueError):
         from_reference("feeder", {"targetDir": "/x", "inputFormatClass": "csv", "dataType": "t",
                                   "errorRetryInterval": 60})
+
+
+def test_first_occurrence_rewrite_is_literal(spark):
+    df = spark.createDataFrame([("/d/aXb/q/a.b/f",)], "p string")
+    got = df.select(loaded_path("p", "first", "/a.b/", "/$0/").alias("f")).collect()[0]["f"]
+    assert got == "/d/aXb/q/$0/f"   # '.' and '$0' are literal, not regex
+
+
+def test_empty_and_comma_only_messages(spark):
+    msgs = spark.createDataFrame([("",), (",,,",), ("/p,csv,t,,",)], "message string")
+    got = {r["message"]: (r["n_fields"], r["status"]) for r in parse_work_items(msgs).collect()}
+    assert got[""] == (0, "bad_fields")
+    assert got[",,,"][1] == "bad_fields"
+    assert got["/p,csv,t,,"] == (3, "ok")
