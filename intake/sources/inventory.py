@@ -29,16 +29,20 @@ def _norm_uri(p: str) -> str:
 
 def _zero_length_files(spark: SparkSession, raw: DataFrame, listed: DataFrame) -> DataFrame | None:
     """Spark's file scans skip zero-length files, its file index does not.
-    Only when the two counts differ are the missing ones found (anti join)
-    and stat'ed; their number is that of the empty files, not of the folder."""
+    Only when the two counts differ are the missing ones found — an anti join
+    between the index's path list (kept on the JVM, never copied into Python)
+    and the scan — and stat'ed; their number is that of the empty files."""
     jfiles = raw._jdf.inputFiles()
     if len(jfiles) == listed.count():
         return None
-    every = spark.createDataFrame([(_norm_uri(p),) for p in jfiles], "path string")
+    jvm = spark.sparkContext._jvm
+    seq = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(jfiles)
+    jds = spark._jsparkSession.createDataset(seq, jvm.org.apache.spark.sql.Encoders.STRING())
+    every = DataFrame(jds.toDF(), spark).select(
+        F.regexp_replace("value", "^file:///", "file:/").alias("path"))
     empty = [r["path"] for r in every.join(listed.select("path"), "path", "left_anti").collect()]
     if not empty:
         return None
-    jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     rows = []
     for p in empty:
