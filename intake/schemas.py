@@ -21,22 +21,8 @@ ENTRY_SCHEMA = T.StructType([
     T.StructField("value", T.StringType(), True),
 ])
 
-INVENTORY_SCHEMA = T.StructType([
-    T.StructField("feed", T.StringType(), True),
-    T.StructField("path", T.StringType(), False),
-    T.StructField("name", T.StringType(), False),
-    T.StructField("length", T.LongType(), False),
-    T.StructField("mtime", T.TimestampNTZType(), False),
-])
-
 QUARANTINE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType(), False),
     T.StructField("failed_at", T.TimestampNTZType(), False),
     T.StructField("reason", T.StringType(), True),
 ])
-
-OUTCOME_SCHEMA = T.StructType([
-    T.StructField("work_id", T.StringType(), False),
-    T.StructField("at", T.TimestampNTZType(), False),
-    T.StructField("status", T.StringType(), False),
-])
