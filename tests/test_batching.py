@@ -163,3 +163,26 @@ def test_batch_plan_keeps_files_without_feed(spark, cfg):
     got = {r["path"]: r["batch_no"] for r in batch_plan(df, cfg, AS_OF, chunk_rows=4).collect()}
     want = loop_cut([(p, l, m, a) for _f, p, l, m, a in sorted(rows, key=lambda r: r[1])], cfg)
     assert got == want
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(min_value=0, max_value=50), min_size=1, max_size=40),
+       st.integers(min_value=1, max_value=12), st.integers(min_value=1, max_value=120))
+def test_next_starts_matches_definition(lengths, mf, ms):
+    """next(i): the batch opened at i closes at the first file where it holds
+    mf files or >= ms bytes (or at the end); the next batch starts after it."""
+    from intake.operators.batching import _next_starts
+    got = list(_next_starts(lengths, mf, ms))
+    for i in range(len(lengths)):
+        n = size = 0
+        j = i
+        while j < len(lengths):
+            n, size = n + 1, size + lengths[j]
+            if n >= mf or size >= ms:
+                break
+            j += 1
+        assert got[i] == min(j, len(lengths) - 1) + 1, (i, lengths, mf, ms)
