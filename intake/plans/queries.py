@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from intake.functions.ids import as_of_col
 from intake.functions.paths import file_name, flagged_path, loaded_path
+from intake.config import FeederConfig, ScanConfig
 from intake.operators import batching, bundle, combine, filters, metrics, shred, work
+from intake.plans import lifecycle
 from intake.plans import standins as S
 from intake.session import scratch_dir
 from intake.sinks import bulk, bundles, live
@@ -304,6 +306,41 @@ def q_work_items(spark, d):
     return items.select("path", "target_path", "format", "data_type", "work_id", "message")
 
 
+# The feeder tick of the end-to-end query.
+TICK_SCAN = ScanConfig(input_dir="/landing/flagged", ignore_prefix="1", max_files=10, max_size=20_000,
+                       max_age=60_000, error_retry_interval=1, error_retry_time_unit="DAYS")
+TICK_FEEDER = FeederConfig(target_dir="/data/flagged", input_format="csv", data_type="mycsv", preserve_path=True)
+
+_TICK_SQL_BODY = f"""files AS (
+  SELECT l.* FROM landing l
+  WHERE NOT EXISTS (SELECT 1 FROM failures f WHERE f.path = l.path
+                    AND epoch_us({_FILE_AS_OF_SQL}) - epoch_us(f.failed_at) < {TICK_SCAN.retry_ms * 1000})
+    AND NOT starts_with(l.name, '1')),
+ordered AS (
+  SELECT feed, path, name, length, mtime, row_number() OVER w AS seq,
+         coalesce(count(*) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior_taken,
+         coalesce(sum(length) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior_bytes
+  FROM files WINDOW w AS (PARTITION BY feed ORDER BY mtime, path)),
+scan AS (
+  SELECT *, (seq = 1 OR (prior_taken < 10 AND prior_bytes < 20000)) AS scanned FROM ordered),
+fired AS (
+  SELECT feed FROM scan WHERE scanned GROUP BY feed
+  HAVING count(*) >= 10 OR bool_or({_AGE_SQL}) OR sum(length) >= 20000)"""
+
+
+@register("feeder_tick", _cte(S.LANDING_SQL, S.FAILURES_SQL, _TICK_SQL_BODY) + f"""
+SELECT s.feed, s.path, t.target_path, 'csv' AS format, 'mycsv' AS data_type,
+       md5(t.target_path || '#' || CAST(s.length AS VARCHAR) || '#' || CAST(epoch_us(s.mtime) AS VARCHAR)) AS work_id,
+       t.target_path || ',csv,mycsv' AS message
+FROM scan s JOIN fired USING (feed)
+JOIN (SELECT path, {_TARGET_SQL} AS target_path FROM landing) t ON t.path = s.path
+WHERE s.scanned""")
+def q_feeder_tick(spark, d):
+    out = lifecycle.feeder_tick(S.landing_files(spark, d).select(*LANDING_COLS), S.failures(spark, d),
+                                TICK_SCAN, TICK_FEEDER, S.FILE_AS_OF)
+    return out["items"].select("feed", "path", "target_path", "format", "data_type", "work_id", "message")
+
+
 _MESSAGES_SQL = """msgs AS (
   SELECT doc_id, path || ',' || (CASE WHEN doc_id % 11 = 0 THEN 'xml' ELSE 'csv' END) || ',mycsv '
          || (CASE WHEN doc_id % 7 = 0 THEN ',extra' ELSE ',' END) AS message
