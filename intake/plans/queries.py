@@ -186,7 +186,7 @@ def q_quarantine_filter(spark, d):
 
 
 @register("quarantine_update", _cte(S.LANDING_SQL, S.FAILURES_SQL) + """
-SELECT path, max(failed_at) AS failed_at, arg_max(reason, failed_at) AS reason,
+SELECT path, max(failed_at) AS failed_at, first(reason ORDER BY failed_at DESC, reason DESC) AS reason,
        count(*) AS n_failures
 FROM failures GROUP BY path""")
 def q_quarantine_update(spark, d):
@@ -389,8 +389,9 @@ def q_route_work(spark, d):
 
 
 @register("attempt_ledger", f"""
-SELECT work_id, count(*) AS attempts, arg_max(status, ts) AS last_status, max(ts) AS last_at,
-       CASE WHEN arg_max(status, ts) = 'ok' THEN 'done'
+SELECT work_id, count(*) AS attempts, first(status ORDER BY ts DESC, status DESC) AS last_status,
+       max(ts) AS last_at,
+       CASE WHEN first(status ORDER BY ts DESC, status DESC) = 'ok' THEN 'done'
             WHEN count(*) >= {S.MAX_ATTEMPTS} THEN 'dead_letter' ELSE 'retry' END AS state
 FROM (SELECT 'user-' || CAST(user_id AS VARCHAR) AS work_id, ts,
              CASE WHEN event_type = 'error' THEN 'failed' ELSE 'ok' END AS status FROM events)
