@@ -11,7 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from intake.functions.ids import age_micros, as_of_col
+import datetime as dt
+
+from intake.functions.ids import age_micros, as_of_col, ntz_literal
+
+
+def _still_live(as_of, ttl_ms: int):
+    """``as_of - failed_at < ttl``.  With a fixed ``as_of`` this is the plain
+    comparison ``failed_at > as_of - ttl`` on a literal, which the parquet
+    scan can use to skip row groups of a large failure log."""
+    if isinstance(as_of, (dt.datetime, str)):
+        t = as_of if isinstance(as_of, dt.datetime) else dt.datetime.fromisoformat(as_of)
+        return F.col("failed_at") > ntz_literal(t - dt.timedelta(milliseconds=ttl_ms))
+    return age_micros("failed_at", as_of) < F.lit(ttl_ms * 1000)
 
 
 def ignore_prefix(files: DataFrame, prefix: str | None) -> DataFrame:
@@ -40,15 +52,14 @@ def quarantine_state(failures: DataFrame) -> DataFrame:
 
 def current_quarantine(failures: DataFrame, as_of, ttl_ms: int) -> DataFrame:
     """Paths still inside their retry interval at ``as_of``."""
-    state = quarantine_state(failures)
-    return state.where(age_micros("failed_at", as_of) < F.lit(ttl_ms * 1000))
+    return quarantine_state(failures).where(_still_live(as_of, ttl_ms))
 
 
 def quarantine_filter(files: DataFrame, failures: DataFrame, as_of, ttl_ms: int) -> DataFrame:
     """Skip files that failed within the retry interval (anti join on path).
     Repeated failures of one path are collapsed first (partial aggregate), so
     a path that fails very often does not skew the join."""
-    live = failures.where(age_micros("failed_at", as_of) < F.lit(ttl_ms * 1000)).select("path").distinct()
+    live = failures.where(_still_live(as_of, ttl_ms)).select("path").distinct()
     return files.join(live, "path", "left_anti")
 
 
