@@ -9,7 +9,7 @@ from intake.operators.combine import (  # noqa: F401
 from intake.operators.filters import (  # noqa: F401
     current_quarantine, exclude_manifests, ignore_prefix, quarantine_filter, quarantine_state,
     quarantine_update)
-from intake.operators.metrics import ingest_metrics  # noqa: F401
+from intake.operators.metrics import ingest_metrics, observed, stream_progress  # noqa: F401
 from intake.operators.prefix import running_totals  # noqa: F401
 from intake.operators.shred import metadata_updates, shred_entries  # noqa: F401
 from intake.operators.work import (  # noqa: F401

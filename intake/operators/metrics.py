@@ -26,3 +26,18 @@ def observed(df: DataFrame, name: str = "intake") -> tuple[DataFrame, Observatio
     (no extra pass over the data)."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def stream_progress(spark, query) -> DataFrame:
+    """Per micro-batch metrics of a streaming query from its recent progress
+    reports (at most ``spark.sql.streaming.numRecentProgressUpdates`` of
+    them, already held by the driver): batch id, start time, input rows and
+    the trigger's duration."""
+    rows = []
+    for p in query.recentProgress:
+        d = p.durationMs or {}
+        rows.append((int(p.batchId), str(p.timestamp), int(p.numInputRows or 0),
+                     int(d.get("triggerExecution", 0)), int(d.get("addBatch", 0))))
+    return (spark.createDataFrame(rows, "batch_id long, started string, n_input_rows long, "
+                                        "trigger_ms long, add_batch_ms long")
+            .withColumn("started", F.to_timestamp("started")))

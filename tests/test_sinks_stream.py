@@ -153,6 +153,9 @@ def test_stream_restart_and_live_ingest(spark, tmp_path):
     ck = str(tmp_path / "ck")
     q = stream_feed(spark, str(src), "csv", schema, handler, ck, available_now=True, max_files=1)
     q.awaitTermination()
+    from intake.operators.metrics import stream_progress
+    prog = stream_progress(spark, q).where("n_input_rows > 0").collect()
+    assert [(r["batch_id"], r["n_input_rows"]) for r in prog] == [(0, 2)] and prog[0]["trigger_ms"] >= 0
     (src / "b.csv").write_text("3,click\n")
     q = stream_feed(spark, str(src), "csv", schema, handler, ck, available_now=True, max_files=1)
     q.awaitTermination()
