@@ -113,9 +113,9 @@ def test_feeder_stream_takes_files_tick_by_tick(spark, tmp_path):
     state = str(tmp_path / "state")
     q = feeder_stream(spark, str(land), state, scan, feeder, feed="csv", trigger_ms=1000)
     try:
-        deadline = time.time() + 90
-        while time.time() < deadline and len(q.recentProgress) < 4:
-            time.sleep(1)
+        deadline = time.time() + 120
+        while time.time() < deadline and (q.lastProgress or {}).get("batchId", -1) < 2:
+            time.sleep(0.5)
     finally:
         q.stop()
     items = spark.read.parquet(state + "/work_items")
