@@ -8,6 +8,7 @@ tasks instead of funnelling it through one.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +29,12 @@ def compact_bundles(entries: DataFrame, plan: DataFrame, folder: str,
 
     Returns the members table (``path, bundle_id``) that was written, for the
     accounting step."""
-    p = plan.where(F.col("fired")) if only_fired else plan
-    members = p.select("feed", "path", "batch_no").join(bundle_ids(p), ["feed", "batch_no"])
+    p = (plan.where(F.col("fired")) if only_fired else plan).persist(StorageLevel.MEMORY_AND_DISK)
+    # the plan feeds both the members and their ids: evaluate it once, and
+    # freeze the member table (one row per file) for the write and the caller
+    members = (p.select("feed", "path", "batch_no").join(bundle_ids(p), ["feed", "batch_no"])
+               .checkpoint(eager=True))
+    p.unpersist()
     keep = list(columns) if columns else [*ENTRY_COLUMNS]
     # one row per member file: broadcast when small, so the bundle data is
     # shuffled once (by bundle) instead of twice
