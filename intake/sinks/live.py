@@ -55,20 +55,28 @@ def live_current(spark: SparkSession, table_dir: str) -> DataFrame:
 
 
 def run_id_for(spark: SparkSession, checkpoint: str) -> str:
-    """The run id stored beside a stream checkpoint, made on first use."""
+    """The run id stored beside a stream checkpoint, made on first use (if
+    two starts race, the one that loses the create reads the winner's id)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(checkpoint.rstrip("/") + "-run-id")
     fs = p.getFileSystem(conf)
-    if fs.exists(p):
+
+    def read() -> str:
         stream = fs.open(p)
         try:
             reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
             return reader.readLine().strip()
         finally:
             stream.close()
+
+    if fs.exists(p):
+        return read()
     rid = uuid.uuid4().hex[:12]
-    out = fs.create(p, False)
+    try:
+        out = fs.create(p, False)
+    except Exception:  # noqa: BLE001 - created meanwhile by another start
+        return read()
     try:
         out.write(bytearray(rid.encode("utf-8")))
     finally:
