@@ -52,7 +52,8 @@ def compare(spark, name: str, run, sql: str | None, sf_dir: str, con) -> dict:
     s_cols = sdf.columns
     s_rows = [tuple(canon(x) for x in r) for r in sdf.collect()]
     t_spark = time.time() - t0
-    res = {"name": name, "spark_rows": len(s_rows), "spark_sec": round(t_spark, 2)}
+    res = {"name": name, "spark_rows": len(s_rows), "spark_sec": round(t_spark, 2),
+           "_plan": sdf._jdf.queryExecution().executedPlan().toString()}
     if sql is None:
         res["status"] = "rows-only"
         return res
@@ -106,6 +107,7 @@ def main(argv):
             r = {"name": name, "status": f"ERROR {type(e).__name__}: {str(e)[:400]}"}
         if r["status"] not in ("OK", "rows-only"):
             bad += 1
+        r.pop("_plan", None)
         print(r, flush=True)
     print(f"{bad} problems")
     return 1 if bad else 0
