@@ -123,3 +123,17 @@ def test_feeder_stream_takes_files_tick_by_tick(spark, tmp_path):
     # two files per tick until one is left, which waits (below max_files, no age limit)
     assert per_tick.get(0) == 2 and per_tick.get(1) == 2 and sum(per_tick.values()) == 4
     assert items.select("path").distinct().count() == 4
+
+
+def test_read_typed_feed_mixes_csv_and_json(spark, tmp_path):
+    from intake.sources.typed import read_typed_feed
+    (tmp_path / "a.csv").write_text("1,click\n2,view\n")
+    (tmp_path / "b.json").write_text('{"id": 3, "kind": "view", "extra": "x"}\n{"id": 4}\n')
+    items = spark.createDataFrame([(str(tmp_path / "a.csv"), " mycsv", "csv"),
+                                   (str(tmp_path / "b.json"), "myjson ", "json")],
+                                  "path string, data_type string, format string")
+    reg = {"mycsv": TypeSpec("csv", "id long, kind string"),
+           "myjson": TypeSpec("json", "id long, kind string, extra string")}
+    rows = sorted((r["data_type"], r["id"], r["kind"], r["extra"]) for r in read_typed_feed(spark, items, reg).collect())
+    assert rows == [("mycsv", 1, "click", None), ("mycsv", 2, "view", None),
+                    ("myjson", 3, "view", "x"), ("myjson", 4, None, None)]
