@@ -186,3 +186,29 @@ def test_next_starts_matches_definition(lengths, mf, ms):
                 break
             j += 1
         assert got[i] == min(j, len(lengths) - 1) + 1, (i, lengths, mf, ms)
+
+
+def test_checkpoints_go_to_the_session_folder(spark):
+    import glob
+    import os
+    from pyspark.sql import functions as F
+    from intake.operators.prefix import running_totals
+    from intake.session import checkpoint_dir
+    folder = checkpoint_dir(spark)
+    assert folder == spark.sparkContext.getCheckpointDir()
+    local = folder.replace("file:", "", 1)
+    before = set(glob.glob(os.path.join(local, "*")))
+    df = spark.range(100).select(F.lit("g").alias("g"), F.col("id").alias("o"))
+    running_totals(df, ["g"], ["o"], chunks=2).count()
+    assert set(glob.glob(os.path.join(local, "*"))) - before   # a new rdd-* checkpoint folder
+
+
+def test_cluster_session_without_checkpoint_dir_is_refused():
+    from unittest import mock
+    from intake.session import checkpoint_dir
+    sc = mock.Mock()
+    sc.getCheckpointDir.return_value = None
+    sc.getConf.return_value.get.return_value = None
+    sc.master = "yarn"
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(mock.Mock(sparkContext=sc))
