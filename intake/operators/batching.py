@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from intake.config import ScanConfig
 from intake.functions.ids import age_micros
+from intake.operators.joins import broadcast_if_small
 from intake.operators.prefix import running_totals
 
 ORDER = ["mtime", "path"]
@@ -43,8 +44,29 @@ def _over_age(cfg: ScanConfig, as_of):
     return F.lit(False)
 
 
+LIMIT_COLS = ["max_files", "max_size", "max_age"]
+
+
+def _with_limits(df: DataFrame, cfg: ScanConfig, limits: DataFrame | None) -> DataFrame:
+    """Add ``_mf, _ms, _ma``: the feed's limits from the settings table
+    ``limits`` (``feed, max_files, max_size, max_age``; one row per
+    configured feed, broadcast after a size check), else those of ``cfg``.
+    With literals only, Catalyst folds the limit tests away."""
+    if limits is None:
+        return df.select("*", F.lit(cfg.max_files).cast("long").alias("_mf"),
+                         F.lit(cfg.max_size).cast("long").alias("_ms"),
+                         F.lit(cfg.max_age).cast("long").alias("_ma"))
+    lim = broadcast_if_small(limits.select(
+        F.col("feed").alias("_lf"), *[F.col(c).cast("long").alias(f"_l_{c}") for c in LIMIT_COLS]))
+    j = df.join(lim, df["feed"].eqNullSafe(lim["_lf"]), "left")
+    return j.select(*df.columns,
+                    F.coalesce("_l_max_files", F.lit(cfg.max_files).cast("long")).alias("_mf"),
+                    F.coalesce("_l_max_size", F.lit(cfg.max_size).cast("long")).alias("_ms"),
+                    F.coalesce("_l_max_age", F.lit(cfg.max_age).cast("long")).alias("_ma"))
+
+
 def threshold_batch(files: DataFrame, cfg: ScanConfig, as_of, admitted: str | None = "admitted",
-                    chunks: int | None = None) -> DataFrame:
+                    chunks: int | None = None, limits: DataFrame | None = None) -> DataFrame:
     """One scan of each feed, as the reference's loop does it.
 
     Input: ``feed, path, length, mtime`` (+ ``admitted``: the file passed
@@ -55,25 +77,25 @@ def threshold_batch(files: DataFrame, cfg: ScanConfig, as_of, admitted: str | No
 
     The loop reaches a file when no limit was reached before it; the first
     file is always reached, and the file that reaches a limit is included.
-    Un-admitted files still add bytes and age.
+    Un-admitted files still add bytes and age.  ``limits`` gives feeds their
+    own limits (``feed, max_files, max_size, max_age``), so feeds with
+    different profiles are scanned in one job; ``cfg`` covers the others.
     """
     f = _with_admitted(files, admitted)
     f = f.withColumn("_adm", F.col("admitted").cast("long"))
-    run = running_totals(f, ["feed"], ORDER, ["_adm", "length"], chunks)
-    reach = F.lit(True)
-    if cfg.max_files > -1:
-        reach = reach & (F.col("_adm_before") < F.lit(cfg.max_files))
-    if cfg.max_size > -1:
-        reach = reach & (F.col("length_before") < F.lit(cfg.max_size))
+    run = _with_limits(running_totals(f, ["feed"], ORDER, ["_adm", "length"], chunks), cfg, limits)
+    reach = (((F.col("_mf") < 0) | (F.col("_adm_before") < F.col("_mf")))
+             & ((F.col("_ms") < 0) | (F.col("length_before") < F.col("_ms"))))
     scanned = (F.col("seq") == 1) | reach
+    old = (F.col("_ma") > -1) & (age_micros("mtime", as_of) > F.col("_ma") * 1000)
     return run.select(
         "feed", "path", "length", "mtime", "admitted", "seq",
         F.col("_adm_before").alias("prior_taken"), F.col("length_before").alias("prior_bytes"),
         scanned.alias("scanned"), (scanned & F.col("admitted")).alias("taken"),
-        (scanned & _over_age(cfg, as_of)).alias("over_age"))
+        (scanned & old).alias("over_age"))
 
 
-def threshold_trigger(scan: DataFrame, cfg: ScanConfig) -> DataFrame:
+def threshold_trigger(scan: DataFrame, cfg: ScanConfig, limits: DataFrame | None = None) -> DataFrame:
     """Does the scan of each feed fire?  ``taken >= max_files`` (always true
     when ``max_files`` is off, as in the reference) or any scanned file over
     age or ``bytes >= max_size``."""
@@ -82,14 +104,15 @@ def threshold_trigger(scan: DataFrame, cfg: ScanConfig) -> DataFrame:
         F.sum(F.col("taken").cast("long")).alias("n_taken"),
         F.sum("length").alias("bytes"),
         F.max(F.col("over_age")).alias("aged")))
-    fired = (F.col("n_taken") >= F.lit(cfg.max_files)) | F.col("aged")
-    if cfg.max_size > -1:
-        fired = fired | (F.col("bytes") >= F.lit(cfg.max_size))
-    return agg.withColumn("fired", fired)
+    agg = _with_limits(agg, cfg, limits)
+    fired = ((F.col("n_taken") >= F.col("_mf")) | F.col("aged")
+             | ((F.col("_ms") > -1) & (F.col("bytes") >= F.col("_ms"))))
+    return agg.withColumn("fired", fired).drop("_mf", "_ms", "_ma")
 
 
 def batch_plan(files: DataFrame, cfg: ScanConfig, as_of, admitted: str | None = "admitted",
-               chunks: int | None = None, chunk_rows: int = 100_000) -> DataFrame:
+               chunks: int | None = None, chunk_rows: int = 100_000,
+               limits: DataFrame | None = None) -> DataFrame:
     """Cut the whole backlog of admitted files of each feed into consecutive
     batches, as repeated scans would: a batch closes at the file that reaches
     ``max_files`` or ``max_size``, the next one starts fresh.
@@ -107,7 +130,13 @@ def batch_plan(files: DataFrame, cfg: ScanConfig, as_of, admitted: str | None =
     true entries, and a second slice pass numbers the batches — O(files).
     With only a byte limit, batches are unbounded and :func:`_cut_by_doubling`
     is used: pointer doubling over ``next`` in ``log2(batches)`` join rounds.
+
+    With ``limits`` (``feed, max_files, max_size, max_age``), the feeds of
+    each distinct profile are cut together (profiles are configuration: few)
+    and the results stacked; feeds without a row use ``cfg``.
     """
+    if limits is not None:
+        return _plan_per_profile(files, cfg, as_of, admitted, chunks, chunk_rows, limits)
     f = _with_admitted(files, admitted).where(F.col("admitted"))
     # ranked once and frozen: every path below reads the ranks more than once
     run = running_totals(f, ["feed"], ORDER, ["length"], chunks).checkpoint(eager=True)
@@ -134,6 +163,22 @@ def batch_plan(files: DataFrame, cfg: ScanConfig, as_of, admitted: str | None =
                       "batch_files", "batch_bytes", "fired")
 
 
+def _plan_per_profile(files, cfg, as_of, admitted, chunks, chunk_rows, limits: DataFrame) -> DataFrame:
+    lim = limits.select("feed", *[F.col(c).cast("long").alias(c) for c in LIMIT_COLS])
+    parts = [batch_plan(files.join(lim.select("feed"), "feed", "left_anti"), cfg, as_of, admitted,
+                        chunks, chunk_rows)]
+    for p in lim.select(*LIMIT_COLS).distinct().collect():
+        prof = ScanConfig(max_files=p["max_files"], max_size=p["max_size"], max_age=p["max_age"])
+        feeds = lim.where((F.col("max_files") == prof.max_files) & (F.col("max_size") == prof.max_size)
+                          & (F.col("max_age") == prof.max_age)).select("feed")
+        parts.append(batch_plan(files.join(feeds, "feed", "left_semi"), prof, as_of, admitted,
+                                chunks, chunk_rows))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def _next_starts(lengths, mf: int, ms: int):
     """Local index of the next batch start for a batch starting at each index
     (``len`` = past the end).  Exact for every index whose batch ends inside

@@ -55,13 +55,15 @@ def scan_filters(inventory: DataFrame, failures: DataFrame, scan: ScanConfig, as
 
 
 def feeder_tick(inventory: DataFrame, failures: DataFrame, scan: ScanConfig, feeder: FeederConfig,
-                as_of, pre_check: Hook | None = None, admit: Hook | None = None) -> dict[str, DataFrame]:
+                as_of, pre_check: Hook | None = None, admit: Hook | None = None,
+                limits: DataFrame | None = None) -> dict[str, DataFrame]:
     """One scan of every feed in ``inventory`` (``feed, path, name, length,
-    mtime``).  Returns the scan flags, the trigger per feed, the work items
-    of the feeds that fire and any flagged-path collisions."""
+    mtime``), with per-feed ``limits`` if given.  Returns the scan flags, the
+    trigger per feed, the work items of the feeds that fire and any
+    flagged-path collisions."""
     files = scan_filters(inventory, failures, scan, as_of, pre_check, admit)
-    scanned = threshold_batch(files, scan, as_of)
-    trigger = threshold_trigger(scanned, scan)
+    scanned = threshold_batch(files, scan, as_of, limits=limits)
+    trigger = threshold_trigger(scanned, scan, limits)
     fired = trigger.where("fired").select("feed")
     taken = scanned.where("taken").join(fired, "feed", "left_semi")
     items = work_items(taken, feeder.target_dir, feeder.input_format, feeder.data_type,

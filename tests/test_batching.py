@@ -212,3 +212,28 @@ def test_cluster_session_without_checkpoint_dir_is_refused():
     sc.master = "yarn"
     with pytest.raises(RuntimeError):
         checkpoint_dir(mock.Mock(sparkContext=sc))
+
+
+PER_FEED = [ScanConfig(max_files=3, max_size=40, max_age=120_000), ScanConfig(max_files=-1, max_size=30),
+            ScanConfig(max_files=2, max_size=-1), ScanConfig(max_files=0), ScanConfig()]
+
+
+def test_per_feed_limits_match_loop(spark):
+    rows = make_cases(99, n_feeds=40)
+    feeds = sorted({r[0] for r in rows})
+    prof = {f: PER_FEED[i % len(PER_FEED)] for i, f in enumerate(feeds) if i % 7 != 6}  # some use the default
+    default = ScanConfig(max_files=4, max_size=60)
+    limits = spark.createDataFrame([(f, c.max_files, c.max_size, c.max_age) for f, c in prof.items()],
+                                   "feed string, max_files long, max_size long, max_age long")
+    df = spark.createDataFrame(rows, "feed string, path string, length long, mtime timestamp_ntz, admitted boolean")
+    scan = threshold_batch(df, default, AS_OF, chunks=5, limits=limits)
+    got = {r["path"]: r["scanned"] for r in scan.collect()}
+    trig = {r["feed"]: r["fired"] for r in threshold_trigger(scan, default, limits).collect()}
+    plan = {r["path"]: r["batch_no"] for r in batch_plan(df, default, AS_OF, chunk_rows=5, limits=limits).collect()}
+    for feed, files in by_feed(rows).items():
+        cfg = prof.get(feed, default)
+        want, fired = loop_scan(files, cfg)
+        assert {p: got[p] for p, *_ in files} == {p: p in want for p, *_ in files}, feed
+        assert trig[feed] == fired, feed
+        cut = loop_cut(files, cfg)
+        assert {p: plan[p] for p in cut} == cut and all(p in cut for p in plan if p.startswith(f"/in/{feed}/")), feed
