@@ -164,15 +164,17 @@ def batch_plan(files: DataFrame, cfg: ScanConfig, as_of, admitted: str | None =
 
 
 def _plan_per_profile(files, cfg, as_of, admitted, chunks, chunk_rows, limits: DataFrame) -> DataFrame:
-    lim = limits.select("feed", *[F.col(c).cast("long").alias(c) for c in LIMIT_COLS])
-    parts = [batch_plan(files.join(lim.select("feed"), "feed", "left_anti"), cfg, as_of, admitted,
-                        chunks, chunk_rows)]
-    for p in lim.select(*LIMIT_COLS).distinct().collect():
-        prof = ScanConfig(max_files=p["max_files"], max_size=p["max_size"], max_age=p["max_age"])
-        feeds = lim.where((F.col("max_files") == prof.max_files) & (F.col("max_size") == prof.max_size)
-                          & (F.col("max_age") == prof.max_age)).select("feed")
-        parts.append(batch_plan(files.join(feeds, "feed", "left_semi"), prof, as_of, admitted,
-                                chunks, chunk_rows))
+    # the profile of every feed present (settings row, else cfg): one row per feed
+    feeds = _with_limits(files.select("feed").distinct(), cfg, limits)
+    parts = []
+    for p in feeds.select("_mf", "_ms", "_ma").distinct().collect():
+        prof = ScanConfig(max_files=p["_mf"], max_size=p["_ms"], max_age=p["_ma"])
+        members = feeds.where((F.col("_mf") == prof.max_files) & (F.col("_ms") == prof.max_size)
+                              & (F.col("_ma") == prof.max_age)).select("feed")
+        parts.append(batch_plan(_join_null_safe(files, members, ["feed"], "left_semi"), prof, as_of,
+                                admitted, chunks, chunk_rows))
+    if not parts:
+        return batch_plan(files, cfg, as_of, admitted, chunks, chunk_rows)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -288,6 +288,45 @@ register("batch_plan", _cte(S.LANDING_SQL, S.MANIFEST_SQL, S.PAIRED_SQL, PLAN_SQ
          + "\nSELECT * FROM plan")(_plan)
 
 
+_PROFILE_SQL = """limits AS (
+  SELECT feed,
+         CASE WHEN CAST(substr(feed, 4) AS INTEGER) % 2 = 0 THEN 5 ELSE 12 END AS max_files,
+         CASE WHEN CAST(substr(feed, 4) AS INTEGER) % 2 = 0 THEN 8000 ELSE 30000 END AS max_size
+  FROM (SELECT DISTINCT source AS feed FROM documents)),
+files AS (
+  SELECT p.feed, path, length, mtime, row_number() OVER (PARTITION BY p.feed ORDER BY mtime, path) AS seq,
+         l.max_files, l.max_size
+  FROM paired p JOIN limits l ON l.feed = p.feed WHERE admitted),
+walk(feed, seq, batch_no, n, bytes) AS (
+  SELECT feed, seq, CAST(0 AS BIGINT), CAST(1 AS BIGINT), length FROM files WHERE seq = 1
+  UNION ALL
+  SELECT f.feed, f.seq,
+         CASE WHEN w.n >= f.max_files OR w.bytes >= f.max_size THEN w.batch_no + 1 ELSE w.batch_no END,
+         CASE WHEN w.n >= f.max_files OR w.bytes >= f.max_size THEN 1 ELSE w.n + 1 END,
+         CASE WHEN w.n >= f.max_files OR w.bytes >= f.max_size THEN f.length ELSE w.bytes + f.length END
+  FROM walk w JOIN files f ON f.feed = w.feed AND f.seq = w.seq + 1),
+planned AS (SELECT f.*, w.batch_no FROM files f JOIN walk w ON w.feed = f.feed AND w.seq = f.seq),
+stats AS (
+  SELECT feed, batch_no, count(*) AS batch_files, CAST(sum(length) AS BIGINT) AS batch_bytes,
+         bool_or(""" + _AGE_SQL + """) AS aged, max(max_files) AS mf, max(max_size) AS ms
+  FROM planned GROUP BY feed, batch_no)"""
+
+
+@register("batch_plan_per_feed", _cte(S.LANDING_SQL, S.MANIFEST_SQL, S.PAIRED_SQL, _PROFILE_SQL) + """
+SELECT p.feed, p.path, p.length, p.mtime, p.seq, p.batch_no, s.batch_files, s.batch_bytes,
+       (s.batch_files >= s.mf OR s.aged OR s.batch_bytes >= s.ms) AS fired
+FROM planned p JOIN stats s ON s.feed = p.feed AND s.batch_no = p.batch_no""")
+def q_batch_plan_per_feed(spark, d):
+    """Feeds with their own limits, cut in one run (settings derived by rule
+    from the feeds present)."""
+    feeds = S.table(spark, d, "documents").select(F.col("source").alias("feed")).distinct()
+    even = F.substring("feed", 4, 10).cast("int") % 2 == 0
+    limits = feeds.select("feed", F.when(even, 5).otherwise(12).cast("long").alias("max_files"),
+                          F.when(even, 8000).otherwise(30000).cast("long").alias("max_size"),
+                          F.lit(_CFG.max_age).cast("long").alias("max_age"))
+    return batching.batch_plan(S.paired_landing(spark, d), _CFG, S.FILE_AS_OF, limits=limits)
+
+
 # ---------------------------------------------------------------- work items
 
 _TARGET_SQL = """CASE WHEN instr(path, '/landing/flagged') > 0
