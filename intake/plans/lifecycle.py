@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from intake.config import BundlerConfig, FeederConfig, ScanConfig
+from intake.config import BundlerConfig, FeederConfig, IngestConfig, ScanConfig
 from intake.functions.ids import as_of_col
 from intake.functions.paths import loaded_path
 from intake.operators.batching import batch_plan, threshold_batch, threshold_trigger
@@ -80,14 +80,19 @@ class DataType:
 
 
 def ingest_items(spark: SparkSession, messages: DataFrame, inventory: DataFrame,
-                 types: Mapping[str, DataType], as_of, mode: str = "bulk", out_dir: str | None = None,
-                 batch_id: str = "0", run_id: str = "run") -> dict[str, DataFrame]:
+                 types: Mapping[str, DataType], as_of, mode: str | IngestConfig = "bulk",
+                 out_dir: str | None = None, batch_id: str = "0", run_id: str = "run") -> dict[str, DataFrame]:
     """Work messages (``message, work_id``) -> entries -> sink.
 
     Bulk: entries and manifests under ``out_dir`` for batch ``batch_id``.
     Live: upserts into the live tables under ``out_dir`` and each input's
-    loaded path (first ``/flagged/`` replaced).  Returns the parsed items,
-    the outcome rows (``work_id, at, status``) and, for live, the moves."""
+    loaded path (first ``/flagged/`` replaced).  ``mode`` may be an
+    :class:`IngestConfig` (its ``live_ingest`` flag and ``output_dir``).
+    Returns the parsed items, the outcome rows (``work_id, at, status``)
+    and, for live, the moves."""
+    if isinstance(mode, IngestConfig):
+        out_dir = out_dir or mode.output_dir
+        mode = "live" if mode.live_ingest else "bulk"
     parsed = parse_work_items(messages, inventory.select("path", "length"))
     ok = parsed.where(F.col("status") == "ok")
     records = read_typed_feed(spark, ok.select("path", "data_type", "format"),

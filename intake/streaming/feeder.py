@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from intake.config import FeederConfig, ScanConfig
 from intake.plans.lifecycle import feeder_tick
 from intake.schemas import QUARANTINE_SCHEMA
-from intake.sources.inventory import landing_inventory
+from intake.sources.inventory import feed_inventories, landing_inventory
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -55,23 +55,29 @@ def taken_before(spark: SparkSession, taken_dir: str, tick: int) -> DataFrame:
     return spark.read.schema("path string").parquet(where)
 
 
-def feeder_stream(spark: SparkSession, landing_dir: str, state_dir: str, scan: ScanConfig,
+def feeder_stream(spark: SparkSession, landing_dir: str | dict[str, str], state_dir: str, scan: ScanConfig,
                   feeder: FeederConfig, feed: str = "default", trigger_ms: int = 5000,
-                  failures_dir: str | None = None, query_name: str | None = None) -> StreamingQuery:
-    """Start the feeder loop; see the module docstring."""
+                  failures_dir: str | None = None, query_name: str | None = None,
+                  limits: DataFrame | None = None) -> StreamingQuery:
+    """Start the feeder loop; see the module docstring.  ``landing_dir`` may
+    map several feeds to their folders (``{feed: folder}``), and ``limits``
+    give feeds their own thresholds — all feeds run in the same ticks."""
     state = state_dir.rstrip("/")
     items_dir, ticks_dir, taken_dir = f"{state}/work_items", f"{state}/ticks", f"{state}/taken"
 
     def tick(_clock: DataFrame, batch_id: int) -> None:
         as_of = tick_time(spark, ticks_dir, batch_id)
-        inv = landing_inventory(spark, landing_dir, scan.recursive, feed)
+        if isinstance(landing_dir, dict):
+            inv = feed_inventories(spark, landing_dir, scan.recursive)
+        else:
+            inv = landing_inventory(spark, landing_dir, scan.recursive, feed)
         taken = taken_before(spark, taken_dir, batch_id)
         pending = inv.join(taken, "path", "left_anti")
         if failures_dir and _exists(spark, failures_dir):
             failures = spark.read.schema(QUARANTINE_SCHEMA).parquet(failures_dir)
         else:
             failures = spark.createDataFrame([], QUARANTINE_SCHEMA)
-        items = feeder_tick(pending, failures, scan, feeder, as_of)["items"]
+        items = feeder_tick(pending, failures, scan, feeder, as_of, limits=limits)["items"]
         (items.select("feed", "path", "length", "mtime", "target_path", "format", "data_type",
                       "work_id", "message")
          .withColumn("tick", F.lit(batch_id).cast("long"))

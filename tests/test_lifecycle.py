@@ -137,3 +137,26 @@ def test_read_typed_feed_mixes_csv_and_json(spark, tmp_path):
     rows = sorted((r["data_type"], r["id"], r["kind"], r["extra"]) for r in read_typed_feed(spark, items, reg).collect())
     assert rows == [("mycsv", 1, "click", None), ("mycsv", 2, "view", None),
                     ("myjson", 3, "view", "x"), ("myjson", 4, None, None)]
+
+
+def test_feeder_stream_several_feeds_with_own_limits(spark, tmp_path):
+    import time
+    from intake.streaming.feeder import feeder_stream
+    write_csvs(tmp_path / "a", 4)
+    write_csvs(tmp_path / "b", 4)
+    limits = spark.createDataFrame([("fa", 1, -1, -1), ("fb", 3, -1, -1)],
+                                   "feed string, max_files long, max_size long, max_age long")
+    scan = ScanConfig(ignore_prefix=".")
+    feeder = FeederConfig(target_dir="/flagged", input_format="csv", data_type="mycsv")
+    state = str(tmp_path / "state")
+    q = feeder_stream(spark, {"fa": str(tmp_path / "a"), "fb": str(tmp_path / "b")}, state, scan, feeder,
+                      trigger_ms=1000, limits=limits)
+    try:
+        deadline = time.time() + 120
+        while time.time() < deadline and (q.lastProgress or {}).get("batchId", -1) < 0:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    items = spark.read.parquet(state + "/work_items").where("tick = 0")
+    per_feed = {r["feed"]: r["n"] for r in items.groupBy("feed").agg(F.count("*").alias("n")).collect()}
+    assert per_feed == {"fa": 1, "fb": 3}
