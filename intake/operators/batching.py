@@ -38,12 +38,6 @@ def _with_admitted(files: DataFrame, admitted: str | None) -> DataFrame:
     return files.withColumn("admitted", F.lit(True))
 
 
-def _over_age(cfg: ScanConfig, as_of):
-    if cfg.max_age > -1:
-        return age_micros("mtime", as_of) > F.lit(cfg.max_age * 1000)
-    return F.lit(False)
-
-
 LIMIT_COLS = ["max_files", "max_size", "max_age"]
 
 
@@ -120,67 +114,74 @@ def batch_plan(files: DataFrame, cfg: ScanConfig, as_of, admitted: str | None =
     Output per admitted file: ``seq``, ``batch_no`` (0-based per feed),
     ``batch_files``, ``batch_bytes`` and ``fired`` of its batch (full batches
     fire; the last, partial one fires by the rule of :func:`threshold_trigger`).
-
-    The restart makes the cut sequential; it runs distributed anyway.
-    Count-only and degenerate limits use closed forms.  With both a file and
-    a byte limit, every batch has at most ``max_files`` files, so each slice
-    of ``chunk_rows`` files (by rank) can be entered at only ``max_files``
-    places: :func:`_cut_by_chunks` walks every slice from each of them in
-    parallel, a per-feed pass over the small (slice, entry) table picks the
-    true entries, and a second slice pass numbers the batches — O(files).
-    With only a byte limit, batches are unbounded and :func:`_cut_by_doubling`
-    is used: pointer doubling over ``next`` in ``log2(batches)`` join rounds.
-
-    With ``limits`` (``feed, max_files, max_size, max_age``), the feeds of
-    each distinct profile are cut together (profiles are configuration: few)
-    and the results stacked; feeds without a row use ``cfg``.
+    ``limits`` (``feed, max_files, max_size, max_age``) gives feeds their own
+    limits; ``cfg`` covers the others.
+
+    The restart makes the cut sequential; it runs distributed anyway.  Each
+    feed falls in one of three regimes, each run once for all its feeds with
+    the limits as columns: count-only and degenerate limits have closed
+    forms; with both a file and a byte limit every batch has at most
+    ``max_files`` files, so each slice of ``chunk_rows`` files (by rank) can be
+    entered at only ``max_files`` places — :func:`_cut_by_chunks` walks every
+    slice from each of them in parallel, a per-feed pass over the small
+    (slice, entry) table picks the true entries and a second slice pass
+    numbers the batches, O(files); with only a byte limit batches are
+    unbounded and :func:`_cut_by_doubling` uses pointer doubling over ``next``
+    in ``log2(batches)`` join rounds.
     """
-    if limits is not None:
-        return _plan_per_profile(files, cfg, as_of, admitted, chunks, chunk_rows, limits)
     f = _with_admitted(files, admitted).where(F.col("admitted"))
-    # ranked once and frozen: every path below reads the ranks more than once
-    run = running_totals(f, ["feed"], ORDER, ["length"], chunks).checkpoint(eager=True)
-    mf, ms = cfg.max_files, cfg.max_size
-    if mf == 0 or ms == 0:
-        planned = run.withColumn("batch_no", F.col("seq") - 1)
-    elif ms < 0:
-        planned = run.withColumn(
-            "batch_no", ((F.col("seq") - 1) / F.lit(mf)).cast("long") if mf > 0 else F.lit(0).cast("long"))
-    elif mf > 0:
-        return _cut_by_chunks(run.withColumn("_old", _over_age(cfg, as_of)), mf, ms, chunk_rows)
+    ranked = running_totals(f, ["feed"], ORDER, ["length"], chunks)
+    old = (F.col("_ma") > -1) & (age_micros("mtime", as_of) > F.col("_ma") * 1000)
+    # ranked once, limits attached, frozen: every regime below reads it
+    run = _with_limits(ranked, cfg, limits).withColumn("_old", old).checkpoint(eager=True)
+    mf, ms = F.col("_mf"), F.col("_ms")
+    bounded, size_only = (mf > 0) & (ms > 0), (mf < 0) & (ms > 0)
+    regimes = _regimes_present(f, cfg, limits)
+    parts = []
+    if regimes["closed"]:
+        batch_no = (F.when((mf == 0) | (ms == 0), F.col("seq") - 1)
+                    .when(mf > 0, F.floor((F.col("seq") - 1) / mf))
+                    .otherwise(F.lit(0)).cast("long"))
+        parts.append(_with_stats(run.where(~(bounded | size_only)).withColumn("batch_no", batch_no)))
+    if regimes["bounded"]:
+        parts.append(_cut_by_chunks(run.where(bounded), regimes["max_files"], chunk_rows))
+    if regimes["size_only"]:
+        parts.append(_with_stats(_cut_by_doubling(run.where(size_only), chunks)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _regimes_present(files: DataFrame, cfg: ScanConfig, limits: DataFrame | None) -> dict:
+    """Which regimes occur, and the largest file limit of the bounded one.
+    Without a settings table this is known from ``cfg``; with one, it is read
+    from the (few) distinct profiles of the feeds present."""
+    if limits is None:
+        profiles = [(cfg.max_files, cfg.max_size)]
     else:
-        planned = _cut_by_doubling(run, mf, ms, chunks)
-    planned = planned.withColumn("_old", _over_age(cfg, as_of))
+        feeds = _with_limits(files.select("feed").distinct(), cfg, limits)
+        profiles = [(r["_mf"], r["_ms"]) for r in feeds.select("_mf", "_ms").distinct().collect()]
+    bounded = [m for m, s in profiles if m > 0 and s > 0]
+    return {"closed": any(not (m > 0 and s > 0) and not (m < 0 and s > 0) for m, s in profiles),
+            "bounded": bool(bounded), "max_files": max(bounded, default=1),
+            "size_only": any(m < 0 and s > 0 for m, s in profiles)}
+
+
+def _with_stats(planned: DataFrame) -> DataFrame:
+    """Files, bytes and ``fired`` of each batch, joined back to its files (a
+    partial-aggregated ``groupBy``; AQE splits a hot batch in the join)."""
     stats = planned.groupBy("feed", "batch_no").agg(
         F.count(F.lit(1)).alias("batch_files"), F.sum("length").alias("batch_bytes"),
-        F.max("_old").alias("_aged"))
-    fired = (F.col("batch_files") >= F.lit(mf)) | F.col("_aged")
-    if ms > -1:
-        fired = fired | (F.col("batch_bytes") >= F.lit(ms))
+        F.max("_old").alias("_aged"), F.max("_mf").alias("_bmf"), F.max("_ms").alias("_bms"))
+    fired = ((F.col("batch_files") >= F.col("_bmf")) | F.col("_aged")
+             | ((F.col("_bms") > -1) & (F.col("batch_bytes") >= F.col("_bms"))))
     stats = stats.select("feed", "batch_no", "batch_files", "batch_bytes", fired.alias("fired"))
     out = _join_null_safe(planned, stats, ["feed", "batch_no"])
     return out.select("feed", "path", "length", "mtime", "seq", "batch_no",
                       "batch_files", "batch_bytes", "fired")
 
 
-def _plan_per_profile(files, cfg, as_of, admitted, chunks, chunk_rows, limits: DataFrame) -> DataFrame:
-    # the profile of every feed present (settings row, else cfg): one row per feed
-    feeds = _with_limits(files.select("feed").distinct(), cfg, limits)
-    parts = []
-    for p in feeds.select("_mf", "_ms", "_ma").distinct().collect():
-        prof = ScanConfig(max_files=p["_mf"], max_size=p["_ms"], max_age=p["_ma"])
-        members = feeds.where((F.col("_mf") == prof.max_files) & (F.col("_ms") == prof.max_size)
-                              & (F.col("_ma") == prof.max_age)).select("feed")
-        parts.append(batch_plan(_join_null_safe(files, members, ["feed"], "left_semi"), prof, as_of,
-                                admitted, chunks, chunk_rows))
-    if not parts:
-        return batch_plan(files, cfg, as_of, admitted, chunks, chunk_rows)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def _next_starts(lengths, mf: int, ms: int):
     """Local index of the next batch start for a batch starting at each index
     (``len`` = past the end).  Exact for every index whose batch ends inside
@@ -195,27 +196,30 @@ def _next_starts(lengths, mf: int, ms: int):
     return end + 1
 
 
-def _cut_by_chunks(run: DataFrame, mf: int, ms: int, chunk_rows: int) -> DataFrame:
-    """Exact cut when batches hold at most ``mf`` files (see batch_plan)."""
+def _cut_by_chunks(run: DataFrame, max_mf: int, chunk_rows: int) -> DataFrame:
+    """Exact cut when every batch holds at most ``_mf`` files (see
+    batch_plan); ``_mf`` / ``_ms`` are per-feed columns, ``max_mf`` their
+    largest value."""
     import numpy as np
     import pandas as pd
 
-    size = max(int(chunk_rows), mf)
+    size = max(int(chunk_rows), max_mf)
     chunk = F.floor((F.col("seq") - 1) / F.lit(size)).cast("long")
     # every row goes to its slice; the first mf-1 rows of a slice also go to
     # the slice before (its halo), so a batch starting near a slice end is
     # fully visible there.  One pass over the input.
-    in_halo = ((F.col("seq") - 1) % F.lit(size) < F.lit(mf - 1)) & (chunk > 0)
+    in_halo = ((F.col("seq") - 1) % F.lit(size) < F.col("_mf") - 1) & (chunk > 0)
     home = F.struct(chunk.alias("_chunk"), F.lit(True).alias("_core"))
     guest = F.struct((chunk - 1).alias("_chunk"), F.lit(False).alias("_core"))
-    slices = (run.select("feed", "path", "length", "mtime", "seq", "_old",
+    slices = (run.select("feed", "path", "length", "mtime", "seq", "_old", "_mf", "_ms",
                          F.explode(F.when(in_halo, F.array(home, guest)).otherwise(F.array(home))).alias("_s"))
-              .select("feed", "path", "length", "mtime", "seq", "_old", "_s._chunk", "_s._core"))
+              .select("feed", "path", "length", "mtime", "seq", "_old", "_mf", "_ms", "_s._chunk", "_s._core"))
 
     def entries_of_slice(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("seq")
         seq0 = int(pdf["seq"].iloc[0])
         ncore = int(pdf["_core"].sum())
+        mf, ms = int(pdf["_mf"].iloc[0]), int(pdf["_ms"].iloc[0])
         nxt = _next_starts(pdf["length"].to_numpy(dtype="int64"), mf, ms)
         exit_ = np.empty(ncore, dtype="int64")
         count = np.empty(ncore, dtype="int64")
@@ -229,7 +233,7 @@ def _cut_by_chunks(run: DataFrame, mf: int, ms: int, chunk_rows: int) -> DataFra
         return pd.DataFrame({"feed": pdf["feed"].iloc[0], "_chunk": pdf["_chunk"].iloc[0],
                              "entry": seq0 + np.arange(m), "exit": seq0 + exit_[:m], "starts": count[:m]})
 
-    table = (slices.select("feed", "_chunk", "seq", "length", "_core").groupBy("feed", "_chunk")
+    table = (slices.select("feed", "_chunk", "seq", "length", "_core", "_mf", "_ms").groupBy("feed", "_chunk")
              .applyInPandas(entries_of_slice, "feed string, _chunk long, entry long, exit long, starts long"))
 
     def compose(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -256,6 +260,7 @@ def _cut_by_chunks(run: DataFrame, mf: int, ms: int, chunk_rows: int) -> DataFra
         pdf = pdf.sort_values("seq").reset_index(drop=True)
         seq0 = int(pdf["seq"].iloc[0])
         ncore = int(pdf["_core"].sum())
+        mf, ms = int(pdf["_mf"].iloc[0]), int(pdf["_ms"].iloc[0])
         lengths = pdf["length"].to_numpy(dtype="int64")
         nxt = _next_starts(lengths, mf, ms)
         starts, p = [], int(pdf["entry"].iloc[0]) - seq0
@@ -283,24 +288,22 @@ OUT_SCHEMA = ("feed string, path string, length long, mtime timestamp_ntz, seq l
               "batch_files long, batch_bytes long, fired boolean")
 
 
-def _cut_by_doubling(run: DataFrame, mf: int, ms: int, chunks: int | None) -> DataFrame:
-    """Batch numbers when a byte limit is on (``ms > 0``)."""
+def _cut_by_doubling(run: DataFrame, chunks: int | None) -> DataFrame:
+    """Batch numbers when only a byte limit is on (``_ms > 0``, ``_mf < 0``;
+    per-feed columns)."""
     counts = run.groupBy("feed").agg(F.max("seq").alias("n_total"))
     # First file k >= r with bytes(r..k) >= ms: k = 1 + #{j : S[j] < S[r-1] + ms},
     # counted by merging the inclusive sums S with the thresholds in one order.
     sums = run.select("feed", "seq", (F.col("length_before") + F.col("length")).alias("key"),
                       F.lit(1).alias("kind"), F.lit(1).cast("long").alias("w"))
-    asks = run.select("feed", "seq", (F.col("length_before") + F.lit(ms)).alias("key"),
+    asks = run.select("feed", "seq", (F.col("length_before") + F.col("_ms")).alias("key"),
                       F.lit(0).alias("kind"), F.lit(0).cast("long").alias("w"))
     merged = running_totals(sums.unionByName(asks), ["feed"], ["key", "kind", "seq"], ["w"],
                             chunks, seq_col="_pos")
     size_end = (merged.where(F.col("kind") == 0)
                 .select("feed", F.col("seq").alias("r"), (F.col("w_before") + 1).alias("k_size")))
     nodes = _join_null_safe(size_end, counts, ["feed"])
-    end = F.greatest(F.col("r"), F.col("k_size"))
-    if mf > 0:
-        end = F.least(end, F.col("r") + F.lit(mf - 1))
-    end = F.least(end, F.col("n_total"))
+    end = F.least(F.greatest(F.col("r"), F.col("k_size")), F.col("n_total"))
     level = nodes.select("feed", "r", "n_total", (end + 1).alias("nx")).checkpoint(eager=True)
 
     # levels[k] maps r -> next^(2^k)(r); n_total + 1 is the end of the chain.
