@@ -135,8 +135,10 @@ def batch_plan(files: DataFrame, cfg: ScanConfig, as_of, admitted: str | None =
     # ranked once, limits attached, frozen: every regime below reads it
     run = _with_limits(ranked, cfg, limits).withColumn("_old", old).checkpoint(eager=True)
     mf, ms = F.col("_mf"), F.col("_ms")
-    bounded, size_only = (mf > 0) & (ms > 0), (mf < 0) & (ms > 0)
-    regimes = _regimes_present(f, cfg, limits)
+    # slices stay within chunk_rows rows: a larger file limit goes to doubling
+    bounded = (mf > 0) & (ms > 0) & (mf <= chunk_rows)
+    size_only = (ms > 0) & ((mf < 0) | (mf > chunk_rows))
+    regimes = _regimes_present(f, cfg, limits, chunk_rows)
     parts = []
     if regimes["closed"]:
         batch_no = (F.when((mf == 0) | (ms == 0), F.col("seq") - 1)
@@ -153,8 +155,8 @@ def batch_plan(files: DataFrame, cfg: ScanConfig, as_of, admitted: str | None =
     return out
 
 
-def _regimes_present(files: DataFrame, cfg: ScanConfig, limits: DataFrame | None) -> dict:
-    """Which regimes occur, and the largest file limit of the bounded one.
+def _regimes_present(files: DataFrame, cfg: ScanConfig, limits: DataFrame | None, chunk_rows: int) -> dict:
+    """Which regimes occur, and the largest file limit of the slice regime.
     Without a settings table this is known from ``cfg``; with one, it is read
     from the (few) distinct profiles of the feeds present."""
     if limits is None:
@@ -162,10 +164,10 @@ def _regimes_present(files: DataFrame, cfg: ScanConfig, limits: DataFrame | None
     else:
         feeds = _with_limits(files.select("feed").distinct(), cfg, limits)
         profiles = [(r["_mf"], r["_ms"]) for r in feeds.select("_mf", "_ms").distinct().collect()]
-    bounded = [m for m, s in profiles if m > 0 and s > 0]
-    return {"closed": any(not (m > 0 and s > 0) and not (m < 0 and s > 0) for m, s in profiles),
-            "bounded": bool(bounded), "max_files": max(bounded, default=1),
-            "size_only": any(m < 0 and s > 0 for m, s in profiles)}
+    sliced = [m for m, s in profiles if s > 0 and 0 < m <= chunk_rows]
+    doubled = [m for m, s in profiles if s > 0 and (m < 0 or m > chunk_rows)]
+    return {"closed": len(profiles) > len(sliced) + len(doubled), "bounded": bool(sliced),
+            "max_files": max(sliced, default=1), "size_only": bool(doubled)}
 
 
 def _with_stats(planned: DataFrame) -> DataFrame:
@@ -289,9 +291,9 @@ OUT_SCHEMA = ("feed string, path string, length long, mtime timestamp_ntz, seq l
 
 
 def _cut_by_doubling(run: DataFrame, chunks: int | None) -> DataFrame:
-    """Batch numbers when only a byte limit is on (``_ms > 0``, ``_mf < 0``;
-    per-feed columns)."""
-    counts = run.groupBy("feed").agg(F.max("seq").alias("n_total"))
+    """Batch numbers when a byte limit is on and batches may be longer than
+    a slice (``_ms > 0``; ``_mf`` off or large; per-feed columns)."""
+    counts = run.groupBy("feed").agg(F.max("seq").alias("n_total"), F.max("_mf").alias("_cap"))
     # First file k >= r with bytes(r..k) >= ms: k = 1 + #{j : S[j] < S[r-1] + ms},
     # counted by merging the inclusive sums S with the thresholds in one order.
     sums = run.select("feed", "seq", (F.col("length_before") + F.col("length")).alias("key"),
@@ -303,7 +305,9 @@ def _cut_by_doubling(run: DataFrame, chunks: int | None) -> DataFrame:
     size_end = (merged.where(F.col("kind") == 0)
                 .select("feed", F.col("seq").alias("r"), (F.col("w_before") + 1).alias("k_size")))
     nodes = _join_null_safe(size_end, counts, ["feed"])
-    end = F.least(F.greatest(F.col("r"), F.col("k_size")), F.col("n_total"))
+    end = F.greatest(F.col("r"), F.col("k_size"))
+    end = F.when(F.col("_cap") > 0, F.least(end, F.col("r") + F.col("_cap") - 1)).otherwise(end)
+    end = F.least(end, F.col("n_total"))
     level = nodes.select("feed", "r", "n_total", (end + 1).alias("nx")).checkpoint(eager=True)
 
     # levels[k] maps r -> next^(2^k)(r); n_total + 1 is the end of the chain.

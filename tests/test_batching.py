@@ -237,3 +237,16 @@ def test_per_feed_limits_match_loop(spark):
         assert trig[feed] == fired, feed
         cut = loop_cut(files, cfg)
         assert {p: plan[p] for p in cut} == cut and all(p in cut for p in plan if p.startswith(f"/in/{feed}/")), feed
+
+
+def test_large_file_limit_goes_to_doubling_and_matches(spark):
+    """max_files above chunk_rows: slices would exceed their bound, so the
+    doubling path (with the file cap) cuts these feeds."""
+    rows = make_cases(5, n_feeds=30)
+    cfg = ScanConfig(max_files=6, max_size=45)
+    df = spark.createDataFrame(rows, "feed string, path string, length long, mtime timestamp_ntz, admitted boolean")
+    got = {r["path"]: r["batch_no"] for r in batch_plan(df, cfg, AS_OF, chunk_rows=3).collect()}
+    want = {}
+    for files in by_feed(rows).values():
+        want.update(loop_cut(files, cfg))
+    assert got == want
