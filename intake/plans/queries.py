@@ -327,6 +327,48 @@ def q_batch_plan_per_feed(spark, d):
     return batching.batch_plan(S.paired_landing(spark, d), _CFG, S.FILE_AS_OF, limits=limits)
 
 
+def _order_entries(records: DataFrame) -> DataFrame:
+    return shred.shred_entries(
+        records, "orders", F.col("o_orderkey"),
+        {"status": F.col("o_orderstatus"), "total": F.col("o_totalprice").cast("decimal(18,2)")},
+        F.col("o_orderdate"), index_fields=["status"], table="order", carry=["work_id"])
+
+
+INGEST_TYPES_SQL = """
+SELECT table_name, count(*) AS n_entries, count(DISTINCT src) AS n_work_items FROM (
+  SELECT 'event' AS table_name, 'events' AS src FROM events, (VALUES (1), (2), (3)) f(k)
+  WHERE (k = 1 AND event_type IS NOT NULL) OR (k = 2 AND value IS NOT NULL) OR (k = 3 AND props IS NOT NULL)
+  UNION ALL SELECT 'index', 'events' FROM events WHERE event_type IS NOT NULL
+  UNION ALL SELECT 'order', 'orders' FROM orders, (VALUES (1), (2)) f(k)
+  WHERE (k = 1 AND o_orderstatus IS NOT NULL) OR (k = 2 AND o_totalprice IS NOT NULL)
+  UNION ALL SELECT 'index', 'orders' FROM orders WHERE o_orderstatus IS NOT NULL)
+GROUP BY table_name"""
+
+
+@register("ingest_items", INGEST_TYPES_SQL)
+def q_ingest_items(spark, d):
+    """The ingest job end to end: the events and orders files become work
+    messages, are read by data type, shredded, deduped and aggregated per
+    work item, written as bulk output with manifests and read back."""
+    inv = landing_inventory(spark, d, feed="testdata")
+    files = inv.where(F.col("name").isin("events.parquet", "orders.parquet"))
+    dtype = F.regexp_extract("name", r"^(.*)\.parquet$", 1)
+    msgs = files.select(F.concat_ws(",", "path", F.lit("parquet"), dtype).alias("message"),
+                        F.md5("path").alias("work_id"))
+    types = {
+        "events": lifecycle.DataType(TypeSpec("parquet", "event_id BIGINT, ts TIMESTAMP_NTZ, "
+                                              "event_type STRING, value DOUBLE, props STRING"),
+                                     lambda r: S.event_entries(r, carry=["work_id"])),
+        "orders": lifecycle.DataType(TypeSpec("parquet", "o_orderkey BIGINT, o_orderdate TIMESTAMP_NTZ, "
+                                              "o_orderstatus STRING, o_totalprice DOUBLE"), _order_entries),
+    }
+    out_dir = scratch_dir(spark, "ingest")
+    lifecycle.ingest_items(spark, msgs, inv, types, S.FILE_AS_OF, "bulk", out_dir, batch_id="0")
+    back = read_entries(spark, f"{out_dir}/data")
+    return back.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_entries"),
+                                          F.countDistinct("work_id").alias("n_work_items"))
+
+
 # ---------------------------------------------------------------- work items
 
 _TARGET_SQL = """CASE WHEN instr(path, '/landing/flagged') > 0
