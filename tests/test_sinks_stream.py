@@ -217,3 +217,16 @@ def test_compact_live_keeps_the_current_view(spark, tmp_path):
         [os.path.join(tdir, "table_name=event", "batch_id=" + tag)]
     upsert_live(e, tdir, "r", 3)   # later batches still land beside the snapshot
     assert live_current(spark, tdir).count() == 120
+
+
+def test_compact_live_twice_is_harmless(spark, tmp_path):
+    e = shred(records(spark)).drop("work_id")
+    tdir = str(tmp_path / "live2")
+    upsert_live(e, tdir, "r", 0)
+    upsert_live(e.withColumn("value", F.lit("v")), tdir, "r", 1)
+    before = sorted(tuple(r) for r in live_current(spark, tdir).drop("n_versions").collect())
+    compact_live(spark, tdir)
+    compact_live(spark, tdir)       # e.g. a re-run after a crash between write and delete
+    after = sorted(tuple(r) for r in live_current(spark, tdir).drop("n_versions").collect())
+    assert after == before
+    assert len(glob.glob(os.path.join(tdir, "table_name=event", "batch_id=*"))) == 1
