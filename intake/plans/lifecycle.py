@@ -17,6 +17,7 @@ Driver-side control flow only: every data step is a DataFrame job.
 from __future__ import annotations
 
 import re
+from urllib.parse import unquote
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
@@ -126,7 +127,7 @@ _FAILED_FILE = re.compile(r"(?:reading file|Could not read footer for file[: ]*|
 def failed_member(error: BaseException) -> str | None:
     """The file a failed Spark read names in its error, if any."""
     m = _FAILED_FILE.search(str(error))
-    return _norm_uri(m.group(1)) if m else None
+    return _norm_uri(unquote(m.group(1))) if m else None
 
 
 def bundle_files(spark: SparkSession, inventory: DataFrame, failures: DataFrame, scan: ScanConfig,

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from intake.functions.paths import source_file_path
+
 
 @dataclass(frozen=True)
 class TypeSpec:
@@ -47,7 +49,7 @@ def read_typed_feed(spark: SparkSession, items: DataFrame,
         df = (spark.read.format(fmt or spec.format).schema(spec.schema).options(**dict(spec.options))
               .load(sorted(groups[(dt, fmt)])))
         frames.append(df.select(F.lit(dt).alias("data_type"),
-                                F.col("_metadata.file_path").alias("source_path"), "*"))
+                                source_file_path().alias("source_path"), "*"))
     if not frames:
         raise ValueError("no work items to read")
     out = frames[0]

@@ -14,10 +14,10 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from intake.functions.paths import source_file_path
 from intake.operators.combine import aggregate_entries, dedupe_entries
 from intake.sinks.live import run_id_for, upsert_live
 
@@ -37,7 +37,7 @@ def stream_feed(spark: SparkSession, input_dir: str, fmt: str, schema: T.StructT
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", str(max_bytes))
-    df = reader.load(input_dir).withColumn("source_path", F.col("_metadata.file_path"))
+    df = reader.load(input_dir).withColumn("source_path", source_file_path())
     writer = df.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)

@@ -76,7 +76,8 @@ def test_bundler_quarantines_unreadable_member(spark, tmp_path):
     cfg = ScanConfig(max_files=2, max_size=1_000_000, max_age=60_000)
 
     def read_members(paths):
-        return spark.read.schema(schema).parquet(*paths).withColumn("source_path", F.col("_metadata.file_path"))
+        from intake.functions.paths import source_file_path
+        return spark.read.schema(schema).parquet(*paths).withColumn("source_path", source_file_path())
 
     failures = spark.createDataFrame([], NO_FAILURES)
     members, failures = bundle_files(spark, inv, failures, cfg, as_of, str(tmp_path / "bundles"), read_members)
@@ -160,3 +161,17 @@ def test_feeder_stream_several_feeds_with_own_limits(spark, tmp_path):
     items = spark.read.parquet(state + "/work_items").where("tick = 0")
     per_feed = {r["feed"]: r["n"] for r in items.groupBy("feed").agg(F.count("*").alias("n")).collect()}
     assert per_feed == {"fa": 1, "fb": 3}
+
+
+def test_source_paths_match_the_listing_for_odd_names(spark, tmp_path):
+    from intake.sources.typed import read_typed_feed
+    d = tmp_path / "odd"
+    d.mkdir()
+    names = ["with space.csv", "a+b.csv", "pct%41.csv", "ünï.csv"]
+    for i, n in enumerate(names):
+        (d / n).write_text(f"{i},x\n")
+    inv = landing_inventory(spark, str(d))
+    items = inv.select("path", F.lit("t").alias("data_type"))
+    recs = read_typed_feed(spark, items, {"t": TypeSpec("csv", "id long, k string")})
+    joined = recs.join(inv.select(F.col("path").alias("source_path")), "source_path")
+    assert joined.count() == len(names)
