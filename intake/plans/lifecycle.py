@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from intake.config import BundlerConfig, FeederConfig, IngestConfig, ScanConfig
 from intake.functions.ids import as_of_col
-from intake.functions.paths import loaded_path
+from intake.functions.paths import loaded_path, source_file_path
 from intake.operators.batching import batch_plan, threshold_batch, threshold_trigger
 from intake.operators.bundle import file_accounting, mark_paired
 from intake.operators.combine import aggregate_entries, dedupe_entries
@@ -172,7 +172,7 @@ def bundler_run(spark: SparkSession, inventory: DataFrame, failures: DataFrame,
     manifest_paths = [r["m"] for r in members.select(F.concat("path", F.lit(".manifest")).alias("m")).collect()]
     if manifest_paths:
         lines = spark.read.text(manifest_paths).select(
-            "value", F.col("_metadata.file_path").alias("manifest_file"))
+            "value", source_file_path().alias("manifest_file"))
         accounting = file_accounting(lines, flagged, bundler.manifest_path_to_replace,
                                      bundler.manifest_path_replacement)
     else:

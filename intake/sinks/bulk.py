@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from intake.functions.paths import source_file_path
 from intake.schemas import ENTRY_COLUMNS
 
 DEFAULT_BUCKETS = 64
@@ -66,4 +67,4 @@ def read_work_item(spark: SparkSession, data_dir: str, batch_id: str, work_id: s
 def read_manifests(spark: SparkSession, manifest_dir: str) -> DataFrame:
     """Manifest lines with the file they came from."""
     return (spark.read.text(manifest_dir)
-            .select("value", F.col("_metadata.file_path").alias("manifest_file")))
+            .select("value", source_file_path().alias("manifest_file")))
