@@ -175,3 +175,24 @@ def test_source_paths_match_the_listing_for_odd_names(spark, tmp_path):
     recs = read_typed_feed(spark, items, {"t": TypeSpec("csv", "id long, k string")})
     joined = recs.join(inv.select(F.col("path").alias("source_path")), "source_path")
     assert joined.count() == len(names)
+
+
+def test_ingest_mode_from_ingest_config(spark, tmp_path):
+    from intake.config import IngestConfig
+    from intake.sinks.live import live_current
+    land = tmp_path / "in" / "flagged" / "csv"
+    write_csvs(land, 2)
+    inv = landing_inventory(spark, str(land), feed="csv")
+    msgs = inv.select(F.concat_ws(",", "path", F.lit("csv"), F.lit("mycsv")).alias("message"),
+                      F.md5("path").alias("work_id"))
+
+    def shred(df):
+        return shred_entries(df.withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")),
+                             "mycsv", F.col("id"), {"kind": F.col("kind")}, F.col("ts"), carry=["work_id"])
+
+    types = {"mycsv": DataType(TypeSpec("csv", "id long, kind string, amount double"), shred)}
+    cfg = IngestConfig(live_ingest=True, output_dir=str(tmp_path / "live"))
+    out = ingest_items(spark, msgs, inv, types, dt.datetime(2024, 1, 2), cfg, batch_id="3")
+    assert live_current(spark, str(tmp_path / "live")).count() == 8
+    moves = {r["loaded_path"] for r in out["moves"].collect()}
+    assert all("/in/loaded/csv/" in m for m in moves) and len(moves) == 2
