@@ -8,8 +8,10 @@ only make one of our own when the session has none *and* runs in local mode.
 from __future__ import annotations
 
 import os
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -71,6 +73,22 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/intake-scratch/{name}-{uuid.uuid4().hex}"
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in Python workers: a small zip that the
+    driver serves to executors, once per session.  An executor's own working
+    folder or PYTHONPATH then does not matter."""
+    sc = spark.sparkContext
+    if getattr(sc, "_intake_shipped", False):
+        return
+    package = pathlib.Path(__file__).resolve().parent
+    target = pathlib.Path(tempfile.mkdtemp(prefix="intake-ship-")) / "intake.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(target))
+    sc._intake_shipped = True
+
+
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of input.
 

@@ -7,7 +7,8 @@ import __spark_entry__ as E
 from oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.001"
-SQL = E.oracle_sql()
+QUERIES = E._q.queries()
+SQL = E._q.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,9 +16,9 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    res = compare(spark, name, E.queries()[name], SQL.get(name), SF, con)
+    res = compare(spark, name, QUERIES[name], SQL.get(name), SF, con)
     plan = res.pop("_plan")
     assert res["status"] in ("OK", "rows-only"), res
     # no pairs, no funnel into one task
@@ -32,4 +33,4 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_but_listing_has_an_oracle():
-    assert set(E.queries()) - set(SQL) == {"landing_inventory"}
+    assert set(QUERIES) - set(SQL) == {"landing_inventory"}
