@@ -197,7 +197,7 @@ def _shard(shards: int) -> Column:
 
 def _move(old: DataFrame, moved: DataFrame) -> DataFrame:
     """Shards' filters after keys (shard, k1, up) went in or out."""
-    def update(key, blobs: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
+    def update(key: tuple, blobs: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
         chain = Chain(bytes(blobs["blob"].iloc[0]) if len(blobs) else None)
         h = keys["k1"].to_numpy(np.int64).view(np.uint64)
         up = keys["up"].to_numpy(bool)

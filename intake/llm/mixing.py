@@ -18,6 +18,7 @@ checked); documents never are.
 from __future__ import annotations
 
 import json
+from bisect import bisect_left
 from collections.abc import Callable
 from fractions import Fraction
 from heapq import heappop, heappush
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 from intake.llm.common import cut, frozen
 
 MAX_PATTERNS = 10_000
-DIGIT = 6           # bits of the seeded hash read a round
-LAST_ROWS = 512     # documents of a pattern that the last round may hold
+HASH, DIGIT = 60, 3 # bits of the seeded hash, and of these read a round
+LAST_ROWS = 512     # documents of a pattern that are few enough to be filled in one by one
 WEIGHTS, SHARE, MOST = (5, 2, 1), Fraction(3, 2), 2
 
 
@@ -109,11 +110,22 @@ def min_cost_flow(capacity: dict, members: dict, wanted: dict, passes: int = MOS
 
 
 def fill(sizes: list[int], room: int) -> list[bool]:
-    """Documents, in order, that fit into ``room`` words; one more where that comes nearer."""
+    """Documents, in order, that fit into ``room`` words; then swaps of a picked one
+    for a larger one, the best first, while that leaves less room."""
     picked, left = [], room
     for s in sizes:
         picked.append(0 < s <= left)
         left -= s if picked[-1] else 0
+    while left:
+        inside = sorted((s, -i) for i, s in enumerate(sizes) if picked[i])
+        best = (0, 0, 0)
+        for j, s in enumerate(sizes):
+            if s and not picked[j] and (k := bisect_left(inside, (s - left, -len(sizes)))) < len(inside):
+                best = max(best, (s - inside[k][0], inside[k][1], -j))
+        if best[0] <= 0:
+            break
+        left -= best[0]
+        picked[-best[1]], picked[-best[2]] = False, True
     over = [(s, i) for i, s in enumerate(sizes) if s and not picked[i]]
     if over and abs(left - min(over)[0]) < left:
         picked[min(over)[1]] = True
@@ -123,31 +135,28 @@ def fill(sizes: list[int], room: int) -> list[bool]:
 def _select(sized: DataFrame, take: dict, seed: int) -> DataFrame:
     """(key columns of ``sized``, taken): whole passes plus one more up to the threshold.
 
-    sized: (rid, pattern, size, u, ...); take: {pattern: (words of a pass, words to take)}."""
+    sized: (rid, pattern, size, u, ...); take: {pattern: (words of a pass, rows, words to take)}."""
     spark = sized.sparkSession
-    plan = {p: (int(t // s) if s else 0, int(t % s) if s else 0) for p, (s, t) in take.items()}
-    open_ = {p: [0, r] for p, (_, r) in plan.items() if r}   # pattern -> [hash prefix, words left]
-    last, shift = dict.fromkeys(plan), 62                    # pattern -> (prefix, shift, words left)
-    schema = "p string, prefix long"
-    while open_:
-        shift -= DIGIT
-        at = F.broadcast(spark.createDataFrame([(p, x[0]) for p, x in open_.items()], schema))  # at most MAX_PATTERNS rows
+    plan = {p: (int(t // s) if s else 0, int(t % s) if s else 0) for p, (s, _, t) in take.items()}
+    edge = {p: (0, HASH, r, take[p][1]) for p, (_, r) in plan.items() if r}  # pattern -> prefix, shift, words left, rows
+    shift = HASH
+    while shift and (wide := [p for p, x in edge.items() if x[1] == shift and x[3] > LAST_ROWS]):
+        at = F.broadcast(spark.createDataFrame([(p, edge[p][0]) for p in wide], "p string, prefix long"))  # MAX_PATTERNS rows
         rows = (sized.join(at, F.col("pattern").eqNullSafe(F.col("p")))
-                .where(F.shiftright("u", shift + DIGIT) == F.col("prefix"))
-                .groupBy("pattern", F.shiftright("u", shift).alias("digit"))
-                .agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).collect())  # 64 rows a pattern
-        for p in list(open_):
+                .where(F.shiftright("u", shift) == F.col("prefix"))
+                .groupBy("pattern", F.shiftright("u", shift - DIGIT).alias("digit"))
+                .agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).collect())  # 8 rows a pattern
+        shift -= DIGIT
+        for p in wide:
             mine = sorted((r["digit"], r["size"], r["n"]) for r in rows if r["pattern"] == p)
+            left = edge[p][2]
             for digit, size, n in mine:
-                if size > open_[p][1] or (digit, size, n) == mine[-1]:
+                if size > left or digit == mine[-1][0]:
+                    edge[p] = (digit, shift, left, n)
                     break
-                open_[p][1] -= size
-            open_[p][0] = digit
-            if n <= LAST_ROWS or shift < DIGIT:
-                last[p] = (digit, shift, open_[p][1])
-                del open_[p]
+                left -= size
     table = F.broadcast(spark.createDataFrame(
-        [(p, plan[p][0], *(last[p] or (None, 0, 0))) for p in plan],
+        [(p, plan[p][0], *edge.get(p, (None, 0, 0))[:3]) for p in plan],
         "p string, passes long, edge long, shift int, room long"))
     marked = sized.join(table, F.col("pattern").eqNullSafe(F.col("p"))).withColumn(
         "digit", F.expr("shiftright(u, shift)"))
@@ -161,9 +170,9 @@ def _select(sized: DataFrame, take: dict, seed: int) -> DataFrame:
         pdf["taken"] = pdf["size"] * (pdf["passes"] + pdf["u"].map(more).astype("int64"))
         return pdf[[*names, "taken"]]
 
-    edge = marked.where("digit = edge").select(*names, "passes", "room")
+    few = marked.where("digit = edge").select(*names, "passes", "room")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sized.schema) + ", taken long"
-    return sure.unionByName(edge.groupBy("pattern").applyInPandas(finish, fields))
+    return sure.unionByName(few.groupBy("pattern").applyInPandas(finish, fields))
 
 
 def mix(docs: DataFrame, size: Column, sources: Column, targets: Callable[[dict], dict] = quotas,
@@ -182,8 +191,8 @@ def mix(docs: DataFrame, size: Column, sources: Column, targets: Callable[[dict]
     pattern = F.to_json(F.struct(F.array_sort(F.array_distinct(sources)).alias("s")), {"ignoreNullFields": "false"})
     sized = frozen(docs.select(F.col(id_col).alias("doc_id"), pattern.alias("pattern"),
                                F.coalesce(size, F.lit(0)).cast("long").alias("size"))
-                   .withColumn("u", F.xxhash64(F.lit(seed), "doc_id", "size").bitwiseAND(F.lit((1 << 62) - 1))), "mix")
-    total = sized.groupBy("pattern").agg(F.sum("size").alias("words")).limit(MAX_PATTERNS + 1).collect()
+                   .withColumn("u", F.xxhash64(F.lit(seed), "doc_id", "size").bitwiseAND(F.lit((1 << HASH) - 1))), "mix")
+    total = sized.groupBy("pattern").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")).limit(MAX_PATTERNS + 1).collect()
     if len(total) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns: group rare sources first")
     capacity = {r["pattern"]: r["words"] for r in total}
@@ -197,7 +206,7 @@ def mix(docs: DataFrame, size: Column, sources: Column, targets: Callable[[dict]
     given = dict.fromkeys(capacity, 0)
     for (p, _), words in flow.items():
         given[p] += words
-    chosen = _select(sized, {p: (capacity[p], given[p]) for p in capacity}, seed)
+    chosen = _select(sized, {r["pattern"]: (r["words"], r["n"], given[r["pattern"]]) for r in total}, seed)
     facts = F.broadcast(spark.createDataFrame(
         [(p, sum(sizes[s] for s in members[p]), float(sum(target[s] for s in members[p]))) for p in capacity],
         "p string, source_size long, target double"))

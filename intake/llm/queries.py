@@ -6,10 +6,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from intake.llm import line_dedup, mixing, sentencepiece_bpe, simhash, toxicity
+from intake.llm import (embedding_join, line_dedup, mixing, pii, quality, secrets, sentencepiece_bpe, simhash,
+                        token_blocks, toxicity)
 from intake.llm.common import documents, n_words, table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_lines_removed", "chars_lost")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(documents(spark, sf_dir), words=3, max_bits=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -26,12 +33,29 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
+def op6_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_blocks.round_trip(documents(spark, sf_dir))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs, n_words(F.col("text")), F.array("source")).select(
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return pii.scan(docs, pii.fit(docs))
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(documents(spark, sf_dir))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digest_documents(documents(spark, sf_dir))
 
@@ -39,7 +63,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     import corpus_pipeline
 
-    own = (op2_simhash, op3_toxicity, op4_line_dedup, op7_mixing, op10_sentencepiece)
+    own = (op1_quality, op2_simhash, op3_toxicity, op4_line_dedup, op5_embedding, op6_token_blocks, op7_mixing,
+           op8_pii, op9_secrets, op10_sentencepiece)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
@@ -52,7 +77,45 @@ def oracle_sql() -> dict[str, str]:
     return known
 
 
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _quality_sql() -> str:
+    q = quality
+    text = lambda s: "'" + s.replace("'", "''") + "'"
+    signs = f"length(line) - length(regexp_replace(line, {text(q.SIGN_RUNS)}, '', 'g'))"
+    cut = f"trim(line, {_BLANKS})"
+    blanks = f"(length({cut}) - length(translate({cut}, {_BLANKS}, '')))"
+    seps = f"(length(line) - length(translate(line, {text(q.SEPARATORS)}, '')))"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT r, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM d),
+win AS (SELECT r, unnest(range(1, len(w) - {q.WINDOW - 2})) AS i, w FROM w WHERE len(w) > {q.WINDOW}),
+win2 AS (SELECT r, i, array_to_string(w[i:i + {q.WINDOW - 1}], ' ') AS x FROM win),
+rep AS (SELECT r, count(DISTINCT i + k) AS n FROM (SELECT r, i FROM win2 QUALIFY count(*) OVER (PARTITION BY r, x) > 1) t,
+        range({q.WINDOW}) ks(k) GROUP BY r),
+l AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d),
+f AS (SELECT r, line, length(translate(line, {_BLANKS}, '')) > 0 AS has,
+             ({seps} >= 2 AND {seps} * 4 >= {blanks} + 1 - {seps}) OR regexp_matches({cut}, {text(q.MENU)})
+             OR ({signs}) * 100 >= length(line) * {q.SIGN_SHARE}
+             OR ({blanks} >= {q.LONG_LINE} AND NOT regexp_matches(line, {text(q.SENTENCE_END)}))
+             OR regexp_matches(line, {text(q.BOILERPLATE)}) AS fails FROM l),
+a AS (SELECT r, count(*) FILTER (WHERE has) - count(DISTINCT CASE WHEN has THEN line END) AS dup,
+             count(*) FILTER (WHERE has AND fails) AS removed,
+             coalesce(sum(length(line)) FILTER (WHERE has AND fails), 0) AS lost, sum(length(line)) AS chars FROM f GROUP BY r),
+o AS (SELECT d.doc_id, len(w.w)::BIGINT AS n_words, length(translate(d.text, {_BLANKS}, ''))::BIGINT AS word_chars,
+             (length(d.text) - length(translate(d.text, {text(q.SYMBOLS)}, '')))::BIGINT AS n_symbols,
+             a.dup::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
+             a.removed::BIGINT AS n_lines_removed, a.lost::BIGINT AS chars_lost, a.chars
+      FROM d JOIN w USING (r) JOIN a USING (r) LEFT JOIN rep USING (r))
+SELECT * EXCLUDE (chars), n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT} * n_words AS base_failed,
+       NOT (n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT} * n_words OR chars_lost * 100 > chars * {q.MAX_LOST}) AS kept
+FROM o
+"""
+
+
 SQL: dict[str, str] = {
+    "op1_quality": _quality_sql(),
     "op4_line_dedup": r"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (SELECT doc_id, r, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM d),
