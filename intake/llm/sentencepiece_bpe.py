@@ -22,13 +22,14 @@ import hashlib
 import re
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-CACHE = 250_000          # chunks a worker remembers
+CACHE = 400_000          # chunks a worker remembers
 CACHE_CHARS = 40         # longer chunks are not remembered
 _CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _HARD = MARK * 2
@@ -55,6 +56,8 @@ class Codec:
         self.unknown = sp.unk_id()
         self.ids = {self.text[i]: i for i in plain}
         self.rank = {self.text[i]: (-sp.get_score(i)) for i in plain}
+        self.letters = {p for p in self.ids if len(p) == 1}
+        self.plain = {i: self.text[i].replace(MARK, " ") for i in plain}
         self.split: dict[str, tuple[str, str] | None] = {}
         for piece in sorted(self.ids, key=len):
             merged = self.merge(piece, piece)
@@ -64,11 +67,12 @@ class Codec:
                 self.split[piece] = tuple(merged)
         self.auto = ahocorasick.Automaton()
         for piece in self.split:
-            self.auto.add_word(piece, piece)
+            self.auto.add_word(piece, (len(piece) - 1, piece))
         self.auto.make_automaton()
         self.prefix = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in self.split), None) for p in self.split}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.seen: dict[str, tuple[int, str, str]] = {}
+        self.older: dict[str, tuple[int, str, str]] = {}
 
     def merge(self, text: str, stop: str | None = None) -> list[str]:
         """Pieces by merging the best pair (highest score, then leftmost) until none is
@@ -125,12 +129,10 @@ class Codec:
         """Pieces of a text all of whose characters are pieces."""
         n = len(text)
         longest: list[str | None] = [None] * n
-        for last, piece in self.auto.iter(text):
-            start = last + 1 - len(piece)
-            if longest[start] is None or len(longest[start]) < len(piece):
-                longest[start] = piece
+        for last, (k, piece) in self.auto.iter(text):
+            longest[last - k] = piece  # ends ascend: the last match from a start is the longest
         failed, out, at, piece = bytearray(n + 1), [], 0, longest[0]
-        prefix, fits = self.prefix, self.fits
+        prefix, fits, known = self.prefix, self.fits, self.pairs.get
         while True:
             if piece is None:
                 if not out:
@@ -141,35 +143,35 @@ class Codec:
                 piece = prefix[piece]
                 continue
             end = at + len(piece)
-            if failed[end] or (out and not fits(out[-1], piece)):
+            if failed[end]:
                 piece = prefix[piece]
                 continue
+            if out:
+                good = known((out[-1], piece))
+                if not (fits(out[-1], piece) if good is None else good):
+                    piece = prefix[piece]
+                    continue
             out.append(piece)
             if end == n:
                 return out
             at, piece = end, longest[end]
 
-    def chunk_ids(self, chunk: str) -> list[int]:
-        ids, out = self.ids, []
-        run: list[str] = []
-
-        def flush():
-            if run:
-                text = "".join(run)
-                out.extend(ids[p] for p in (self.merge(text) if _HARD in text else self.backtrack(text)))
-                run.clear()
+    def pieces(self, text: str) -> list[str]:
+        return self.merge(text) if _HARD in text else self.backtrack(text)
 
-        if all(c in ids for c in chunk):
-            run.append(chunk)
-        else:
-            for c in chunk:  # characters that are no piece stand alone, as their bytes
-                if c in ids:
-                    run.append(c)
-                    continue
-                flush()
-                raw = c.encode("utf-8", "replace")
-                out.extend(self.bytes[bytes([b])] for b in raw) if self.bytes else out.append(self.unknown)
-        flush()
+    def chunk_ids(self, chunk: str) -> list[int]:
+        ids = self.ids
+        if self.letters.issuperset(chunk):
+            return [ids[p] for p in self.pieces(chunk)]
+        out = []
+        for known, run in groupby(chunk, self.letters.__contains__):
+            text = "".join(run)
+            if known:
+                out.extend(ids[p] for p in self.pieces(text))
+            elif self.bytes:  # characters that are no piece stand alone, as their bytes
+                out.extend(self.bytes[bytes([b])] for b in text.encode("utf-8", "replace"))
+            else:
+                out.extend([self.unknown] * len(text))
         return out
 
     def chunks(self, text: str) -> list[str]:
@@ -180,6 +182,9 @@ class Codec:
 
     def surface(self, ids: list[int]) -> str:
         """Text of ids without the rule for the leading space."""
+        parts = [self.plain.get(i) for i in ids]
+        if None not in parts:
+            return "".join(parts)
         out, raw = [], b""
         for i in ids:
             if i in self.byte_of:
@@ -201,20 +206,21 @@ class Codec:
 
     def known(self, chunk: str) -> tuple[int, str, str]:
         """Number of ids, ids as text and decoded text of a chunk."""
-        hit = self.seen.get(chunk)
+        hit = self.seen.get(chunk) or self.older.get(chunk)
         if hit is None:
             ids = self.chunk_ids(chunk)
             hit = (len(ids), ",".join(map(str, ids)), self.surface(ids))
-            if len(chunk) <= CACHE_CHARS:
-                if len(self.seen) >= CACHE:
-                    self.seen.clear()
-                self.seen[chunk] = hit
+        if len(chunk) <= CACHE_CHARS:
+            if len(self.seen) >= CACHE // 2:  # two generations: what is in use stays
+                self.older, self.seen = self.seen, {}
+            self.seen[chunk] = hit
         return hit
 
     def digest(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids and of the decoded text of a whole text."""
-        get, known = self.seen.get, self.known
-        found = [get(c) or known(c) for c in self.chunks(text or "")]
+        known = self.known
+        chunks = self.chunks(text or "")
+        found = [hit or known(c) for c, hit in zip(chunks, map(self.seen.get, chunks))]
         decoded = "".join([f[2] for f in found])[1:]  # every text starts with the added space mark
         return (sum([f[0] for f in found]), hashlib.sha256(",".join([f[1] for f in found]).encode()).hexdigest(),
                 hashlib.sha256(decoded.encode("utf-8", "replace")).hexdigest())
