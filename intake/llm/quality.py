@@ -8,10 +8,12 @@ rejected before that.  Everything is computed within a row: no shuffle.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from intake.llm.common import SPACES, words
+from intake.llm.common import SPACES, ascii_lower, words
 
 WINDOW = 8
 MIN_WORDS, MAX_REPEAT = 20, 30      # words; percent of the words
@@ -27,36 +29,48 @@ MENU = (r"(?i)^(home|about|about us|contact|contact us|log ?in|log ?out|sign ?in
         r"previous|back|top|share|print|help|faq|sitemap|news|blog|products|services|support|read more|more)"
         r"([ /,>-]+(home|about|about us|contact|contact us|log ?in|log ?out|sign ?in|sign ?up|register|search|menu|next|"
         r"previous|back|top|share|print|help|faq|sitemap|news|blog|products|services|support|read more|more))*[.]?$")
-BOILERPLATE = (r"(?i)all rights reserved|cookie policy|use of cookies|privacy policy|terms of (use|service)|"
-               r"terms and conditions|lorem ipsum|enable javascript|click here|subscribe to our|licensed under|"
-               r"released under the|this work is licensed")
+BOILERPLATE = ("all rights reserved", "cookie policy", "use of cookies", "privacy policy", "terms of use",
+               "terms of service", "terms and conditions", "lorem ipsum", "enable javascript", "click here",
+               "subscribe to our", "licensed under", "released under the")
+
+
+def _only(c: Column, others: str) -> Column:
+    """Number of characters of ``c`` outside a regular character class given as its negation."""
+    return F.length(F.regexp_replace(c, others, ""))
+
+
+def _trimmed(line: Column) -> Column:
+    return F.btrim(line, F.lit(SPACES))
 
 
-def _count(c: Column, chars: str) -> Column:
-    """Number of characters of ``c`` that are one of ``chars``."""
-    return F.length(c) - F.length(F.translate(c, chars, ""))
+def _breaks(line: Column) -> Column:
+    """White-space characters between a line's first and last word."""
+    return _only(_trimmed(line), r"[^\x20\x09-\x0D]+")
 
 
 def punctuation_fails(line: Column) -> Column:
+    """Runs of signs take a tenth of the line, or a long line has no sentence mark."""
     signs = F.length(line) - F.length(F.regexp_replace(line, SIGN_RUNS, ""))
-    breaks = _count(F.btrim(line, F.lit(SPACES)), SPACES)
-    return (signs * 100 >= F.length(line) * SIGN_SHARE) | ((breaks >= LONG_LINE) & ~line.rlike(SENTENCE_END))
+    # the cheap test first: few lines go on to be counted
+    return (line.rlike(SIGN_RUNS) & (signs * 100 >= F.length(line) * SIGN_SHARE)) \
+        | (~line.rlike(SENTENCE_END) & (_breaks(line) >= LONG_LINE))
 
 
 def navigation_fails(line: Column) -> Column:
     """Several separators, one for four words or more, or nothing but menu words."""
-    found = _count(line, SEPARATORS)
-    return ((found >= 2) & (found * 4 >= _count(F.btrim(line, F.lit(SPACES)), SPACES) + 1 - found)) \
-        | F.btrim(line, F.lit(SPACES)).rlike(MENU)
+    found = _only(line, f"[^{SEPARATORS}]+")
+    return (line.rlike(f"[{SEPARATORS}][^{SEPARATORS}]*[{SEPARATORS}]") & (found * 4 >= _breaks(line) + 1 - found)) \
+        | _trimmed(line).rlike(MENU)
 
 
 def boilerplate_fails(line: Column) -> Column:
-    return line.rlike(BOILERPLATE)
+    low = ascii_lower(line)
+    return reduce(lambda a, b: a | b, [low.contains(x) for x in BOILERPLATE])
 
 
 def line_fails(line: Column) -> Column:
     """Blank lines pass: they lose no text."""
-    return (F.length(F.translate(line, SPACES, "")) > 0) & (
+    return (F.length(_trimmed(line)) > 0) & (
         navigation_fails(line) | punctuation_fails(line) | boilerplate_fails(line))
 
 
@@ -87,13 +101,13 @@ def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     d = d.withColumn("s", starts)
     covered = F.aggregate("s", F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")), lambda a, i: F.struct(
         (i + WINDOW).alias("end"), (a["n"] + i + WINDOW - F.greatest(a["end"], i)).alias("n")), lambda a: a["n"])
-    full = F.filter("lines", lambda x: F.length(F.translate(x, SPACES, "")) > 0)
+    full = F.filter("lines", lambda x: F.length(_trimmed(x)) > 0)
     d = d.withColumn("full", full).withColumn("clean", F.filter("lines", lambda x: ~line_fails(x)))
     chars = lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + F.length(x))
     d = d.select(
         "doc_id", "n_words",
-        (F.length("text") - _count(F.col("text"), SPACES) - F.lit(0)).cast("long").alias("word_chars"),
-        _count(F.col("text"), SYMBOLS).cast("long").alias("n_symbols"),
+        F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
+        _only(F.col("text"), f"[^{SYMBOLS}]+").cast("long").alias("n_symbols"),
         (F.size("full") - F.size(F.array_distinct("full"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
         (F.size("lines") - F.size("clean")).cast("long").alias("n_lines_removed"),

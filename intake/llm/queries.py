@@ -87,6 +87,8 @@ def _quality_sql() -> str:
     cut = f"trim(line, {_BLANKS})"
     blanks = f"(length({cut}) - length(translate({cut}, {_BLANKS}, '')))"
     seps = f"(length(line) - length(translate(line, {text(q.SEPARATORS)}, '')))"
+    low = "translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    boiler = " OR ".join(f"contains({low}, {text(x)})" for x in q.BOILERPLATE)
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM d),
@@ -99,7 +101,7 @@ f AS (SELECT r, line, length(translate(line, {_BLANKS}, '')) > 0 AS has,
              ({seps} >= 2 AND {seps} * 4 >= {blanks} + 1 - {seps}) OR regexp_matches({cut}, {text(q.MENU)})
              OR ({signs}) * 100 >= length(line) * {q.SIGN_SHARE}
              OR ({blanks} >= {q.LONG_LINE} AND NOT regexp_matches(line, {text(q.SENTENCE_END)}))
-             OR regexp_matches(line, {text(q.BOILERPLATE)}) AS fails FROM l),
+             OR {boiler} AS fails FROM l),
 a AS (SELECT r, count(*) FILTER (WHERE has) - count(DISTINCT CASE WHEN has THEN line END) AS dup,
              count(*) FILTER (WHERE has AND fails) AS removed,
              coalesce(sum(length(line)) FILTER (WHERE has AND fails), 0) AS lost, sum(length(line)) AS chars FROM f GROUP BY r),
