@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from intake.llm.common import cut, frozen
 from intake.llm.graph import connected_components
 
-BLOCK_DIMS, GRID_DIMS, CELL = 8, 1, 1.5     # CELL: width of a cell in radii
+BLOCK_DIMS, GRID_DIMS, CELL = 16, 1, 1.5     # CELL: width of a cell in radii
 CHUNK, TILE = 4096, 1024                    # rows of a task's chunk; rows compared at once
 SLACK = 1e-9                                # of squared distances, for rounding
 SEED = 11
@@ -50,12 +50,12 @@ def usable(v: Column) -> Column:
             & F.exists(v, lambda x: x != 0))
 
 
-def _units(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+def _turned(vectors: pd.Series) -> np.ndarray:
     """Rotated unit vectors of equal length."""
     v = np.array(vectors.tolist(), np.float64)
     v /= np.abs(v).max(axis=1, keepdims=True)  # no overflow of squares
     v /= np.sqrt((v * v).sum(axis=1, keepdims=True))
-    return v, v @ rotation(v.shape[1])
+    return v @ rotation(v.shape[1])
 
 
 def _shares(dims: int, block_dims: int, cosine: float) -> list[float]:
@@ -63,13 +63,13 @@ def _shares(dims: int, block_dims: int, cosine: float) -> list[float]:
 
 
 def cells(nodes: DataFrame, cosine: float, block_dims: int, grid_dims: int) -> DataFrame:
-    """(group, cell, rep, n, unit, turned): a row per vector, block and touched cell.  unit and
-    turned are the scaled and the rotated vector as float64 bytes."""
+    """(label, cell, rep, n, turned): a row per vector, block and touched cell; turned
+    is the rotated unit vector as float64 bytes."""
     def emit(batches):
         for pdf in batches:
             for dims, part in pdf.groupby(pdf["v"].map(len), sort=True):
-                v, turned = _units(part["v"])
-                raw = [x.tobytes() for x in v], [x.tobytes() for x in turned]
+                turned = _turned(part["v"])
+                raw = [x.tobytes() for x in turned]
                 out = []
                 for b, ((lo, hi), share) in enumerate(zip(blocks(dims, block_dims), _shares(dims, block_dims, cosine))):
                     radius = share ** 0.5
@@ -86,9 +86,9 @@ def cells(nodes: DataFrame, cosine: float, block_dims: int, grid_dims: int) -> D
                     j = i[k:k + 4096]
                     yield pd.DataFrame({"label": part["label"].to_numpy()[j], "cell": [c for _, c in out[k:k + 4096]],
                                         "rep": part["rep"].to_numpy()[j], "n": part["n"].to_numpy()[j],
-                                        "unit": [raw[0][x] for x in j], "turned": [raw[1][x] for x in j]})
+                                        "turned": [raw[x] for x in j]})
 
-    return nodes.mapInPandas(emit, "label string, cell string, rep long, n long, unit binary, turned binary")
+    return nodes.mapInPandas(emit, "label string, cell string, rep long, n long, turned binary")
 
 
 def compare(cosine: float, block_dims: int, grid_dims: int):
@@ -100,7 +100,6 @@ def compare(cosine: float, block_dims: int, grid_dims: int):
         pdf = pdf.sort_values("rep", kind="stable")
         rep, n = pdf["rep"].to_numpy(), pdf["n"].to_numpy()
         chunk = pdf["chunk"].to_numpy()
-        unit = np.frombuffer(b"".join(pdf["unit"]), np.float64).reshape(-1, dims)
         turned = np.frombuffer(b"".join(pdf["turned"]), np.float64).reshape(-1, dims)
         parts, shares = blocks(dims, block_dims), _shares(dims, block_dims, cosine)
         lo, hi = parts[b]
@@ -126,7 +125,7 @@ def compare(cosine: float, block_dims: int, grid_dims: int):
                         a, c = a[good], c[good]
                         if e == b:
                             break
-                    good = (unit[a] * unit[c]).sum(axis=1) >= cosine
+                    good = (turned[a] * turned[c]).sum(axis=1) >= cosine  # a rotation keeps the cosine
                     a, c = a[good], c[good]
                     np.add.at(links, a, n[c])
                     np.add.at(links, c, n[a])
@@ -170,7 +169,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.93, block_dims: int = BLO
     dealt = placed.join(sizes, ["label", "cell"]).withColumn("chunk", chunk).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
         "label", "cell", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
-        "chunk", "rep", "n", "unit", "turned")
+        "chunk", "rep", "n", "turned")
     found = cut(dealt.groupBy("label", "cell", "i", "j").applyInPandas(
         compare(cosine, block_dims, grid_dims), "rep long, links long, root long"))
     groups = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
