@@ -23,6 +23,7 @@ one total per output file.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -40,13 +41,41 @@ from intake.session import scratch_dir
 
 BLOCK, PERCENTILE, SEGMENT = 4096, 90, 1 << 19
 END_ID = 2
-CACHE = 400_000                # words a worker remembers
+CACHE = 600_000                # words a worker remembers
 _HEAD = struct.Struct("<IIHBx")
 SEGMENTS = ("part int, seq long, doc_ids array<long>, bare int, lengths array<long>, first long, "
             "block_at array<int>, blocks binary")
 KEPT = ("doc_ids", "bare", "lengths", "first", "block_at", "blocks")
 # the tokenizer drops white space, so no id spans one of these
 _WORD = re.compile(r"[^ \t-\r]+")
+# in lower-cased Latin-1 text, its own split: contractions, letters, one digit, other signs
+_LATIN = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
+
+
+# fixed values: the split and the normalisers that ``split_words`` stands for
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+
+
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for letters from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+def split_words(text: str) -> tuple[list[str], bool]:
+    """Parts of a text that are encoded on their own, each to the ids it has in the
+    whole, and whether they are the tokenizer's own words.
+
+    Lower-casing and normalising change nothing else in Latin-1, so there the
+    parts are the tokenizer's own words; other texts, and those that may hold a
+    special token, are split at ASCII white space only."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return _WORD.findall(text), False
+    return (_WORD.findall(text), False) if "<|" in text else (_LATIN.findall(text.lower()), True)
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -94,24 +123,34 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        made = json.loads(self.tokenizer.to_str())
+        normal = [n["type"] for n in (made["normalizer"] or {}).get("normalizers", [])]
+        first = (made["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
+        known = normal == NORMALIZERS and first.get("pattern", {}).get("Regex") == PATTERN and first.get("invert")
+        self.split = split_words if known else (lambda text: ([text] if text else [], False))  # other tokenizers: whole texts
+        self.letters = byte_letters()
         self.seen: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def learn(self, words: list[str]) -> dict[str, bytes]:
+    def learn(self, words: list[str], own: bool) -> dict[str, bytes]:
+        if own:  # past normalising and splitting: straight to the merges
+            merge, letters = self.tokenizer.model.tokenize, self.letters
+            made = [[t.id for t in merge(w if w.isascii() and w.isalpha() else "".join([letters[b] for b in w.encode()]))]
+                    for w in words]
+            return {w: struct.pack(f"<{len(ids)}I", *ids) for w, ids in zip(words, made)}
         made = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(words, made)}
+        return {w: struct.pack(f"<{len(ids)}I", *ids) for w, ids in zip(words, [e.ids for e in made])}
 
     def encode(self, text: str, extra: bytes) -> bytes:
         """Ids as little-endian unsigned 32-bit integers, with ``extra`` at the end."""
-        words = _WORD.findall(text)
-        get = self.seen.get
-        found = [get(w) for w in words]
+        words, own = self.split(text)
+        found = list(map(self.seen.get, words))
         if None in found:
-            new = {w for w, f in zip(words, found) if f is None}
-            known = {w: b for w in new if (b := self.older.get(w)) is not None}
-            missing = sorted(new - known.keys())
+            new = list({w for w, f in zip(words, found) if f is None})
+            known = {w: b for w, b in zip(new, map(self.older.get, new)) if b is not None}
+            missing = [w for w in new if w not in known]
             for k in range(0, len(missing), 4096):
-                known |= self.learn(missing[k:k + 4096])
+                known |= self.learn(missing[k:k + 4096], own)
             found = [known[w] if f is None else f for w, f in zip(words, found)]
             if len(self.seen) + len(known) > CACHE // 2:  # two generations: what is in use stays
                 self.older, self.seen = self.seen, {}
