@@ -332,9 +332,15 @@ COLUMNS = [*(f"n_{k}" for k in KINDS), "base_sha256", "spans"]
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> dict[str, float]:
     """Weights trained on at most ``TRAIN_DOCS`` texts of up to ``TRAIN_CHARS``
     characters that hold a digit or an at sign, the first by a hash of id and text."""
-    rows = (docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
-            .where(F.col("t").rlike("[0-9]{3}|@") & (F.length("t") <= TRAIN_CHARS))
-            .orderBy(F.xxhash64("i", "t"), "i", "t").limit(TRAIN_DOCS).select("t").collect())
+    usable = (docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
+              .where(F.col("t").rlike("[0-9]{3}|@") & (F.length("t") <= TRAIN_CHARS)))
+    n = usable.count()
+    if not n:
+        return {}
+    # a threshold on the hash leaves about twice as many rows as are taken, whatever the number of partitions
+    order = F.xxhash64("i", "t").bitwiseAND(F.lit((1 << 62) - 1))
+    rows = (usable.where(order < F.lit(min((1 << 62) - 1, (1 << 62) * 2 * TRAIN_DOCS // n)))
+            .orderBy(order, "i", "t").limit(TRAIN_DOCS).select("t").collect())
     return train([r["t"] for r in rows])
 
 
