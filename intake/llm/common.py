@@ -21,6 +21,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df``, with texts going to Python workers in batches of few rows: a worker
+    holds a batch of whole texts at a time, and texts may be long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= rows:
+        conf.set(key, str(rows))
+    return df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Evaluate a narrow table once and cut its lineage: a reliable checkpoint
     in the session's shared folder, so it survives lost executors."""

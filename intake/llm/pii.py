@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from intake.llm.common import small_batches
 from intake.llm.secrets import joined
 
 KINDS = ("email", "ip", "card", "phone")
@@ -357,4 +358,4 @@ def scan(docs: DataFrame, weights: dict[str, float], id_col: str = "doc_id", tex
     def run(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([digest(t, weights) for t in texts], columns=COLUMNS)
 
-    return docs.select(F.col(id_col).alias("doc_id"), run(F.col(text_col)).alias("r")).select("doc_id", "r.*")
+    return small_batches(docs).select(F.col(id_col).alias("doc_id"), run(F.col(text_col)).alias("r")).select("doc_id", "r.*")

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from intake.llm.common import small_batches
+
 KINDS = ("assign", "access", "hex", "random")
 MIN_CHARS, MAX_CHARS = 20, 512      # of a candidate; longer runs are encoded data, not a key
 MAX_RATIO = 2.2                     # characters per token
@@ -117,4 +119,4 @@ def scan(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_
     def run(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([digest(t, where) for t in texts], columns=COLUMNS)
 
-    return docs.select(F.col(id_col).alias("doc_id"), run(F.col(text_col)).alias("r")).select("doc_id", "r.*")
+    return small_batches(docs).select(F.col(id_col).alias("doc_id"), run(F.col(text_col)).alias("r")).select("doc_id", "r.*")

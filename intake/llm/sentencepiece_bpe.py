@@ -28,10 +28,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from intake.llm.common import small_batches
+
 MARK = "▁"
-CACHE = 400_000          # chunks a worker remembers
+CACHE, PAIRS = 300_000, 300_000   # chunks and pairs of pieces a worker remembers
 CACHE_CHARS = 40         # longer chunks are not remembered
-_CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+_CHUNK = re.compile(" *[^ ]+| +")
 _HARD = MARK * 2
 RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -120,7 +122,7 @@ class Codec:
                 by_x, x = rank[x], sx[1]
             else:
                 by_y, y = rank[y], sy[0]
-        if len(self.pairs) >= 4 * CACHE:
+        if len(self.pairs) >= PAIRS:
             self.pairs.clear()
         self.pairs[key] = good
         return good
@@ -160,7 +162,7 @@ class Codec:
         return self.merge(text) if _HARD in text else self.backtrack(text)
 
     def chunk_ids(self, chunk: str) -> list[int]:
-        ids = self.ids
+        ids, chunk = self.ids, chunk.replace(" ", MARK)
         if self.letters.issuperset(chunk):
             return [ids[p] for p in self.pieces(chunk)]
         out = []
@@ -175,7 +177,10 @@ class Codec:
         return out
 
     def chunks(self, text: str) -> list[str]:
-        return _CHUNK.findall(MARK + text.replace(" ", MARK)) if text else []
+        """Parts with the added leading space; a space mark in the text is a space."""
+        if not text:
+            return []
+        return _CHUNK.findall(" " + (text.replace(MARK, " ") if MARK in text else text))
 
     def encode(self, text: str) -> list[int]:
         return [i for c in self.chunks(text) for i in self.chunk_ids(c)]
@@ -209,7 +214,8 @@ class Codec:
         hit = self.seen.get(chunk) or self.older.get(chunk)
         if hit is None:
             ids = self.chunk_ids(chunk)
-            hit = (len(ids), ",".join(map(str, ids)), self.surface(ids))
+            text = self.surface(ids)
+            hit = (len(ids), ",".join(map(str, ids)), chunk if text == chunk else text)
         if len(chunk) <= CACHE_CHARS:
             if len(self.seen) >= CACHE // 2:  # two generations: what is in use stays
                 self.older, self.seen = self.seen, {}
@@ -263,7 +269,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, text_col: str = "
         c = codec(where)
         return pd.Series([c.encode(t or "") for t in texts])
 
-    return docs.withColumn(out, run(F.col(text_col)))
+    return small_batches(docs).withColumn(out, run(F.col(text_col)))
 
 
 def decode_documents(docs: DataFrame, path: str | None = None, ids_col: str = "ids", out: str = "text") -> DataFrame:
@@ -275,7 +281,7 @@ def decode_documents(docs: DataFrame, path: str | None = None, ids_col: str = "i
         c = codec(where)
         return pd.Series([c.decode([] if x is None else [int(i) for i in x]) for x in ids])
 
-    return docs.withColumn(out, run(F.col(ids_col)))
+    return small_batches(docs).withColumn(out, run(F.col(ids_col)))
 
 
 def digest_documents(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -291,4 +297,4 @@ def digest_documents(docs: DataFrame, path: str | None = None, id_col: str = "do
         c = codec(where)
         return pd.DataFrame([c.digest(t) for t in texts], columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), run(F.col(text_col)).alias("r")).select("doc_id", "r.*")
+    return small_batches(docs).select(F.col(id_col).alias("doc_id"), run(F.col(text_col)).alias("r")).select("doc_id", "r.*")

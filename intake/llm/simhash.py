@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from intake.llm.common import cut, frozen
+from intake.llm.common import cut, frozen, small_batches
 from intake.llm.graph import connected_components
 
 SEED = 42
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
     def fp(text: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, words) for t in text], np.uint64).view(np.int64))
 
-    return docs.select(F.col(id_col).alias("doc_id"), fp(F.col(text_col)).alias("fp"))
+    return small_batches(docs).select(F.col(id_col).alias("doc_id"), fp(F.col(text_col)).alias("fp"))
 
 
 def _masks(bits: int, most: int) -> list[int]:
@@ -148,5 +148,5 @@ def _lone_rows(bare: DataFrame, lone: DataFrame, words: int, text_col: str) -> D
     def fp(text: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, words) for t in text], np.uint64).view(np.int64))
 
-    return (bare.withColumn("__fp", fp(F.col(text_col))).join(lone.withColumnRenamed("fp", "__fp"), "__fp", "left_semi")
+    return (small_batches(bare).withColumn("__fp", fp(F.col(text_col))).join(lone.withColumnRenamed("fp", "__fp"), "__fp", "left_semi")
             .dropDuplicates(["__fp"]).drop("__fp"))

@@ -37,6 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from intake.llm.common import small_batches
 from intake.session import scratch_dir
 
 BLOCK, PERCENTILE, SEGMENT = 4096, 90, 1 << 19
@@ -205,7 +206,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int | N
         if ids:
             yield flush()
 
-    (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    (small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
      .repartitionByRange(F.col("doc_id")).sortWithinPartitions("doc_id", "text")
      .select(F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), F.col("doc_id").isNull().alias("lacks"), "text")
      .mapInPandas(segments, SEGMENTS).write.parquet(folder))

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from intake.llm.common import small_batches
+
 # fixed values: letters that look like Latin ones
 HOMOGLYPHS = dict(zip("абвгеёзіїјкмнорсѕтухһԁԛԝɡɩαβγεηικνορτυχω", "abbreeziijkmhopcstyxhdqwgiabyenikvoptuxw"))
 # fixed values: digits and signs that stand for letters
@@ -206,11 +208,11 @@ def score(text: Column, lexicon: Lexicon) -> Column:
 def score_documents(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted), one row per input row, repeated rows included.
     A null id is not held out.  Other columns are not read."""
-    out = docs.select(F.col(id_col).alias("doc_id"), score(F.col(text_col), lexicon).alias("score"))
+    out = small_batches(docs).select(F.col(id_col).alias("doc_id"), score(F.col(text_col), lexicon).alias("score"))
     return out.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def reject(docs: DataFrame, lexicon: Lexicon, text_col: str = "text") -> DataFrame:
     """Rows whose text scores under 0.5, all columns as they were."""
-    return docs.withColumn("__toxic", score(F.col(text_col), lexicon)).where("__toxic < 0.5").drop("__toxic")
+    return small_batches(docs).withColumn("__toxic", score(F.col(text_col), lexicon)).where("__toxic < 0.5").drop("__toxic")
