@@ -178,6 +178,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.93, block_dims: int = BLO
         "label", "v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
         F.coalesce("component", "rep").alias("component_id")))
     out = one.join(named, ["label", "v"], "left").select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        "vec_id", F.when(F.col("vec_id").isNotNull() & F.col("n_links").isNotNull(), F.col("n_links"))
+        .otherwise(0).cast("long").alias("n_links"),
         F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

@@ -38,6 +38,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _ANCHOR = re.compile(r"[0-9]{3,}|[0-9][0-9.()\x20-]{5,}[0-9]|@|[(\[]at[)\]]", re.IGNORECASE | re.ASCII)
+_JOINED, _JOINS = re.compile(r"[0-9][./-]\Z"), re.compile(r"[./-][0-9]")
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^\W\d_]+|\s|.", re.DOTALL)
 _OBFUSCATED = re.compile(r"[\w.%+-]+\s?(?:[(\[]at[)\]]|@)\s?[\w-]+(?:\s?(?:[(\[]dot[)\]]|\.)\s?[\w-]+)+", re.I | re.A)
 _DOTTED = re.compile(r"[0-9]{1,3}(?:(?:\.|\[\.\]|\(\.\))[0-9]{1,3}){3}")
@@ -175,6 +176,8 @@ class Lattice:
                 span = self.text[s:e]
                 if e - s < 6 or not span[-1].isalnum() or (e < self.marks[-1] and self.text[e].isalnum()):
                     continue
+                if _JOINED.search(self.text[max(0, s - 2):s]) or _JOINS.match(self.text, e):
+                    continue  # a part of a longer number
                 for kind in candidates(span):
                     self.segments.append((i, j, kind, [index(f) for f in features(self.text, s, e, kind)]))
         self.n = n

@@ -51,8 +51,8 @@ def fold(text: str) -> str:
         text = unicodedata.normalize("NFKC", text).translate(_TABLE)
     text = text.lower()
     if _SIGNS.search(text):
-        text = _SIGN.sub(lambda m: DIGITS[m[0]], text)
-        text = _SIGN.sub(lambda m: DIGITS[m[0]], text)  # two signs side by side
+        for _ in range(3):  # signs side by side follow each other
+            text = _SIGN.sub(lambda m: DIGITS[m[0]], text)
     return text
 
 
