@@ -1,0 +1,207 @@
+"""Toxicity, quality, personal data and secrets."""
+
+import random
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from intake.llm import pii, quality, secrets, toxicity
+
+from .conftest import texts
+
+
+# --- toxicity
+
+def test_fold():
+    assert toxicity.fold("1D10T, іdiоt ＩＤＩＯＴ 5tup1d") == "idiot, idiot idiot stupid"
+    assert toxicity.fold("pay 100$ at 5 p.m.") == "pay 100$ at 5 p.m."
+
+
+def test_matcher_takes_whole_words_and_spares_exceptions():
+    m = toxicity.Matcher(toxicity.Lexicon(words={"trash": 3.0, "idiot": 4.0}, beginnings={"scum": 2.0}))
+    hit = lambda t: [(t[a:b], w) for a, b, w in m.hits(t)]
+    assert hit("idiot idiots trash") == [("idiot", 4.0), ("trash", 3.0)]
+    assert hit("the trash can, trash") == [("trash", 3.0)]
+    assert hit("scumbag xscum scum") == [("scum", 2.0), ("scum", 2.0)]
+    assert m.score("") == m.score(None) == m.score("clean words")
+
+
+def test_length_normalises():
+    lexicon = toxicity.Lexicon(words={"idiot": 5.0}, curve=(0.0, 1.0, -1.0))
+    m = toxicity.Matcher(lexicon)
+    assert m.score("idiot") > m.score("idiot " + "word " * 500)
+
+
+@pytest.mark.parametrize("rows", [[], [("a", 0)], [("a", 1)] * 3])
+def test_learning_from_too_little(rows):
+    m = toxicity.Matcher(toxicity.learn(rows))
+    assert 0 < m.score("a") < 1
+
+
+def test_held_out_accuracy(spark):
+    d = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    lexicon = toxicity.train(docs, labels)
+    rows = toxicity.score_documents(docs, lexicon).join(labels, "doc_id").where("held_out").collect()
+    assert all(zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 for r in rows)
+    hits = sum(r["predicted"] and r["toxic"] for r in rows)
+    assert hits >= 0.9 * sum(r["toxic"] for r in rows)
+    assert hits >= 0.85 * sum(r["predicted"] for r in rows)
+
+
+def test_training_reads_no_held_out_row(spark):
+    """Labels of the held-out fifth change nothing."""
+    rows = [(i, f"word{i % 7} {'nasty' if i % 3 == 0 else 'nice'} text") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    other = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    one, two = toxicity.train(docs, labels), toxicity.train(docs, other)
+    assert one == two and one.words.keys() >= {"nasty"}
+
+
+# --- quality
+
+def brute_quality(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
+    covered = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(8)} if len(set(windows)) < len(windows) else set()
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    failed = len(words) < 20 or 100 * len(covered) > 30 * len(words)
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)),
+            len(covered), failed)
+
+
+def test_quality_counts(spark, small):
+    made = ["a b c d e f g h " * 3 + "x " * 9, "1 2 3 4 5 6 7 8 9 1 2 3 4 5 6 7 8 9 1 2 3 4 5 6 7 8", "same " * 30, "l\nl\n\n \nl", None]
+    docs = small.select("doc_id", "text").unionByName(
+        spark.createDataFrame([(1000 + i, t) for i, t in enumerate(made)], "doc_id long, text string"))
+    want = {d: brute_quality(t) for d, t in texts(docs).items()}
+    for r in quality.assess(docs).collect():
+        assert tuple(r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")) == want[r["doc_id"]]
+
+
+def test_line_rules(spark):
+    good = ["The plan was made, and it works.", "Short", "Prices: 5 % and more!", "", "a | b is a pipe."]
+    bad = ["Home | About | Contact | Login", "home login contact", "All rights reserved.", "BUY!! NOW!! HERE!!", "a%%% b&&& c###",
+           "one two three four five six seven eight nine ten eleven twelve thirteen", "This Work Is LICENSED under x."]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(good + bad)], "i int, line string")
+    got = {r["line"]: r["f"] for r in docs.select("line", quality.line_fails(F.col("line")).alias("f")).collect()}
+    assert got == dict.fromkeys(good, False) | dict.fromkeys(bad, True)
+
+
+def test_a_document_that_loses_too_much_goes(spark):
+    prose = "It is a sentence of several words that stays in the text. Another one says quite different things about the matter."
+    docs = spark.createDataFrame([(1, prose + "\nHome | About | Login"), (2, prose + "\n" + "BUY!! NOW!! THE!! BEST!! OFFER!! IN!! TOWN!! FOR!! ALL!! OF!! YOU!! " + "AND!! SO!! ON!! UNTIL!! THE!! END!! OF!! THIS!! YEAR!!")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in quality.assess(docs).collect()}
+    assert got[1]["kept"] and got[1]["n_lines_removed"] == 1 and got[1]["cleaned"] == prose
+    assert not got[2]["kept"] and not got[2]["base_failed"]
+
+
+def test_quality_runs_no_python(spark, small):
+    plan = quality.assess(small)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas|Exchange", plan)
+
+
+# --- personal data
+
+def plain_pii(text):
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
+            if all(int(x) <= 255 for x in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = re.sub("[^0-9]", "", m[0])
+        s = sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d)))
+        if 12 <= len(d) <= 19 and s % 10 == 0:
+            out.append(("card", *m.span()))
+    out += [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text)
+            if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+    return sorted(out)
+
+
+def test_pii_base_spans(small):
+    rng = random.Random(5)
+    made = ["".join(rng.choice("ab.@-+ é1205()\n") for _ in range(rng.randint(0, 40))) for _ in range(5000)]
+    for t in made + list(texts(small).values()):
+        assert sorted(pii.base_spans(t)) == plain_pii(t), t
+
+
+@pytest.fixture(scope="module")
+def weights(spark):
+    return pii.fit(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+
+
+def test_pii_model_adds_what_the_patterns_miss(weights):
+    def added(t):
+        return [(k, t[a:b]) for k, a, b in pii.added_spans(t, pii.base_spans(t), weights)]
+
+    assert added("mail me at joe.doe (at) example.com please") == [("email", "joe.doe (at) example.com")]
+    assert added("phone (183) 555-1276 inan") == [("phone", "(183) 555-1276")]
+    assert added("the +1 (269) 555-3296 4524132264652876 and") == [("phone", "+1 (269) 555-3296"), ("card", "4524132264652876")]
+    for clean in ("at 2024-01-02 it was", "ids 1234567 and 20240101", "order 1234-5678-9012-3456 went", "version 2.0.1 of it"):
+        assert added(clean) == [], clean
+
+
+def test_pii_spans_and_counts(spark, weights):
+    docs = spark.createDataFrame([(1, "joe@example.com and 10.0.0.1 or joe [at] example.com")], "doc_id long, text string")
+    r = pii.scan(docs, weights).first()
+    assert (r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]) == (1, 1, 0, 0)
+    assert r["spans"].startswith("email:0:15,ip:20:28")
+
+
+def test_semi_markov_decoding_is_the_best_segmentation(weights):
+    """Dynamic programming against all segmentations of a short window."""
+    rng = random.Random(2)
+    for _ in range(20):
+        text = rng.choice(["call (212) 555-0199 x", "a@b (at) c.de 1", "10.1.2.3 4 5", "4111 1111 1111 1111"])
+        x = pii.Lattice(text, 0, len(text))
+        value = {k: sum(weights.get(f, 0.0) for f in s[3]) for k, s in enumerate(x.segments)}
+
+        def best(j, seen={}):
+            return 0.0 if j == 0 else max(best(x.segments[k][0]) + value[k] for k in x.by_end[j])
+
+        got = x.best(weights)
+        marks = {m: i for i, m in enumerate(x.marks)}
+        spans = {(marks[a], marks[b], k) for k, a, b in got}
+        inside = {i for a, b, _ in spans for i in range(a, b)}
+        total = sum(v for k, v in value.items() if (x.segments[k][0], x.segments[k][1], x.segments[k][2]) in spans
+                    or (x.segments[k][2] is None and x.segments[k][0] not in inside))
+        assert abs(total - best(x.n)) < 1e-6
+
+
+# --- secrets
+
+def plain_secrets(text):
+    out = [("assign", *m.span()) for m in re.finditer(
+        r"([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"
+        r"[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text) if len(m[2]) >= 8]
+    out += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    return sorted(out + [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32])
+
+
+def test_secret_base_spans(small):
+    rng = random.Random(6)
+    parts = ["token", "TOKEN", "ſecret", "apiKey", "api_key", "passwd", '"', "'", " ", "=", ":", "AKIA", "ABC123", "0f" * 9, "x", "\n", "-"]
+    made = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(5000)]
+    for t in made + list(texts(small).values()):
+        assert sorted(secrets.base_spans(t)) == plain_secrets(t), t
+
+
+def test_token_efficiency():
+    path = secrets.default_vocabulary()
+    rng = random.Random(7)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    found = [secrets.is_random("".join(rng.choice(letters) for _ in range(rng.randint(24, 64))), path) for _ in range(300)]
+    assert sum(found) >= 0.98 * len(found)
+    for known in ("getUserAccountSettingsFromDatabase2", "123e4567-e89b-12d3-a456-426614174000", "THE_QUICK_BROWN_FOX_JUMPS_OVER",
+                  "d41d8cd98f00b204e9800998ecf8427e", "DA39A3EE5E6B4B0D3255BFEF95601890AFD80709", "thhehestionblereaingandthe"):
+        assert not secrets.is_random(known, path), known
+
+
+def test_random_spans_leave_base_alone():
+    path = secrets.default_vocabulary()
+    t = 'token = "wJalrXUtnFEMIK7MDENGbPxRfiCY" and wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY'
+    base = secrets.base_spans(t)
+    assert [k for k, _, _ in base] == ["assign"]
+    assert [t[a:b] for _, a, b in secrets.random_spans(t, base, path)] == ["wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"]
