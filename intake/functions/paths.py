@@ -12,6 +12,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def path_key(c) -> Column:
+    """One spelling of a path for joins: a local path with or without scheme."""
+    return F.regexp_replace(F.col(c) if isinstance(c, str) else c, "^file:/+", "/")
+
+
 def file_name(path) -> Column:
     """Last part of a path (``Path.getName``)."""
     return F.regexp_extract(_col(path), r"([^/]*)$", 1)

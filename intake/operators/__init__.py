@@ -13,4 +13,4 @@ from intake.operators.metrics import ingest_metrics, observed, stream_progress
 from intake.operators.prefix import running_totals  # noqa: F401
 from intake.operators.shred import metadata_updates, shred_entries  # noqa: F401
 from intake.operators.work import (  # noqa: F401
-    attempt_ledger, flagged_collisions, parse_work_items, route_orphans, route_work, work_items)
+    attempt_ledger, flagged_collisions, parse_work_items, route_orphans, route_work, select_retries, work_items)

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from intake.functions.ids import as_of_col
+from intake.functions.ids import as_of_col, epoch_micros
 from intake.functions.paths import loaded_path
 
 
@@ -44,15 +44,22 @@ def unpaired_files(data: DataFrame, manifests: DataFrame, suffix: str = ".manife
 
 
 def bundle_ids(plan: DataFrame) -> DataFrame:
-    """A repeatable id per planned batch: md5 of feed, batch number, first
-    and last member path and member count (a replay writes the same bundle)."""
-    ident = plan.groupBy("feed", "batch_no").agg(
-        F.min("path").alias("_first"), F.max("path").alias("_last"),
-        F.count(F.lit(1)).alias("_n"))
+    """A repeatable id per planned batch from all its members: md5 of feed, batch
+    number, member count and two sums over the members' own md5 (path, length,
+    mtime).  Sums are free of order and need no gathering, so a batch of any
+    size is one partial row per map task; other members give another id, a
+    replay the same."""
+    own = F.md5(F.concat_ws("#", "path", F.col("length").cast("string"), epoch_micros("mtime").cast("string")))
+
+    def part(at: int):  # 60 bits of a member's md5
+        return F.sum(F.conv(F.substring("_own", at, 15), 16, 10).cast("decimal(20,0)")).cast("string")
+
+    ident = plan.withColumn("_own", own).groupBy("feed", "batch_no").agg(
+        F.count(F.lit(1)).alias("_n"), part(1).alias("_a"), part(16).alias("_b"))
     return ident.select(
         "feed", "batch_no",
-        F.md5(F.concat_ws("#", "feed", F.col("batch_no").cast("string"), "_first", "_last",
-                          F.col("_n").cast("string"))).alias("bundle_id"))
+        F.md5(F.concat_ws("#", F.coalesce("feed", F.lit("")), F.col("batch_no").cast("string"),
+                          F.col("_n").cast("string"), "_a", "_b")).alias("bundle_id"))
 
 
 def dated_output(output_dir: str, as_of, date_format: str = "yyyy/MM/dd",

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from intake.schemas import ENTRY_COLUMNS, ENTRY_KEY
@@ -25,10 +25,13 @@ def dedupe_entries(entries: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
 
 
 def aggregate_entries(entries: DataFrame, sum_tables: Sequence[str] = (),
-                      sum_type: str = "decimal(18,2)", scope: Sequence[str] = ()) -> DataFrame:
+                      sum_type: str = "decimal(28,9)", scope: Sequence[str] = ()) -> DataFrame:
     """Combine entries of equal key.
 
-    Tables in ``sum_tables`` are counters: values are summed as ``sum_type``.
+    Tables in ``sum_tables`` are counters: values are summed as ``sum_type``
+    (wide enough to lose no digit of a count or an amount) and written without
+    trailing zeros; values that are no number are left out and counted in
+    ``n_rejected``.
     Every other table keeps the newest value (latest ``ts``; equal ``ts``
     resolved by the greater value, so the result never depends on row order).
     ``n_combined`` counts the entries folded into each output row.  ``scope``
@@ -36,14 +39,22 @@ def aggregate_entries(entries: DataFrame, sum_tables: Sequence[str] = (),
     """
     sums = list(sum_tables)
     is_sum = F.col("table_name").isin(sums) if sums else F.lit(False)
+    number = F.col("value").try_cast(sum_type)
     agg = entries.groupBy(*scope, *ENTRY_KEY).agg(
         F.max("ts").alias("ts"),
-        F.sum(F.when(is_sum, F.col("value").cast(sum_type))).alias("_sum"),
+        F.sum(F.when(is_sum, number)).alias("_sum"),
         F.max_by("value", F.struct("ts", "value")).alias("_newest"),
         F.count(F.lit(1)).alias("n_combined"),
+        F.count_if(is_sum & number.isNull()).alias("n_rejected"),
     )
-    value = F.when(is_sum, F.col("_sum").cast("string")).otherwise(F.col("_newest"))
-    return agg.select(*scope, *ENTRY_KEY, "ts", value.alias("value"), "n_combined")
+    value = F.when(is_sum, plain_number(F.col("_sum"))).otherwise(F.col("_newest"))
+    return agg.select(*scope, *ENTRY_KEY, "ts", value.alias("value"), "n_combined", "n_rejected")
+
+
+def plain_number(total: Column) -> Column:
+    """A decimal sum as text without trailing zeros; no number at all: ``0``."""
+    text = F.coalesce(total.cast("decimal(38,9)"), F.lit(0).cast("decimal(38,9)")).cast("string")
+    return F.regexp_replace(text, r"\.?0*$", "")
 
 
 def sort_entries(entries: DataFrame, partitions: int | None = None) -> DataFrame:

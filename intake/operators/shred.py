@@ -29,7 +29,7 @@ def _entry(table, row_key, family, qualifier, ts, value) -> Column:
 def shred_entries(records: DataFrame, data_type: str, row_key, fields: Mapping[str, object],
                   ts, index_fields: Sequence[str] = (), table: str = "event",
                   index_table: str = "index", carry: Sequence[str] = (),
-                  extra: Sequence[Column] = ()) -> DataFrame:
+                  extra: Sequence[Column] = (), reject_table: str | None = "rejected") -> DataFrame:
     """One entry per (record, field) in ``table``; for ``index_fields`` also an
     inverted entry in ``index_table`` (row = value, qualifier = record row).
 
@@ -37,7 +37,10 @@ def shred_entries(records: DataFrame, data_type: str, row_key, fields: Mapping[s
     the entry value, so the caller picks the formatting (e.g. a fixed-scale
     decimal for money).  Null values make no entry.  ``carry`` columns (e.g.
     ``work_id``) are kept beside every entry; ``extra`` entry structs (e.g.
-    counters) are emitted from the same pass over the records.
+    counters) are emitted from the same pass over the records.  A record without
+    a row key makes one entry of ``reject_table`` (row = md5 of the record,
+    family = data type, qualifier ``null_key``, value = the record as JSON)
+    instead of vanishing; ``None`` drops it.
     """
     unknown = set(index_fields) - set(fields)
     if unknown:
@@ -51,6 +54,10 @@ def shred_entries(records: DataFrame, data_type: str, row_key, fields: Mapping[s
         items.append(_entry(F.lit(table), rk, dt, F.lit(name), t, v))
         if name in index_fields:
             items.append(_entry(F.lit(index_table), v, F.lit(name), rk, t, dt))
+    if reject_table is not None:
+        whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in records.columns]))
+        lost = rk.isNull()
+        items.append(_entry(F.lit(reject_table), F.when(lost, F.md5(whole)), dt, F.lit("null_key"), t, F.when(lost, whole)))
     out = records.select(*carry, F.inline(F.array(*items, *extra)))
     return (out.where(F.col("row_key").isNotNull() & F.col("value").isNotNull())
             .select(*ENTRY_COLUMNS, *carry))

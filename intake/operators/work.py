@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intake.functions.ids import content_id, epoch_micros
-from intake.functions.paths import flagged_path
+from intake.functions.paths import flagged_path, path_key
 from intake.operators.joins import broadcast_if_small
 
 # Input formats a work item may name (Spark file sources).
@@ -52,7 +52,10 @@ def parse_work_items(messages: DataFrame, inventory: DataFrame | None = None,
     first; anything but three fields is ``bad_fields``.  An unknown format is
     ``unknown_format`` (the reference only logs it).  With an ``inventory``
     (``path, length``), a missing file is ``missing`` and ``length`` is filled
-    in by a join, not by one file-system call per message.
+    in by a join, not by one file-system call per message; ``read_path`` is where
+    the file is (the inventory's ``read_path`` if it has one, for files that are
+    listed under the path they will be moved to).  Local paths match with or
+    without their scheme.
     """
     stripped = F.regexp_replace(F.col(message_col), ",+$", "")
     parts = F.split(stripped, ",", -1)
@@ -67,8 +70,9 @@ def parse_work_items(messages: DataFrame, inventory: DataFrame | None = None,
     status = (F.when(F.col("n_fields") != 3, F.lit("bad_fields"))
               .when(~F.col("format").isin(fmts), F.lit("unknown_format")))
     if inventory is not None:
-        inv = inventory.select(F.col("path").alias("_inv_path"), F.col("length"))
-        parsed = parsed.join(inv, parsed["path"] == inv["_inv_path"], "left")
+        where = "read_path" if "read_path" in inventory.columns else "path"
+        inv = inventory.select(path_key("path").alias("_inv_path"), F.col("length"), F.col(where).alias("read_path"))
+        parsed = parsed.join(inv, path_key(parsed["path"]) == inv["_inv_path"], "left")
         status = status.when(F.col("_inv_path").isNull(), F.lit("missing"))
     parsed = parsed.withColumn("data_type", F.trim(F.col("data_type")))
     parsed = parsed.withColumn("status", status.otherwise(F.lit("ok")))
@@ -82,15 +86,18 @@ def config_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Dat
 
 def route_work(items: DataFrame, feeds: DataFrame, pools: DataFrame,
                max_broadcast_rows: int = 100_000) -> DataFrame:
-    """Feed -> queue -> pool.  Items of a feed without config are dropped; a
-    queue without pool keeps its items with a null pool.
+    """Feed -> queue -> pool, with a ``route`` status.  Every item stays: one of
+    a feed without config (or without feed) has a null queue (``no_queue``), one
+    whose queue no pool reads a null pool (``no_pool``), the rest is ``ok``.
 
     ``feeds`` and ``pools`` are settings tables (one row per configured feed
     or pool); they are broadcast once their size is checked.
     """
     f = broadcast_if_small(feeds.select("feed", "queue"), max_broadcast_rows)
     p = broadcast_if_small(pools.select("pool", "queue", "replicas"), max_broadcast_rows)
-    return items.join(f, "feed").join(p, "queue", "left")
+    routed = items.join(f, "feed", "left").join(p, "queue", "left")
+    return routed.withColumn("route", F.when(F.col("queue").isNull(), "no_queue")
+                             .when(F.col("pool").isNull(), "no_pool").otherwise("ok"))
 
 
 def route_orphans(feeds: DataFrame, pools: DataFrame) -> DataFrame:
@@ -103,19 +110,29 @@ def route_orphans(feeds: DataFrame, pools: DataFrame) -> DataFrame:
 
 
 def attempt_ledger(outcomes: DataFrame, max_attempts: int) -> DataFrame:
-    """Delivery state per work item from its outcome rows (``work_id, at,
-    status``; one row per delivery).  ``done`` after an ``ok`` last attempt,
-    ``dead_letter`` once ``max_attempts`` deliveries failed, else ``retry``.
+    """Delivery state per work item from its outcome rows (``work_id, attempt,
+    at, status``).  The number of attempts is the greatest ``attempt``, so a
+    delivery reported several times counts once.  An ``ok`` is final: ``done``;
+    else ``dead_letter`` from ``max_attempts`` on, else ``retry``.
+    ``last_status`` is that of the greatest attempt (``ok`` first, then the
+    latest report).
 
     A partial-aggregated ``groupBy``: an item redelivered a million times is
     one row per map task in the shuffle.
     """
     led = outcomes.groupBy("work_id").agg(
-        F.count(F.lit(1)).alias("attempts"),
-        F.max_by("status", F.struct("at", "status")).alias("last_status"),
+        F.max("attempt").alias("attempts"),
+        F.max_by("status", F.struct("attempt", F.col("status") == "ok", "at", "status")).alias("last_status"),
         F.max("at").alias("last_at"),
+        F.max(F.col("status") == "ok").alias("_ok"),
     )
-    state = (F.when(F.col("last_status") == "ok", F.lit("done"))
+    state = (F.when(F.col("_ok"), F.lit("done"))
              .when(F.col("attempts") >= F.lit(max_attempts), F.lit("dead_letter"))
              .otherwise(F.lit("retry")))
-    return led.withColumn("state", state)
+    return led.withColumn("state", state).drop("_ok")
+
+
+def select_retries(items: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Work items to deliver again, with the number of the next ``attempt``."""
+    again = ledger.where(F.col("state") == "retry").select("work_id", (F.col("attempts") + 1).alias("attempt"))
+    return items.join(again, "work_id")

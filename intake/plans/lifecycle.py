@@ -23,16 +23,20 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from intake.config import BundlerConfig, FeederConfig, IngestConfig, ScanConfig
 from intake.functions.ids import as_of_col
-from intake.functions.paths import loaded_path, source_file_path
+from intake.functions.paths import loaded_path, path_key, source_file_path
 from intake.operators.batching import batch_plan, threshold_batch, threshold_trigger
 from intake.operators.bundle import file_accounting, mark_paired
 from intake.operators.combine import aggregate_entries, dedupe_entries
 from intake.operators.joins import broadcast_if_small
 from intake.operators.filters import exclude_manifests, ignore_prefix, quarantine_filter, quarantine_update
 from intake.operators.work import flagged_collisions, parse_work_items, work_items
+from intake.operators.shred import metadata_updates
+from intake.schemas import ENTRY_COLUMNS, ENTRY_SCHEMA
+from intake.session import checkpoint_dir
 from intake.sinks.bulk import write_bulk
 from intake.sinks.bundles import bundle_folder, compact_bundles
 from intake.sinks.live import upsert_live
@@ -66,7 +70,8 @@ def feeder_tick(inventory: DataFrame, failures: DataFrame, scan: ScanConfig, fee
     scanned = threshold_batch(files, scan, as_of, limits=limits)
     trigger = threshold_trigger(scanned, scan, limits)
     fired = trigger.where("fired").select("feed")
-    taken = scanned.where("taken").join(fired, "feed", "left_semi")
+    # null-safe: files without a feed are one feed
+    taken = scanned.where("taken").join(fired, scanned["feed"].eqNullSafe(fired["feed"]), "left_semi")
     items = work_items(taken, feeder.target_dir, feeder.input_format, feeder.data_type,
                        scan.input_dir, feeder.preserve_path)
     return {"scan": scanned, "trigger": trigger, "items": items, "collisions": flagged_collisions(items)}
@@ -80,47 +85,84 @@ class DataType:
     sum_tables: tuple[str, ...] = ()
 
 
+# formats that Spark reads without a further package
+READABLE_FORMATS = ("csv", "json", "parquet", "orc", "text", "binaryFile")
+
+
 def ingest_items(spark: SparkSession, messages: DataFrame, inventory: DataFrame,
                  types: Mapping[str, DataType], as_of, mode: str | IngestConfig = "bulk",
-                 out_dir: str | None = None, batch_id: str = "0", run_id: str = "run") -> dict[str, DataFrame]:
+                 out_dir: str | None = None, batch_id: str = "0", run_id: str = "run",
+                 moved: DataFrame | None = None) -> dict[str, DataFrame]:
     """Work messages (``message, work_id``) -> entries -> sink.
 
+    Messages may name flagged targets: ``moved`` (the feeder's items:
+    ``target_path, path, length``) says where those files are.  Inputs fail one
+    by one: a bad message, an unreadable format, a data type without reader, a
+    missing or a corrupt file gives a ``failed`` outcome and the others go on.
+
     Bulk: entries and manifests under ``out_dir`` for batch ``batch_id``.
     Live: upserts into the live tables under ``out_dir`` and each input's
     loaded path (first ``/flagged/`` replaced).  ``mode`` may be an
     :class:`IngestConfig` (its ``live_ingest`` flag and ``output_dir``).
-    Returns the parsed items, the outcome rows (``work_id, at, status``)
-    and, for live, the moves."""
+    Returns the parsed items, the outcome rows (``work_id, at, status,
+    reason``), the metadata entries of what was written and, for live, the moves."""
     if isinstance(mode, IngestConfig):
         out_dir = out_dir or mode.output_dir
         mode = "live" if mode.live_ingest else "bulk"
-    parsed = parse_work_items(messages, inventory.select("path", "length"))
-    ok = parsed.where(F.col("status") == "ok")
-    records = read_typed_feed(spark, ok.select("path", "data_type", "format"),
-                              {k: v.spec for k, v in types.items()})
-    records = records.join(broadcast_if_small(ok.select(F.col("path").alias("source_path"), "work_id")),
-                           "source_path")
-    parts = []
-    for dt, t in types.items():
-        part = t.shred(records.where(F.col("data_type") == dt))
-        parts.append(aggregate_entries(dedupe_entries(part, ["work_id"]), t.sum_tables, scope=["work_id"]))
-    entries = parts[0]
-    for p in parts[1:]:
-        entries = entries.unionByName(p)
-    out: dict[str, DataFrame] = {"parsed": parsed}
-    if mode == "bulk":
-        write_bulk(entries.drop("n_combined"), ok.select("work_id", F.col("path").alias("source_path")),
-                   out_dir, batch_id)
-    elif mode == "live":
-        upsert_live(entries.drop("work_id", "n_combined"), out_dir, run_id, int(batch_id))
-        out["moves"] = ok.select("work_id", "path", loaded_path("path", "first").alias("loaded_path"))
-    else:
+    if mode not in ("bulk", "live"):
         raise ValueError(f"mode must be 'bulk' or 'live', got {mode!r}")
-    status = F.when(F.col("status") == "ok", F.lit("ok")).otherwise(F.lit("failed"))
-    out["outcomes"] = parsed.select("work_id", as_of_col(as_of).alias("at"), status.alias("status"))
+    files = inventory.select("path", "length", F.col("path").alias("read_path"))
+    if moved is not None:
+        files = files.unionByName(moved.select(F.col("target_path").alias("path"), "length",
+                                               F.col("path").alias("read_path"))).dropDuplicates(["path"])
+    parsed = parse_work_items(messages, files, READABLE_FORMATS)
+    known = F.col("data_type").isin(list(types))
+    parsed = parsed.withColumn("status", F.when((F.col("status") == "ok") & ~known, "unknown_type").otherwise(F.col("status")))
+    checkpoint_dir(spark)
+    parsed = parsed.checkpoint()
+    out: dict[str, DataFrame] = {}
+    while True:
+        ok = parsed.where(F.col("status") == "ok")
+        try:
+            entries = _entries_of(spark, ok, types)
+            if mode == "bulk":
+                write_bulk(entries, ok.select("work_id", F.col("path").alias("source_path")), out_dir, batch_id)
+            else:
+                upsert_live(entries.drop("work_id"), out_dir, run_id, int(batch_id))
+                out["moves"] = ok.select("work_id", "path", loaded_path("path", "first").alias("loaded_path"))
+            break
+        except Exception as e:  # noqa: BLE001 - Spark wraps the reader's exception
+            bad = failed_member(e)
+            if bad is None or ok.where(path_key("read_path") == path_key(F.lit(bad))).isEmpty():
+                raise
+            # one corrupt file fails its own items; every round takes one file out
+            hit = (F.col("status") == "ok") & (path_key("read_path") == path_key(F.lit(bad)))
+            parsed = parsed.withColumn("status", F.when(hit, "unreadable").otherwise(F.col("status"))).checkpoint()
+    out["parsed"] = parsed
+    out["metadata"] = metadata_updates(entries)
+    good = F.col("status") == "ok"
+    out["outcomes"] = parsed.select(
+        "work_id", as_of_col(as_of).alias("at"), F.when(good, F.lit("ok")).otherwise(F.lit("failed")).alias("status"),
+        F.when(~good, F.col("status")).alias("reason"))
     return out
 
 
+def _entries_of(spark: SparkSession, ok: DataFrame, types: Mapping[str, DataType]) -> DataFrame:
+    """Entries of the good items, read and shredded type by type: types may
+    give one column name different kinds."""
+    entries = spark.createDataFrame([], T.StructType([*ENTRY_SCHEMA.fields, T.StructField("work_id", T.StringType())]))
+    for dt, t in types.items():
+        mine = ok.where(F.col("data_type") == dt)
+        if mine.isEmpty():
+            continue
+        records = read_typed_feed(spark, mine.select(F.col("read_path").alias("path"), "data_type", "format"), {dt: t.spec})
+        lookup = broadcast_if_small(mine.select(path_key("read_path").alias("_key"), "work_id"))
+        part = t.shred(records.withColumn("_key", path_key("source_path")).join(lookup, "_key").drop("_key"))
+        part = aggregate_entries(dedupe_entries(part, ["work_id"]), t.sum_tables, scope=["work_id"])
+        entries = entries.unionByName(part.select(*ENTRY_COLUMNS, "work_id"))
+    return entries
+
+
 _FAILED_FILE = re.compile(r"(?:reading file|Could not read footer for file[: ]*|FileStatus\{path=)\s*(\S+?)[.;]?(?:\s|$)")
 
 
@@ -132,14 +174,14 @@ def failed_member(error: BaseException) -> str | None:
 
 def bundle_files(spark: SparkSession, inventory: DataFrame, failures: DataFrame, scan: ScanConfig,
                  as_of, folder: str, read_members: Callable[[list[str]], DataFrame],
-                 max_replans: int = 20) -> tuple[DataFrame, DataFrame]:
+                 ) -> tuple[DataFrame, DataFrame]:
     """Bundle the paired data files of ``inventory`` (data + ``.manifest``).
 
     ``read_members(paths)`` reads member files into entries with a
     ``source_path`` column.  Returns (members written, failure log).
     """
     manifests = inventory.where(F.col("path").endswith(".manifest"))
-    for _ in range(max_replans + 1):
+    while True:  # every round but the last quarantines one more file
         files = scan_filters(inventory, failures, scan, as_of, pre_check=exclude_manifests,
                              admit=lambda df: mark_paired(df, manifests))
         plan = batch_plan(files, scan, as_of).cache()
@@ -157,7 +199,6 @@ def bundle_files(spark: SparkSession, inventory: DataFrame, failures: DataFrame,
             failures = quarantine_update(failures, new, as_of, reason=f"unreadable bundle member: {type(e).__name__}")
         finally:
             plan.unpersist()
-    raise RuntimeError(f"gave up after {max_replans} re-plans")
 
 
 def bundler_run(spark: SparkSession, inventory: DataFrame, failures: DataFrame, scan: ScanConfig,

@@ -55,12 +55,13 @@ def _cte(*parts: str) -> str:
 FLAGSHIP_SQL = _cte(S.EVENT_ENTRIES_SQL, """counters AS (
   SELECT 'event_count' AS table_name, event_type AS row_key, 'day' AS family,
          strftime(ts, '%Y-%m-%d') AS qualifier, ts, '1' AS value FROM events WHERE event_type IS NOT NULL),
-allentries AS (SELECT DISTINCT * FROM (SELECT * FROM entries UNION ALL SELECT * FROM counters))""") + """
+allentries AS (SELECT DISTINCT * FROM (SELECT * FROM entries UNION ALL SELECT * FROM counters))""") + r"""
 SELECT table_name, row_key, family, qualifier, max(ts) AS ts,
        CASE WHEN table_name = 'event_count'
-            THEN CAST(sum(TRY_CAST(value AS DECIMAL(18,2))) AS VARCHAR)
+            THEN regexp_replace(CAST(sum(TRY_CAST(value AS DECIMAL(28,9))) AS VARCHAR), '\.?0*$', '')
             ELSE first(value ORDER BY ts DESC, value DESC) END AS value,
-       count(*) AS n_combined
+       count(*) AS n_combined,
+       count(*) FILTER (WHERE table_name = 'event_count' AND TRY_CAST(value AS DECIMAL(28,9)) IS NULL) AS n_rejected
 FROM allentries GROUP BY table_name, row_key, family, qualifier"""
 
 
@@ -76,9 +77,17 @@ register("shred_dedupe_aggregate", FLAGSHIP_SQL)(flagship)
 
 # ---------------------------------------------------------------- sources
 
-@register("landing_inventory", None)
+@register("landing_inventory", """
+SELECT 'feed=' || source AS folder, CAST(sum(strlen(text) + 1) AS BIGINT) AS n_bytes FROM documents GROUP BY source""")
 def q_landing_inventory(spark, d):
-    return landing_inventory(spark, d, recursive=False, feed="testdata")
+    """The documents written as text files, a folder per source, and listed:
+    the listed lengths add up to the bytes of the texts."""
+    out = scratch_dir(spark, "landing")
+    (S.table(spark, d, "documents").select(F.concat(F.lit("feed="), "source").alias("f"), F.col("text").alias("value"))
+     .hint("rebalance", "f").write.partitionBy("f").option("compression", "none").text(out))
+    inv = landing_inventory(spark, out, recursive=True, feed="documents")
+    return (inv.withColumn("folder", F.url_decode(F.regexp_extract("path", "/f=([^/]*)/[^/]*$", 1)))
+            .where(F.col("folder") != "").groupBy("folder").agg(F.sum("length").alias("n_bytes")))
 
 
 READ_TYPED_SQL = """
@@ -425,8 +434,9 @@ def q_feeder_tick(spark, d):
 _MESSAGES_SQL = """msgs AS (
   SELECT doc_id, path || ',' || (CASE WHEN doc_id % 11 = 0 THEN 'xml' ELSE 'csv' END) || ',mycsv '
          || (CASE WHEN doc_id % 7 = 0 THEN ',extra' ELSE ',' END) AS message
-  FROM landing),
-inv AS (SELECT path AS inv_path, length FROM landing WHERE lang <> 'de')"""
+  FROM landing
+  UNION ALL SELECT doc_id, path || '.gone,csv,mycsv' FROM landing WHERE doc_id % 5 = 0),
+inv AS (SELECT path AS inv_path, length FROM landing)"""
 
 
 @register("parse_work_items", _cte(S.LANDING_SQL, _MESSAGES_SQL) + """
@@ -445,44 +455,48 @@ def q_parse_work_items(spark, d):
     fmt = F.when(F.col("doc_id") % 11 == 0, F.lit("xml")).otherwise(F.lit("csv"))
     tail = F.when(F.col("doc_id") % 7 == 0, F.lit(",extra")).otherwise(F.lit(","))
     msgs = files.select(F.concat(F.col("path"), F.lit(","), fmt, F.lit(",mycsv "), tail).alias("message"))
-    inv = files.where(F.col("lang") != "de").select("path", "length")
-    parsed = work.parse_work_items(msgs, inv)
+    gone = files.where("doc_id % 5 = 0").select(F.concat("path", F.lit(".gone,csv,mycsv")).alias("message"))
+    parsed = work.parse_work_items(msgs.unionByName(gone), files.select("path", "length"))
     return parsed.select("message", "n_fields", "path", "format", "data_type", "length", "status")
 
 
 # Feeds and pools of the routing query, shaped like the
 # reference's sample (plus a feed and a pool without partner).
-ROUTE_FEEDS = [("src0", "fast"), ("src1", "fastest"), ("src2", "fastest"), ("src3", "slow")]
+ROUTE_FEEDS = [(f"src{i}", ("fast", "fastest", "slow")[i % 3]) for i in range(19)]  # src19 has no queue
 ROUTE_POOLS = [("speedy", "fast", 1), ("speediest", "fastest", 1), ("idle", "unused", 1)]
 
-_ROUTE_SQL = """feeds(feed, queue) AS (VALUES ('src0','fast'), ('src1','fastest'), ('src2','fastest'), ('src3','slow')),
+_ROUTE_SQL = """feeds(feed, queue) AS (
+  SELECT 'src' || CAST(i AS VARCHAR), CASE i % 3 WHEN 0 THEN 'fast' WHEN 1 THEN 'fastest' ELSE 'slow' END FROM range(19) t(i)),
 pools(pool, queue, replicas) AS (VALUES ('speedy','fast',1), ('speediest','fastest',1), ('idle','unused',1))"""
 
 
 @register("route_work", _cte(S.LANDING_SQL, _ROUTE_SQL) + """
-SELECT f.queue, l.feed, l.path, p.pool, p.replicas
-FROM landing l JOIN feeds f ON f.feed = l.feed LEFT JOIN pools p ON p.queue = f.queue""")
+SELECT f.queue, l.feed, l.path, p.pool, p.replicas,
+       CASE WHEN f.queue IS NULL THEN 'no_queue' WHEN p.pool IS NULL THEN 'no_pool' ELSE 'ok' END AS route
+FROM landing l LEFT JOIN feeds f ON f.feed = l.feed LEFT JOIN pools p ON p.queue = f.queue""")
 def q_route_work(spark, d):
     feeds = work.config_table(spark, ROUTE_FEEDS, "feed string, queue string")
     pools = work.config_table(spark, ROUTE_POOLS, "pool string, queue string, replicas int")
     items = S.landing_files(spark, d).select("feed", "path")
-    return work.route_work(items, feeds, pools).select("queue", "feed", "path", "pool", "replicas")
+    return work.route_work(items, feeds, pools).select("queue", "feed", "path", "pool", "replicas", "route")
 
 
 @register("attempt_ledger", f"""
-SELECT work_id, count(*) AS attempts, first(status ORDER BY ts DESC, status DESC) AS last_status,
-       max(ts) AS last_at,
-       CASE WHEN first(status ORDER BY ts DESC, status DESC) = 'ok' THEN 'done'
-            WHEN count(*) >= {S.MAX_ATTEMPTS} THEN 'dead_letter' ELSE 'retry' END AS state
-FROM (SELECT 'user-' || CAST(user_id AS VARCHAR) AS work_id, ts,
-             CASE WHEN event_type = 'error' THEN 'failed' ELSE 'ok' END AS status FROM events)
+SELECT work_id, max(attempt) AS attempts,
+       first(status ORDER BY attempt DESC, status = 'ok' DESC, ts DESC, status DESC) AS last_status, max(ts) AS last_at,
+       CASE WHEN bool_or(status = 'ok') THEN 'done' WHEN max(attempt) >= {S.MAX_ATTEMPTS} THEN 'dead_letter'
+            ELSE 'retry' END AS state
+FROM (SELECT 'user-' || CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y-%m-%d') AS work_id, ts,
+             CAST(extract(hour FROM ts) AS INTEGER) + 1 AS attempt,
+             CASE WHEN event_type IN ('error', 'view') THEN 'failed' ELSE 'ok' END AS status FROM events)
 GROUP BY work_id""")
 def q_attempt_ledger(spark, d):
+    """Work item = a user's day, delivery = its hour (reported once per event)."""
     ev = S.table(spark, d, "events")
     outcomes = ev.select(
-        F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("work_id"),
-        F.col("ts").alias("at"),
-        F.when(F.col("event_type") == "error", F.lit("failed")).otherwise(F.lit("ok")).alias("status"))
+        F.concat(F.lit("user-"), F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyy-MM-dd")).alias("work_id"),
+        (F.hour("ts") + 1).alias("attempt"), F.col("ts").alias("at"),
+        F.when(F.col("event_type").isin("error", "view"), F.lit("failed")).otherwise(F.lit("ok")).alias("status"))
     return work.attempt_ledger(outcomes, S.MAX_ATTEMPTS).select(
         "work_id", "attempts", "last_status", "last_at", "state")
 
@@ -509,11 +523,13 @@ def q_dedupe_entries(spark, d):
     return combine.dedupe_entries(S.lineitem_entries(spark, d))
 
 
-@register("aggregate_entries", _cte(S.LINEITEM_ENTRIES_SQL) + """
+@register("aggregate_entries", _cte(S.LINEITEM_ENTRIES_SQL) + r"""
 SELECT table_name, row_key, family, qualifier, max(ts) AS ts,
-       CASE WHEN table_name = 'qty' THEN CAST(sum(TRY_CAST(value AS DECIMAL(18,2))) AS VARCHAR)
+       CASE WHEN table_name = 'qty'
+            THEN regexp_replace(CAST(sum(TRY_CAST(value AS DECIMAL(28,9))) AS VARCHAR), '\.?0*$', '')
             ELSE first(value ORDER BY ts DESC, value DESC) END AS value,
-       count(*) AS n_combined
+       count(*) AS n_combined,
+       count(*) FILTER (WHERE table_name = 'qty' AND TRY_CAST(value AS DECIMAL(28,9)) IS NULL) AS n_rejected
 FROM (SELECT DISTINCT * FROM entries) GROUP BY table_name, row_key, family, qualifier""")
 def q_aggregate_entries(spark, d):
     deduped = combine.dedupe_entries(S.lineitem_entries(spark, d))
@@ -538,20 +554,16 @@ def q_table_counters(spark, d):
 
 # ---------------------------------------------------------------- sinks
 
-@register("write_bulk", """
-SELECT md5(src) AS work_id, src AS source_path,
-       CAST(sum(CASE WHEN event_type IS NOT NULL THEN 2 ELSE 0 END + CASE WHEN value IS NOT NULL THEN 1 ELSE 0 END
-                + CASE WHEN props IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_entries
-FROM (SELECT *, '/landing/flagged/events/user-' || CAST(user_id AS VARCHAR) || '.json' AS src FROM events)
-GROUP BY src""")
+@register("write_bulk", _cte(_event_entries_sql(True), """srcs AS (
+  SELECT DISTINCT '/landing/flagged/events/user-' || CAST(user_id AS VARCHAR) || '.json' AS source_path FROM events)""") + """
+SELECT m.source_path, e.* FROM srcs m LEFT JOIN entries e ON e.work_id = md5(m.source_path)""")
 def q_write_bulk(spark, d):
+    """Every written entry, found through its manifest line."""
     paths = _bulk_written(spark, d)
-    data = read_entries(spark, paths["data"])
     lines = bulk.read_manifests(spark, paths["manifests"])
     parts = F.split("value", "\t", -1)
     man = lines.select(F.get(parts, 0).alias("work_id"), F.get(parts, 1).alias("source_path"))
-    counts = data.groupBy("work_id").agg(F.count(F.lit(1)).alias("n_entries"))
-    return man.join(counts, "work_id", "left")
+    return man.join(read_entries(spark, paths["data"]).drop("batch_id", "bucket"), "work_id", "left")
 
 
 @register("upsert_live", """
@@ -575,6 +587,40 @@ def q_upsert_live(spark, d):
         "table_name", "row_key", "family", "qualifier", "value", "ts", "n_versions")
 
 
+@register("live_counters", r"""
+WITH e AS (
+  SELECT 'qty' AS table_name, CAST(l_suppkey AS VARCHAR) AS row_key, l_returnflag AS qualifier, l_shipdate AS ts,
+         CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) AS value FROM lineitem
+  UNION ALL
+  SELECT 'price', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), l_shipdate,
+         CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) FROM lineitem)
+SELECT table_name, row_key, 'line' AS family, qualifier, max(ts) AS ts,
+       CASE WHEN table_name = 'qty'
+            THEN regexp_replace(CAST(sum(CAST(value AS DECIMAL(28,9))) AS VARCHAR), '\.?0*$', '')
+            ELSE first(value ORDER BY ts DESC, value DESC) END AS value
+FROM e GROUP BY table_name, row_key, qualifier""")
+def q_live_counters(spark, d):
+    """Counters and newest values over four batches: one replayed, two folded
+    into a snapshot before the last two arrive, the third folded again."""
+    li = S.table(spark, d, "lineitem")
+
+    def entry(table, key, qualifier, value):
+        return F.struct(F.lit(table).alias("table_name"), F.col(key).cast("string").alias("row_key"), F.lit("line").alias("family"),
+                        F.col(qualifier).cast("string").alias("qualifier"), F.col("l_shipdate").cast("timestamp_ntz").alias("ts"),
+                        F.col(value).cast("decimal(18,2)").cast("string").alias("value"))
+
+    rows = li.select((F.col("l_linenumber") % 4).alias("batch"), F.inline(F.array(
+        entry("qty", "l_suppkey", "l_returnflag", "l_quantity"), entry("price", "l_orderkey", "l_linenumber", "l_extendedprice"))))
+    table_dir = scratch_dir(spark, "live-counters")
+    for batch in (0, 1, 1):
+        live.upsert_live(combine.aggregate_entries(rows.where(F.col("batch") == batch), ["qty"]), table_dir, "q", batch)
+    live.compact_live(spark, table_dir, sum_tables=["qty"])
+    for batch in (2, 3):
+        live.upsert_live(combine.aggregate_entries(rows.where(F.col("batch") == batch), ["qty"]), table_dir, "q", batch)
+    live.compact_live(spark, table_dir, upto=live.batch_tag("q", 2), sum_tables=["qty"])
+    return live.live_current(spark, table_dir, ["qty"]).drop("n_versions")
+
+
 # ---------------------------------------------------------------- bundles
 
 @register("pair_manifests", _cte(S.LANDING_SQL, S.MANIFEST_SQL) + f"""
@@ -586,27 +632,32 @@ def q_pair_manifests(spark, d):
 
 
 @register("unpaired_files", _cte(S.LANDING_SQL, S.MANIFEST_SQL) + """,
-data AS (SELECT path FROM landing WHERE lang <> 'de')
-SELECT 'no_manifest' AS kind, path FROM data d
-WHERE NOT EXISTS (SELECT 1 FROM manifests m WHERE m.path = d.path || '.manifest')
+allmanifests AS (SELECT path FROM manifests UNION ALL SELECT path || '.gone.manifest' FROM landing WHERE doc_id % 9 = 0)
+SELECT 'no_manifest' AS kind, path FROM landing d
+WHERE NOT EXISTS (SELECT 1 FROM allmanifests m WHERE m.path = d.path || '.manifest')
 UNION ALL
-SELECT 'no_data', path FROM manifests m
-WHERE NOT EXISTS (SELECT 1 FROM data d WHERE d.path || '.manifest' = m.path)""")
+SELECT 'no_data', path FROM allmanifests m
+WHERE NOT EXISTS (SELECT 1 FROM landing d WHERE d.path || '.manifest' = m.path)""")
 def q_unpaired_files(spark, d):
-    data = S.landing_files(spark, d).where(F.col("lang") != "de")
-    return bundle.unpaired_files(data, S.manifest_files(spark, d))
+    """All data files; some manifests name files that are gone."""
+    data = S.landing_files(spark, d)
+    gone = data.where("doc_id % 9 = 0").select(F.concat("path", F.lit(".gone.manifest")).alias("path"))
+    return bundle.unpaired_files(data, S.manifest_files(spark, d).select("path").unionByName(gone))
 
 
 @register("compact_bundles", _cte(S.LANDING_SQL, S.MANIFEST_SQL, S.PAIRED_SQL, PLAN_SQL_BODY) + """,
+own AS (SELECT *, md5(path || '#' || CAST(length AS VARCHAR) || '#' || CAST(epoch_us(mtime) AS VARCHAR)) AS h
+        FROM plan WHERE fired),
 ids AS (
-  SELECT feed, batch_no, md5(feed || '#' || CAST(batch_no AS VARCHAR) || '#' || min(path) || '#' || max(path)
-                             || '#' || CAST(count(*) AS VARCHAR)) AS bundle_id
-  FROM plan WHERE fired GROUP BY feed, batch_no)
-SELECT i.bundle_id, count(*) AS n_rows, CAST(sum(doc.n_chars) AS BIGINT) AS n_bytes
-FROM plan p JOIN ids i ON i.feed = p.feed AND i.batch_no = p.batch_no
-JOIN landing l ON l.path = p.path JOIN documents doc ON doc.doc_id = l.doc_id
-GROUP BY i.bundle_id""")
+  SELECT feed, batch_no, md5(feed || '#' || CAST(batch_no AS VARCHAR) || '#' || CAST(count(*) AS VARCHAR)
+         || '#' || CAST(sum(CAST('0x' || substr(h, 1, 15) AS BIGINT)) AS VARCHAR)
+         || '#' || CAST(sum(CAST('0x' || substr(h, 16, 15) AS BIGINT)) AS VARCHAR)) AS bundle_id
+  FROM own GROUP BY feed, batch_no)
+SELECT i.bundle_id, p.path, doc.doc_id, doc.n_chars, md5(doc.text) AS text_md5
+FROM own p JOIN ids i ON i.feed = p.feed AND i.batch_no = p.batch_no
+JOIN landing l ON l.path = p.path JOIN documents doc ON doc.doc_id = l.doc_id""")
 def q_compact_bundles(spark, d):
+    """Every member as read back from its bundle."""
     plan = _plan(spark, d)
     docs = S.table(spark, d, "documents")
     records = docs.select(
@@ -616,8 +667,7 @@ def q_compact_bundles(spark, d):
     bundles.compact_bundles(records, plan, folder, columns=["doc_id", "n_chars", "text"])
     back = spark.read.schema("doc_id bigint, n_chars bigint, text string, source_path string, "
                              "bundle_id string").parquet(folder)
-    return back.groupBy("bundle_id").agg(F.count(F.lit(1)).alias("n_rows"),
-                                         F.sum("n_chars").alias("n_bytes"))
+    return back.select("bundle_id", F.col("source_path").alias("path"), "doc_id", "n_chars", F.md5("text").alias("text_md5"))
 
 
 @register("dated_output", """
@@ -631,15 +681,17 @@ def q_dated_output(spark, d):
 _LINES_SQL = """lines AS (
   SELECT CASE WHEN m.toxic = 1 THEN md5(l.path) ELSE md5(l.path) || chr(9) || l.path END AS value
   FROM manifests m JOIN landing l ON m.path = l.path || '.manifest')"""
+_MORE_LINES_SQL = """morelines AS (
+  SELECT value FROM lines UNION ALL SELECT md5(path) || chr(9) || path || '.gone' FROM landing WHERE doc_id % 4 = 0)"""
 
 
-@register("file_accounting", _cte(S.LANDING_SQL, S.MANIFEST_SQL, _LINES_SQL) + """,
-inv AS (SELECT path AS inv_path FROM landing WHERE lang <> 'de')
+@register("file_accounting", _cte(S.LANDING_SQL, S.MANIFEST_SQL, _LINES_SQL, _MORE_LINES_SQL) + """,
+inv AS (SELECT path AS inv_path FROM landing)
 SELECT value, s[1] AS work_id, s[2] AS origin,
        CASE WHEN s[2] IS NULL OR s[2] = '' THEN NULL ELSE replace(s[2], '/flagged/', '/loaded/') END AS loaded_path,
        CASE WHEN s[2] IS NULL OR s[2] = '' THEN 'malformed'
             WHEN inv.inv_path IS NULL THEN 'missing' ELSE 'moved' END AS status
-FROM (SELECT value, string_split(value, chr(9)) AS s FROM lines) x
+FROM (SELECT value, string_split(value, chr(9)) AS s FROM morelines) x
 LEFT JOIN inv ON inv.inv_path = x.s[2]""")
 def q_file_accounting(spark, d):
     files = S.landing_files(spark, d)
@@ -648,8 +700,9 @@ def q_file_accounting(spark, d):
         manifests.select(F.col("path").alias("manifest_path"), "toxic"), "manifest_path")
     line = F.when(F.col("toxic") == 1, F.md5("path")).otherwise(
         F.concat(F.md5("path"), F.lit("\t"), F.col("path")))
-    lines = paired.select(line.alias("value"))
-    inv = files.where(F.col("lang") != "de").select("path")
+    gone = files.where("doc_id % 4 = 0").select(F.concat(F.md5("path"), F.lit("\t"), "path", F.lit(".gone")).alias("value"))
+    lines = paired.select(line.alias("value")).unionByName(gone)
+    inv = files.select("path")
     return bundle.file_accounting(lines, inv).select("value", "work_id", "origin", "loaded_path", "status")
 
 
@@ -694,7 +747,7 @@ def q_file_ledger(spark, d):
 
 
 @register("ingest_metrics", _cte(S.LANDING_SQL) + """
-SELECT md5(l.path) AS work_id, count(*) AS n_records, CAST(sum(length(line)) AS BIGINT) AS n_bytes
+SELECT md5(l.path) AS work_id, count(*) AS n_records, CAST(sum(strlen(line)) AS BIGINT) AS n_bytes
 FROM documents d JOIN landing l ON l.doc_id = d.doc_id,
      unnest(string_split(d.text, chr(10))) AS t(line)
 GROUP BY l.path""")
@@ -703,7 +756,7 @@ def q_ingest_metrics(spark, d):
     work_id = F.md5(F.concat(F.lit(S.LANDING_ROOT), "source", F.lit(S.FEED_FOLDER),
                              F.col("doc_id").cast("string"), F.lit(".txt")))
     lines = docs.select(work_id.alias("work_id"), F.explode(F.split("text", "\n", -1)).alias("line"))
-    return metrics.ingest_metrics(lines.withColumn("n", F.length("line")), bytes_col="n")
+    return metrics.ingest_metrics(lines.withColumn("n", F.octet_length("line")), bytes_col="n")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -31,7 +31,7 @@ FILE_AS_OF = dt.datetime(1970, 1, 1, 0, 15, 0)
 FAILURE_AS_OF = dt.datetime(2024, 1, 31, 0, 0, 0)
 FAILURE_TTL_MS = 86_400_000
 BATCH_CFG = ScanConfig(max_files=10, max_size=20_000, max_age=60_000)
-MAX_ATTEMPTS = 70
+MAX_ATTEMPTS = 20
 EVENTS_SOURCE = "/landing/flagged/events/user-"
 
 
@@ -172,7 +172,3 @@ entries AS (
   UNION ALL
   SELECT 'price', CAST(l_orderkey AS VARCHAR), 'line', CAST(l_linenumber AS VARCHAR), l_shipdate,
          CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) FROM li)"""
-
-
-def landing_cte(*extra: str) -> str:
-    return "WITH " + ",\n".join([LANDING_SQL, *extra])

@@ -25,15 +25,18 @@ def bundle_folder(output_dir: str, as_of_text: str | None, dated: bool = True) -
 def compact_bundles(entries: DataFrame, plan: DataFrame, folder: str,
                     only_fired: bool = True, columns=None) -> DataFrame:
     """Write the entries (``source_path`` + entry columns) of every planned
-    batch (``feed, path, batch_no, fired``) as bundles under ``folder``.
+    batch (``feed, path, length, mtime, batch_no, fired``) as bundles under ``folder``.
 
     Returns the members table (``path, bundle_id``) that was written, for the
     accounting step."""
     p = (plan.where(F.col("fired")) if only_fired else plan).persist(StorageLevel.MEMORY_AND_DISK)
     # the plan feeds both the members and their ids: evaluate it once, and
     # freeze the member table (one row per file) for the write and the caller
-    members = (p.select("feed", "path", "batch_no").join(bundle_ids(p), ["feed", "batch_no"])
-               .checkpoint(eager=True))
+    # null-safe: files without a feed are one feed, as in batch_plan
+    ids = bundle_ids(p).select(F.col("feed").alias("_feed"), F.col("batch_no").alias("_no"), "bundle_id")
+    members = (p.select("feed", "path", "batch_no")
+               .join(ids, F.col("feed").eqNullSafe(F.col("_feed")) & (F.col("batch_no") == F.col("_no")))
+               .drop("_feed", "_no").checkpoint(eager=True))
     p.unpersist()
     keep = list(columns) if columns else [*ENTRY_COLUMNS]
     # one row per member file: broadcast when small, so the bundle data is

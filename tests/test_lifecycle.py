@@ -196,3 +196,54 @@ def test_ingest_mode_from_ingest_config(spark, tmp_path):
     assert live_current(spark, str(tmp_path / "live")).count() == 8
     moves = {r["loaded_path"] for r in out["moves"].collect()}
     assert all("/in/loaded/csv/" in m for m in moves) and len(moves) == 2
+
+
+def _by_kind(df):
+    return shred_entries(df.withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")),
+                         "d", F.col("id"), {"kind": F.col("kind")}, F.col("ts"), carry=["work_id"])
+
+
+def test_feeder_items_are_read_where_they_are(spark, tmp_path):
+    """The feeder's own messages name flagged targets; nothing has been moved."""
+    land = tmp_path / "input" / "csv"
+    write_csvs(land, 3)
+    inv = landing_inventory(spark, str(land)).withColumn("feed", F.lit(None).cast("string"))   # files without a feed
+    as_of = dt.datetime.now() + dt.timedelta(hours=1)
+    scan = ScanConfig(input_dir=str(land), ignore_prefix=".", max_files=10, max_age=60_000)
+    feeder = FeederConfig(target_dir=str(tmp_path / "flagged"), input_format="csv", data_type="d")
+    items = feeder_tick(inv, spark.createDataFrame([], NO_FAILURES), scan, feeder, as_of)["items"]
+    assert items.count() == 3
+    types = {"d": DataType(TypeSpec("csv", "id long, kind string, amount double"), _by_kind)}
+    out = ingest_items(spark, items.select("message", "work_id"), inv, types, as_of, "bulk", str(tmp_path / "out"), moved=items)
+    assert {r["status"] for r in out["outcomes"].collect()} == {"ok"}
+    assert read_entries(spark, str(tmp_path / "out" / "data")).count() == 12
+    lines = [r["value"] for r in read_manifests(spark, str(tmp_path / "out" / "manifests")).collect()]
+    assert len(lines) == 3 and all("/flagged/" in x for x in lines)
+    meta = out["metadata"].collect()
+    assert [(r["qualifier"], r["value"]) for r in meta] == [("kind", "12")]
+
+
+def test_inputs_fail_one_by_one(spark, tmp_path):
+    land = tmp_path / "in"
+    write_csvs(land, 2)
+    (land / "broken.parquet").write_bytes(b"this is not parquet at all")
+    spark.createDataFrame([("k1", "x")], "id string, kind string").coalesce(1).write.parquet(str(tmp_path / "ok"))
+    part = [f for f in os.listdir(tmp_path / "ok") if f.endswith(".parquet")][0]
+    os.link(tmp_path / "ok" / part, land / "good.parquet")
+    inv = landing_inventory(spark, str(land), feed="f")
+    name = lambda f, fmt, dt_: (f"{land}/{f},{fmt},{dt_}", f)
+    msgs = spark.createDataFrame([
+        name("f0.csv", "csv", "mycsv"), name("f1.csv", "csv", "nosuchtype"), name("f1.csv", "avro", "mycsv"),
+        name("gone.csv", "csv", "mycsv"), name("broken.parquet", "parquet", "mypq"), name("good.parquet", "parquet", "mypq"),
+        ("x,y", "bad")], "message string, work_id string")
+    msgs = msgs.withColumn("work_id", F.concat_ws(":", "work_id", F.md5("message")))
+    types = {"mycsv": DataType(TypeSpec("csv", "id long, kind string, amount double"), _by_kind),
+             "mypq": DataType(TypeSpec("parquet", "id string, kind string"), _by_kind),    # id of another kind
+             "absent": DataType(TypeSpec("json", "id long, kind string"), _by_kind)}
+    out = ingest_items(spark, msgs, inv, types, dt.datetime(2024, 1, 2), "bulk", str(tmp_path / "out"))
+    got = sorted((r["work_id"].split(":")[0], r["status"], r["reason"]) for r in out["outcomes"].collect())
+    assert got == [("bad", "failed", "bad_fields"), ("broken.parquet", "failed", "unreadable"), ("f0.csv", "ok", None),
+                   ("f1.csv", "failed", "unknown_format"), ("f1.csv", "failed", "unknown_type"),
+                   ("gone.csv", "failed", "missing"), ("good.parquet", "ok", None)]
+    assert read_entries(spark, str(tmp_path / "out" / "data")).count() == 5
+    assert read_manifests(spark, str(tmp_path / "out" / "manifests")).count() == 2

@@ -230,3 +230,67 @@ def test_compact_live_twice_is_harmless(spark, tmp_path):
     after = sorted(tuple(r) for r in live_current(spark, tdir).drop("n_versions").collect())
     assert after == before
     assert len(glob.glob(os.path.join(tdir, "table_name=event", "batch_id=*"))) == 1
+
+
+COUNTERS = "table_name string, row_key string, family string, qualifier string, ts timestamp_ntz, value string"
+
+
+def test_counters_lose_no_digit_and_report_what_is_no_number(spark):
+    rows = [("c", "r", "f", "q", T0, v) for v in ("0.004", "0.004", "0.004", "x")] + [("c", "z", "f", "q", T0, "10"), ("c", "n", "f", "q", T0, "?")]
+    got = {r["row_key"]: (r["value"], r["n_rejected"]) for r in
+           aggregate_entries(spark.createDataFrame(rows, COUNTERS), ["c"]).collect()}
+    assert got == {"r": ("0.012", 1), "z": ("10", 0), "n": ("0", 1)}
+
+
+def test_live_counters_add_up_before_and_after_compaction(spark, tmp_path):
+    def batch(n):
+        return spark.createDataFrame([("c", "r", "f", "q", T0, str(n)), ("last", "r", "f", "q", T0 + dt.timedelta(days=n), str(n))], COUNTERS)
+
+    tdir = str(tmp_path / "live")
+
+    def view():
+        return {r["table_name"]: r["value"] for r in live_current(spark, tdir, ["c"]).collect()}
+
+    for n in (1, 2, 2):
+        upsert_live(batch(n), tdir, "run", n)
+    assert view() == {"c": "3", "last": "2"}
+    compact_live(spark, tdir, sum_tables=["c"])
+    assert view() == {"c": "3", "last": "2"}
+    upsert_live(batch(3), tdir, "run", 3)
+    assert view() == {"c": "6", "last": "3"}
+    compact_live(spark, tdir, sum_tables=["c"])
+    compact_live(spark, tdir, sum_tables=["c"])
+    assert view() == {"c": "6", "last": "3"}
+
+
+def test_folded_batches_do_not_count_twice(spark, tmp_path):
+    """A crash between the snapshot's write and the deletes."""
+    tdir = str(tmp_path / "live")
+    one = spark.createDataFrame([("c", "r", "f", "q", T0, "5")], COUNTERS)
+    upsert_live(one, tdir, "run", 0)
+    compact_live(spark, tdir, sum_tables=["c"])
+    upsert_live(one, tdir, "run", 0)   # as if its folder had not been deleted
+    assert [r["value"] for r in live_current(spark, tdir, ["c"]).collect()] == ["5"]
+    compact_live(spark, tdir, sum_tables=["c"])
+    assert [r["value"] for r in live_current(spark, tdir, ["c"]).collect()] == ["5"]
+
+
+def test_bundle_ids_are_of_all_members_and_files_without_feed_stay(spark, tmp_path):
+    from intake.operators.bundle import bundle_ids
+
+    def plan(names, feed="f"):
+        return spark.createDataFrame([(feed, n, 1, T0, 0, True) for n in names],
+                                     "feed string, path string, length long, mtime timestamp_ntz, batch_no long, fired boolean")
+
+    ids = [bundle_ids(plan(n)).first()["bundle_id"] for n in ("abd", "acd", "dba")]
+    assert ids[0] != ids[1] and ids[0] == ids[2]
+    entries = spark.createDataFrame([(n, "t", n, "f", "q", T0, "v") for n in "abd"], "source_path string, " + COUNTERS)
+    members = compact_bundles(entries, plan("abd", None), str(tmp_path / "b"))
+    assert members.count() == 3 and spark.read.parquet(str(tmp_path / "b")).count() == 3
+
+
+def test_record_without_key_is_an_entry_of_its_own(spark):
+    from intake.operators.shred import shred_entries
+    rec = spark.createDataFrame([("a", "x"), (None, "y")], "id string, kind string").withColumn("ts", F.lit(T0).cast("timestamp_ntz"))
+    got = sorted((r["table_name"], r["qualifier"], r["value"]) for r in shred_entries(rec, "d", F.col("id"), {"kind": F.col("kind")}, F.col("ts")).collect())
+    assert [g[:2] for g in got] == [("event", "kind"), ("rejected", "null_key")] and '"kind":"y"' in got[1][2]

@@ -5,7 +5,7 @@ import pytest
 from intake.config import PROFILES, SAMPLE_FEEDS, SAMPLE_POOLS, ScanConfig
 from intake.functions.paths import flagged_path, loaded_path
 from intake.operators.work import (attempt_ledger, config_table, flagged_collisions, parse_work_items,
-                                   route_orphans, route_work, work_items)
+                                   route_orphans, route_work, select_retries, work_items)
 
 
 def test_parse_messages(spark):
@@ -69,7 +69,8 @@ def test_routing_and_orphans(spark):
                                   "feed string, path string")
     routed = route_work(items, feeds, pools)
     got = {r["path"]: r["pool"] for r in routed.collect()}
-    assert got == {"/a": "speedy", "/b": "speediest", "/c": None}
+    assert got == {"/a": "speedy", "/b": "speediest", "/c": None, "/d": None}
+    assert {r["path"]: r["route"] for r in routed.collect()} == {"/a": "ok", "/b": "ok", "/c": "no_pool", "/d": "no_queue"}
     assert "BroadcastHashJoin" in routed._jdf.queryExecution().executedPlan().toString()
     orphans = {(r["kind"], r["name"]) for r in route_orphans(feeds, pools).collect()}
     assert orphans == {("feed_without_pool", "feed4"), ("pool_without_feed", "lazy")}
@@ -77,12 +78,16 @@ def test_routing_and_orphans(spark):
 
 def test_attempt_ledger_states(spark):
     t = dt.datetime(2024, 1, 1)
-    rows = [("w1", t, "failed"), ("w1", t + dt.timedelta(seconds=1), "ok"),
-            ("w2", t, "failed"), ("w2", t + dt.timedelta(seconds=1), "failed"), ("w2", t + dt.timedelta(seconds=2), "failed"),
-            ("w3", t, "failed")]
-    out = spark.createDataFrame(rows, "work_id string, at timestamp_ntz, status string")
-    got = {r["work_id"]: (r["attempts"], r["state"]) for r in attempt_ledger(out, 3).collect()}
-    assert got == {"w1": (2, "done"), "w2": (3, "dead_letter"), "w3": (1, "retry")}
+    rows = [("a", 1, "failed"), ("a", 2, "ok"), ("b", 1, "failed"), ("b", 2, "failed"), ("b", 3, "failed"), ("c", 1, "failed"),
+            ("d", 1, "failed"), ("d", 1, "failed"), ("d", 1, "failed"),     # one delivery reported three times
+            ("e", 1, "ok"), ("e", 2, "failed")]                             # an ok is final
+    out = spark.createDataFrame([(w, n, t + dt.timedelta(seconds=i), s) for i, (w, n, s) in enumerate(rows)],
+                                "work_id string, attempt int, at timestamp_ntz, status string")
+    ledger = attempt_ledger(out, 3)
+    assert {r["work_id"]: (r["attempts"], r["state"]) for r in ledger.collect()} == {
+        "a": (2, "done"), "b": (3, "dead_letter"), "c": (1, "retry"), "d": (1, "retry"), "e": (2, "done")}
+    items = spark.createDataFrame([("a", "x"), ("c", "y"), ("d", "z")], "work_id string, message string")
+    assert {(r["work_id"], r["attempt"]) for r in select_retries(items, ledger).collect()} == {("c", 2), ("d", 2)}
 
 
 def test_config_profiles_and_strict_keys():
@@ -161,3 +166,10 @@ def test_empty_and_comma_only_messages(spark):
     assert got[""] == (0, "bad_fields")
     assert got[",,,"][1] == "bad_fields"
     assert got["/p,csv,t,,"] == (3, "ok")
+
+
+def test_local_paths_match_with_or_without_scheme(spark):
+    inv = spark.createDataFrame([("file:/in/a.csv", 5)], "path string, length long")
+    msgs = spark.createDataFrame([("/in/a.csv,csv,t",), ("file:///in/a.csv,csv,t",), ("/in/b.csv,csv,t",)], "message string")
+    got = [(r["status"], r["read_path"]) for r in parse_work_items(msgs, inv).orderBy("message").collect()]
+    assert sorted(got, key=str) == sorted([("ok", "file:/in/a.csv"), ("missing", None), ("ok", "file:/in/a.csv")], key=str)
