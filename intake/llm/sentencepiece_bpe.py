@@ -9,9 +9,11 @@ bitfield, so each is tried once.  When a piece does not fit, its longest proper
 prefix that is a piece is tried next; when none is left, the last piece is
 taken back.
 
-A piece never goes on after a space mark that follows another character, so a
-text is split before every run of space marks and equal chunks are encoded once
-a worker (bounded cache).  Pieces of equal score (runs of space marks) merge
+A piece never goes on after a space mark that follows another character, and
+the signs of the model never share a piece with letters or digits.  Both are
+read off the pieces.  So a text is split before every run of space marks and
+between signs and the rest, and equal chunks are encoded once a worker (bounded
+cache).  Pieces of equal score (runs of space marks) merge
 leftmost first, which adjacent pairs do not settle: chunks with such runs are
 merged pair by pair with a heap instead.
 """
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import string
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import groupby
@@ -31,9 +34,8 @@ from pyspark.sql import functions as F
 from intake.llm.common import small_batches
 
 MARK = "▁"
-CACHE, PAIRS = 300_000, 300_000   # chunks and pairs of pieces a worker remembers
+CACHE, PAIRS = 450_000, 300_000   # chunks and pairs of pieces a worker remembers
 CACHE_CHARS = 40         # longer chunks are not remembered
-_CHUNK = re.compile(" *[^ ]+| +")
 _HARD = MARK * 2
 RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -60,6 +62,7 @@ class Codec:
         self.rank = {self.text[i]: (-sp.get_score(i)) for i in plain}
         self.letters = {p for p in self.ids if len(p) == 1}
         self.plain = {i: self.text[i].replace(MARK, " ") for i in plain}
+        self.chunk = self.chunk_pattern()
         self.split: dict[str, tuple[str, str] | None] = {}
         for piece in sorted(self.ids, key=len):
             merged = self.merge(piece, piece)
@@ -76,6 +79,30 @@ class Codec:
         self.seen: dict[str, tuple[int, str, str]] = {}
         self.older: dict[str, tuple[int, str, str]] = {}
 
+    def chunk_pattern(self) -> re.Pattern:
+        """Chunks that no piece reaches across: runs of signs and runs of other
+        characters, each with the spaces before it.
+
+        Signs are the punctuation marks that share pieces, directly or through
+        other characters, with no ASCII letter or digit, and those characters."""
+        if any(MARK in p.lstrip(MARK) for p in self.ids):
+            return re.compile(r"(?s).+")  # pieces go on after a space: no split at all
+        share: dict[str, set[str]] = {}
+        for p in self.ids:
+            for c in (own := set(p) - {MARK}):
+                share.setdefault(c, set()).update(own)
+        signs: set[str] = set()
+        for mark in string.punctuation:
+            found, todo = {mark}, [mark]
+            while todo:
+                new = share.get(todo.pop(), set()) - found
+                found |= new
+                todo += new
+            if not any(c.isascii() and c.isalnum() for c in found):
+                signs |= found
+        inside = "".join(map(re.escape, sorted(signs)))
+        return re.compile(f" *[^ {inside}]+| *[{inside}]+| +" if signs else " *[^ ]+| +")
+
     def merge(self, text: str, stop: str | None = None) -> list[str]:
         """Pieces by merging the best pair (highest score, then leftmost) until none is
         left; with ``stop``, the two parts that would make this whole text last."""
@@ -180,7 +207,7 @@ class Codec:
         """Parts with the added leading space; a space mark in the text is a space."""
         if not text:
             return []
-        return _CHUNK.findall(" " + (text.replace(MARK, " ") if MARK in text else text))
+        return self.chunk.findall(" " + (text.replace(MARK, " ") if MARK in text else text))
 
     def encode(self, text: str) -> list[int]:
         return [i for c in self.chunks(text) for i in self.chunk_ids(c)]
