@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from intake.llm.common import SPACES, ascii_lower, words
+from intake.llm.common import SPACES, words
 
 WINDOW = 8
 MIN_WORDS, MAX_REPEAT = 20, 30      # words; percent of the words
@@ -64,8 +64,8 @@ def navigation_fails(line: Column) -> Column:
 
 
 def boilerplate_fails(line: Column) -> Column:
-    low = ascii_lower(line)
-    return reduce(lambda a, b: a | b, [low.contains(x) for x in BOILERPLATE])
+    # an array of one binds the lower-cased line: it is made once, not once a phrase
+    return F.exists(F.array(F.lower(line)), lambda low: reduce(lambda a, b: a | b, [low.contains(x) for x in BOILERPLATE]))
 
 
 def line_fails(line: Column) -> Column:

@@ -87,8 +87,7 @@ def _quality_sql() -> str:
     cut = f"trim(line, {_BLANKS})"
     blanks = f"(length({cut}) - length(translate({cut}, {_BLANKS}, '')))"
     seps = f"(length(line) - length(translate(line, {text(q.SEPARATORS)}, '')))"
-    low = "translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    boiler = " OR ".join(f"contains({low}, {text(x)})" for x in q.BOILERPLATE)
+    boiler = " OR ".join(f"contains(lower(line), {text(x)})" for x in q.BOILERPLATE)
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM d),
@@ -117,6 +116,17 @@ FROM o
 
 
 SQL: dict[str, str] = {
+    "op5_embedding": """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+      ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(vec_id, root) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT p.b, r.root FROM reach r JOIN p ON p.a = r.vec_id),
+c AS (SELECT vec_id, min(root) AS component_id FROM reach GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n FROM p GROUP BY a)
+SELECT c.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.component_id, c.vec_id = c.component_id AS kept
+FROM c LEFT JOIN n USING (vec_id)
+""",
     "op1_quality": _quality_sql(),
     "op4_line_dedup": r"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
