@@ -5,7 +5,7 @@ from intake.operators.bundle import (  # noqa: F401
     STAGES, bundle_ids, dated_output, file_accounting, file_ledger, mark_paired, pair_manifests,
     unpaired_files)
 from intake.operators.combine import (  # noqa: F401
-    aggregate_entries, dedupe_entries, sort_entries, table_counters)
+    aggregate_entries, combine_entries, dedupe_entries, sort_entries, table_counters)
 from intake.operators.filters import (  # noqa: F401
     current_quarantine, exclude_manifests, ignore_prefix, quarantine_filter, quarantine_state,
     quarantine_update)

@@ -19,6 +19,8 @@ from intake.operators.joins import broadcast_if_small
 from intake.operators.prefix import running_totals
 
 ORDER = ["mtime", "path"]
+#: Larger file limits are cut by doubling: the walk keeps a row per slice and file of the limit.
+WALK_FILES = 1000
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -135,10 +137,11 @@ def batch_plan(files: DataFrame, cfg: ScanConfig, as_of, admitted: str | None =
     # ranked once, limits attached, frozen: every regime below reads it
     run = _with_limits(ranked, cfg, limits).withColumn("_old", old).checkpoint(eager=True)
     mf, ms = F.col("_mf"), F.col("_ms")
-    # slices stay within chunk_rows rows: a larger file limit goes to doubling
-    bounded = (mf > 0) & (ms > 0) & (mf <= chunk_rows)
-    size_only = (ms > 0) & ((mf < 0) | (mf > chunk_rows))
-    regimes = _regimes_present(f, cfg, limits, chunk_rows)
+    # slices stay within chunk_rows rows and have few entries: a larger file limit goes to doubling
+    most = min(chunk_rows, WALK_FILES)
+    bounded = (mf > 0) & (ms > 0) & (mf <= most)
+    size_only = (ms > 0) & ((mf < 0) | (mf > most))
+    regimes = _regimes_present(f, cfg, limits, most)
     parts = []
     if regimes["closed"]:
         batch_no = (F.when((mf == 0) | (ms == 0), F.col("seq") - 1)
@@ -155,7 +158,7 @@ def batch_plan(files: DataFrame, cfg: ScanConfig, as_of, admitted: str | None =
     return out
 
 
-def _regimes_present(files: DataFrame, cfg: ScanConfig, limits: DataFrame | None, chunk_rows: int) -> dict:
+def _regimes_present(files: DataFrame, cfg: ScanConfig, limits: DataFrame | None, most: int) -> dict:
     """Which regimes occur, and the largest file limit of the slice regime.
     Without a settings table this is known from ``cfg``; with one, it is read
     from the (few) distinct profiles of the feeds present."""
@@ -164,8 +167,8 @@ def _regimes_present(files: DataFrame, cfg: ScanConfig, limits: DataFrame | None
     else:
         feeds = _with_limits(files.select("feed").distinct(), cfg, limits)
         profiles = [(r["_mf"], r["_ms"]) for r in feeds.select("_mf", "_ms").distinct().collect()]
-    sliced = [m for m, s in profiles if s > 0 and 0 < m <= chunk_rows]
-    doubled = [m for m, s in profiles if s > 0 and (m < 0 or m > chunk_rows)]
+    sliced = [m for m, s in profiles if s > 0 and 0 < m <= most]
+    doubled = [m for m, s in profiles if s > 0 and (m < 0 or m > most)]
     return {"closed": len(profiles) > len(sliced) + len(doubled), "bounded": bool(sliced),
             "max_files": max(sliced, default=1), "size_only": bool(doubled)}
 
@@ -192,6 +195,7 @@ def _next_starts(lengths, mf: int, ms: int):
     n = len(lengths)
     incl = np.cumsum(lengths)
     prev = incl - lengths
+    ms = min(ms, int(incl[-1]) + 1)  # beyond all bytes: never reached, and no overflow
     k_size = np.searchsorted(incl, prev + ms, side="left")
     idx = np.arange(n)
     end = np.minimum(np.minimum(idx + (mf - 1), k_size), n - 1)
@@ -223,14 +227,12 @@ def _cut_by_chunks(run: DataFrame, max_mf: int, chunk_rows: int) -> DataFrame:
         ncore = int(pdf["_core"].sum())
         mf, ms = int(pdf["_mf"].iloc[0]), int(pdf["_ms"].iloc[0])
         nxt = _next_starts(pdf["length"].to_numpy(dtype="int64"), mf, ms)
-        exit_ = np.empty(ncore, dtype="int64")
-        count = np.empty(ncore, dtype="int64")
-        for p in range(ncore - 1, -1, -1):
-            q = nxt[p]
-            if q < ncore:
-                exit_[p], count[p] = exit_[q], count[q] + 1
-            else:
-                exit_[p], count[p] = q, 1
+        exit_, count = nxt[:ncore].astype("int64"), np.ones(ncore, dtype="int64")
+        inside = np.flatnonzero(exit_ < ncore)
+        while len(inside):  # every chain of starts doubles its step until it leaves the core
+            via = exit_[inside]
+            count[inside], exit_[inside] = count[inside] + count[via], exit_[via]
+            inside = inside[exit_[inside] < ncore]
         m = min(mf, ncore)
         return pd.DataFrame({"feed": pdf["feed"].iloc[0], "_chunk": pdf["_chunk"].iloc[0],
                              "entry": seq0 + np.arange(m), "exit": seq0 + exit_[:m], "starts": count[:m]})
@@ -239,19 +241,21 @@ def _cut_by_chunks(run: DataFrame, max_mf: int, chunk_rows: int) -> DataFrame:
              .applyInPandas(entries_of_slice, "feed string, _chunk long, entry long, exit long, starts long"))
 
     def compose(pdf: pd.DataFrame) -> pd.DataFrame:
-        step = {(int(c), int(e)): (int(x), int(n)) for c, e, x, n in
-                zip(pdf["_chunk"], pdf["entry"], pdf["exit"], pdf["starts"])}
+        # columns sorted by (slice, entry): a step looks up one row of the next slice
+        pdf = pdf.sort_values(["_chunk", "entry"], kind="stable")
+        chunk, entries, exits, n = (pdf[c].to_numpy(np.int64) for c in ("_chunk", "entry", "exit", "starts"))
+        slices, first = np.unique(chunk, return_index=True)
         entry, offset, rows = 1, 0, []
-        for c in sorted({int(c) for c in pdf["_chunk"]}):
-            rows.append((c, entry, offset))
-            if (c, entry) in step:
-                entry, n = step[(c, entry)]
-                offset += n
+        for c, lo, hi in zip(slices, first, [*first[1:], len(chunk)]):
+            rows.append((int(c), entry, offset))
+            at = lo + np.searchsorted(entries[lo:hi], entry)
+            if at < hi and entries[at] == entry:
+                entry, offset = int(exits[at]), offset + int(n[at])
         out = pd.DataFrame(rows, columns=["_chunk", "entry", "offset"])
         out.insert(0, "feed", pdf["feed"].iloc[0])
         return out
 
-    # one small group per feed: (slices x mf) rows, not files
+    # one group per feed: (slices x mf) rows, at most WALK_FILES / chunk_rows of its files
     walk = table.groupBy("feed").applyInPandas(compose, "feed string, _chunk long, entry long, offset long")
 
     def number_slice(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -273,7 +277,7 @@ def _cut_by_chunks(run: DataFrame, max_mf: int, chunk_rows: int) -> DataFrame:
         rows = pdf.iloc[first:stop]
         which = np.searchsorted(np.asarray(starts, dtype="int64"), np.arange(first, stop), side="right") - 1
         n = np.bincount(which, minlength=len(starts))
-        size = np.bincount(which, weights=lengths[first:stop], minlength=len(starts)).astype("int64")
+        size = np.add.reduceat(lengths[first:stop], np.asarray(starts, "int64") - first) if starts else n
         old = np.bincount(which, weights=rows["_old"].to_numpy(dtype="int64"), minlength=len(starts)) > 0
         fired = (n >= mf) | old | (size >= ms)
         return pd.DataFrame({
@@ -298,7 +302,7 @@ def _cut_by_doubling(run: DataFrame, chunks: int | None) -> DataFrame:
     # counted by merging the inclusive sums S with the thresholds in one order.
     sums = run.select("feed", "seq", (F.col("length_before") + F.col("length")).alias("key"),
                       F.lit(1).alias("kind"), F.lit(1).cast("long").alias("w"))
-    asks = run.select("feed", "seq", (F.col("length_before") + F.col("_ms")).alias("key"),
+    asks = run.select("feed", "seq", (F.col("length_before") + F.least("_ms", F.lit(1 << 62))).alias("key"),
                       F.lit(0).alias("kind"), F.lit(0).cast("long").alias("w"))
     merged = running_totals(sums.unionByName(asks), ["feed"], ["key", "kind", "seq"], ["w"],
                             chunks, seq_col="_pos")

@@ -51,6 +51,26 @@ def aggregate_entries(entries: DataFrame, sum_tables: Sequence[str] = (),
     return agg.select(*scope, *ENTRY_KEY, "ts", value.alias("value"), "n_combined", "n_rejected")
 
 
+def combine_entries(entries: DataFrame, sum_tables: Sequence[str] = (), scope: Sequence[str] = (),
+                    record: Sequence[str] = ()) -> DataFrame:
+    """Dedupe and aggregate in one chain: ``scope``, the entry columns and ``n_rejected``.
+
+    The rows of :func:`aggregate_entries` over :func:`dedupe_entries`, with less
+    moved: the newest value of a key is the same with duplicates or without, so
+    tables outside ``sum_tables`` are collapsed to one row a key by the first
+    (partially aggregated) shuffle, the only one if there are no counters.
+    Counters first drop duplicates, told apart by the ``record`` columns too:
+    two events of one type and time count twice, one event delivered twice once."""
+    keep = [*scope, *ENTRY_COLUMNS, "n_rejected"]
+    if not sum_tables:
+        return aggregate_entries(entries, scope=scope).select(*keep)
+    is_sum = F.col("table_name").isin(list(sum_tables))
+    identity = [F.when(is_sum, F.col(c)).alias(f"_own_{c}") for c in ("ts", "value", *record)]
+    once = entries.groupBy(*scope, *ENTRY_KEY, *identity).agg(
+        F.max("ts").alias("ts"), F.max_by("value", F.struct("ts", "value")).alias("value"))
+    return aggregate_entries(once, sum_tables, scope=scope).select(*keep)
+
+
 def plain_number(total: Column) -> Column:
     """A decimal sum as text without trailing zeros; no number at all: ``0``."""
     text = F.coalesce(total.cast("decimal(38,9)"), F.lit(0).cast("decimal(38,9)")).cast("string")

@@ -30,7 +30,7 @@ from intake.functions.ids import as_of_col
 from intake.functions.paths import loaded_path, path_key, source_file_path
 from intake.operators.batching import batch_plan, threshold_batch, threshold_trigger
 from intake.operators.bundle import file_accounting, mark_paired
-from intake.operators.combine import aggregate_entries, dedupe_entries
+from intake.operators.combine import combine_entries
 from intake.operators.joins import broadcast_if_small
 from intake.operators.filters import exclude_manifests, ignore_prefix, quarantine_filter, quarantine_update
 from intake.operators.work import flagged_collisions, parse_work_items, work_items
@@ -81,7 +81,8 @@ def feeder_tick(inventory: DataFrame, failures: DataFrame, scan: ScanConfig, fee
 class DataType:
     """How one data type is read and mapped to entries."""
     spec: TypeSpec
-    shred: Callable[[DataFrame], DataFrame]   # records (+ work_id) -> entries (+ work_id)
+    # records (+ work_id) -> entries (+ work_id; + record_id, if counters tell events apart by it)
+    shred: Callable[[DataFrame], DataFrame]
     sum_tables: tuple[str, ...] = ()
 
 
@@ -158,7 +159,8 @@ def _entries_of(spark: SparkSession, ok: DataFrame, types: Mapping[str, DataType
         records = read_typed_feed(spark, mine.select(F.col("read_path").alias("path"), "data_type", "format"), {dt: t.spec})
         lookup = broadcast_if_small(mine.select(path_key("read_path").alias("_key"), "work_id"))
         part = t.shred(records.withColumn("_key", path_key("source_path")).join(lookup, "_key").drop("_key"))
-        part = aggregate_entries(dedupe_entries(part, ["work_id"]), t.sum_tables, scope=["work_id"])
+        record = [c for c in ("record_id",) if c in part.columns]
+        part = combine_entries(part, t.sum_tables, ["work_id"], record)
         entries = entries.unionByName(part.select(*ENTRY_COLUMNS, "work_id"))
     return entries
 
