@@ -38,7 +38,7 @@ from intake.operators.shred import metadata_updates
 from intake.schemas import ENTRY_COLUMNS, ENTRY_SCHEMA
 from intake.session import checkpoint_dir
 from intake.sinks.bulk import write_bulk
-from intake.sinks.bundles import bundle_folder, compact_bundles
+from intake.sinks.bundles import bundle_folder, bundled_files, compact_bundles, record_bundled
 from intake.sinks.live import upsert_live
 from intake.sources.inventory import _norm_uri
 from intake.sources.typed import TypeSpec, read_typed_feed
@@ -176,7 +176,7 @@ def failed_member(error: BaseException) -> str | None:
 
 def bundle_files(spark: SparkSession, inventory: DataFrame, failures: DataFrame, scan: ScanConfig,
                  as_of, folder: str, read_members: Callable[[list[str]], DataFrame],
-                 ) -> tuple[DataFrame, DataFrame]:
+                 tick: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Bundle the paired data files of ``inventory`` (data + ``.manifest``).
 
     ``read_members(paths)`` reads member files into entries with a
@@ -189,9 +189,9 @@ def bundle_files(spark: SparkSession, inventory: DataFrame, failures: DataFrame,
         plan = batch_plan(files, scan, as_of).cache()
         paths = [r["path"] for r in plan.where("fired").select("path").collect()]
         if not paths:
-            return plan.limit(0), failures
+            return plan.limit(0).withColumn("bundle_id", F.lit(None).cast("string")), failures
         try:
-            members = compact_bundles(read_members(paths), plan, folder)
+            members = compact_bundles(read_members(paths), plan, folder, tick=tick)
             return members, failures
         except Exception as e:  # noqa: BLE001 - Spark wraps the reader's IOException
             bad = failed_member(e)
@@ -205,19 +205,33 @@ def bundle_files(spark: SparkSession, inventory: DataFrame, failures: DataFrame,
 
 def bundler_run(spark: SparkSession, inventory: DataFrame, failures: DataFrame, scan: ScanConfig,
                 bundler: BundlerConfig, as_of, read_members: Callable[[list[str]], DataFrame],
-                flagged: DataFrame | None = None) -> dict[str, DataFrame | str]:
+                flagged: DataFrame | None = None, state_dir: str | None = None,
+                read_lines: Callable[[list[str]], DataFrame] | None = None) -> dict[str, DataFrame | str]:
     """One bundler tick: bundles under ``bundle_output_dir[/as_of date]``,
     then the accounting ledger of the bundled members' manifests (origin,
-    loaded path, ``moved`` / ``missing`` against ``flagged`` / ``malformed``)."""
-    stamp = spark.range(1).select(F.date_format(as_of_col(as_of), bundler.date_format)).first()[0]
+    loaded path, ``moved`` / ``missing`` against ``flagged`` / ``malformed``).
+
+    With a ``state_dir`` the bundler remembers its members: files (path, length,
+    mtime) of earlier ticks are not bundled again, and
+    :func:`intake.sinks.bundles.read_bundles` reads what its ledger holds.
+    ``read_lines(manifest paths)`` reads manifest lines (default: text files); for
+    bulk output use :func:`intake.sinks.bulk.bulk_units` as ``inventory`` with
+    ``read_units`` and ``read_unit_manifests``."""
+    stamp, tick = spark.range(1).select(F.date_format(as_of_col(as_of), bundler.date_format),
+                                        F.date_format(as_of_col(as_of), "yyyyMMdd-HHmmssSSSSSS")).first()
     folder = bundle_folder(bundler.bundle_output_dir, stamp, bundler.date_bundle_output)
-    members, failures = bundle_files(spark, inventory, failures, scan, as_of, folder, read_members)
+    if state_dir:
+        identity = ["path", "length", "mtime"]
+        inventory = inventory.join(bundled_files(spark, state_dir).select(*identity), identity, "left_anti").checkpoint()
+    members, failures = bundle_files(spark, inventory, failures, scan, as_of, folder, read_members, tick if state_dir else None)
     manifest_paths = [r["m"] for r in members.select(F.concat("path", F.lit(".manifest")).alias("m")).collect()]
     if manifest_paths:
-        lines = spark.read.text(manifest_paths).select(
+        lines = read_lines(manifest_paths) if read_lines else spark.read.text(manifest_paths).select(
             "value", source_file_path().alias("manifest_file"))
         accounting = file_accounting(lines, flagged, bundler.manifest_path_to_replace,
                                      bundler.manifest_path_replacement)
+        if state_dir:
+            record_bundled(members, state_dir, tick)
     else:
         accounting = spark.createDataFrame([], "value string, manifest_file string, work_id string, "
                                                "origin string, loaded_path string, status string")

@@ -7,6 +7,7 @@ checkpoint folder and read the result back.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from intake.functions.ids import as_of_col
 from intake.functions.paths import file_name, flagged_path, loaded_path
-from intake.config import FeederConfig, ScanConfig
+from intake.config import BundlerConfig, FeederConfig, ScanConfig
 from intake.operators import batching, bundle, combine, filters, metrics, shred, work
 from intake.plans import lifecycle
 from intake.plans import standins as S
@@ -670,6 +671,45 @@ def q_compact_bundles(spark, d):
     return back.select("bundle_id", F.col("source_path").alias("path"), "doc_id", "n_chars", F.md5("text").alias("text_md5"))
 
 
+@register("pipeline_end_to_end", """
+SELECT 'event' AS table_name, CAST(event_id AS VARCHAR) AS row_key, 'events' AS family, 'event_type' AS qualifier, ts, event_type AS value,
+       TRUE AS accounted FROM events WHERE event_id IS NOT NULL AND event_type IS NOT NULL
+UNION ALL
+SELECT 'event', CAST(event_id AS VARCHAR), 'events', 'props', ts, props, TRUE FROM events WHERE event_id IS NOT NULL AND props IS NOT NULL""")
+def q_pipeline_end_to_end(spark, d):
+    """Events written as files, then feeder, ingest and bundler, each on what the
+    one before left; the bundler runs twice, the second time it finds nothing
+    new.  Every bundled entry, with whether its bundles' inputs are accounted for."""
+    root = scratch_dir(spark, "end-to-end")
+    stamp = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    (S.table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type", "props")
+     .write.options(**stamp).json(f"{root}/input"))
+    as_of = dt.datetime(2100, 1, 1)   # every file is over age
+    scan = ScanConfig(input_dir=f"{root}/input", max_age=0)
+    feeder = FeederConfig(f"{root}/flagged", "json", "events")
+    inv = landing_inventory(spark, f"{root}/input", feed="events")
+    none = spark.createDataFrame([], "path string, failed_at timestamp_ntz, reason string")
+    items = lifecycle.feeder_tick(inv, none, scan, feeder, as_of)["items"]
+    spec = TypeSpec("json", "event_id long, ts timestamp_ntz, event_type string, props string", stamp)
+    types = {"events": lifecycle.DataType(spec, lambda r: shred.shred_entries(
+        r, "events", "event_id", {"event_type": "event_type", "props": "props"}, "ts", carry=["work_id"], reject_table=None))}
+    lifecycle.ingest_items(spark, items.select("message", "work_id"), inv, types, as_of, "bulk", f"{root}/out", moved=items)
+    bundler = BundlerConfig(f"{root}/bundles")
+    lines = []
+    for day in range(2):
+        got = lifecycle.bundler_run(
+            spark, bulk.bulk_units(spark, f"{root}/out", "bulk"), none, scan, bundler, as_of + dt.timedelta(days=day),
+            lambda paths: bulk.read_units(spark, paths), items.select(F.col("target_path").alias("path")), f"{root}/state",
+            lambda paths: bulk.read_unit_manifests(spark, paths))
+        lines.append(got["accounting"].select("work_id", "status"))
+    moved = lines[0].unionByName(lines[1]).where("status = 'moved'")
+    # every input is accounted for, once
+    whole = items.join(moved.groupBy("work_id").count(), "work_id", "left").agg(
+        F.bool_and(F.coalesce(F.col("count") == 1, F.lit(False)))).first()[0]
+    return bundles.read_bundles(spark, f"{root}/bundles", f"{root}/state").select(
+        "table_name", "row_key", "family", "qualifier", "ts", "value", F.lit(whole).alias("accounted"))
+
+
 @register("dated_output", """
 SELECT event_id, '/bundles/' || strftime(ts, '%Y/%m/%d') AS dated_dir, '/bundles' AS flat_dir FROM events""")
 def q_dated_output(spark, d):

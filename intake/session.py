@@ -35,6 +35,8 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("INTAKE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # a checkpoint whose frame is gone is deleted: long streams do not pile them up
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # wide string keys (entry dedupe): the first-level "fast" hash map
         # thrashes; measured 9.3 s -> 7.3 s for 4.6M entries without it
         .config("spark.sql.codegen.aggregate.map.twolevel.enabled", "false")
@@ -61,7 +63,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
+    if sc.master == "local" or sc.master.startswith("local["):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="intake-ckpt-"))
         return sc.getCheckpointDir()
     raise RuntimeError(
@@ -110,4 +112,5 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.codegen.aggregate.map.twolevel.enabled": "false",
         "spark.speculation": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from intake.config import ScanConfig
 from intake.operators.batching import batch_plan
 from intake.operators.bundle import dated_output, file_accounting
-from intake.operators.combine import aggregate_entries, dedupe_entries, sort_entries, table_counters
+from intake.operators.combine import aggregate_entries, combine_entries, dedupe_entries, sort_entries, table_counters
 from intake.operators.shred import metadata_updates, shred_entries
-from intake.sinks.bulk import read_manifests, read_work_item, write_bulk
+from intake.sinks.bulk import bulk_units, read_manifests, read_work_item, write_bulk
 from intake.sinks.bundles import bundle_folder, compact_bundles
 from intake.sinks.live import compact_live, live_current, run_id_for, upsert_live
 from intake.sources.entries import read_entries
@@ -89,6 +89,30 @@ def test_bulk_write_replay_and_manifest(spark, tmp_path):
     assert "PartitionFilters" in one._jdf.queryExecution().executedPlan().toString()
 
 
+def test_bulk_replay_leaves_nothing_of_inputs_that_are_gone(spark, tmp_path):
+    rec = records(spark)
+    entries, items = shred(rec), rec.select("work_id", "source_path").distinct()
+    out = str(tmp_path / "bulk")
+    paths = write_bulk(entries, items, out, batch_id="a:1")
+    gone = rec.first()["work_id"]
+    write_bulk(entries.where(F.col("work_id") != gone), items.where(F.col("work_id") != gone), out, batch_id="a:1")
+    assert read_entries(spark, paths["data"]).where(F.col("work_id") == gone).isEmpty()
+    assert read_entries(spark, paths["data"]).count() == 90
+    assert read_manifests(spark, paths["manifests"]).count() == 3
+    units = [r["path"] for r in bulk_units(spark, out).collect()]
+    data = {u for u in units if not u.endswith(".manifest")}
+    assert data and {u[:-len(".manifest")] for u in units if u.endswith(".manifest")} == data
+
+
+def test_counters_tell_events_apart_by_record(spark):
+    rows = [("r1", "c", "k", "f", "q", T0, "1"), ("r2", "c", "k", "f", "q", T0, "1"), ("r2", "c", "k", "f", "q", T0, "1"),
+            ("r1", "n", "k", "f", "q", T0, "a"), ("r2", "n", "k", "f", "q", T0 + dt.timedelta(1), "b"), ("r3", "c", "z", "f", "q", T0, None)]
+    e = spark.createDataFrame(rows, "record_id string, " + COUNTERS)
+    got = {(r["table_name"], r["row_key"]): (r["value"], r["n_rejected"]) for r in combine_entries(e, ["c"], record=["record_id"]).collect()}
+    assert got == {("c", "k"): ("2", 0), ("n", "k"): ("b", 0), ("c", "z"): ("0", 1)}
+    assert {r["value"] for r in combine_entries(e.where("table_name = 'n'")).collect()} == {"b"}
+
+
 def test_live_upsert_replay_and_newest(spark, tmp_path):
     e = shred(records(spark)).drop("work_id")
     tdir = str(tmp_path / "live")
@@ -119,10 +143,11 @@ def test_bundles_and_accounting(spark, tmp_path):
         "source_path string, table_name string, row_key string, family string, qualifier string, ts timestamp_ntz, value string")
     folder = bundle_folder(str(tmp_path / "bundles"), "2024/01/01")
     members = compact_bundles(entries, plan, folder)
-    first = sorted(glob.glob(os.path.join(folder, "bundle_id=*")))
-    assert len(first) == 6 and members.count() == 12
-    compact_bundles(entries, plan, folder)  # replay: same bundle ids
-    assert sorted(glob.glob(os.path.join(folder, "bundle_id=*"))) == first
+    first = sorted(glob.glob(os.path.join(folder, "tick=*", "bucket=*")))
+    assert members.select("bundle_id").distinct().count() == 6 and members.count() == 12
+    assert len({f.split("/bucket=")[0] for f in first}) == 1
+    compact_bundles(entries, plan, folder)  # replay: same bundle ids, same folder
+    assert sorted(glob.glob(os.path.join(folder, "tick=*", "bucket=*"))) == first
     back = read_entries(spark, folder, "source_path string, bundle_id string")
     assert back.count() == 36
     lines = spark.createDataFrame([(f"w{i}\t/data/flagged/in/{i}.seq",) for i in range(3)] + [("no tab here",)], "value string")
