@@ -251,7 +251,7 @@ def delete(index: LineIndex, ids: DataFrame) -> LineIndex:
 
 
 def drops(index: LineIndex, pairs: DataFrame) -> DataFrame:
-    """(doc_id, drop): the keys, as (k1, k2) structs, whose lines each document loses.
+    """(doc_id, drop): the sorted keys, as (k1, k2) structs, whose lines each document loses.
 
     pairs: (k1, k2, doc_id) of the documents to clean."""
     spark = pairs.sparkSession
@@ -271,7 +271,22 @@ def drops(index: LineIndex, pairs: DataFrame) -> DataFrame:
             .applyInPandas(probe, "k1 long, k2 long, doc_id long"))
     shared = cut(common_keys(index.refs, index.min_docs))
     lost = hits.join(shared, ["k1", "k2"]).where("doc_id <> top")
-    return lost.groupBy("doc_id").agg(F.collect_list(F.struct("k1", "k2")).alias("drop"))
+    return lost.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("k1", "k2"))).alias("drop"))
+
+
+def _among(key: Column, ordered: Column) -> Column:
+    """Is ``key`` in a sorted array: halving steps, so a very long text whose lines
+    are all shared costs lines x log(lines), not their square."""
+    steps = F.sequence(F.lit(1), F.length(F.bin(F.size(ordered))))
+    start = F.struct(F.lit(0).alias("lo"), F.size(ordered).alias("hi"))
+
+    def halve(a: Column, _: Column) -> Column:
+        mid = F.shiftright(a["lo"] + a["hi"], 1)
+        below = F.get(ordered, mid) < key
+        return F.when(a["lo"] >= a["hi"], a).when(below, F.struct((mid + 1).alias("lo"), a["hi"].alias("hi"))).otherwise(
+            F.struct(a["lo"].alias("lo"), mid.alias("hi")))
+
+    return F.aggregate(steps, start, halve, lambda a: F.coalesce(F.get(ordered, a["lo"]) == key, F.lit(False)))
 
 
 def clean(index: LineIndex, docs: DataFrame, pairs: DataFrame | None = None, id_col: str = "doc_id",
@@ -283,9 +298,10 @@ def clean(index: LineIndex, docs: DataFrame, pairs: DataFrame | None = None, id_
         pairs = line_refs(docs, index.min_chars, id_col, text_col)
     lost = drops(index, pairs).select(F.col("doc_id").alias("__doc"), F.col("drop").alias("__drop"))
     lines = _lines(F.col(text_col))
-    kept = F.filter(lines, lambda x: ~(
-        (F.length(line_key(x)) >= index.min_chars)
-        & F.array_contains(F.col("__drop"), F.struct(*_hashes(line_key(x))))))
+    # arrays of one bind a line's key and its hashes: each is made once
+    hashed = lambda k: F.exists(F.array(F.struct(*_hashes(k))), lambda h: _among(h, F.col("__drop")))
+    kept = F.filter(lines, lambda x: ~F.exists(
+        F.array(line_key(x)), lambda k: (F.length(k) >= index.min_chars) & hashed(k)))
     out = docs.join(lost, docs[id_col].cast("long") == lost["__doc"], "left")
     out = out.withColumn("__kept", F.when(F.col("__drop").isNull(), lines).otherwise(kept))
     own = [F.array_join("__kept", "\n").alias(c) if c == text_col else docs[c] for c in docs.columns]
