@@ -70,7 +70,7 @@ def test_long_texts_whose_lines_are_all_shared(spark):
     lines = [f"this line is shared by all copies {i % 2900}" for i in range(3000)]
     rows = [(i, "\n".join(lines + [f"own line of document number {i}", "short"])) for i in range(3)]
     got = {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["text"])
-           for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+           for r in L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     for i in (0, 1):
         assert got[i] == (3002, 3000, f"own line of document number {i}\nshort")
     assert got[2] == (3002, 0, rows[2][1])
