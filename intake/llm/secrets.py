@@ -2,9 +2,10 @@
 
 A random string is split into many short tokens, so its characters per token
 under a byte-level BPE vocabulary are few.  Candidate strings (long runs of
-key characters that mix kinds) below ``MAX_RATIO`` characters a token are
-reported as kind ``random``, unless they are a known digest (hexadecimal at a
-digest's length, UUID) or an identifier (words joined by separators or humps).
+key characters, of any length and any mix of kinds) below ``MAX_RATIO``
+characters a token are reported as kind ``random``, unless they are a known
+digest (hexadecimal at a digest's length, UUID), an identifier (words of the
+vocabulary joined by separators or humps) or a repeated pattern.
 """
 
 from __future__ import annotations
@@ -22,6 +23,9 @@ from intake.llm.common import small_batches
 KINDS = ("assign", "access", "hex", "random")
 MIN_CHARS, MAX_CHARS = 20, 512      # of a candidate; longer runs are encoded data, not a key
 MAX_RATIO = 2.2                     # characters per token
+MAX_DIGITS_RATIO = 3.0              # the same of digits only: the vocabulary has most groups of two or three
+WORD_RATIO = 2.4                    # letters per token of words, at least; random letters have 1.4 to 2.2
+MIN_SIGNS = 6                       # different characters; fewer are a repeated pattern (0101, haha)
 # case is ignored in ASCII only: a long s or a Kelvin sign is no letter of a key word
 _ASSIGN = re.compile(r"(?ai:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -29,6 +33,7 @@ _LONG_HEX = re.compile(r"[0-9a-f]{32,}")
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_CHARS)
 DIGEST_CHARS = (32, 40, 56, 64, 96, 128)
 _UUID = re.compile(r"(?i)[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}")
+_SEPARATORS = re.compile(r"[+/_=-]+")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 
@@ -70,18 +75,28 @@ def is_digest(run: str) -> bool:
     return hexa or bool(_UUID.fullmatch(body))
 
 
-def is_identifier(run: str) -> bool:
-    """Parts of letters of four or more on average, few digits, no case jumping about."""
-    letters = [p for p in _PARTS.findall(run) if p[0].isalpha()]
-    digits = sum(c.isdigit() for c in run)
-    return bool(letters) and sum(map(len, letters)) >= 4 * len(letters) and digits * 4 <= len(run)
+def n_tokens(run: str, path: str) -> int:
+    return len(encoding(path).encode_ordinary(run))
+
+
+def is_identifier(run: str, path: str) -> bool:
+    """Words joined by separators (mostly one token each), or parts of letters of four
+    or more on average that are words under the vocabulary, with few digits."""
+    pieces = [p for p in _SEPARATORS.split(run) if p]
+    if len(pieces) > 2 and sum(min(n_tokens(p.lower(), path), n_tokens(f" {p.lower()}", path)) for p in pieces) <= 1.5 * len(pieces):
+        return True
+    letters = [p.lower() for p in _PARTS.findall(run) if p[0].isalpha()]
+    chars, digits = sum(map(len, letters)), sum(c.isdigit() for c in run)
+    if not letters or chars < 4 * len(letters) or digits * 4 > len(run):
+        return False
+    return chars >= WORD_RATIO * sum(min(n_tokens(p, path), n_tokens(f" {p}", path)) for p in letters)
 
 
 def is_random(run: str, path: str) -> bool:
-    kinds = sum(any(f(c) for c in run) for f in (str.islower, str.isupper, str.isdigit))
-    if not MIN_CHARS <= len(run) <= MAX_CHARS or kinds < 2 or is_digest(run) or is_identifier(run):
+    if not MIN_CHARS <= len(run) <= MAX_CHARS or len(set(run)) < MIN_SIGNS or is_digest(run):
         return False
-    return len(run) < MAX_RATIO * len(encoding(path).encode_ordinary(run))
+    most = MAX_DIGITS_RATIO if run.isdigit() else MAX_RATIO
+    return len(run) < most * n_tokens(run, path) and not is_identifier(run, path)
 
 
 def random_spans(text: str, base: list[tuple[str, int, int]], path: str) -> list[tuple[str, int, int]]:

@@ -205,3 +205,23 @@ def test_random_spans_leave_base_alone():
     base = secrets.base_spans(t)
     assert [k for k, _, _ in base] == ["assign"]
     assert [t[a:b] for _, a, b in secrets.random_spans(t, base, path)] == ["wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"]
+
+
+@pytest.mark.parametrize("letters", ["ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyz0123456789",
+                                     "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyz",
+                                     "ABCDEFGHIJKLMNOPQRSTUVWXYZ"])
+def test_random_strings_of_one_case_are_found(letters):
+    path = secrets.default_vocabulary()
+    rng = random.Random(8)
+    found = [secrets.is_random("".join(rng.choices(letters, k=rng.randint(20, 64))), path) for _ in range(500)]
+    assert sum(found) >= 0.98 * len(found)
+    assert secrets.is_random("k3vqzjxwplmtrbhnfgds7cyd", path)
+
+
+def test_random_digits_are_found_and_words_of_one_case_are_not():
+    path = secrets.default_vocabulary()
+    rng = random.Random(9)
+    assert all(secrets.is_random("".join(rng.choices("0123456789", k=24)), path) for _ in range(200))
+    for plain in ("to-be-or-not-to-be-that-is-it", "2024-01-02-12-30-45-000", "donaudampfschifffahrtsgesellschaft", "=" * 40,
+                  "ha" * 15, "wikipedia/en/articles/of/the/day", "SPARK_SQL_SHUFFLE_PARTITIONS_DEFAULT"):
+        assert not secrets.is_random(plain, path), plain
