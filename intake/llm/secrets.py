@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from intake.llm.common import small_batches
 
 KINDS = ("assign", "access", "hex", "random")
-MIN_CHARS, MAX_CHARS = 20, 512      # of a candidate; longer runs are encoded data, not a key
+MIN_CHARS = 20                      # of a candidate, and of the windows that look for one in a longer run
+CHUNK = 512                         # characters tokenised at once: long runs of letters cost their square
 MAX_RATIO = 2.2                     # characters per token
 MAX_DIGITS_RATIO = 3.0              # the same of digits only: the vocabulary has most groups of two or three
 WORD_RATIO = 2.4                    # letters per token of words, at least; random letters have 1.4 to 2.2
@@ -33,7 +34,10 @@ _LONG_HEX = re.compile(r"[0-9a-f]{32,}")
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_CHARS)
 DIGEST_CHARS = (32, 40, 56, 64, 96, 128)
 _UUID = re.compile(r"(?i)[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}")
-_SEPARATORS = re.compile(r"[+/_=-]+")
+_SEPARATORS, _PIECE = re.compile(r"[+/_=-]+"), re.compile(r"[A-Za-z0-9]+")
+# digests inside a run: whole pieces between separators
+_KNOWN = re.compile(r"(?<![A-Za-z0-9])(?:(?i:[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})|%s)(?![A-Za-z0-9])"
+                    % "|".join(f"[0-9A-F]{{{n}}}" for n in DIGEST_CHARS))
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 
@@ -76,7 +80,8 @@ def is_digest(run: str) -> bool:
 
 
 def n_tokens(run: str, path: str) -> int:
-    return len(encoding(path).encode_ordinary(run))
+    encode = encoding(path).encode_ordinary
+    return sum(len(encode(run[i:i + CHUNK])) for i in range(0, len(run), CHUNK))
 
 
 def is_identifier(run: str, path: str) -> bool:
@@ -93,16 +98,70 @@ def is_identifier(run: str, path: str) -> bool:
 
 
 def is_random(run: str, path: str) -> bool:
-    if not MIN_CHARS <= len(run) <= MAX_CHARS or len(set(run)) < MIN_SIGNS or is_digest(run):
+    if len(run) < MIN_CHARS or len(set(run)) < MIN_SIGNS or is_digest(run):
         return False
     most = MAX_DIGITS_RATIO if run.isdigit() else MAX_RATIO
     return len(run) < most * n_tokens(run, path) and not is_identifier(run, path)
 
 
+def gaps(a: int, b: int, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The parts of a:b outside the taken spans."""
+    out = []
+    for x, y in sorted(taken):
+        if x < b and a < y:
+            out.append((a, x))
+            a = max(a, y)
+    return [(x, y) for x, y in [*out, (a, b)] if y - x >= MIN_CHARS]
+
+
+def random_parts(run: str, path: str) -> list[tuple[int, int]]:
+    """The run if it is random as a whole, or else its random windows of
+    ``MIN_CHARS``, those that touch merged, without plain words at their ends."""
+    if is_random(run, path):
+        return [(0, len(run))]
+    if is_digest(run):
+        return []
+    code = encoding(path)
+    marks = [0]
+    for i in range(0, len(run), CHUNK):
+        for x in code.encode_ordinary(run[i:i + CHUNK]):
+            marks.append(marks[-1] + len(code.decode_single_token_bytes(x)))
+    out: list[list[int]] = []
+    j = 0
+    for i, a in enumerate(marks):
+        while j < len(marks) and marks[j] - a < MIN_CHARS:
+            j += 1
+        if j == len(marks):
+            break
+        b = marks[j]
+        if b - a < MAX_DIGITS_RATIO * (j - i) and is_random(run[a:b], path):
+            if out and a <= out[-1][1]:
+                out[-1][1] = b
+            else:
+                out.append([a, b])
+    return [_trimmed(run, a, b, path) for a, b in out]
+
+
+def _trimmed(run: str, a: int, b: int, path: str) -> tuple[int, int]:
+    """a:b without the separated words at its ends, while ``MIN_CHARS`` are left."""
+    pieces = [(a + m.start(), a + m.end()) for m in _PIECE.finditer(run[a:b])]
+    plain = lambda x, y: y - x >= WORD_RATIO * n_tokens(run[x:y].lower(), path)
+    while len(pieces) > 1 and pieces[-1][1] - pieces[1][0] >= MIN_CHARS and plain(*pieces[0]):
+        a = pieces.pop(0) and pieces[0][0]
+    while len(pieces) > 1 and pieces[-2][1] - a >= MIN_CHARS and plain(*pieces[-1]):
+        b = pieces.pop() and pieces[-1][1]
+    return a, b
+
+
 def random_spans(text: str, base: list[tuple[str, int, int]], path: str) -> list[tuple[str, int, int]]:
-    """Candidates that overlap no base span and fail the token-efficiency test."""
-    return [("random", *m.span()) for m in _RUN.finditer(text)
-            if not any(a < m.end() and m.start() < b for _, a, b in base) and is_random(m[0], path)]
+    """Parts of runs, outside the base spans and known digests, that fail the token-efficiency test."""
+    out = []
+    taken = [(a, b) for _, a, b in base]
+    for m in _RUN.finditer(text):
+        known = [(m.start() + k.start(), m.start() + k.end()) for k in _KNOWN.finditer(m[0])]
+        for a, b in gaps(*m.span(), taken + known):
+            out += [("random", a + x, a + y) for x, y in random_parts(text[a:b], path)]
+    return out
 
 
 def joined(spans: list[tuple[str, int, int]], kinds: tuple[str, ...]) -> str:
