@@ -17,6 +17,7 @@ import hashlib
 import math
 import random
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pandas as pd
@@ -27,8 +28,9 @@ from intake.llm.common import small_batches
 from intake.llm.secrets import joined
 
 KINDS = ("email", "ip", "card", "phone")
-MAX_TOKENS, MAX_CHARS = 24, 72      # of a segment
-REACH = 24                          # characters of context on both sides of an anchor
+MAX_TOKENS, MAX_CHARS = 24, 72      # of a segment; mail addresses may be longer
+MAIL_CHARS = 2_000                  # of an address; one of the longest, 254 characters, has less with every dot spelled out
+REACH = 24                          # characters of context on both sides of what an anchor's entity may hold
 TRAIN_DOCS, TRAIN_CHARS, TRAIN_WINDOWS = 1_000, 20_000, 400   # bounds of the training sample
 EPOCHS, SEED = 12, 5
 
@@ -37,10 +39,20 @@ _IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_ANCHOR = re.compile(r"[0-9]{3,}|[0-9][0-9.()\x20-]{5,}[0-9]|@|[(\[]at[)\]]", re.IGNORECASE | re.ASCII)
+_ANCHOR = re.compile(r"[0-9]{3,}|[0-9][0-9.()\x20-]{5,}[0-9]|@|[(\[](?:at|dot)[)\]]", re.IGNORECASE | re.ASCII)
+# a mail address to the left and right of its at sign, and what says that a span is only a part of one
+_LOCAL = re.compile(r"[A-Za-z0-9_.%+-]")
+_DOT_BEFORE = re.compile(r"\s?[(\[]dot[)\]]\s?\Z", re.I | re.A)
+_LABEL = re.compile(r"\s?(?:[(\[]dot[)\]]|\.)[^\S\n]?[\w-]+", re.I | re.A)
+_MORE_BEFORE = re.compile(r"(?:[A-Za-z0-9][._%+-]|[(\[]dot[)\]]\s?)\Z", re.I | re.A)
+_MORE_AFTER = re.compile(r"[.-][A-Za-z0-9]|\s?[(\[]dot[)\]]\s?\w", re.I | re.A)
+_FIRST_LABEL = re.compile(r"[^\S\n]?[\w-]+|(?=[(\[]dot[)\]])", re.I | re.A)
+_NO_LETTERS = re.compile(r"[^A-Za-z\n]{0,%d}" % MAX_CHARS)
+_NO_LETTERS_BEFORE = re.compile(r"[^A-Za-z\n]*\Z")
+_AT = re.compile(r"@|[(\[]at[)\]]", re.I)
 _JOINED, _JOINS = re.compile(r"[0-9][./-]\Z"), re.compile(r"[./-][0-9]")
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^\W\d_]+|\s|.", re.DOTALL)
-_OBFUSCATED = re.compile(r"[\w.%+-]+\s?(?:[(\[]at[)\]]|@)\s?[\w-]+(?:\s?(?:[(\[]dot[)\]]|\.)\s?[\w-]+)+", re.I | re.A)
+_OBFUSCATED = re.compile(r"[\w.%+-]+(?:\s?[(\[]dot[)\]]\s?[\w.%+-]+)*\s?(?:[(\[]at[)\]]|@)\s?[\w-]+(?:\s?(?:[(\[]dot[)\]]|\.)\s?[\w-]+)+", re.I | re.A)
 _DOTTED = re.compile(r"[0-9]{1,3}(?:(?:\.|\[\.\]|\(\.\))[0-9]{1,3}){3}")
 _CUE = {"mail": "email", "email": "email", "contact": "email", "write": "email", "ip": "ip", "host": "ip", "server": "ip",
         "address": "ip", "card": "card", "visa": "card", "credit": "card", "phone": "phone", "tel": "phone", "call": "phone",
@@ -92,15 +104,55 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def mail_start(text: str, at: int, low: int) -> int:
+    """Where the local part left of position ``at`` begins, spelled dots included; ``low`` at the least."""
+    if at > low and text[at - 1].isspace() and text[at - 1] != "\n":
+        at -= 1
+    while at > low:
+        if _LOCAL.match(text[at - 1]):
+            at -= 1
+        elif text[at - 1] in ")] " and (m := _DOT_BEFORE.search(text[max(low, at - 7):at])):
+            at -= m.end() - m.start()
+        else:
+            break
+    return at
+
+
+def mail_ends(text: str, at: int) -> list[int]:
+    """Ends of the domain labels right of position ``at``."""
+    m = _FIRST_LABEL.match(text, at)
+    out = [m.end()] if m else []
+    while out and (m := _LABEL.match(text, out[-1])):
+        out.append(m.end())
+    return out
+
+
 def windows(text: str) -> list[tuple[int, int]]:
-    """Parts of the text around anchors; near ones are one window, cut at line feeds."""
+    """Parts of the text around anchors, whole words with all that the anchor's
+    entity may hold and context; near ones are one window, cut at line feeds."""
     out: list[list[int]] = []
+    mailed = -1  # the domain that was walked last ends here
     for m in _ANCHOR.finditer(text):
-        a = max(text.rfind("\n", 0, m.start()) + 1, m.start() - REACH)
-        stop = text.find("\n", m.end())
-        b = min(len(text) if stop < 0 else stop, m.end() + REACH)
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(b, out[-1][1])
+        low, a, b = out[-1][1] if out else 0, m.start(), m.end()
+        if m[0][0] in "@([":
+            a = mail_start(text, a, low)
+            if b > mailed:
+                mailed = b = max([b, *mail_ends(text, b if m[0] == "@" or m[0][1] in "aA" else m.start())])
+        else:
+            a = _NO_LETTERS_BEFORE.search(text, max(min(low, a), a - MAX_CHARS), a).start()
+            b = _NO_LETTERS.match(text, b).end()
+        a = max(low, a - REACH)
+        a = max(a, text.rfind("\n", a, m.start()) + 1)
+        b = min(len(text), b + REACH)
+        stop = text.find("\n", m.end(), b)
+        b = b if stop < 0 else stop
+        while low < a < len(text) and text[a - 1].isalnum() and text[a].isalnum():
+            a -= 1
+        if not out or b > low:
+            while b < len(text) and text[b].isalnum() and text[b - 1].isalnum():
+                b += 1
+        if out and a <= low:
+            out[-1][1] = max(b, low)
         else:
             out.append([a, b])
     return [(a, b) for a, b in out]
@@ -179,12 +231,35 @@ class Lattice:
                 if _JOINED.search(self.text[max(0, s - 2):s]) or _JOINS.match(self.text, e):
                     continue  # a part of a longer number
                 for kind in candidates(span):
-                    self.segments.append((i, j, kind, [index(f) for f in features(self.text, s, e, kind)]))
+                    if kind != "email" or self.whole_mail(s, e):
+                        self.segments.append((i, j, kind, [index(f) for f in features(self.text, s, e, kind)]))
+        self.long_mails(index)
         self.n = n
         self.by_end: list[list[int]] = [[] for _ in range(n + 1)]
         for k, x in enumerate(self.segments):
             self.by_end[x[1]].append(k)
 
+    def whole_mail(self, s: int, e: int) -> bool:
+        """Does the address not go on beyond s:e?"""
+        return not (_MORE_BEFORE.search(self.text[max(0, s - 7):s]) or _MORE_AFTER.match(self.text, e))
+
+    def long_mails(self, index) -> None:
+        """Addresses beyond the bounds of a segment, from each at sign's local part to its labels' ends."""
+        low = 0
+        for m in _AT.finditer(self.text):
+            s = mail_start(self.text, m.start(), low)
+            while s < m.start() and not self.text[s].isalnum():
+                s += 1
+            low = m.end()
+            i = bisect_left(self.marks, s)
+            for e in mail_ends(self.text, m.end()):
+                if e - s > MAIL_CHARS:
+                    break
+                j = bisect_left(self.marks, e)
+                if (e - s > MAX_CHARS or j - i > MAX_TOKENS) and self.marks[i] == s < m.start() and self.marks[j] == e \
+                        and self.text[e - 1].isalnum() and self.whole_mail(s, e):
+                    self.segments.append((i, j, "email", [index(f) for f in features(self.text, s, e, "email")]))
+
     def best(self, weights: dict) -> list[tuple[str, int, int]]:
         """Most probable segmentation's entities (kind, start, end) in the whole text."""
         get = weights.get
@@ -214,9 +289,11 @@ def alter(text: str, spans: list[tuple[str, int, int]], rng: random.Random) -> t
         span = text[a:b]
         if kind == "email":
             span = span.replace("@", rng.choice([" (at) ", " [at] ", "[at]", "(at)"]))
-            if rng.random() < 0.4:
-                head, _, tail = span.rpartition(".")
-                span = head + rng.choice(["[dot]", " (dot) ", " [dot] "]) + tail
+            dotted, dot = rng.random(), rng.choice(["[dot]", " (dot) ", " [dot] "])
+            if dotted < 0.4:
+                span = dot.join(span.rsplit(".", 1))
+            elif dotted < 0.7:
+                span = span.replace(".", dot)
         elif kind == "ip":
             span = span.replace(".", rng.choice(["[.]", "(.)"]))
         elif kind == "phone":

@@ -143,6 +143,32 @@ def test_pii_model_adds_what_the_patterns_miss(weights):
         assert added(clean) == [], clean
 
 
+def test_pii_windows_hold_whole_addresses(weights):
+    def added(t):
+        return [(k, t[a:b]) for k, a, b in pii.added_spans(t, pii.base_spans(t), weights)]
+
+    for address in ("jane [at] cs [dot] stanford [dot] edu", "firstname.middlename.lastname (at) example.com",
+                    "jane [dot] doe [at] mail [dot] cs [dot] dept [dot] stanford [dot] edu",
+                    "a-very-long-local-part.with-many-parts.and-some-more (at) mail.some-department.some-university.example.org"):
+        for text in (address, f"please write to {address} today", f"Contact\n{address}\nor call"):
+            assert added(text) == [("email", address)], text
+    rng = random.Random(11)
+    for _ in range(300):
+        words = ["".join(rng.choices("abcdefgh", k=rng.randint(1, 40))) for _ in range(6)]
+        text = f"{words[0]} {words[1]}.{words[2]} [at] {words[3]} [dot] {words[4]} [dot] org {words[5]}"
+        a, b = text.index(" ") + 1, text.index(" org") + 4
+        found = pii.windows(text)
+        assert any(x <= a and b <= y for x, y in found), text
+        assert all((x == 0 or not text[x - 1:x + 1].isalnum()) and (y == len(text) or not text[y - 1:y + 1].isalnum())
+                   for x, y in found), text
+
+
+def test_pii_windows_of_long_texts_are_linear():
+    for part in ("x", "123", "a[dot]", "a(at)b.", "1 ", "@", "12[.]", "x12345"):
+        text = part * (200_000 // len(part))
+        assert all(0 <= a < b <= len(text) for a, b in pii.windows(text))
+
+
 def test_pii_spans_and_counts(spark, weights):
     docs = spark.createDataFrame([(1, "joe@example.com and 10.0.0.1 or joe [at] example.com")], "doc_id long, text string")
     r = pii.scan(docs, weights).first()
