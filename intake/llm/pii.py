@@ -18,6 +18,7 @@ import math
 import random
 import re
 from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -30,6 +31,7 @@ from intake.llm.secrets import joined
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS, MAX_CHARS = 24, 72      # of a segment; mail addresses may be longer
 MAIL_CHARS = 2_000                  # of an address; one of the longest, 254 characters, has less with every dot spelled out
+MIN_DIGITS = 4                      # of an address of four octets; other kinds of number have more
 REACH = 24                          # characters of context on both sides of what an anchor's entity may hold
 TRAIN_DOCS, TRAIN_CHARS, TRAIN_WINDOWS = 1_000, 20_000, 400   # bounds of the training sample
 EPOCHS, SEED = 12, 5
@@ -39,7 +41,7 @@ _IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_ANCHOR = re.compile(r"[0-9]{3,}|[0-9][0-9.()\x20-]{5,}[0-9]|@|[(\[](?:at|dot)[)\]]", re.IGNORECASE | re.ASCII)
+_ANCHOR = re.compile(r"[0-9]{3,}|[0-9][0-9.()\[\]\x20-]{5,}[0-9]|@|[(\[](?:at|dot)[)\]]", re.IGNORECASE | re.ASCII)
 # a mail address to the left and right of its at sign, and what says that a span is only a part of one
 _LOCAL = re.compile(r"[A-Za-z0-9_.%+-]")
 _DOT_BEFORE = re.compile(r"\s?[(\[]dot[)\]]\s?\Z", re.I | re.A)
@@ -260,13 +262,17 @@ class Lattice:
                         and self.text[e - 1].isalnum() and self.whole_mail(s, e):
                     self.segments.append((i, j, "email", [index(f) for f in features(self.text, s, e, "email")]))
 
-    def best(self, weights: dict) -> list[tuple[str, int, int]]:
-        """Most probable segmentation's entities (kind, start, end) in the whole text."""
+    def best(self, weights: dict, fixed: list[tuple[int, int]] = ()) -> list[tuple[str, int, int]]:
+        """Most probable segmentation's entities (kind, start, end) in the whole text, none of which overlaps a fixed span."""
+        taken = [any(self.at + p < y and x < self.at + q for x, y in fixed) for p, q in zip(self.marks, self.marks[1:])]
+        upto = [0, *accumulate(taken)]
         get = weights.get
         score, back = [0.0] + [-math.inf] * self.n, [-1] * (self.n + 1)
         for j in range(1, self.n + 1):
             for k in self.by_end[j]:
-                i, _, _, f = self.segments[k]
+                i, _, kind, f = self.segments[k]
+                if kind and upto[j] > upto[i]:
+                    continue
                 v = score[i] + sum([get(x, 0.0) for x in f])
                 if v > score[j]:
                     score[j], back[j] = v, k
@@ -389,16 +395,17 @@ def added_spans(text: str, base: list[tuple[str, int, int]], weights: dict[str,
     """The model's spans that overlap no fixed one."""
     out = []
     for a, b in windows(text) if weights else ():
-        if all(any(x < q and p < y for _, x, y in base) for p, q in _bare(text, a, b)):
-            continue  # the fixed patterns account for every anchor of the window
-        out += [s for s in Lattice(text, a, b).best(weights) if not any(x < s[2] and s[1] < y for _, x, y in base)]
+        fixed = [(max(a, x), min(b, y)) for _, x, y in base if x < b and a < y]
+        rest = list(text[a:b])
+        for x, y in fixed:
+            rest[x - a:y - a] = "\n" * (y - x)
+        rest = "".join(rest)
+        if len(_DIGIT.findall(rest)) < MIN_DIGITS and not _AT.search(rest):
+            continue  # outside the fixed spans no entity of any kind has room
+        out += Lattice(text, a, b).best(weights, fixed)
     return out
 
 
-def _bare(text: str, a: int, b: int) -> list[tuple[int, int]]:
-    return [m.span() for m in _ANCHOR.finditer(text, a, b)]
-
-
 def digest(text: str | None, weights: dict[str, float]) -> tuple:
     text = text or ""
     base = base_spans(text)

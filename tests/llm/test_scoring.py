@@ -169,6 +169,17 @@ def test_pii_windows_of_long_texts_are_linear():
         assert all(0 <= a < b <= len(text) for a, b in pii.windows(text))
 
 
+def test_pii_bracketed_ips_and_what_stands_beside_fixed_spans(weights):
+    def added(t):
+        return [(k, t[a:b]) for k, a, b in pii.added_spans(t, pii.base_spans(t), weights)]
+
+    for ip in ("10[.]0[.]0[.]1", "8[.]8[.]8[.]8", "1(.)2(.)3(.)4", "192[.]168[.]0[.]1"):
+        for text in (ip, f"host {ip} is up", f"mail joe@example.com at {ip} now", f"{ip} or joe@example.com"):
+            assert added(text) == [("ip", ip)], text
+    assert added("10.0.0.1 (183) 555-1276") == [("phone", "(183) 555-1276")]
+    assert added("joe@example.com and 10.0.0.1") == []
+
+
 def test_pii_spans_and_counts(spark, weights):
     docs = spark.createDataFrame([(1, "joe@example.com and 10.0.0.1 or joe [at] example.com")], "doc_id long, text string")
     r = pii.scan(docs, weights).first()
