@@ -112,7 +112,7 @@ class CuckooFilter:
 
 
 class Chain:
-    """Filters of one shard; a full one is followed by a larger one."""
+    """Filters of one shard; a full one is followed by one for the keys at hand."""
 
     def __init__(self, blob: bytes | None = None):
         self.filters: list[CuckooFilter] = []
@@ -149,7 +149,9 @@ class Chain:
             h = h[room:]
 
     def remove(self, h: np.ndarray) -> None:
-        for f in reversed(self.filters):
+        """The largest filter first: keys that cannot be told apart there cannot be in a
+        smaller one, so where another key's copy is taken, the one left serves that key."""
+        for f in sorted(self.filters, key=lambda f: -len(f.slots)):
             if len(h):
                 h = h[~f.remove(h)]
 
