@@ -252,16 +252,23 @@ def delete(index: LineIndex, ids: DataFrame) -> LineIndex:
     return _changed(index, refs, gone)
 
 
+def salted(pairs: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
+    """(shard, salt, k1, k2, doc_id), about ``GROUP_ROWS`` of them a shard and salt, and
+    (shard, salts), from each shard's own rows: one may hold a line of most documents."""
+    pairs = pairs.select(_shard(shards), "k1", "k2", "doc_id")
+    salts = cut(pairs.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).cast("int").alias("salts")))
+    salt = F.pmod(F.xxhash64("doc_id"), F.col("salts")).cast("int").alias("salt")
+    # a row for each of the shards, of which there is one per SHARD_KEYS keys
+    return pairs.join(F.broadcast(salts), "shard").select("shard", salt, "k1", "k2", "doc_id"), salts
+
+
 def drops(index: LineIndex, pairs: DataFrame) -> DataFrame:
     """(doc_id, drop): the sorted keys, as (k1, k2) structs, whose lines each document loses.
 
     pairs: (k1, k2, doc_id) of the documents to clean."""
-    spark = pairs.sparkSession
-    n = pairs.count()
-    salts = max(1, -(-n // (index.shards * GROUP_ROWS)))
-    lines = pairs.select(_shard(index.shards), F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"),
-                         "k1", "k2", "doc_id")
-    blobs = index.filters.select("shard", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "blob")
+    lines, salts = salted(pairs, index.shards)
+    blobs = index.filters.join(salts, "shard").select(
+        "shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "blob")
 
     def probe(keys: pd.DataFrame, blobs: pd.DataFrame) -> pd.DataFrame:
         if not len(blobs) or not len(keys):

@@ -92,3 +92,20 @@ def test_large_removals_after_small_insertions_lose_no_key():
     again.remove(later)
     again.remove(first[10_000:])
     assert not any(np.count_nonzero(f.slots) for f in again.filters)
+
+
+def test_groups_of_a_hot_shard_are_bounded(spark, monkeypatch):
+    """Half of the rows are one line's, in one of 50 shards."""
+    monkeypatch.setattr(L, "GROUP_ROWS", 100)
+    rows = spark.range(10_000).selectExpr("id as k1", "case when id % 2 = 0 then 7 else id end as k2", "id as doc_id")
+    lines, salts = L.salted(rows, 50)
+    sizes = {(r["shard"], r["salt"]): r["count"] for r in lines.groupBy("shard", "salt").count().collect()}
+    assert sum(sizes.values()) == 10_000 and max(sizes.values()) <= 200
+    number = {r["shard"]: r["salts"] for r in salts.collect()}
+    assert all(0 <= salt < number[shard] for shard, salt in sizes) and number[7] == 52 and number[9] == 2
+
+
+def test_a_hot_line_in_several_groups_is_dropped_alike(small, monkeypatch):
+    docs = small.selectExpr("doc_id", "concat('A line that every one of the documents holds.\n', text) as text")
+    monkeypatch.setattr(L, "GROUP_ROWS", 50)
+    assert result(L.dedup_lines(docs)) == brute(texts(docs))
