@@ -11,8 +11,9 @@
    pattern (one may hold a third of all rows) is sorted or gathered; the last
    digit's few documents fill the rest.
 
-Patterns and quotas are driver-side tables (at most ``MAX_PATTERNS`` rows,
-checked); documents never are.
+Patterns and quotas are driver-side tables; documents never are.  A pattern that
+alone feeds its only source needs no flow; of patterns of several sources there
+are at most ``MAX_PATTERNS`` (checked).
 """
 
 from __future__ import annotations
@@ -109,6 +110,26 @@ def min_cost_flow(capacity: dict, members: dict, wanted: dict, passes: int = MOS
             room[e ^ 1] += push
 
 
+def given_words(capacity: dict, members: dict, wanted: dict, passes: int = MOST) -> dict:
+    """Words each pattern gives.  Where one pattern and one source have only each
+    other, the quota says it; the flow is for the others."""
+    shared = {s for p in members if len(members[p]) > 1 for s in members[p]}
+    lone = {p for p in capacity if not shared.intersection(members[p])}
+    given = {p: min(sum(wanted.get(s, 0) for s in members[p]), passes * capacity[p]) for p in lone}
+    given |= {p: 0 for p in capacity if p not in lone}
+    if shared:
+        flow = min_cost_flow({p: c for p, c in capacity.items() if p not in lone}, members,
+                             {s: w for s, w in wanted.items() if s in shared}, passes)
+        for (p, _), words in flow.items():
+            given[p] += words
+    return given
+
+
+def _small(df: DataFrame, patterns: int) -> DataFrame:
+    """A table of one row a pattern, broadcast unless there are many."""
+    return F.broadcast(df) if patterns <= MAX_PATTERNS else df
+
+
 def fill(sizes: list[int], room: int) -> list[bool]:
     """Documents, in order, that fit into ``room`` words; then swaps of a picked one
     for a larger one, the best first, while that leaves less room."""
@@ -141,38 +162,40 @@ def _select(sized: DataFrame, take: dict, seed: int) -> DataFrame:
     edge = {p: (0, HASH, r, take[p][1]) for p, (_, r) in plan.items() if r}  # pattern -> prefix, shift, words left, rows
     shift = HASH
     while shift and (wide := [p for p, x in edge.items() if x[1] == shift and x[3] > LAST_ROWS]):
-        at = F.broadcast(spark.createDataFrame([(p, edge[p][0]) for p in wide], "p string, prefix long"))  # MAX_PATTERNS rows
+        at = _small(spark.createDataFrame([(p, edge[p][0]) for p in wide], "p string, prefix long"), len(wide))
         rows = (sized.join(at, F.col("pattern").eqNullSafe(F.col("p")))
                 .where(F.shiftright("u", shift) == F.col("prefix"))
                 .groupBy("pattern", F.shiftright("u", shift - DIGIT).alias("digit"))
                 .agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).collect())  # 8 rows a pattern
         shift -= DIGIT
+        found: dict = {p: [] for p in wide}
+        for r in rows:
+            found[r["pattern"]].append((r["digit"], r["size"], r["n"]))
         for p in wide:
-            mine = sorted((r["digit"], r["size"], r["n"]) for r in rows if r["pattern"] == p)
+            mine = sorted(found[p])
             left = edge[p][2]
             for digit, size, n in mine:
                 if size > left or digit == mine[-1][0]:
                     edge[p] = (digit, shift, left, n)
                     break
                 left -= size
-    table = F.broadcast(spark.createDataFrame(
+    table = _small(spark.createDataFrame(
         [(p, plan[p][0], *edge.get(p, (None, 0, 0))[:3]) for p in plan],
-        "p string, passes long, edge long, shift int, room long"))
+        "p string, passes long, edge long, shift int, room long"), len(plan))
     marked = sized.join(table, F.col("pattern").eqNullSafe(F.col("p"))).withColumn(
         "digit", F.expr("shiftright(u, shift)"))
-    names = sized.columns
-    sure = marked.where("edge is null or digit <> edge").select(
-        *names, (F.col("size") * (F.col("passes") + F.when(F.col("digit") < F.col("edge"), 1).otherwise(0))).alias("taken"))
 
     def finish(pdf: pd.DataFrame) -> pd.DataFrame:
-        units = pdf.groupby("u", sort=True)["size"].sum()  # repeated rows fall together
-        more = pd.Series(fill([int(s) for s in units], int(pdf["room"].iloc[0])), index=units.index)
-        pdf["taken"] = pdf["size"] * (pdf["passes"] + pdf["u"].map(more).astype("int64"))
-        return pdf[[*names, "taken"]]
+        pdf = pdf.sort_values("u")
+        more = fill([int(s) for s in pdf["size"]], int(pdf["room"].iloc[0]))
+        return pd.DataFrame({"q": [pdf["pattern"].iloc[0]], "picked": [[int(u) for u, m in zip(pdf["u"], more) if m]]})
 
-    few = marked.where("digit = edge").select(*names, "passes", "room")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sized.schema) + ", taken long"
-    return sure.unionByName(few.groupBy("pattern").applyInPandas(finish, fields))
+    # repeated rows fall together: however many there are, a pattern has at most LAST_ROWS rows here
+    few = marked.where("digit = edge").groupBy("pattern", "u").agg(F.sum("size").alias("size"), F.first("room").alias("room"))
+    picked = _small(few.groupBy("pattern").applyInPandas(finish, "q string, picked array<long>"), len(plan))
+    more = (F.col("digit") < F.col("edge")) | ((F.col("digit") == F.col("edge")) & F.array_contains("picked", F.col("u")))
+    return marked.join(picked, F.col("pattern") == F.col("q"), "left").select(
+        *sized.columns, (F.col("size") * (F.col("passes") + F.when(more, 1).otherwise(0))).alias("taken"))
 
 
 def mix(docs: DataFrame, size: Column, sources: Column, targets: Callable[[dict], dict] = quotas,
@@ -192,9 +215,10 @@ def mix(docs: DataFrame, size: Column, sources: Column, targets: Callable[[dict]
     sized = frozen(docs.select(F.col(id_col).alias("doc_id"), pattern.alias("pattern"),
                                F.coalesce(size, F.lit(0)).cast("long").alias("size"))
                    .withColumn("u", F.xxhash64(F.lit(seed), "doc_id", "size").bitwiseAND(F.lit((1 << HASH) - 1))), "mix")
-    total = sized.groupBy("pattern").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")).limit(MAX_PATTERNS + 1).collect()
-    if len(total) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns: group rare sources first")
+    summed = cut(sized.groupBy("pattern").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")))
+    if summed.where(F.size(F.from_json("pattern", "s array<string>")["s"]) > 1).limit(MAX_PATTERNS + 1).count() > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} patterns of several sources: group rare sources first")
+    total = summed.collect()
     capacity = {r["pattern"]: r["words"] for r in total}
     members = {p: json.loads(p).get("s") or [] for p in capacity}
     sizes: dict = {}
@@ -202,14 +226,11 @@ def mix(docs: DataFrame, size: Column, sources: Column, targets: Callable[[dict]
         for s in members[p]:
             sizes[s] = sizes.get(s, 0) + words
     target = targets(sizes)
-    flow = min_cost_flow(capacity, members, {s: round(t) for s, t in target.items()}, passes)
-    given = dict.fromkeys(capacity, 0)
-    for (p, _), words in flow.items():
-        given[p] += words
+    given = given_words(capacity, members, {s: round(t) for s, t in target.items()}, passes)
     chosen = _select(sized, {r["pattern"]: (r["words"], r["n"], given[r["pattern"]]) for r in total}, seed)
-    facts = F.broadcast(spark.createDataFrame(
+    facts = _small(spark.createDataFrame(
         [(p, sum(sizes[s] for s in members[p]), float(sum(target[s] for s in members[p]))) for p in capacity],
-        "p string, source_size long, target double"))
+        "p string, source_size long, target double"), len(capacity))
     return chosen.join(facts, F.col("pattern").eqNullSafe(F.col("p"))).select(
         "doc_id", "size", F.from_json("pattern", "s array<string>")["s"].alias("sources"),
         "source_size", "target", "taken")

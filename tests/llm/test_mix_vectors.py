@@ -1,6 +1,7 @@
 """Mixing and the embedding join."""
 
 import random
+import re
 from fractions import Fraction
 
 import numpy as np
@@ -153,3 +154,42 @@ def test_repeated_and_missing_ids(spark):
     got = sorted(map(tuple, E.near_vectors(docs).collect()), key=str)
     assert got == [(1, 1, 1, True), (2, 1, 1, False), (None, 0, None, True)]
     assert E.near_vectors(docs.where("false")).count() == 0
+
+
+def test_lone_patterns_need_no_flow():
+    rng = random.Random(12)
+    for _ in range(200):
+        members = {s: [s] for s in "abcdef" if rng.random() < 0.8}
+        members |= {p: list(p) for p in ("ab", "bc", "abc") if rng.random() < 0.3}
+        capacity = {p: rng.randint(0, 20) for p in members}
+        wanted = {s: rng.randint(0, 40) for s in sorted({s for x in members.values() for s in x})}
+        want = dict.fromkeys(capacity, 0)
+        for (p, _), words in M.min_cost_flow(capacity, members, wanted).items():
+            want[p] += words
+        got = M.given_words(capacity, members, wanted)
+        assert sum(got.values()) == sum(want.values())
+        assert sum(max(0, got[p] - capacity[p]) for p in got) == sum(max(0, want[p] - capacity[p]) for p in want)
+        assert all(got[s] == want[s] for s in members if not any(len(p) > 1 and s in p for p in members))
+
+
+@pytest.mark.parametrize("most", [20, 10_000])
+def test_more_sources_than_the_flow_may_have_patterns(spark, monkeypatch, most):
+    monkeypatch.setattr(M, "MAX_PATTERNS", most)
+    rows = [(i, 1 + i % 9, [f"s{i % 300}"]) for i in range(1500)] + [(2000 + i, 5, ["s1", "s2"]) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, words long, src array<string>")
+    out = M.mix(docs, F.col("words"), F.col("src")).collect()
+    assert sorted(r["doc_id"] for r in out) == [r[0] for r in rows]
+    assert all(r["taken"] in (0, r["size"], 2 * r["size"]) for r in out)
+    for s in ("s7", "s250", "s299"):
+        mine = [r for r in out if r["sources"] == [s]]
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= max(r["size"] for r in mine)
+
+
+def test_repeated_rows_are_one_row_of_the_last_step(spark):
+    rows = [(None, 3, "a")] * 3000 + [(i, 3, "a") for i in range(40)] + [(i, 2, "b") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, words long, source string")
+    out = M.mix(docs, F.col("words"), F.array("source"))
+    got = out.collect()
+    assert len(got) == len(rows) and len({r["taken"] for r in got if r["doc_id"] is None}) == 1
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"FlatMapGroupsInPandas.*\n[^\n]*Aggregate \[pattern#\d+, u#\d+L\]", re.sub(r"\n[^\n]*Project[^\n]*", "", plan)), plan
