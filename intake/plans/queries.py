@@ -677,9 +677,16 @@ SELECT 'event' AS table_name, CAST(event_id AS VARCHAR) AS row_key, 'events' AS
 UNION ALL
 SELECT 'event', CAST(event_id AS VARCHAR), 'events', 'props', ts, props, TRUE FROM events WHERE event_id IS NOT NULL AND props IS NOT NULL""")
 def q_pipeline_end_to_end(spark, d):
+    """Every bundled entry of an event, with whether the bundles' inputs are accounted
+    for.  Entries of records without event_id are bundled and counted, see ``end_to_end``."""
+    return end_to_end(spark, d).where("table_name = 'event'")
+
+
+def end_to_end(spark, d):
     """Events written as files, then feeder, ingest and bundler, each on what the
     one before left; the bundler runs twice, the second time it finds nothing
-    new.  Every bundled entry, with whether its bundles' inputs are accounted for."""
+    new.  Every bundled entry, those of rejected records too, with whether every
+    input is bundled once and every record without event_id is among the rejected."""
     root = scratch_dir(spark, "end-to-end")
     stamp = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
     (S.table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type", "props")
@@ -692,7 +699,7 @@ def q_pipeline_end_to_end(spark, d):
     items = lifecycle.feeder_tick(inv, none, scan, feeder, as_of)["items"]
     spec = TypeSpec("json", "event_id long, ts timestamp_ntz, event_type string, props string", stamp)
     types = {"events": lifecycle.DataType(spec, lambda r: shred.shred_entries(
-        r, "events", "event_id", {"event_type": "event_type", "props": "props"}, "ts", carry=["work_id"], reject_table=None))}
+        r, "events", "event_id", {"event_type": "event_type", "props": "props"}, "ts", carry=["work_id"]))}
     lifecycle.ingest_items(spark, items.select("message", "work_id"), inv, types, as_of, "bulk", f"{root}/out", moved=items)
     bundler = BundlerConfig(f"{root}/bundles")
     lines = []
@@ -706,7 +713,10 @@ def q_pipeline_end_to_end(spark, d):
     # every input is accounted for, once
     whole = items.join(moved.groupBy("work_id").count(), "work_id", "left").agg(
         F.bool_and(F.coalesce(F.col("count") == 1, F.lit(False)))).first()[0]
-    return bundles.read_bundles(spark, f"{root}/bundles", f"{root}/state").select(
+    entries = bundles.read_bundles(spark, f"{root}/bundles", f"{root}/state")
+    whole = bool(whole) and entries.where("table_name = 'rejected'").count() == \
+        S.table(spark, d, "events").where("event_id is null").count()
+    return entries.select(
         "table_name", "row_key", "family", "qualifier", "ts", "value", F.lit(whole).alias("accounted"))
 
 

@@ -247,3 +247,18 @@ def test_inputs_fail_one_by_one(spark, tmp_path):
                    ("gone.csv", "failed", "missing"), ("good.parquet", "ok", None)]
     assert read_entries(spark, str(tmp_path / "out" / "data")).count() == 5
     assert read_manifests(spark, str(tmp_path / "out" / "manifests")).count() == 2
+
+
+def test_end_to_end_keeps_records_without_id(spark, tmp_path):
+    from intake.plans import queries as Q
+
+    spark.sql("""SELECT CASE WHEN id % 10 <> 3 THEN id END AS event_id, TIMESTAMP '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS ts,
+                        'click' AS event_type, CASE WHEN id % 20 = 3 THEN NULL ELSE '{}' END AS props FROM range(40)"""
+              ).write.parquet(str(tmp_path / "events.parquet"))
+    rows = Q.end_to_end(spark, str(tmp_path)).collect()
+    lost = [r for r in rows if r["table_name"] == "rejected"]
+    assert len(lost) == 4 and all(r["qualifier"] == "null_key" and '"event_type":"click"' in r["value"] for r in lost)
+    assert all(r["accounted"] for r in rows)
+    assert sorted(r["row_key"] for r in rows if r["qualifier"] == "event_type") == sorted(str(i) for i in range(40) if i % 10 != 3)
+    own = Q.q_pipeline_end_to_end(spark, str(tmp_path)).collect()
+    assert {r["table_name"] for r in own} == {"event"} and len(own) == len(rows) - 4
