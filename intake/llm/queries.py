@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from intake.llm import (embedding_join, line_dedup, mixing, pii, quality, secrets, sentencepiece_bpe, simhash,
-                        token_blocks, toxicity)
+from intake.llm import (embedding_join, fill_in_middle, line_dedup, mixing, packing, pii, quality, secrets,
+                        sentencepiece_bpe, simhash, token_blocks, toxicity, whitening)
 from intake.llm.common import documents, n_words, table
 
 
@@ -60,11 +60,23 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digest_documents(documents(spark, sf_dir))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(documents(spark, sf_dir))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pieces(packing.pack(documents(spark, sf_dir)))
+
+
 def queries() -> dict:
     import corpus_pipeline
 
     own = (op1_quality, op2_simhash, op3_toxicity, op4_line_dedup, op5_embedding, op6_token_blocks, op7_mixing,
-           op8_pii, op9_secrets, op10_sentencepiece)
+           op8_pii, op9_secrets, op10_sentencepiece, op11_whitening, op12_fill_in_middle, op13_packing)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
@@ -116,6 +128,21 @@ FROM o
 
 
 SQL: dict[str, str] = {
+    "op12_fill_in_middle": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS u FROM d),
+c AS (SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS c1, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS c2,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                       OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+                  WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(u[1:least(c1, c2)], '') AS p, array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], '') AS m,
+             array_to_string(u[greatest(c1, c2) + 1:], '') AS s FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+""",
     "op5_embedding": """
 WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
