@@ -36,12 +36,14 @@ from intake.operators.filters import exclude_manifests, ignore_prefix, quarantin
 from intake.operators.work import flagged_collisions, parse_work_items, work_items
 from intake.operators.shred import metadata_updates
 from intake.schemas import ENTRY_COLUMNS, ENTRY_SCHEMA
-from intake.session import checkpoint_dir
+from intake.session import checkpoint_dir, scratch_dir
 from intake.sinks.bulk import write_bulk
 from intake.sinks.bundles import bundle_folder, bundled_files, compact_bundles, record_bundled
 from intake.sinks.live import upsert_live
 from intake.sources.inventory import _norm_uri
-from intake.sources.typed import TypeSpec, read_typed_feed
+from intake.sources.formats import FORMATS
+from intake.sources.groups import rejected_files, whole_files
+from intake.sources.typed import SPARK_FORMATS, TypeSpec, read_typed_feed
 
 
 Hook = Callable[[DataFrame], DataFrame]
@@ -86,10 +88,6 @@ class DataType:
     sum_tables: tuple[str, ...] = ()
 
 
-# formats that Spark reads without a further package
-READABLE_FORMATS = ("csv", "json", "parquet", "orc", "text", "binaryFile")
-
-
 def ingest_items(spark: SparkSession, messages: DataFrame, inventory: DataFrame,
                  types: Mapping[str, DataType], as_of, mode: str | IngestConfig = "bulk",
                  out_dir: str | None = None, batch_id: str = "0", run_id: str = "run",
@@ -99,7 +97,10 @@ def ingest_items(spark: SparkSession, messages: DataFrame, inventory: DataFrame,
     Messages may name flagged targets: ``moved`` (the feeder's items:
     ``target_path, path, length``) says where those files are.  Inputs fail one
     by one: a bad message, an unreadable format, a data type without reader, a
-    missing or a corrupt file gives a ``failed`` outcome and the others go on.
+    missing or a corrupt file gives a ``failed`` outcome and the others go on.  Formats
+    that tasks read themselves (csv, json, text, parquet and those of
+    ``intake.sources.formats``) are read once into a staging table, bad files and all; other
+    formats (and stores that only Spark reads) are read again without the bad file.
 
     Bulk: entries and manifests under ``out_dir`` for batch ``batch_id``.
     Live: upserts into the live tables under ``out_dir`` and each input's
@@ -116,7 +117,7 @@ def ingest_items(spark: SparkSession, messages: DataFrame, inventory: DataFrame,
     if moved is not None:
         files = files.unionByName(moved.select(F.col("target_path").alias("path"), "length",
                                                F.col("path").alias("read_path"))).dropDuplicates(["path"])
-    parsed = parse_work_items(messages, files, READABLE_FORMATS)
+    parsed = parse_work_items(messages, files, sorted({*SPARK_FORMATS, *FORMATS}))
     known = F.col("data_type").isin(list(types))
     parsed = parsed.withColumn("status", F.when((F.col("status") == "ok") & ~known, "unknown_type").otherwise(F.col("status")))
     checkpoint_dir(spark)
@@ -125,7 +126,13 @@ def ingest_items(spark: SparkSession, messages: DataFrame, inventory: DataFrame,
     while True:
         ok = parsed.where(F.col("status") == "ok")
         try:
-            entries = _entries_of(spark, ok, types)
+            entries, rejected = _entries_of(spark, ok, types)
+            if rejected is not None:
+                bad = broadcast_if_small(rejected.select(path_key("source_path").alias("_bad")).distinct())
+                parsed = parsed.join(bad, path_key("read_path") == F.col("_bad"), "left").withColumn(
+                    "status", F.when((F.col("status") == "ok") & F.col("_bad").isNotNull(), "unreadable")
+                    .otherwise(F.col("status"))).drop("_bad").checkpoint()
+                ok = parsed.where(F.col("status") == "ok")
             if mode == "bulk":
                 write_bulk(entries, ok.select("work_id", F.col("path").alias("source_path")), out_dir, batch_id)
             else:
@@ -148,21 +155,29 @@ def ingest_items(spark: SparkSession, messages: DataFrame, inventory: DataFrame,
     return out
 
 
-def _entries_of(spark: SparkSession, ok: DataFrame, types: Mapping[str, DataType]) -> DataFrame:
-    """Entries of the good items, read and shredded type by type: types may
-    give one column name different kinds."""
+def _entries_of(spark: SparkSession, ok: DataFrame, types: Mapping[str, DataType]) -> tuple[DataFrame, DataFrame | None]:
+    """Entries of the good items, read and shredded type by type (types may give one column
+    name different kinds), and (source_path, reason) of the files that could not be read."""
     entries = spark.createDataFrame([], T.StructType([*ENTRY_SCHEMA.fields, T.StructField("work_id", T.StringType())]))
+    rejected = None
     for dt, t in types.items():
         mine = ok.where(F.col("data_type") == dt)
         if mine.isEmpty():
             continue
-        records = read_typed_feed(spark, mine.select(F.col("read_path").alias("path"), "data_type", "format"), {dt: t.spec})
+        items = mine.select(F.col("read_path").alias("path"), "length", "data_type", "format")
+        records = read_typed_feed(spark, items, {dt: t.spec}, guarded=True)
+        # read once: whether a file is whole is known at its end, and the entries are used more than once
+        staging = scratch_dir(spark, "staging")
+        records.write.parquet(staging)
+        records = spark.read.schema(records.schema).parquet(staging)
+        bad = rejected_files(records)
+        rejected = bad if rejected is None else rejected.unionByName(bad)
         lookup = broadcast_if_small(mine.select(path_key("read_path").alias("_key"), "work_id"))
-        part = t.shred(records.withColumn("_key", path_key("source_path")).join(lookup, "_key").drop("_key"))
+        part = t.shred(whole_files(records).withColumn("_key", path_key("source_path")).join(lookup, "_key").drop("_key"))
         record = [c for c in ("record_id",) if c in part.columns]
         part = combine_entries(part, t.sum_tables, ["work_id"], record)
         entries = entries.unionByName(part.select(*ENTRY_COLUMNS, "work_id"))
-    return entries
+    return entries, rejected
 
 
 _FAILED_FILE = re.compile(r"(?:reading file|Could not read footer for file[: ]*|FileStatus\{path=)\s*(\S+?)[.;]?(?:\s|$)")

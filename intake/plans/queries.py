@@ -22,7 +22,12 @@ from intake.plans import lifecycle
 from intake.plans import standins as S
 from intake.session import scratch_dir
 from intake.sinks import bulk, bundles, live
+from intake.sinks.files import folder_exists
+from intake.sinks.framed import write_framed
+from intake.sources import storage
 from intake.sources.entries import read_entries
+from intake.sources.formats import Framed
+from intake.sources.groups import read_groups
 from intake.sources.inventory import landing_inventory
 from intake.sources.typed import TypeSpec, read_typed_feed
 from intake.streaming.feed import stream_feed
@@ -114,6 +119,47 @@ def q_read_typed_feed(spark, d):
                        "event_id", "ts", "event_type", "o_orderkey", "o_orderdate", "o_orderstatus")
 
 
+CUT_BUCKET = 5      # the file of the custom format that is cut off
+_EVENT_COLUMNS = "event_id, ts, user_id, event_type, value, props"
+
+
+def _cut_off(path: str, lost: int) -> None:
+    """Take the last ``lost`` bytes off a file."""
+    with storage.open_input(path) as f:
+        f.seek(0, 2)
+        left = f.tell() - lost
+        f.seek(0)
+        with storage.open_output(path + ".cut") as out:
+            while left > 0 and (block := f.read(min(left, 1 << 20))):
+                out.write(block)
+                left -= len(block)
+    storage.move(path + ".cut", path)
+
+
+@register("read_custom_format", f"""
+WITH e AS (SELECT *, coalesce(event_id, 0) % 16 AS b FROM events),
+o AS (SELECT *, row_number() OVER (PARTITION BY b ORDER BY event_id DESC NULLS LAST, ts DESC, user_id DESC, event_type DESC, value DESC, props DESC) AS last FROM e)
+SELECT 'bucket-' || b || '.frm' AS file, {_EVENT_COLUMNS}, NULL::VARCHAR AS problem FROM o WHERE b <> {CUT_BUCKET} OR last > 1
+UNION ALL SELECT DISTINCT 'bucket-{CUT_BUCKET}.frm', NULL, NULL, NULL, NULL, NULL, NULL, 'ValueError: cut off' FROM e WHERE b = {CUT_BUCKET}""")
+def q_read_custom_format(spark, d):
+    """The events written in the framed format, a file per bucket, one file cut
+    off within its last record, and read back: every record before the cut and one
+    row that rejects the file."""
+    folder = scratch_dir(spark, "framed")
+    events = S.table(spark, d, "events").select(
+        "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value", "props",
+        F.concat(F.lit("bucket-"), F.pmod(F.coalesce("event_id", F.lit(0)), F.lit(16))).alias("bucket"))
+    write_framed(events.repartition("bucket").sortWithinPartitions("bucket", "event_id", "ts", "user_id", "event_type", "value", "props"),
+                 folder, file_by="bucket")
+    cut = f"{folder}/bucket-{CUT_BUCKET}.frm"
+    if folder_exists(spark, cut):
+        _cut_off(cut, Framed.HEAD.size + 1)
+    files = landing_inventory(spark, folder).select("path", "length")
+    rows = read_groups(spark, files, "framed", "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    return rows.select(file_name("source_path").alias("file"), *_EVENT_COLUMNS.split(", "),
+                       F.regexp_replace("reject", " at byte.*", "").alias("problem"))
+
+
 def _event_entries_sql(with_work: bool) -> str:
     extra = (", md5('/landing/flagged/events/user-' || CAST(user_id AS VARCHAR) || '.json') AS work_id"
              if with_work else "")
