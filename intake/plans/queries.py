@@ -24,6 +24,7 @@ from intake.session import scratch_dir
 from intake.sinks import bulk, bundles, live
 from intake.sinks.files import folder_exists
 from intake.sinks.framed import write_framed
+from intake.sinks.listing import take_snapshot
 from intake.sources import storage
 from intake.sources.entries import read_entries
 from intake.sources.formats import Framed
@@ -96,6 +97,51 @@ def q_landing_inventory(spark, d):
             .where(F.col("folder") != "").groupBy("folder").agg(F.sum("length").alias("n_bytes")))
 
 
+_WALK_SQL = """names AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         lang || '/' || source || '/' || CASE WHEN doc_id % 7 = 0 THEN '.part-' WHEN doc_id % 11 = 0 THEN '_tmp/' ELSE '' END || doc_id || '.txt' AS path
+  FROM documents),
+before AS (SELECT path, CASE WHEN doc_id % 5 = 0 THEN 0 ELSE strlen(text) END AS length FROM names),
+after AS (SELECT path, CASE WHEN doc_id % 3 = 0 THEN strlen(text) + 1 WHEN doc_id % 5 = 0 THEN 0 ELSE strlen(text) END AS length
+          FROM names WHERE doc_id % 13 <> 0
+          UNION ALL SELECT 'new/' || path, 3 FROM names WHERE doc_id % 17 = 0)"""
+
+
+def _write_files(files: DataFrame, root: str) -> None:
+    """Files (``path`` below ``root``, ``body``; a null body deletes) written by tasks."""
+    def write(rows):
+        for r in rows:
+            if r["body"] is None:
+                storage.remove(f"{root}/{r['path']}")
+            else:
+                with storage.open_output(f"{root}/{r['path']}") as out:
+                    out.write(bytes(r["body"]))
+    files.select("path", F.col("body").cast("binary").alias("body")).foreachPartition(write)
+
+
+@register("listing_changes", f"""WITH {_WALK_SQL}
+SELECT coalesce(a.path, b.path) AS path, CASE WHEN b.path IS NULL THEN 'new' WHEN a.path IS NULL THEN 'gone'
+       WHEN a.length = b.length THEN 'same' ELSE 'changed' END AS status, a.length, b.length AS old_length
+FROM after a FULL JOIN before b ON a.path = b.path""")
+def q_listing_changes(spark, d):
+    """The documents written as files with nested, hidden and empty ones among them and listed; then some
+    replaced, some deleted and some added, and listed again: what changed."""
+    root = scratch_dir(spark, "walk")
+    doc, rest = F.col("doc_id"), lambda n: F.col("doc_id") % n == 0
+    name = F.concat("lang", F.lit("/"), "source", F.lit("/"), F.when(rest(7), ".part-").when(rest(11), "_tmp/").otherwise(""),
+                    doc.cast("string"), F.lit(".txt"))
+    docs = S.table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), name.alias("path"))
+    first = docs.select("path", F.when(rest(5), "").otherwise(F.col("text")).alias("body"))
+    _write_files(first, f"{root}/tree")
+    take_snapshot(spark, f"{root}/tree", f"{root}/state")
+    body = F.when(rest(13), None).otherwise(F.concat("text", F.lit("+")))
+    second = docs.where(rest(13) | rest(3)).select("path", body.alias("body")).unionByName(
+        docs.where(rest(17)).select(F.concat(F.lit("new/"), "path").alias("path"), F.lit("new").alias("body")))
+    _write_files(second, f"{root}/tree")
+    _, diff = take_snapshot(spark, f"{root}/tree", f"{root}/state")
+    return diff.select(F.regexp_extract("path", "/tree/(.*)$", 1).alias("path"), "status", "length", "old_length")
+
+
 READ_TYPED_SQL = """
 SELECT 'events' AS data_type, 'events.parquet' AS source_file, event_id, ts, event_type,
        CAST(NULL AS BIGINT) AS o_orderkey, CAST(NULL AS TIMESTAMP) AS o_orderdate,

@@ -20,6 +20,12 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder of few entries; none if it is not there."""
+    jpath, fs = _at(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(jpath)] if fs.exists(jpath) else []
+
+
 def partition_folder(spark: SparkSession, base: str, column: str, value: str) -> str:
     """``base/column=value``, the value escaped as Spark does for partition folders."""
     escaped = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)

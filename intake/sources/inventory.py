@@ -1,9 +1,9 @@
 """File inventory of a landing folder.
 
-Uses the ``binaryFile`` source without its ``content`` column, so Catalyst
-prunes the read schema to path / length / modificationTime and no file body is
-opened.  Listing is done by Spark's file index (parallel listing above
-``spark.sql.sources.parallelPartitionDiscovery.threshold`` paths).
+Tasks list the tree themselves (:mod:`intake.sources.walk`).  In a store that only
+Spark reads, the ``binaryFile`` source lists it without its ``content`` column, so
+Catalyst prunes the read schema to path / length / modificationTime and no file
+body is opened; that listing is Spark's file index, which the driver holds.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intake.functions.paths import file_name, parent_dir
+from intake.sources import storage
+from intake.sources.walk import walk
 
 
 def _dir_status(spark: SparkSession, path: str) -> tuple[bool, str]:
@@ -55,18 +57,23 @@ def _zero_length_files(spark: SparkSession, raw: DataFrame, listed: DataFrame) -
 
 def landing_inventory(spark: SparkSession, path: str, recursive: bool = False,
                       feed: str | None = None, path_glob: str | None = None,
-                      include_empty: bool = True) -> DataFrame:
-    """``feed, path, name, length, mtime`` of every file below ``path``.
+                      include_empty: bool = True, hidden: bool = False) -> DataFrame:
+    """``feed, path, name, length, mtime`` of every file below ``path``, as it is now (a written table).
 
-    A path that is not a directory is an error, as in the reference.  Spark
-    never lists names starting with ``_`` or ``.`` (a documented limit).
-    Zero-length files, which Spark's scans skip, are added back unless
-    ``include_empty`` is off.  ``mtime`` is the modification time as
+    A path that is not a directory is an error, as in the reference.  Names
+    starting with ``_`` or ``.`` are listed with ``hidden`` (the reference lists
+    them; a store that only Spark reads never does), zero-length files unless
+    ``include_empty`` is off.  ``mtime`` is the modification time in milliseconds as
     ``timestamp_ntz`` in the session time zone.
     """
     is_dir, qualified = _dir_status(spark, path)
     if not is_dir:
         raise ValueError(f"input dir is not a directory: {path}")
+    if storage.openable(qualified) and not path_glob:
+        files = walk(spark, qualified, recursive, hidden)
+        return files.where(F.lit(include_empty) | (F.col("length") > 0)).select(
+            F.lit(feed).cast("string").alias("feed"), "path", "name", "length",
+            F.timestamp_millis(F.floor(F.col("mtime") / 1000)).cast("timestamp_ntz").alias("mtime"))
     # Spark always lists leaf files of sub-folders; recursiveFileLookup turns
     # off partition inference, and the non-recursive case keeps top-level files.
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")

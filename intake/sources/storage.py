@@ -76,7 +76,8 @@ def remove(path: str) -> None:
 
 def entries(folder: str):
     """(name, path, is a folder, length, modification time in microseconds) of what lies in ``folder``,
-    names starting with ``_`` or ``.`` included.  Links are followed; what vanishes meanwhile is left out."""
+    names starting with ``_`` or ``.`` included.  Links to files are files, links to folders and what vanishes
+    meanwhile are left out."""
     base = folder.rstrip("/")
     if scheme(folder) == "file":
         with os.scandir(local_path(base) or "/") as found:
@@ -85,7 +86,8 @@ def entries(folder: str):
                     st = e.stat()
                 except FileNotFoundError:
                     continue
-                yield e.name, f"{base}/{e.name}", e.is_dir(), st.st_size, st.st_mtime_ns // 1000
+                if not (e.is_symlink() and e.is_dir()):
+                    yield e.name, f"{base}/{e.name}", e.is_dir(), st.st_size, st.st_mtime_ns // 1000
         return
     from pyarrow import fs
 
