@@ -21,6 +21,8 @@ from intake.operators.prefix import running_totals
 ORDER = ["mtime", "path"]
 #: Larger file limits are cut by doubling: the walk keeps a row per slice and file of the limit.
 WALK_FILES = 1000
+#: Slices whose walks are composed in one group, at most ``WALK_FILES`` rows each.
+FAN = 32
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -125,9 +127,9 @@ def batch_plan(files: DataFrame, cfg: ScanConfig, as_of, admitted: str | None =
     forms; with both a file and a byte limit every batch has at most
     ``max_files`` files, so each slice of ``chunk_rows`` files (by rank) can be
     entered at only ``max_files`` places — :func:`_cut_by_chunks` walks every
-    slice from each of them in parallel, a per-feed pass over the small
-    (slice, entry) table picks the true entries and a second slice pass
-    numbers the batches, O(files); with only a byte limit batches are
+    slice from each of them in parallel, :func:`compose_slices` picks the true
+    entries by composing neighbouring slices level by level and a second slice
+    pass numbers the batches, O(files); with only a byte limit batches are
     unbounded and :func:`_cut_by_doubling` uses pointer doubling over ``next``
     in ``log2(batches)`` join rounds.
     """
@@ -237,26 +239,12 @@ def _cut_by_chunks(run: DataFrame, max_mf: int, chunk_rows: int) -> DataFrame:
         return pd.DataFrame({"feed": pdf["feed"].iloc[0], "_chunk": pdf["_chunk"].iloc[0],
                              "entry": seq0 + np.arange(m), "exit": seq0 + exit_[:m], "starts": count[:m]})
 
+    # (slice, entry): where the walk that enters a slice there leaves it, and the batches it starts within
     table = (slices.select("feed", "_chunk", "seq", "length", "_core", "_mf", "_ms").groupBy("feed", "_chunk")
              .applyInPandas(entries_of_slice, "feed string, _chunk long, entry long, exit long, starts long"))
 
-    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
-        # columns sorted by (slice, entry): a step looks up one row of the next slice
-        pdf = pdf.sort_values(["_chunk", "entry"], kind="stable")
-        chunk, entries, exits, n = (pdf[c].to_numpy(np.int64) for c in ("_chunk", "entry", "exit", "starts"))
-        slices, first = np.unique(chunk, return_index=True)
-        entry, offset, rows = 1, 0, []
-        for c, lo, hi in zip(slices, first, [*first[1:], len(chunk)]):
-            rows.append((int(c), entry, offset))
-            at = lo + np.searchsorted(entries[lo:hi], entry)
-            if at < hi and entries[at] == entry:
-                entry, offset = int(exits[at]), offset + int(n[at])
-        out = pd.DataFrame(rows, columns=["_chunk", "entry", "offset"])
-        out.insert(0, "feed", pdf["feed"].iloc[0])
-        return out
-
-    # one group per feed: (slices x mf) rows, at most WALK_FILES / chunk_rows of its files
-    walk = table.groupBy("feed").applyInPandas(compose, "feed string, _chunk long, entry long, offset long")
+    last = run.agg(F.max(chunk)).first()[0]
+    walk = compose_slices(table, int(last or 0) + 1)
 
     def number_slice(pdf: pd.DataFrame) -> pd.DataFrame:
         # Emits every row whose batch starts in this slice's core (halo rows
@@ -290,6 +278,67 @@ def _cut_by_chunks(run: DataFrame, max_mf: int, chunk_rows: int) -> DataFrame:
             .applyInPandas(number_slice, OUT_SCHEMA))
 
 
+def _through(pdf, entry: int | None = None, offset: int = 0):
+    """The maps of consecutive slices one after the other (rows ``_chunk, entry, exit, starts``).
+
+    Without ``entry``: their composition, a row per entry of the first slice.  With it:
+    (_chunk, entry, offset) of the walk that enters the first slice there."""
+    import numpy as np
+
+    pdf = pdf.sort_values(["_chunk", "entry"], kind="stable")
+    chunk, entries, exits, n = (pdf[c].to_numpy(np.int64) for c in ("_chunk", "entry", "exit", "starts"))
+    slices, first = np.unique(chunk, return_index=True)
+    bounds = list(zip(slices.tolist(), first.tolist(), [*first[1:].tolist(), len(chunk)]))
+    begin = entries[bounds[0][1]:bounds[0][2]] if entry is None else np.array([entry])
+    at, count, rows = begin.copy(), np.full(len(begin), offset, np.int64), []
+    for c, lo, hi in bounds:
+        if entry is not None:
+            rows.append((c, int(at[0]), int(count[0])))
+        k = lo + np.minimum(np.searchsorted(entries[lo:hi], at), hi - lo - 1)
+        inside = entries[k] == at           # else the walk has left the feed's files
+        at, count = np.where(inside, exits[k], at), np.where(inside, count + n[k], count)
+    return rows if entry is not None else (begin, at, count)
+
+
+def compose_slices(table: DataFrame, n_slices: int, fan: int = FAN) -> DataFrame:
+    """(feed, _chunk, entry, offset): where the walk from file 1 of each feed enters each of its
+    slices, and the batches started before, from ``table`` (feed, _chunk, entry, exit, starts).
+
+    Maps compose associatively, so ``fan`` neighbouring slices become one map in a
+    group, ``fan`` of those again, up to one group per feed; then the entries are handed
+    down the same levels.  No group holds more than ``fan`` slices, whatever the feed."""
+    import pandas as pd
+
+    maps = "feed string, _chunk long, entry long, exit long, starts long"
+    parent = F.floor(F.col("_chunk") / F.lit(fan)).cast("long")
+
+    def up(pdf: pd.DataFrame) -> pd.DataFrame:
+        begin, at, count = _through(pdf)
+        return pd.DataFrame({"feed": pdf["feed"].iloc[0], "_chunk": pdf["_chunk"].iloc[0] // fan,
+                             "entry": begin, "exit": at, "starts": count})
+
+    def down(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = _through(pdf, int(pdf["_entry"].iloc[0]), int(pdf["_offset"].iloc[0]))
+        out = pd.DataFrame(rows, columns=["_chunk", "entry", "offset"])
+        out.insert(0, "feed", pdf["feed"].iloc[0])
+        return out
+
+    levels, n = [table], n_slices
+    while n > fan:
+        levels[-1] = levels[-1].checkpoint()
+        levels.append(levels[-1].groupBy("feed", parent.alias("_block")).applyInPandas(up, maps))
+        n = -(-n // fan)
+    walk = None
+    for level in reversed(levels):
+        if walk is None:
+            begun = level.withColumn("_entry", F.lit(1).cast("long")).withColumn("_offset", F.lit(0).cast("long"))
+        else:
+            above = walk.select("feed", F.col("_chunk").alias("_block"), F.col("entry").alias("_entry"), F.col("offset").alias("_offset"))
+            begun = _join_null_safe(level.withColumn("_block", parent), above, ["feed", "_block"]).drop("_block")
+        walk = begun.groupBy("feed", parent.alias("_block")).applyInPandas(down, "feed string, _chunk long, entry long, offset long")
+    return walk
+
+
 OUT_SCHEMA = ("feed string, path string, length long, mtime timestamp_ntz, seq long, batch_no long, "
               "batch_files long, batch_bytes long, fired boolean")
 

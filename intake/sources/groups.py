@@ -47,6 +47,8 @@ def file_groups(files: DataFrame, fmt: FileFormat, group_bytes: int = GROUP_BYTE
                      F.greatest(F.least(F.col("length") - F.col("start"), F.when(F.col("cut"), group_bytes).otherwise(F.col("length"))),
                                 F.lit(-(-group_bytes // group_files))).alias("weight"))
              .withColumn("_all", F.lit(0)))
+    if (parts.agg(F.sum("weight")).first()[0] or 0) <= group_bytes:      # one group: nothing to place
+        return parts.select(F.lit(0).cast("long").alias("group"), "path", "start", "end")
     placed = running_totals(parts, ["_all"], ["path", "start"], ["weight"])
     return placed.select(F.floor(F.col("weight_before") / group_bytes).cast("long").alias("group"), "path", "start", "end")
 

@@ -11,6 +11,7 @@ import random
 import pytest
 
 from intake.config import ScanConfig
+from intake.operators import batching
 from intake.operators.batching import batch_plan, threshold_batch, threshold_trigger
 
 AS_OF = dt.datetime(2024, 1, 1, 1, 0, 0)
@@ -250,3 +251,56 @@ def test_large_file_limit_goes_to_doubling_and_matches(spark):
     for files in by_feed(rows).values():
         want.update(loop_cut(files, cfg))
     assert got == want
+
+
+def plain_walk(maps):
+    """entry and offset of every slice, one slice after the other."""
+    at, n, out = 1, 0, {}
+    for chunk in sorted(maps):
+        out[chunk] = (at, n)
+        if at in maps[chunk]:
+            at, n = maps[chunk][at][0], n + maps[chunk][at][1]
+    return out
+
+
+@pytest.mark.parametrize("fan", [2, 3, 7, 1000])
+def test_slices_compose_in_any_grouping(spark, fan, monkeypatch):
+    """Random maps of slices of 10 files, composed level by level, against the plain walk; no group is larger than ``fan`` slices."""
+    rnd = random.Random(fan)
+    rows, want = [], {}
+    for feed, n in (("a", 1), ("b", 5), ("hot", 60), (None, 23)):
+        maps = {c: {10 * c + 1 + e: (min(10 * (c + 1) + rnd.randint(1, 4), 10 * n + 1), rnd.randint(1, 9)) for e in range(4)} for c in range(n)}
+        rows += [(feed, c, e, x, k) for c, m in maps.items() for e, (x, k) in m.items()]
+        want |= {(feed, c): v for c, v in plain_walk(maps).items()}
+    table = spark.createDataFrame(rows, "feed string, _chunk long, entry long, exit long, starts long").repartition(3)
+
+    def bounded(pdf, *a):
+        assert pdf["_chunk"].nunique() <= fan, "a group holds more than its slices"
+        return real(pdf, *a)
+
+    real = batching._through
+    monkeypatch.setattr(batching, "_through", bounded)
+    got = {(r["feed"], r["_chunk"]): (r["entry"], r["offset"]) for r in batching.compose_slices(table, 60, fan).collect()}
+    assert got == want
+
+
+def test_a_feed_of_many_slices_matches_the_walk(spark):
+    """One feed of 10^6 files in 1,000 slices: composed in two levels, equal to the greedy cut."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    n, cfg = 1_000_000, ScanConfig(max_files=20, max_size=900, max_age=-1)
+    files = spark.range(n).select(
+        F.lit("hot").alias("feed"), F.format_string("/in/%09d", "id").alias("path"), F.pmod(F.hash("id"), F.lit(100)).cast("long").alias("length"),
+        F.lit(AS_OF).cast("timestamp_ntz").alias("mtime"), F.lit(True).alias("admitted"), "id")
+    lengths = np.array([r["length"] for r in files.select("id", "length").orderBy("id").collect()])
+    want, batch, count, size = np.zeros(n, np.int64), 0, 0, 0
+    for i, length in enumerate(lengths.tolist()):
+        if count and (count >= 20 or size >= 900):
+            batch, count, size = batch + 1, 0, 0
+        count, size = count + 1, size + length
+        want[i] = batch
+    plan = batch_plan(files.drop("id"), cfg, AS_OF, chunk_rows=1000).select("seq", "batch_no").toPandas()
+    got = np.full(n, -1)
+    got[plan["seq"].to_numpy() - 1] = plan["batch_no"].to_numpy()
+    assert len(plan) == n and (got == want).all()
