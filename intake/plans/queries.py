@@ -8,6 +8,7 @@ checkpoint folder and read the result back.
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -31,7 +32,9 @@ from intake.sources.formats import Framed
 from intake.sources.groups import read_groups
 from intake.sources.inventory import landing_inventory
 from intake.sources.typed import TypeSpec, read_typed_feed
-from intake.streaming.feed import stream_feed
+from intake.streaming import state as timed
+from intake.streaming.feed import ingest_stream, stream_feed
+from intake.streaming.feeder import feeder_stream
 
 LANDING_COLS = ["feed", "doc_id", "path", "name", "length", "mtime"]
 _LANDING_SQL_COLS = "feed, doc_id, path, name, length, mtime"
@@ -812,6 +815,115 @@ def end_to_end(spark, d):
         "table_name", "row_key", "family", "qualifier", "ts", "value", F.lit(whole).alias("accounted"))
 
 
+# ---------------------------------------------------------------- streams with state, streams over files
+
+HALF = dt.datetime(2024, 1, 16)      # the streams below stop here and are started again
+
+
+def _in_two_runs(rows: DataFrame, time: str, start: Callable[[DataFrame, str], None], root: str) -> None:
+    """``rows`` as files of a stream: those before ``HALF``, a run of the stream, the others, a second run."""
+    spark = rows.sparkSession
+    for k, part in enumerate((F.col(time) < as_of_col(HALF), F.col(time) >= as_of_col(HALF))):
+        rows.where(part).write.mode("append").parquet(f"{root}/in/run={k}")
+        start(spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").parquet(f"{root}/in"), f"{root}/state")
+
+
+@register("quarantine_stream", _cte(S.LANDING_SQL, S.FAILURES_SQL, f"""ordered AS (
+  SELECT *, lag(failed_at) OVER (PARTITION BY path ORDER BY failed_at, reason) AS before FROM failures WHERE failed_at IS NOT NULL),
+stays AS (
+  SELECT *, sum(CASE WHEN before IS NULL OR epoch_us(failed_at) - epoch_us(before) >= {_TTL_US} THEN 1 ELSE 0 END)
+            OVER (PARTITION BY path ORDER BY failed_at, reason ROWS UNBOUNDED PRECEDING) AS stay FROM ordered)""") + f"""
+SELECT path, min(failed_at) AS quarantined_at, max(failed_at) + INTERVAL {S.FAILURE_TTL_MS} MILLISECONDS AS released_at,
+       count(*) AS n_failures, first(reason ORDER BY failed_at DESC, reason DESC) AS reason
+FROM stays GROUP BY path, stay
+HAVING ceil((epoch_us(max(failed_at)) + {_TTL_US}) / 1000.0) <= floor((SELECT max(epoch_us(failed_at)) FROM failures) / 1000.0)""")
+def q_quarantine_stream(spark, d):
+    """The ended stays in quarantine by a stream with a timer per path, stopped and started again half-way."""
+    root = scratch_dir(spark, "quarantine-stream")
+    rows = S.failures(spark, d).withColumn("failed_at", F.col("failed_at").cast("timestamp_ntz"))
+    _in_two_runs(rows, "failed_at", lambda st, state: timed.run_to_table(
+        timed.quarantine_stays(st, S.FAILURE_TTL_MS, "0 seconds"), f"{state}/out", f"{state}/checkpoint").awaitTermination(), root)
+    return spark.read.schema("path string, quarantined_at timestamp_ntz, released_at timestamp_ntz, n_failures long, "
+                             "reason string").parquet(f"{root}/state/out")
+
+
+@register("feeder_stream", """
+SELECT lang || '/' || doc_id || '.txt' AS name, strlen(coalesce(text, '')) AS length, 1::BIGINT AS n_items FROM documents
+UNION ALL SELECT lang || '/' || doc_id || '.txt', strlen(coalesce(text, '')) + 1, 1 FROM documents WHERE doc_id % 3 = 0""")
+def q_feeder_stream(spark, d):
+    """The documents land as files and a third of them again under their old names with other bytes: work items
+    of the feeder's ticks, each version once."""
+    root = scratch_dir(spark, "feeder-stream")
+    docs = S.table(spark, d, "documents").select(
+        "doc_id", F.concat("lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"), F.coalesce("text", F.lit("")).alias("text"))
+    scan = ScanConfig(input_dir=f"{root}/landing", recursive=True, max_files=-1, max_age=0)
+    for files in (docs.select("path", F.col("text").alias("body")),
+                  docs.where("doc_id % 3 = 0").select("path", F.concat("text", F.lit("+")).alias("body"))):
+        _write_files(files, f"{root}/landing")
+        time.sleep(1.1)                 # a tick's time has whole seconds; a file must be older
+        q = feeder_stream(spark, f"{root}/landing", f"{root}/state", scan, FeederConfig("/flagged", "text", "doc"), feed="documents", trigger_ms=1000)
+        while q.isActive and not any(p["numInputRows"] >= 0 and p["durationMs"].get("addBatch") for p in q.recentProgress):
+            time.sleep(0.2)
+        q.stop()
+        if q.exception():
+            raise q.exception()
+    items = spark.read.schema("path string, length long, work_id string, tick long").parquet(f"{root}/state/work_items")
+    return (items.groupBy(F.regexp_extract("path", "/landing/(.*)$", 1).alias("name"), "length")
+            .agg(F.count(F.lit(1)).alias("n_items")))
+
+
+@register("ingest_stream", r"""
+SELECT 'count' AS table_name, event_type AS row_key, 'day' AS family, strftime(ts, '%Y-%m-%d') AS qualifier,
+       CAST(count(*) AS VARCHAR) AS value, max(date_trunc('day', ts)) AS ts
+FROM (SELECT DISTINCT * FROM events) WHERE event_type IS NOT NULL GROUP BY ALL""")
+def q_ingest_stream(spark, d):
+    """Events per type and day counted by the live stream: events of one type and day are equal but for their ids."""
+    out = scratch_dir(spark, "ingest-stream")
+    day = F.date_trunc("day", F.col("ts")).cast("timestamp_ntz")
+
+    def shred_counts(batch):
+        return batch.select(F.lit("count").alias("table_name"), F.col("event_type").alias("row_key"), F.lit("day").alias("family"),
+                            F.date_format("ts", "yyyy-MM-dd").alias("qualifier"), day.alias("ts"), F.lit("1").alias("value"),
+                            "event_id").where("event_type is not null")
+
+    q = ingest_stream(spark, d, "parquet", S.table(spark, d, "events").schema, f"{out}/checkpoint", f"{out}/tables", shred_counts,
+                      sum_tables=["count"], record=["event_id"], available_now=True, options={"pathGlobFilter": "events.parquet"})
+    q.awaitTermination()
+    return live.live_current(spark, f"{out}/tables", ["count"]).drop("n_versions")
+
+
+BACKOFF_MS, MOST_MS = 60_000, 86_400_000
+
+
+@register("redelivery_stream", f"""
+WITH o AS (SELECT 'user-' || CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y-%m') AS work_id, ts, ts >= TIMESTAMP '{HALF}' AS second,
+                  CAST(extract(day FROM ts) AS INTEGER) AS attempt, event_type NOT IN ('error', 'view', 'click') AS ok FROM events),
+over AS (SELECT work_id, first(ok ORDER BY attempt, ts) AS ok, min(attempt) AS attempt, first(ts ORDER BY attempt, ts) AS ts
+         FROM o WHERE ok OR attempt >= {S.MAX_ATTEMPTS} GROUP BY work_id),
+last AS (SELECT work_id, second, max(attempt) AS attempt, arg_min(ts, (-attempt, ts)) AS ts,
+                max(CAST(second AS INTEGER)) OVER (PARTITION BY work_id) = CAST(second AS INTEGER) AS newest
+         FROM o GROUP BY work_id, second),
+marks AS (SELECT max(ts) FILTER (NOT second) AS first, max(ts) AS final FROM o),
+due AS (SELECT work_id, last.attempt + 1 AS attempt, newest, second,
+               last.ts + to_microseconds(CAST(1000 * least({MOST_MS}, {BACKOFF_MS} * 2 ** (last.attempt - 1)) AS BIGINT)) AS due
+        FROM last LEFT JOIN over USING (work_id) WHERE over.ts IS NULL OR (NOT second AND over.ts >= TIMESTAMP '{HALF}'))
+SELECT work_id, CASE WHEN ok THEN 'done' ELSE 'dead_letter' END AS "action", attempt, ts AS "at" FROM over
+UNION ALL SELECT work_id, 'deliver', attempt, due FROM due, marks
+WHERE ceil(epoch_us(due) / 1000.0) <= floor(epoch_us(CASE WHEN newest THEN marks.final ELSE marks.first END) / 1000.0)""")
+def q_redelivery_stream(spark, d):
+    """Work item = a user's month, delivery = its day: what a stream with a timer per item does with the
+    items, stopped and started again half-way."""
+    root = scratch_dir(spark, "redelivery-stream")
+    rows = S.table(spark, d, "events").select(
+        F.concat(F.lit("user-"), F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyy-MM")).alias("work_id"),
+        F.dayofmonth("ts").alias("attempt"), F.col("ts").cast("timestamp_ntz").alias("at"),
+        F.when(F.col("event_type").isin("error", "view", "click"), "failed").otherwise("ok").alias("status"))
+    _in_two_runs(rows, "at", lambda st, state: timed.run_to_table(
+        timed.redelivery_actions(st, S.MAX_ATTEMPTS, timed.doubling_backoff(BACKOFF_MS, MOST_MS), "0 seconds"),
+        f"{state}/out", f"{state}/checkpoint").awaitTermination(), root)
+    return spark.read.schema("work_id string, action string, attempt int, at timestamp_ntz").parquet(f"{root}/state/out")
+
+
 @register("dated_output", """
 SELECT event_id, '/bundles/' || strftime(ts, '%Y/%m/%d') AS dated_dir, '/bundles' AS flat_dir FROM events""")
 def q_dated_output(spark, d):

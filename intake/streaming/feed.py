@@ -11,14 +11,14 @@ handler when the reference's exact cut matters.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from intake.functions.paths import source_file_path
-from intake.operators.combine import aggregate_entries, dedupe_entries
+from intake.operators.combine import combine_entries
 from intake.sinks.live import run_id_for, upsert_live
 
 
@@ -50,13 +50,20 @@ def stream_feed(spark: SparkSession, input_dir: str, fmt: str, schema: T.StructT
 
 def ingest_stream(spark: SparkSession, input_dir: str, fmt: str, schema, checkpoint: str,
                   table_dir: str, shred: Callable[[DataFrame], DataFrame],
-                  sum_tables=(), **kw) -> StreamingQuery:
+                  sum_tables=(), record: Sequence[str] | None = None, **kw) -> StreamingQuery:
     """Live ingest as a stream: shred -> dedupe -> aggregate -> upsert of the
-    micro-batch under ``run_id-batch_id`` (a replayed batch overwrites itself)."""
+    micro-batch under ``run_id-batch_id`` (a replayed batch overwrites itself).
+
+    Counters (``sum_tables``) tell events apart by the columns ``record`` that ``shred``
+    carries beside the entries: two events of one type, time and value count twice,
+    one event that is there twice once.  Counters need them, if only to say ``()``
+    where equal entries are one."""
+    if sum_tables and record is None:
+        raise ValueError("counters need `record`: the columns of shred's result that tell events apart")
     run_id = run_id_for(spark, checkpoint)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        entries = aggregate_entries(dedupe_entries(shred(batch)), sum_tables)
+        entries = combine_entries(shred(batch), sum_tables, record=record or ())
         upsert_live(entries, table_dir, run_id, batch_id)
 
     return stream_feed(spark, input_dir, fmt, schema, handle, checkpoint, **kw)

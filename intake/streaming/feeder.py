@@ -3,7 +3,8 @@
 A ``rate`` source is only the clock: each trigger is one tick of the
 reference's scheduled scan, and the stream's checkpoint numbers the ticks.
 Each tick lists the landing folder (zero-length files included), drops files
-taken by earlier ticks, applies the reference's rules (ignore prefix,
+taken by earlier ticks (same path, length and time: a file that is replaced is
+taken again), applies the reference's rules (ignore prefix,
 quarantine, count / bytes / age thresholds) and writes the work items of the
 feeds that fire into ``state_dir/work_items/tick=<n>``.
 
@@ -46,13 +47,18 @@ def tick_time(spark: SparkSession, ticks_dir: str, tick: int) -> dt.datetime:
     return spark.read.parquet(where).first()["as_of"]
 
 
+#: What makes a landed file that file: one that lands again under an old name is another.
+IDENTITY = ["path", "length", "mtime"]
+_TAKEN = "path string, length long, mtime timestamp_ntz"
+
+
 def taken_before(spark: SparkSession, taken_dir: str, tick: int) -> DataFrame:
-    """Paths taken by ticks before ``tick``: the snapshot the previous tick
-    wrote (immutable once the next tick runs)."""
+    """Files (path, length, mtime) taken by ticks before ``tick``: the snapshot the
+    previous tick wrote (immutable once the next tick runs)."""
     where = f"{taken_dir}/tick={tick - 1}"
     if tick == 0 or not _exists(spark, f"{where}/_SUCCESS"):
-        return spark.createDataFrame([], "path string")
-    return spark.read.schema("path string").parquet(where)
+        return spark.createDataFrame([], _TAKEN)
+    return spark.read.schema(_TAKEN).parquet(where)
 
 
 def feeder_stream(spark: SparkSession, landing_dir: str | dict[str, str], state_dir: str, scan: ScanConfig,
@@ -72,7 +78,7 @@ def feeder_stream(spark: SparkSession, landing_dir: str | dict[str, str], state_
         else:
             inv = landing_inventory(spark, landing_dir, scan.recursive, feed)
         taken = taken_before(spark, taken_dir, batch_id)
-        pending = inv.join(taken, "path", "left_anti")
+        pending = inv.join(taken, IDENTITY, "left_anti")
         if failures_dir and _exists(spark, failures_dir):
             failures = spark.read.schema(QUARANTINE_SCHEMA).parquet(failures_dir)
         else:
@@ -85,12 +91,12 @@ def feeder_stream(spark: SparkSession, landing_dir: str | dict[str, str], state_
          .partitionBy("tick").parquet(items_dir))
         # taken set for the next tick: earlier takes still in the folder plus
         # this tick's; its size is bounded by the landing folder, not history
-        still = taken.join(inv.select("path"), "path", "left_semi")
+        still = taken.join(inv.select(*IDENTITY), IDENTITY, "left_semi")
         if _exists(spark, items_dir):
-            now = (spark.read.schema("path string, tick long").parquet(items_dir)
-                   .where(F.col("tick") == batch_id).select("path"))
+            now = (spark.read.schema(f"{_TAKEN}, tick long").parquet(items_dir)
+                   .where(F.col("tick") == batch_id).select(*IDENTITY))
         else:
-            now = spark.createDataFrame([], "path string")
+            now = spark.createDataFrame([], _TAKEN)
         (still.unionByName(now).distinct()
          .write.mode("overwrite").parquet(f"{taken_dir}/tick={batch_id}"))
 

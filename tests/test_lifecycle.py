@@ -126,6 +126,31 @@ def test_feeder_stream_takes_files_tick_by_tick(spark, tmp_path):
     assert items.select("path").distinct().count() == 4
 
 
+def test_feeder_stream_takes_a_replaced_file_again(spark, tmp_path):
+    import time
+    from intake.streaming.feeder import feeder_stream
+    land = tmp_path / "landing"
+    write_csvs(land, 2)
+    os.utime(land / "f0.csv", (1000, 1000))
+    scan = ScanConfig(input_dir=str(land), ignore_prefix=".", max_files=1, max_age=-1)
+
+    def ticks(upto):
+        q = feeder_stream(spark, str(land), str(tmp_path / "state"), scan, FeederConfig("/flagged", "csv", "d"), trigger_ms=500)
+        try:
+            deadline = time.time() + 120
+            while time.time() < deadline and (q.lastProgress or {}).get("batchId", -1) < upto:
+                time.sleep(0.2)
+        finally:
+            q.stop()
+        return sorted((os.path.basename(r["path"]), r["length"]) for r in spark.read.parquet(str(tmp_path / "state" / "work_items")).collect())
+
+    size, other = (os.path.getsize(land / n) for n in ("f0.csv", "f1.csv"))
+    assert ticks(2) == [("f0.csv", size), ("f1.csv", other)]
+    os.utime(land / "f0.csv", (2000, 2000))                  # same bytes, landed again
+    (land / "f1.csv").write_text("1,x,2\n")
+    assert ticks(6) == [("f0.csv", size), ("f0.csv", size), ("f1.csv", 6), ("f1.csv", other)]
+
+
 def test_read_typed_feed_mixes_csv_and_json(spark, tmp_path):
     from intake.sources.typed import read_typed_feed
     (tmp_path / "a.csv").write_text("1,click\n2,view\n")

@@ -5,6 +5,7 @@ import datetime as dt
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from intake.config import ScanConfig
@@ -198,6 +199,23 @@ def test_stream_restart_and_live_ingest(spark, tmp_path):
     assert live_current(spark, tdir).count() == 3
 
 
+def test_live_counters_of_a_stream_count_equal_events(spark, tmp_path):
+    """Two events of one type, time and value count twice, one delivered twice in a micro-batch once."""
+    src = tmp_path / "src"
+    src.mkdir()
+    (src / "a.csv").write_text("1,click\n2,click\n3,view\n3,view\n")
+
+    def to_entries(df):
+        return df.select(F.lit("n").alias("table_name"), F.col("kind").alias("row_key"), F.lit("f").alias("family"), F.lit("q").alias("qualifier"),
+                         F.lit(T0).cast("timestamp_ntz").alias("ts"), F.lit("1").alias("value"), "id")
+
+    args = (spark, str(src), "csv", "id long, kind string", str(tmp_path / "ck"), str(tmp_path / "t"), to_entries)
+    with pytest.raises(ValueError):
+        ingest_stream(*args, sum_tables=["n"])
+    ingest_stream(*args, sum_tables=["n"], record=["id"], available_now=True).awaitTermination()
+    assert {r["row_key"]: r["value"] for r in live_current(spark, str(tmp_path / "t"), ["n"]).collect()} == {"click": "2", "view": "1"}
+
+
 def test_hot_work_item_is_split_over_files(spark, tmp_path):
     """A work item holding most entries: AQE's rebalance splits its bucket
     over several tasks (several files) instead of one long task."""
