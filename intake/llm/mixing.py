@@ -11,9 +11,9 @@
    pattern (one may hold a third of all rows) is sorted or gathered; the last
    digit's few documents fill the rest.
 
-Patterns and quotas are driver-side tables; documents never are.  A pattern that
-alone feeds its only source needs no flow; of patterns of several sources there
-are at most ``MAX_PATTERNS`` (checked).
+Patterns and quotas are driver-side tables; documents never are.  Of patterns of
+several sources there are at most ``MAX_PATTERNS`` (checked); where there are more
+patterns in all, those that alone feed their only source are served by its quota.
 """
 
 from __future__ import annotations
@@ -111,9 +111,10 @@ def min_cost_flow(capacity: dict, members: dict, wanted: dict, passes: int = MOS
 
 
 def given_words(capacity: dict, members: dict, wanted: dict, passes: int = MOST) -> dict:
-    """Words each pattern gives.  Where one pattern and one source have only each
-    other, the quota says it; the flow is for the others."""
-    shared = {s for p in members if len(members[p]) > 1 for s in members[p]}
+    """Words each pattern gives, by the flow.  Only beyond ``MAX_PATTERNS`` patterns is it for those of
+    several sources and their neighbours; where one pattern and one source have only each other, the quota
+    then says what the flow would."""
+    shared = {s for p in members if len(members[p]) > 1 or len(capacity) <= MAX_PATTERNS for s in members[p]}
     lone = {p for p in capacity if not shared.intersection(members[p])}
     given = {p: min(sum(wanted.get(s, 0) for s in members[p]), passes * capacity[p]) for p in lone}
     given |= {p: 0 for p in capacity if p not in lone}
@@ -125,6 +126,11 @@ def given_words(capacity: dict, members: dict, wanted: dict, passes: int = MOST)
     return given
 
 
+def _pattern(sources: Column) -> Column:
+    """The sources of a document as JSON: the null source stays apart from any name."""
+    return F.to_json(F.struct(F.array_sort(F.array_distinct(sources)).alias("s")), {"ignoreNullFields": "false"})
+
+
 def _small(df: DataFrame, patterns: int) -> DataFrame:
     """A table of one row a pattern, broadcast unless there are many."""
     return F.broadcast(df) if patterns <= MAX_PATTERNS else df
@@ -210,9 +216,7 @@ def mix(docs: DataFrame, size: Column, sources: Column, targets: Callable[[dict]
     repeated rows of an id fall together.  Null ids are ids like any other.
     An empty table gives an empty result; other columns are not read."""
     spark = docs.sparkSession
-    # a pattern is its sources as JSON: the null source stays apart from any name
-    pattern = F.to_json(F.struct(F.array_sort(F.array_distinct(sources)).alias("s")), {"ignoreNullFields": "false"})
-    sized = frozen(docs.select(F.col(id_col).alias("doc_id"), pattern.alias("pattern"),
+    sized = frozen(docs.select(F.col(id_col).alias("doc_id"), _pattern(sources).alias("pattern"),
                                F.coalesce(size, F.lit(0)).cast("long").alias("size"))
                    .withColumn("u", F.xxhash64(F.lit(seed), "doc_id", "size").bitwiseAND(F.lit((1 << HASH) - 1))), "mix")
     summed = cut(sized.groupBy("pattern").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")))
@@ -236,11 +240,17 @@ def mix(docs: DataFrame, size: Column, sources: Column, targets: Callable[[dict]
         "source_size", "target", "taken")
 
 
-def repeat_rows(docs: DataFrame, mixed: DataFrame, size: Column, id_col: str = "doc_id") -> DataFrame:
-    """The mixed corpus: every row of ``docs`` as often as its document is taken.
-    size: the expression that ``mix`` was given."""
+def repeat_rows(docs: DataFrame, mixed: DataFrame, size: Column, sources: Column | None = None, id_col: str = "doc_id") -> DataFrame:
+    """The mixed corpus: every row of ``docs`` as often as the mix takes it.
+
+    size, sources: the expressions that ``mix`` was given (sources: by default the column
+    ``source``).  Rows of one id are told apart by them; those that agree in all
+    three are taken alike, each as often."""
+    pattern = _pattern(F.array("source") if sources is None else sources)
     times = cut(mixed.where("taken > 0").select(
-        F.col("doc_id").alias("__doc"), F.col("size").alias("__size"), F.expr("int(taken div size)").alias("__times")).distinct())
-    out = docs.withColumn("__words", size.cast("long"))
-    out = out.join(times, F.col(id_col).eqNullSafe(F.col("__doc")) & (F.col("__words") == F.col("__size")))
+        F.col("doc_id").alias("__doc"), F.col("size").alias("__size"), _pattern(F.col("sources")).alias("__from"),
+        F.expr("int(taken div size)").alias("__times")).distinct())
+    out = docs.withColumn("__words", size.cast("long")).withColumn("__pattern", pattern)
+    out = out.join(times, F.col(id_col).eqNullSafe(F.col("__doc")) & (F.col("__words") == F.col("__size"))
+                   & F.col("__pattern").eqNullSafe(F.col("__from")))
     return out.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("__times"))).alias("__copy")).drop("__copy")

@@ -95,10 +95,40 @@ def test_overlapping_sources_and_rows(spark):
     got = out.groupBy("sources").agg(F.sum("taken").alias("t")).collect()
     by = {tuple(r["sources"] or ()): r["t"] for r in got}
     assert by[("a",)] == by[("b",)] == by[("a", "b")] == 1000 and by[()] == 0
-    mixed = M.repeat_rows(docs, out, F.col("words"))
+    mixed = M.repeat_rows(docs, out, F.col("words"), F.col("src"))
     assert mixed.columns == docs.columns and mixed.count() == 300
 
 
+def test_ids_repeated_across_sources(spark):
+    """Rows of one id and size in two sources, one taken twice, the other not at all: each as often as its mix says."""
+    rng = random.Random(8)
+    rows = [(i % 60, rng.choice([3, 5]), rng.choice(["a", "b", "c", None]), f"t{i}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, words long, source string, note string")
+    mixed = M.mix(docs, F.col("words"), F.array("source"))
+    assert mixed.where("taken = 0").count() and mixed.where("taken > size").count()
+    times = {}
+    for r in mixed.collect():
+        key = (r["doc_id"], r["size"], r["sources"][0])
+        times.setdefault(key, set()).add(r["taken"] // r["size"])
+    assert all(len(t) == 1 for t in times.values())
+    out = {}
+    for r in M.repeat_rows(docs, mixed, F.col("words")).collect():
+        out[tuple(r)] = out.get(tuple(r), 0) + 1
+    assert out == {r: n for r in rows if (n := min(times[r[:3]]))}
+    assert max(out.values()) <= M.MOST
+
+
+def test_the_query_routes_words_by_the_flow(spark, monkeypatch):
+    from intake.llm import queries as Q
+    from .conftest import SF
+
+    calls, real = [], M.min_cost_flow
+    monkeypatch.setattr(M, "min_cost_flow", lambda *a, **k: calls.append(len(a[0])) or real(*a, **k))
+    out = Q.op7_mixing(spark, SF).collect()
+    sources = {(r["source_size"], r["target"]) for r in out}
+    assert calls and calls[0] >= len(sources) > 1
+
+
 # --- embeddings
 
 def brute(rows, cosine):
@@ -156,7 +186,10 @@ def test_repeated_and_missing_ids(spark):
     assert E.near_vectors(docs.where("false")).count() == 0
 
 
-def test_lone_patterns_need_no_flow():
+@pytest.mark.parametrize("most", [0, 10_000])
+def test_lone_patterns_need_no_flow(most, monkeypatch):
+    """Quotas beyond ``MAX_PATTERNS`` give what the flow gives."""
+    monkeypatch.setattr(M, "MAX_PATTERNS", most)
     rng = random.Random(12)
     for _ in range(200):
         members = {s: [s] for s in "abcdef" if rng.random() < 0.8}
