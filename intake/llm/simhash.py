@@ -128,11 +128,14 @@ def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 3,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` with one document of each component: the one with the smallest id.
 
-    Repeated rows of that id are one document.  Rows with a null id stay only
-    where their component has no id at all, one of each."""
+    Repeated rows of that id are one document: of different ones the first by a hash of
+    its text, then of the whole row.  Rows with a null id stay only where their
+    component has no id at all, one of each."""
     found = simhash_components(docs, words, max_bits, id_col, text_col)
     ids = cut(found.where("doc_id is not null and doc_id = component_id").select("doc_id").distinct())
-    kept = docs.join(ids, docs[id_col] == ids["doc_id"], "left_semi").dropDuplicates([id_col])
+    order = F.struct(F.xxhash64(text_col), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    kept = (docs.join(ids, docs[id_col] == ids["doc_id"], "left_semi").groupBy(id_col)
+            .agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), order).alias("__row")).select("__row.*"))
     # ids are null in a component without any id: as a rule there is none
     bare = docs.where(F.col(id_col).isNull())
     if bare.isEmpty():

@@ -72,3 +72,11 @@ def test_simhash_keep_one(edge):
     assert kept.columns == edge.columns
     ids = sorted(r["doc_id"] for r in kept.select("doc_id").collect() if r["doc_id"] is not None)
     assert ids.count(7) == 1 and 1 in ids and 2 not in ids and 10 in ids and 11 not in ids
+
+
+def test_simhash_keep_one_keeps_the_same_row(spark):
+    """Different texts under one id, whatever the order of rows."""
+    rows = [(1, f"text number {i} of one id", f"s{i}") for i in range(6)] + [(1, "text number 0 of one id", "other"), (2, "quite another text", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = [sorted(map(tuple, simhash.keep_one(docs.repartition(n).orderBy(F.rand(n))).collect())) for n in (1, 3, 7)]
+    assert kept[0] == kept[1] == kept[2] and [r[0] for r in kept[0]] == [1, 2]
