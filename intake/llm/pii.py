@@ -17,8 +17,10 @@ import hashlib
 import math
 import random
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from collections import deque
 from itertools import accumulate
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -37,7 +39,8 @@ TRAIN_DOCS, TRAIN_CHARS, TRAIN_WINDOWS = 1_000, 20_000, 400   # bounds of the tr
 EPOCHS, SEED = 12, 5
 
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+# a match of four runs of digits always begins where a run does: looked for there only, long runs stay linear
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -206,14 +209,31 @@ def candidates(span: str) -> list[str]:
     return out
 
 
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans as disjoint ones, ascending."""
+    out: list[tuple[int, int]] = []
+    for x, y in sorted(spans):
+        if out and x <= out[-1][1]:
+            out[-1] = out[-1][0], max(y, out[-1][1])
+        elif y > x:
+            out.append((x, y))
+    return out
+
+
 class Lattice:
-    """Segments of one window: (from token, to token, kind or None, features)."""
+    """Segments of one window: (from token, to token, kind or None, features); those of a kind overlap no fixed span."""
 
-    def __init__(self, text: str, a: int, b: int, index=lambda f: f):
+    def __init__(self, text: str, a: int, b: int, index=lambda f: f, fixed: list[tuple[int, int]] = ()):
         self.text = text[a:b]
         self.marks = [m.start() for m in _TOKEN.finditer(self.text)] + [b - a]
         self.at = a
         n = len(self.marks) - 1
+        taken, todo = [], deque(merged(fixed))
+        for p, q in zip(self.marks, self.marks[1:]):
+            while todo and todo[0][1] <= a + p:
+                todo.popleft()
+            taken.append(bool(todo) and todo[0][0] < a + q)
+        self.upto = upto = [0, *accumulate(taken)]
         self.segments: list[tuple[int, int, str | None, list]] = []
         for i in range(n):
             s = self.marks[i]
@@ -225,7 +245,7 @@ class Lattice:
                 continue  # inside a word or number
             for j in range(i + 1, min(n, i + MAX_TOKENS) + 1):
                 e = self.marks[j]
-                if e - s > MAX_CHARS:
+                if e - s > MAX_CHARS or upto[j] > upto[i]:
                     break
                 span = self.text[s:e]
                 if e - s < 6 or not span[-1].isalnum() or (e < self.marks[-1] and self.text[e].isalnum()):
@@ -258,21 +278,17 @@ class Lattice:
                 if e - s > MAIL_CHARS:
                     break
                 j = bisect_left(self.marks, e)
-                if (e - s > MAX_CHARS or j - i > MAX_TOKENS) and self.marks[i] == s < m.start() and self.marks[j] == e \
+                if (e - s > MAX_CHARS or j - i > MAX_TOKENS) and self.upto[j] == self.upto[i] and self.marks[i] == s < m.start() and self.marks[j] == e \
                         and self.text[e - 1].isalnum() and self.whole_mail(s, e):
                     self.segments.append((i, j, "email", [index(f) for f in features(self.text, s, e, "email")]))
 
-    def best(self, weights: dict, fixed: list[tuple[int, int]] = ()) -> list[tuple[str, int, int]]:
-        """Most probable segmentation's entities (kind, start, end) in the whole text, none of which overlaps a fixed span."""
-        taken = [any(self.at + p < y and x < self.at + q for x, y in fixed) for p, q in zip(self.marks, self.marks[1:])]
-        upto = [0, *accumulate(taken)]
+    def best(self, weights: dict) -> list[tuple[str, int, int]]:
+        """Most probable segmentation's entities (kind, start, end) in the whole text."""
         get = weights.get
         score, back = [0.0] + [-math.inf] * self.n, [-1] * (self.n + 1)
         for j in range(1, self.n + 1):
             for k in self.by_end[j]:
-                i, _, kind, f = self.segments[k]
-                if kind and upto[j] > upto[i]:
-                    continue
+                i, _, _, f = self.segments[k]
                 v = score[i] + sum([get(x, 0.0) for x in f])
                 if v > score[j]:
                     score[j], back[j] = v, k
@@ -393,16 +409,17 @@ def train(texts: list[str], seed: int = SEED) -> dict[str, float]:
 
 def added_spans(text: str, base: list[tuple[str, int, int]], weights: dict[str, float]) -> list[tuple[str, int, int]]:
     """The model's spans that overlap no fixed one."""
-    out = []
+    out, spans = [], merged([(x, y) for _, x, y in base])
     for a, b in windows(text) if weights else ():
-        fixed = [(max(a, x), min(b, y)) for _, x, y in base if x < b and a < y]
+        near = spans[bisect_right(spans, a, key=itemgetter(1)):bisect_left(spans, b, key=itemgetter(0))]
+        fixed = [(max(a, x), min(b, y)) for x, y in near]
         rest = list(text[a:b])
         for x, y in fixed:
             rest[x - a:y - a] = "\n" * (y - x)
         rest = "".join(rest)
         if len(_DIGIT.findall(rest)) < MIN_DIGITS and not _AT.search(rest):
             continue  # outside the fixed spans no entity of any kind has room
-        out += Lattice(text, a, b).best(weights, fixed)
+        out += Lattice(text, a, b, fixed=fixed).best(weights)
     return out
 
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 
 import pytest
@@ -187,6 +188,30 @@ def test_pii_spans_and_counts(spark, weights):
     assert r["spans"].startswith("email:0:15,ip:20:28")
 
 
+@pytest.mark.parametrize("text", ["7" * 200_000, "12." * 66_000, "joe.doe@example.com " * 10_000, "10.0.0.1 " * 22_000,
+                                  "+1 555 123 4567 " * 12_500, "a@b" + ".c" * 100_000, "joe@example.com\n" * 12_000])
+def test_long_runs_take_linear_time(weights, text):
+    start = time.perf_counter()
+    base = pii.base_spans(text)
+    pii.added_spans(text, base, weights)
+    assert time.perf_counter() - start < 2
+
+
+def test_ip_starts_at_runs_of_digits():
+    plain = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    rng = random.Random(3)
+    for _ in range(20_000):
+        text = "".join(rng.choice("0123..  a") for _ in range(rng.randint(0, 30)))
+        assert [m.span() for m in plain.finditer(text)] == [m.span() for m in pii._IP.finditer(text)]
+
+
+def test_spans_over_fixed_ones_are_no_segments(weights):
+    text = "call (212) 555-0199 or 10.0.0.1 now"
+    assert ("phone", 5, 19) in pii.Lattice(text, 0, len(text)).best(weights)
+    assert pii.Lattice(text, 0, len(text), fixed=[(8, 9), (6, 8), (23, 31)]).best(weights) == []
+    assert pii.merged([(5, 7), (1, 3), (2, 4), (7, 9), (12, 12)]) == [(1, 4), (5, 9)]
+
+
 def test_semi_markov_decoding_is_the_best_segmentation(weights):
     """Dynamic programming against all segmentations of a short window."""
     rng = random.Random(2)
