@@ -22,7 +22,7 @@ from intake.operators import batching, bundle, combine, filters, metrics, shred,
 from intake.plans import lifecycle
 from intake.plans import standins as S
 from intake.session import scratch_dir
-from intake.sinks import bulk, bundles, live
+from intake.sinks import bulk, bundles, live, seen
 from intake.sinks.files import folder_exists
 from intake.sinks.framed import write_framed
 from intake.sinks.listing import take_snapshot
@@ -892,6 +892,24 @@ def q_ingest_stream(spark, d):
     return live.live_current(spark, f"{out}/tables", ["count"]).drop("n_versions")
 
 
+@register("redelivered_records", r"""
+SELECT 'count' AS table_name, event_type AS row_key, 'events' AS family, 'n' AS qualifier, CAST(count(DISTINCT event_id) AS VARCHAR) AS value
+FROM events WHERE event_type IS NOT NULL GROUP BY event_type""")
+def q_redelivered_records(spark, d):
+    """Events counted over four batches: the second brings half of the first again, the third is replayed,
+    the fourth brings everything again; each event counts once."""
+    out = scratch_dir(spark, "redelivered")
+    events = S.table(spark, d, "events")
+    part = F.pmod(F.xxhash64("event_id"), F.lit(4))
+    for batch, rows in ((0, part < 2), (1, (part == 1) | (part == 2)), (2, part >= 2), (2, part >= 2), (3, part >= 0)):
+        fresh = seen.new_records(events.where(rows), ["event_id"], f"{out}/seen", live.batch_tag("q", batch))
+        seen.compact_seen(spark, f"{out}/seen", live.batch_tag("q", batch), max_runs=1)
+        counts = fresh.where("event_type is not null").groupBy("event_type").agg(F.max("ts").cast("timestamp_ntz").alias("ts"), F.count(F.lit(1)).alias("n"))
+        live.upsert_live(counts.select(F.lit("count").alias("table_name"), F.col("event_type").alias("row_key"), F.lit("events").alias("family"),
+                                       F.lit("n").alias("qualifier"), "ts", F.col("n").cast("string").alias("value")), f"{out}/tables", "q", batch)
+    return live.live_current(spark, f"{out}/tables", ["count"]).select("table_name", "row_key", "family", "qualifier", "value")
+
+
 BACKOFF_MS, MOST_MS = 60_000, 86_400_000
 
 

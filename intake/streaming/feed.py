@@ -19,7 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from intake.functions.paths import source_file_path
 from intake.operators.combine import combine_entries
-from intake.sinks.live import run_id_for, upsert_live
+from intake.sinks.live import batch_tag, run_id_for, upsert_live
+from intake.sinks.seen import compact_seen, new_records
 
 
 def stream_feed(spark: SparkSession, input_dir: str, fmt: str, schema: T.StructType | str,
@@ -50,19 +51,30 @@ def stream_feed(spark: SparkSession, input_dir: str, fmt: str, schema: T.StructT
 
 def ingest_stream(spark: SparkSession, input_dir: str, fmt: str, schema, checkpoint: str,
                   table_dir: str, shred: Callable[[DataFrame], DataFrame],
-                  sum_tables=(), record: Sequence[str] | None = None, **kw) -> StreamingQuery:
+                  sum_tables=(), record: Sequence[str] | None = None, seen_dir: str | None = None,
+                  ids: Sequence[str] = (), **kw) -> StreamingQuery:
     """Live ingest as a stream: shred -> dedupe -> aggregate -> upsert of the
     micro-batch under ``run_id-batch_id`` (a replayed batch overwrites itself).
 
     Counters (``sum_tables``) tell events apart by the columns ``record`` that ``shred``
     carries beside the entries: two events of one type, time and value count twice,
     one event that is there twice once.  Counters need them, if only to say ``()``
-    where equal entries are one."""
+    where equal entries are one.
+
+    With ``seen_dir`` records (not entries) whose ``ids`` columns an earlier micro-batch, or an
+    earlier run of the stream under another checkpoint, has brought are left out:
+    a file that is delivered again counts once (:mod:`intake.sinks.seen`)."""
+    if seen_dir is not None and not ids:
+        raise ValueError("a store of seen records needs `ids`: the columns that name a record")
     if sum_tables and record is None:
         raise ValueError("counters need `record`: the columns of shred's result that tell events apart")
     run_id = run_id_for(spark, checkpoint)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        if seen_dir is not None:
+            tag = batch_tag(run_id, batch_id)
+            batch = new_records(batch, ids, seen_dir, tag)
+            compact_seen(spark, seen_dir, tag)
         entries = combine_entries(shred(batch), sum_tables, record=record or ())
         upsert_live(entries, table_dir, run_id, batch_id)
 
