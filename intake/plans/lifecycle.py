@@ -31,6 +31,7 @@ from intake.functions.paths import loaded_path, path_key, source_file_path
 from intake.operators.batching import batch_plan, threshold_batch, threshold_trigger
 from intake.operators.bundle import file_accounting, mark_paired
 from intake.operators.combine import combine_entries
+from intake.operators.metrics import item_metrics
 from intake.operators.joins import broadcast_if_small
 from intake.operators.filters import exclude_manifests, ignore_prefix, quarantine_filter, quarantine_update
 from intake.operators.work import flagged_collisions, parse_work_items, work_items
@@ -42,7 +43,7 @@ from intake.sinks.bundles import bundle_folder, bundled_files, compact_bundles,
 from intake.sinks.live import upsert_live
 from intake.sources.inventory import _norm_uri
 from intake.sources.formats import FORMATS
-from intake.sources.groups import rejected_files, whole_files
+from intake.sources.groups import file_stats, rejected_files, whole_files
 from intake.sources.typed import SPARK_FORMATS, TypeSpec, read_typed_feed
 
 
@@ -107,7 +108,8 @@ def ingest_items(spark: SparkSession, messages: DataFrame, inventory: DataFrame,
     loaded path (first ``/flagged/`` replaced).  ``mode`` may be an
     :class:`IngestConfig` (its ``live_ingest`` flag and ``output_dir``).
     Returns the parsed items, the outcome rows (``work_id, at, status,
-    reason``), the metadata entries of what was written and, for live, the moves."""
+    reason``), the metrics (one row per item, see :func:`intake.operators.metrics.item_metrics`; messages may
+    have an ``attempt``), the metadata entries of what was written and, for live, the moves."""
     if isinstance(mode, IngestConfig):
         out_dir = out_dir or mode.output_dir
         mode = "live" if mode.live_ingest else "bulk"
@@ -126,7 +128,7 @@ def ingest_items(spark: SparkSession, messages: DataFrame, inventory: DataFrame,
     while True:
         ok = parsed.where(F.col("status") == "ok")
         try:
-            entries, rejected = _entries_of(spark, ok, types)
+            entries, rejected, read = _entries_of(spark, ok, types)
             if rejected is not None:
                 bad = broadcast_if_small(rejected.select(path_key("source_path").alias("_bad")).distinct())
                 parsed = parsed.join(bad, path_key("read_path") == F.col("_bad"), "left").withColumn(
@@ -147,6 +149,7 @@ def ingest_items(spark: SparkSession, messages: DataFrame, inventory: DataFrame,
             hit = (F.col("status") == "ok") & (path_key("read_path") == path_key(F.lit(bad)))
             parsed = parsed.withColumn("status", F.when(hit, "unreadable").otherwise(F.col("status"))).checkpoint()
     out["parsed"] = parsed
+    out["metrics"] = item_metrics(parsed, read)
     out["metadata"] = metadata_updates(entries)
     good = F.col("status") == "ok"
     out["outcomes"] = parsed.select(
@@ -155,29 +158,31 @@ def ingest_items(spark: SparkSession, messages: DataFrame, inventory: DataFrame,
     return out
 
 
-def _entries_of(spark: SparkSession, ok: DataFrame, types: Mapping[str, DataType]) -> tuple[DataFrame, DataFrame | None]:
+def _entries_of(spark: SparkSession, ok: DataFrame, types: Mapping[str, DataType]) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
     """Entries of the good items, read and shredded type by type (types may give one column
-    name different kinds), and (source_path, reason) of the files that could not be read."""
+    name different kinds), (source_path, reason) of the files that could not be read and the files' statistics."""
     entries = spark.createDataFrame([], T.StructType([*ENTRY_SCHEMA.fields, T.StructField("work_id", T.StringType())]))
-    rejected = None
+    rejected = read = None
     for dt, t in types.items():
         mine = ok.where(F.col("data_type") == dt)
         if mine.isEmpty():
             continue
         items = mine.select(F.col("read_path").alias("path"), "length", "data_type", "format")
-        records = read_typed_feed(spark, items, {dt: t.spec}, guarded=True)
+        records = read_typed_feed(spark, items, {dt: t.spec}, guarded=True, stats=True)
         # read once: whether a file is whole is known at its end, and the entries are used more than once
         staging = scratch_dir(spark, "staging")
         records.write.parquet(staging)
         records = spark.read.schema(records.schema).parquet(staging)
         bad = rejected_files(records)
         rejected = bad if rejected is None else rejected.unionByName(bad)
+        times = file_stats(records)
+        read = times if read is None else read.unionByName(times)
         lookup = broadcast_if_small(mine.select(path_key("read_path").alias("_key"), "work_id"))
         part = t.shred(whole_files(records).withColumn("_key", path_key("source_path")).join(lookup, "_key").drop("_key"))
         record = [c for c in ("record_id",) if c in part.columns]
         part = combine_entries(part, t.sum_tables, ["work_id"], record)
         entries = entries.unionByName(part.select(*ENTRY_COLUMNS, "work_id"))
-    return entries, rejected
+    return entries, rejected, read
 
 
 _FAILED_FILE = re.compile(r"(?:reading file|Could not read footer for file[: ]*|FileStatus\{path=)\s*(\S+?)[.;]?(?:\s|$)")

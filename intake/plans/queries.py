@@ -1031,6 +1031,31 @@ def q_ingest_metrics(spark, d):
     return metrics.ingest_metrics(lines.withColumn("n", F.octet_length("line")), bytes_col="n")
 
 
+@register("item_metrics", """
+SELECT 'doc-' || doc_id || '.txt' AS work_id, CAST(1 + doc_id % 3 AS INTEGER) AS attempt, 'doc-' || doc_id || '.txt' AS file,
+       CASE WHEN doc_id % 11 = 0 THEN 'missing' ELSE 'ok' END AS status,
+       CASE WHEN doc_id % 11 > 0 THEN len(string_split(text, chr(10))) - CAST(text = '' OR text LIKE '%' || chr(10) AS INTEGER) END AS n_records,
+       CASE WHEN doc_id % 11 > 0 THEN strlen(text) END AS n_bytes, doc_id % 11 > 0 AS timed
+FROM (SELECT doc_id, replace(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS text FROM documents)""")
+def q_item_metrics(spark, d):
+    """The documents as text files, ingested line by line, some gone before they are read: attempt, file, records,
+    bytes and whether the read was timed, per work item."""
+    root = scratch_dir(spark, "item-metrics")
+    docs = S.table(spark, d, "documents")
+    name = F.concat(F.lit("doc-"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    # one kind of line end
+    _write_files(docs.where("doc_id % 11 > 0").select(name.alias("path"), F.regexp_replace(
+        F.coalesce("text", F.lit("")), "\r\n?", "\n").alias("body")), f"{root}/in")
+    inv = landing_inventory(spark, f"{root}/in")
+    msgs = docs.select(F.concat(F.lit(f"{root}/in/"), name, F.lit(",text,lines")).alias("message"), name.alias("work_id"),
+                       (1 + F.col("doc_id") % 3).cast("int").alias("attempt"))
+    types = {"lines": lifecycle.DataType(TypeSpec("text", "value string"), lambda r: shred.shred_entries(
+        r, "lines", F.md5("value"), {"length": F.length("value")}, F.lit(None), carry=["work_id"]))}
+    got = lifecycle.ingest_items(spark, msgs, inv, types, S.FILE_AS_OF, "bulk", f"{root}/out")["metrics"]
+    return got.select("work_id", "attempt", file_name("path").alias("file"), "status", "n_records", "n_bytes",
+                      (F.coalesce(F.col("duration_ms"), F.lit(0)) > 0).alias("timed"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.run for name, q in REGISTRY.items()}
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import contextlib
 import gzip
+import time
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
@@ -28,7 +29,8 @@ from intake.sources import storage
 from intake.sources.formats import FORMATS, FileFormat, Part
 
 GROUP_BYTES, GROUP_FILES = 128 << 20, 1000
-FILE, REJECT = "source_path", "reject"          # columns added to the records
+FILE, REJECT, STAT = "source_path", "reject", "file_stat"   # columns added to the records
+STAT_TYPE = T.StructType([T.StructField(c, T.LongType()) for c in ("records", "bytes", "micros")])
 PARTS = "path string, start long, end long"
 
 
@@ -70,22 +72,36 @@ class _Reader(DataSourceReader):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         whole = to_arrow_schema(self.schema, timestamp_utc=False)
-        own = pa.schema([f for f in whole if f.name not in (FILE, REJECT)])
+        own = pa.schema([f for f in whole if f.name not in (FILE, REJECT, STAT)])
+        timed = STAT in whole.names
 
-        def row(batch, path, reason=None):
+        def row(batch, path, reason=None, stat=None):
             n = batch.num_rows if batch is not None else 1
             given = {FILE: pa.array([path] * n, pa.string()), REJECT: pa.array([reason] * n, pa.string())}
+            if timed:
+                given[STAT] = pa.array([stat] * n, whole.field(STAT).type)
             return pa.RecordBatch.from_arrays(
                 [given[f.name] if f.name in given else pa.nulls(n, f.type) if batch is None else batch.column(f.name) for f in whole],
                 schema=whole)
 
         for path, part in _parts_of(partition.value):
+            reason, records, size, busy = None, 0, 0, 0
+            begun = time.perf_counter_ns()
             try:
-                with storage.open_input(path) as raw, _plain(raw, path) as stream:
-                    for batch in self.fmt.batches(stream, part, own, self.options):
-                        yield row(batch, path)
+                with storage.open_input(path) as raw:
+                    size = (raw.seek(0, 2) if part.end is None else part.end) - part.start
+                    raw.seek(0)
+                    with _plain(raw, path) as stream:
+                        for batch in self.fmt.batches(stream, part, own, self.options):
+                            records += batch.num_rows
+                            busy += time.perf_counter_ns() - begun
+                            yield row(batch, path)
+                            begun = time.perf_counter_ns()     # not the time others take for the batch
             except Exception as e:  # noqa: BLE001 - whatever a file holds, the others are read on
-                yield row(None, path, f"{type(e).__name__}: {e}"[:500])
+                reason = f"{type(e).__name__}: {e}"[:500]
+            busy += time.perf_counter_ns() - begun
+            if reason is not None or timed:
+                yield row(None, path, reason, {"records": records, "bytes": size, "micros": busy // 1000})
 
 
 @contextlib.contextmanager
@@ -122,14 +138,19 @@ def _source(fmt: FileFormat) -> type[DataSource]:
 
 
 def read_groups(spark: SparkSession, files: DataFrame, fmt: str | FileFormat, schema: T.StructType | str,
-                options: Mapping[str, str] | None = None, group_bytes: int = GROUP_BYTES, group_files: int = GROUP_FILES) -> DataFrame:
+                options: Mapping[str, str] | None = None, group_bytes: int = GROUP_BYTES, group_files: int = GROUP_FILES,
+                stats: bool = False) -> DataFrame:
     """Records of ``files`` (path, length) read with a format of ``intake.sources.formats``: the columns of
     ``schema``, ``source_path`` and ``reject``.  A row with ``reject`` is no record but a file that could not be
-    read to its end, and why.  A file that is gone is one of those; no files give no rows."""
+    read to its end, and why.  A file that is gone is one of those; no files give no rows.
+
+    With ``stats`` every part of a file has one more row that is no record: ``file_stat`` with its records,
+    bytes and the time the task took to read it (see :func:`file_stats`)."""
     fmt = FORMATS[fmt] if isinstance(fmt, str) else fmt
     own = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-    if {FILE, REJECT} & set(own.names):
-        raise ValueError(f"columns {FILE} and {REJECT} are added by the reader")
+    if {FILE, REJECT, STAT} & set(own.names):
+        raise ValueError(f"columns {FILE}, {REJECT} and {STAT} are added by the reader")
+    added = [FILE, REJECT, *([STAT] if stats else [])]
     folder = scratch_dir(spark, f"groups-{fmt.name}")
     groups = file_groups(files, fmt, group_bytes, group_files)
     # AQE splits and packs; a group may get several files, all of them its own
@@ -139,6 +160,8 @@ def read_groups(spark: SparkSession, files: DataFrame, fmt: str | FileFormat, sc
     read = T.StructType([T.StructField("value", T.StringType())]) if lines else T.StructType(
         [T.StructField(f.name, f.dataType, True) for f in own])
     read = read.add(FILE, T.StringType()).add(REJECT, T.StringType())
+    if stats:
+        read = read.add(STAT, STAT_TYPE)
     rows = spark.read.format(f"grouped_{fmt.name}").schema(read).options(**dict(options or {})).load(folder)
     if not lines or fmt.name == "text":
         return rows
@@ -146,7 +169,8 @@ def read_groups(spark: SparkSession, files: DataFrame, fmt: str | FileFormat, sc
     plain = {k: v for k, v in (options or {}).items() if k != "header"}
     parsed = parse(F.col("value"), own.simpleString() if fmt.name == "json" else ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}" for f in own), plain)
-    return rows.select(F.when(F.col(REJECT).isNull(), parsed).alias("_r"), FILE, REJECT).select("_r.*", FILE, REJECT)
+    record = F.col(REJECT).isNull() & (F.col(STAT).isNull() if stats else F.lit(True))
+    return rows.select(F.when(record, parsed).alias("_r"), *added).select("_r.*", *added)
 
 
 def rejected_files(records: DataFrame) -> DataFrame:
@@ -154,8 +178,19 @@ def rejected_files(records: DataFrame) -> DataFrame:
     return records.where(F.col(REJECT).isNotNull()).groupBy(FILE).agg(F.min(REJECT).alias("reason"))
 
 
+def file_stats(records: DataFrame) -> DataFrame:
+    """(source_path, n_records, n_bytes, duration_ms) per file, from rows read with ``stats``: what was read of it
+    and the time its parts took together."""
+    return (records.where(F.col(STAT).isNotNull()).groupBy(FILE)
+            .agg(F.sum(f"{STAT}.records").alias("n_records"), F.sum(f"{STAT}.bytes").alias("n_bytes"),
+                 (F.sum(f"{STAT}.micros") / 1000).alias("duration_ms")))
+
+
 def whole_files(records: DataFrame) -> DataFrame:
-    """The records of the files that could be read to their end, without ``reject``.  Reads ``records``
-    twice: give it a written table."""
+    """The records of the files that could be read to their end, without ``reject`` and ``file_stat``.  Reads
+    ``records`` twice: give it a written table."""
     bad = broadcast_if_small(rejected_files(records).select(FILE))
-    return records.where(F.col(REJECT).isNull()).drop(REJECT).join(bad, FILE, "left_anti")
+    rows = records.where(F.col(REJECT).isNull())
+    if STAT in records.columns:
+        rows = rows.where(F.col(STAT).isNull()).drop(STAT)
+    return rows.drop(REJECT).join(bad, FILE, "left_anti")

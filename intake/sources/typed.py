@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from intake.functions.paths import source_file_path
 from intake.sources import storage
 from intake.sources.formats import FORMATS
-from intake.sources.groups import REJECT, read_groups
+from intake.sources.groups import REJECT, STAT, STAT_TYPE, read_groups
 
 SPARK_FORMATS = ("csv", "json", "parquet", "orc", "text", "binaryFile")   # read without a further package
 
@@ -41,7 +41,7 @@ def can_guard(fmt: str, spec: TypeSpec, schemes: set[str]) -> bool:
 
 
 def read_typed_feed(spark: SparkSession, items: DataFrame,
-                    registry: Mapping[str, TypeSpec], guarded: bool = False) -> DataFrame:
+                    registry: Mapping[str, TypeSpec], guarded: bool = False, stats: bool = False) -> DataFrame:
     """Records of every work item (``path, data_type`` and optionally the
     item's ``format`` and ``length``), tagged with the trimmed ``data_type`` and their
     ``source_path``.  The item's format wins over the registry's, as the
@@ -51,7 +51,8 @@ def read_typed_feed(spark: SparkSession, items: DataFrame,
 
     A file of a format of our own that cannot be read is an error, as with Spark's
     formats; with ``guarded`` it is a row whose ``reject`` says why (null in
-    records), and so it is for csv, json, text and parquet."""
+    records), and so it is for csv, json, text and parquet.  ``stats`` (with ``guarded``): see
+    :func:`intake.sources.groups.read_groups`; formats that only Spark reads have no such rows."""
     items = items.select("path", F.trim("data_type").alias("dt"),
                          (F.col("format") if "format" in items.columns else F.lit(None).cast("string")).alias("fmt"),
                          (F.col("length") if "length" in items.columns else F.lit(None)).cast("long").alias("length"))
@@ -67,7 +68,7 @@ def read_typed_feed(spark: SparkSession, items: DataFrame,
         spec, own = registry[dt], fmt or registry[dt].format
         mine = items.where((F.col("dt") == dt) & F.col("fmt").eqNullSafe(F.lit(fmt)))
         if (guarded or own not in SPARK_FORMATS) and can_guard(own, spec, schemes):
-            df = read_groups(spark, mine.select("path", "length"), own, spec.schema, spec.options)
+            df = read_groups(spark, mine.select("path", "length"), own, spec.schema, spec.options, stats=stats and guarded)
             if not guarded:
                 df = df.where(F.when(F.col(REJECT).isNull(), True).otherwise(F.raise_error(
                     F.concat(F.lit("cannot read "), "source_path", F.lit(": "), REJECT)).cast("boolean"))).drop(REJECT)
@@ -77,6 +78,8 @@ def read_typed_feed(spark: SparkSession, items: DataFrame,
                   .select(source_file_path().alias("source_path"), "*"))
             if guarded:
                 df = df.withColumn(REJECT, F.lit(None).cast("string"))
+            if guarded and stats:
+                df = df.withColumn(STAT, F.lit(None).cast(STAT_TYPE))
         frames.append(df.select(F.lit(dt).alias("data_type"), "*"))
     if not frames:
         raise ValueError("no work items to read")

@@ -162,5 +162,8 @@ def test_many_corrupt_files_cost_one_run(spark, tmp_path, monkeypatch):
     bad = {f"{i}.parquet" for i in range(1, 100, 4)} | {f"{i}.json.gz" for i in range(0, 100, 4)}
     assert {k for k, v in got.items() if v == ("failed", "unreadable")} == bad and len(bad) == 50
     assert sum(v == ("ok", None) for v in got.values()) == 150
+    for r in out["metrics"].collect():
+        assert (r["attempt"], r["n_records"]) == (1, 0 if r["work_id"] in bad else 10) and r["duration_ms"] > 0
+        assert r["n_bytes"] == os.path.getsize(land / r["work_id"])
     entries = read_entries(spark, str(tmp_path / "out" / "data"))
     assert entries.count() == 1500 and entries.select("work_id").distinct().count() == 150

@@ -4,6 +4,7 @@ accounting and a restarted stream."""
 import datetime as dt
 import glob
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -199,6 +200,30 @@ def test_stream_restart_and_live_ingest(spark, tmp_path):
     assert live_current(spark, tdir).count() == 3
 
 
+def test_every_progress_report_is_kept(spark, tmp_path):
+    from intake.operators.metrics import ProgressLog, progress_log
+    src = tmp_path / "src"
+    src.mkdir()
+    for k in range(3):
+        (src / f"{k}.csv").write_text("1,a\n" * (k + 1))
+    log = ProgressLog(str(tmp_path / "log"))
+    spark.streams.addListener(log)
+    try:
+        for _ in range(2):          # two runs of one stream
+            stream_feed(spark, str(src), "csv", "id long, kind string", lambda df, b: df.count(), str(tmp_path / "ck"),
+                        available_now=True, max_files=1, query_name="feed").awaitTermination()
+            (src / f"late{_}.csv").write_text("1,a\n" * 9)
+        deadline = time.time() + 30
+        while time.time() < deadline and len(glob.glob(str(tmp_path / "log/*/*/*.json"))) < 4:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(log)
+    rows = progress_log(spark, str(tmp_path / "log")).where("n_input_rows > 0").collect()
+    assert sorted(r["n_input_rows"] for r in rows) == [1, 2, 3, 9] and {r["name"] for r in rows} == {"feed"}
+    assert len({r["query_id"] for r in rows}) == 1 and len({r["run_id"] for r in rows}) == 2
+    assert all(r["trigger_ms"] > 0 and r["started"] for r in rows)
+
+
 def test_live_counters_of_a_stream_count_equal_events(spark, tmp_path):
     """Two events of one type, time and value count twice, one delivered twice in a micro-batch once."""
     src = tmp_path / "src"
