@@ -54,13 +54,15 @@ def shred_entries(records: DataFrame, data_type: str, row_key, fields: Mapping[s
         items.append(_entry(F.lit(table), rk, dt, F.lit(name), t, v))
         if name in index_fields:
             items.append(_entry(F.lit(index_table), v, F.lit(name), rk, t, dt))
+    out = (records.select(*carry, F.inline(F.array(*items, *extra)))
+           .where(F.col("row_key").isNotNull() & F.col("value").isNotNull()))
     if reject_table is not None:
+        # only here are all columns read, and only where the key is null: a test that scans push down
         whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in records.columns]))
-        lost = rk.isNull()
-        items.append(_entry(F.lit(reject_table), F.when(lost, F.md5(whole)), dt, F.lit("null_key"), t, F.when(lost, whole)))
-    out = records.select(*carry, F.inline(F.array(*items, *extra)))
-    return (out.where(F.col("row_key").isNotNull() & F.col("value").isNotNull())
-            .select(*ENTRY_COLUMNS, *carry))
+        lost = records.where(_col(row_key).isNull()).select(*carry, F.inline(F.array(
+            _entry(F.lit(reject_table), F.md5(whole), dt, F.lit("null_key"), t, whole))))
+        out = out.unionByName(lost)
+    return out.select(*ENTRY_COLUMNS, *carry)
 
 
 def metadata_updates(entries: DataFrame, table: str = "event",

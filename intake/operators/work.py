@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from intake.functions.ids import content_id, epoch_micros
 from intake.functions.paths import flagged_path, path_key
 from intake.operators.joins import broadcast_if_small
+from intake.operators.prefix import running_totals
+from intake.session import checkpoint_dir
 
 # Input formats a work item may name (Spark file sources).
 KNOWN_FORMATS = ("csv", "json", "parquet", "orc", "text", "avro", "binaryFile")
@@ -136,3 +138,57 @@ def select_retries(items: DataFrame, ledger: DataFrame) -> DataFrame:
     """Work items to deliver again, with the number of the next ``attempt``."""
     again = ledger.where(F.col("state") == "retry").select("work_id", (F.col("attempts") + 1).alias("attempt"))
     return items.join(again, "work_id")
+
+
+def deal_to_replicas(routed: DataFrame, slack: float = 1.25, rounds: int = 64, load: str = "length", id_col: str = "work_id") -> DataFrame:
+    """Items of each pool dealt to its replicas: ``replica`` (0-based) and ``deal`` (``ok``, or ``over`` where an item
+    alone is beyond the bound) added to ``routed`` (``pool, replicas, length, work_id``).
+
+    Rendezvous hashing with bounded loads: every item ranks the replicas by a hash of itself
+    and the replica and goes to the best one whose bound (``slack`` times the pool's mean bytes a replica) still
+    has room.  So equal input is dealt alike, and a new replica takes its share from the others and moves nothing
+    else but what the bounds push on.
+
+    In each round the items not placed yet ask their next replica, in the order of their hashes; a replica takes
+    what fits below its bound by running totals (no replica's items are gathered in one task), the others go on to the
+    next round, until a full turn places nothing.  Rows of one work item are one item.  An item of a pool without
+    replicas or without pool keeps a null replica."""
+    spark = routed.sparkSession
+    checkpoint_dir(spark)
+    size = F.coalesce(F.col(load), F.lit(0)).cast("long")
+    items = routed.withColumn("_size", size).withColumn("_key", F.xxhash64(id_col, *[c for c in ("path",) if c in routed.columns]))
+    pools = items.where("pool is not null and replicas > 0").groupBy("pool").agg(
+        F.max("replicas").alias("_n"), F.sum("_size").alias("_all"))
+    pools = broadcast_if_small(pools.select("pool", "_n", F.ceil(F.lit(slack) * F.col("_all") / F.col("_n")).cast("long").alias("_bound")))
+    todo = items.where("pool is not null and replicas > 0").select("pool", "_key", "_size").distinct().join(pools, "pool")
+    # replicas by falling hash of item and replica
+    rank = F.transform(F.reverse(F.array_sort(F.transform(F.sequence(F.lit(0), F.col("_n") - 1), lambda r: F.struct(
+        F.xxhash64(F.col("_key"), r).alias("h"), r.alias("r"))))), lambda x: x["r"])
+    todo = todo.withColumn("_rank", rank).withColumn("_at", F.lit(0)).checkpoint()
+    used = spark.createDataFrame([], "pool string, replica int, _used long")
+    placed, idle = [], 0
+    most = todo.agg(F.max("_n")).first()[0] or 0
+    for _ in range(rounds):
+        if idle >= most or todo.isEmpty():
+            break
+        asks = todo.withColumn("replica", F.get("_rank", F.col("_at") % F.col("_n")))
+        ordered = running_totals(asks.select("pool", "replica", "_key", "_size", "_rank", "_at", "_n", "_bound"), ["pool", "replica"], ["_key", "_size"], ["_size"])
+        taken = broadcast_if_small(used)      # a row a replica
+        fit = F.coalesce("_used", F.lit(0)) + F.col("_size_before") + F.col("_size") <= F.col("_bound")
+        asked = ordered.join(taken, ["pool", "replica"], "left").withColumn("_fits", fit).drop("_used").checkpoint()
+        idle = idle + 1 if asked.where("_fits").isEmpty() else 0
+        placed.append(asked.where("_fits").select("pool", "_key", "_size", "replica"))
+        used = used.unionByName(asked.where("_fits").groupBy("pool", "replica").agg(F.sum("_size").alias("_used"))).groupBy(
+            "pool", "replica").agg(F.sum("_used").alias("_used")).checkpoint()
+        todo = asked.where("not _fits").select("pool", "_key", "_size", "_n", "_bound", "_rank", (F.col("_at") + 1).alias("_at"))
+    out = placed[0] if placed else spark.createDataFrame([], "pool string, _key long, _size long, replica int")
+    for p in placed[1:]:
+        out = out.unionByName(p)
+    keys = ["pool", "_key", "_size"]
+    dealt = items.join(out, keys, "left")
+    # what fits nowhere goes to the replica it ranks first
+    n = F.col("replicas")
+    best = F.when((n > 0) & F.col("pool").isNotNull(), F.array_max(F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda r: F.struct(
+        F.xxhash64(F.col("_key"), r).alias("h"), r.alias("r"))))["r"])
+    deal = F.when(best.isNull(), F.lit(None)).when(F.col("replica").isNull(), "over").otherwise("ok")
+    return dealt.select(*routed.columns, F.coalesce("replica", best).cast("int").alias("replica"), deal.alias("deal"))

@@ -577,6 +577,29 @@ def q_route_work(spark, d):
     return work.route_work(items, feeds, pools).select("queue", "feed", "path", "pool", "replicas", "route")
 
 
+DEAL_POOLS = [("speedy", "fast", 3), ("speediest", "fastest", 5), ("idle", "unused", 2)]   # replicas to deal to
+
+
+@register("deal_work", _cte(S.LANDING_SQL, _ROUTE_SQL) + """
+SELECT p.pool, count(*) AS n_items, CAST(sum(l.length) AS BIGINT) AS n_bytes,
+       CASE p.pool WHEN 'speedy' THEN 3 WHEN 'speediest' THEN 5 END AS n_replicas,
+       CASE WHEN p.pool IS NOT NULL THEN TRUE END AS bounded
+FROM landing l LEFT JOIN feeds f ON f.feed = l.feed LEFT JOIN pools p ON p.queue = f.queue GROUP BY p.pool""")
+def q_deal_work(spark, d):
+    """The landing files dealt to their pools' replicas: items, bytes and replicas of each pool, and whether no
+    replica has more than 1.25 times the mean (or its largest file); files without pool are one row."""
+    feeds = work.config_table(spark, ROUTE_FEEDS, "feed string, queue string")
+    pools = work.config_table(spark, DEAL_POOLS, "pool string, queue string, replicas int")
+    items = S.landing_files(spark, d).select("feed", "path", "length", F.md5("path").alias("work_id"))
+    dealt = work.deal_to_replicas(work.route_work(items, feeds, pools))
+    per = dealt.groupBy("pool", "replica").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("b"), F.bool_and(F.col("deal") == "ok").alias("ok"))
+    return per.groupBy("pool").agg(
+        F.sum("n").alias("n_items"), F.sum("b").alias("n_bytes"),
+        F.when(F.col("pool").isNotNull(), F.count("replica").cast("int")).alias("n_replicas"),
+        F.bool_and(F.col("ok")).alias("_ok"), (F.max("b") <= F.ceil(1.25 * F.sum("b") / F.count("replica"))).alias("_within")).select(
+        "pool", "n_items", "n_bytes", "n_replicas", F.when(F.col("pool").isNotNull(), F.col("_ok") & F.col("_within")).alias("bounded"))
+
+
 @register("attempt_ledger", f"""
 SELECT work_id, max(attempt) AS attempts,
        first(status ORDER BY attempt DESC, status = 'ok' DESC, ts DESC, status DESC) AS last_status, max(ts) AS last_at,

@@ -4,6 +4,7 @@ accounting and a restarted stream."""
 import datetime as dt
 import glob
 import os
+import re
 import time
 
 import pytest
@@ -48,6 +49,17 @@ def test_shred_and_chain(spark):
     assert meta == {"kind": "40", "amount": "40"}
 
 
+def test_shred_reads_all_columns_for_null_keys_only(spark, tmp_path):
+    records(spark).drop("work_id").write.parquet(str(tmp_path / "r"))
+    df = spark.read.parquet(str(tmp_path / "r"))
+    e = shred_entries(df, "d", F.col("id"), {"kind": F.col("kind")}, F.col("ts"))
+    plan = e._jdf.queryExecution().executedPlan().toString()
+    scans = re.findall(r"FileScan parquet.*", plan)
+    schemas = sorted(re.search(r"ReadSchema: struct<(.*?)>", s)[1].split(",") for s in scans)
+    assert [sorted(c.split(":")[0] for c in s) for s in schemas if len(s) <= 3] == [["id", "kind", "ts"]]
+    assert len(scans) == 2 and any("IsNull(id)" in s for s in scans)
+
+
 def test_aggregate_has_partial_and_final(spark):
     agg = aggregate_entries(shred(records(spark)), sum_tables=["event"])
     plan = agg._jdf.queryExecution().executedPlan().toString()

@@ -4,6 +4,9 @@ import pytest
 
 from intake.config import PROFILES, SAMPLE_FEEDS, SAMPLE_POOLS, ScanConfig
 from intake.functions.paths import flagged_path, loaded_path
+from intake.operators import work
+from pyspark.sql import functions as F
+
 from intake.operators.work import (attempt_ledger, config_table, flagged_collisions, parse_work_items,
                                    route_orphans, route_work, select_retries, work_items)
 
@@ -173,3 +176,44 @@ def test_local_paths_match_with_or_without_scheme(spark):
     msgs = spark.createDataFrame([("/in/a.csv,csv,t",), ("file:///in/a.csv,csv,t",), ("/in/b.csv,csv,t",)], "message string")
     got = [(r["status"], r["read_path"]) for r in parse_work_items(msgs, inv).orderBy("message").collect()]
     assert sorted(got, key=str) == sorted([("ok", "file:/in/a.csv"), ("missing", None), ("ok", "file:/in/a.csv")], key=str)
+
+
+def test_deal_is_bounded_and_stable(spark):
+    """No replica above 1.25 times the mean, whatever the order of rows; a further replica takes its share and little else moves."""
+    import random
+
+    rnd = random.Random(4)
+    rows = [(f"w{i}", f"/in/{i}", rnd.choice([0, 1, 10, 50, rnd.randint(0, 300)]), "p") for i in range(1200)] + [
+        ("x1", "/x", 5, None), ("x2", "/x2", None, "p"), ("y", "/y", 7, "lone")]
+    items = spark.createDataFrame(rows, "work_id string, path string, length long, pool string")
+
+    def deal(n, df=items):
+        routed = df.withColumn("replicas", F.when(F.col("pool") == "p", n).when(F.col("pool") == "lone", 1))
+        return {r["work_id"]: (r["replica"], r["length"] or 0, r["deal"]) for r in work.deal_to_replicas(routed).collect()}
+
+    def loads(dealt, n):
+        out = [0] * n
+        for k, (r, size, _) in dealt.items():
+            if k.startswith("w") or k == "x2":
+                out[r] += size
+        return out
+
+    four = deal(4)
+    assert len(four) == len(rows) and four["x1"] == (None, 5, None) and four["y"] == (0, 7, "ok")
+    total = sum(loads(four, 4))
+    assert max(loads(four, 4)) <= 1.25 * total / 4 + 1 and min(loads(four, 4)) > 0
+    assert {d for k, (_, _, d) in four.items() if k != "x1"} == {"ok"}
+    assert deal(4, items.repartition(5).orderBy(F.rand(1))) == four
+    five = deal(5)
+    assert max(loads(five, 5)) <= 1.25 * total / 5 + 1
+    moved = sum(size for k, (r, size, _) in five.items() if r != four[k][0])
+    to_new = sum(size for k, (r, size, _) in five.items() if r == 4)
+    assert to_new <= 1.25 * total / 5 + 1 and moved - to_new <= 0.15 * total
+
+
+def test_an_item_beyond_the_bound_is_told(spark):
+    rows = [("huge", "/h", 1000, "p", 3), ("a", "/a", 1, "p", 3), ("b", "/b", 1, "p", 3)]
+    items = spark.createDataFrame(rows, "work_id string, path string, length long, pool string, replicas int")
+    got = {r["work_id"]: (r["replica"], r["deal"]) for r in work.deal_to_replicas(items).collect()}
+    assert got["huge"][1] == "over" and got["huge"][0] in (0, 1, 2) and got["a"][1] == got["b"][1] == "ok"
+    assert work.deal_to_replicas(items.limit(0)).count() == 0
