@@ -22,7 +22,7 @@ from intake.operators import batching, bundle, combine, filters, metrics, shred,
 from intake.plans import lifecycle
 from intake.plans import standins as S
 from intake.session import scratch_dir
-from intake.sinks import bulk, bundles, live, seen
+from intake.sinks import bulk, bundles, levelled, live, seen
 from intake.sinks.files import folder_exists
 from intake.sinks.framed import write_framed
 from intake.sinks.listing import take_snapshot
@@ -706,7 +706,7 @@ def q_upsert_live(spark, d):
         "table_name", "row_key", "family", "qualifier", "value", "ts", "n_versions")
 
 
-@register("live_counters", r"""
+LIVE_COUNTERS_SQL = r"""
 WITH e AS (
   SELECT 'qty' AS table_name, CAST(l_suppkey AS VARCHAR) AS row_key, l_returnflag AS qualifier, l_shipdate AS ts,
          CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) AS value FROM lineitem
@@ -717,19 +717,14 @@ SELECT table_name, row_key, 'line' AS family, qualifier, max(ts) AS ts,
        CASE WHEN table_name = 'qty'
             THEN regexp_replace(CAST(sum(CAST(value AS DECIMAL(28,9))) AS VARCHAR), '\.?0*$', '')
             ELSE first(value ORDER BY ts DESC, value DESC) END AS value
-FROM e GROUP BY table_name, row_key, qualifier""")
+FROM e GROUP BY table_name, row_key, qualifier"""
+
+
+@register("live_counters", LIVE_COUNTERS_SQL)
 def q_live_counters(spark, d):
     """Counters and newest values over four batches: one replayed, two folded
     into a snapshot before the last two arrive, the third folded again."""
-    li = S.table(spark, d, "lineitem")
-
-    def entry(table, key, qualifier, value):
-        return F.struct(F.lit(table).alias("table_name"), F.col(key).cast("string").alias("row_key"), F.lit("line").alias("family"),
-                        F.col(qualifier).cast("string").alias("qualifier"), F.col("l_shipdate").cast("timestamp_ntz").alias("ts"),
-                        F.col(value).cast("decimal(18,2)").cast("string").alias("value"))
-
-    rows = li.select((F.col("l_linenumber") % 4).alias("batch"), F.inline(F.array(
-        entry("qty", "l_suppkey", "l_returnflag", "l_quantity"), entry("price", "l_orderkey", "l_linenumber", "l_extendedprice"))))
+    rows = _line_entries(spark, d)
     table_dir = scratch_dir(spark, "live-counters")
     for batch in (0, 1, 1):
         live.upsert_live(combine.aggregate_entries(rows.where(F.col("batch") == batch), ["qty"]), table_dir, "q", batch)
@@ -740,6 +735,32 @@ def q_live_counters(spark, d):
     return live.live_current(spark, table_dir, ["qty"]).drop("n_versions")
 
 
+@register("levelled_live", LIVE_COUNTERS_SQL)
+def q_levelled_live(spark, d):
+    """The same batches in key buckets: one replayed, merged where a bucket has too many runs, one replayed
+    again after that, read from the newest version."""
+    rows = _line_entries(spark, d)
+    table_dir = scratch_dir(spark, "levelled")
+    for batch in (0, 1, 1, 2, 0, 3):
+        levelled.upsert(rows.where(F.col("batch") == batch), table_dir, "q", batch, ["qty"], buckets=8)
+        levelled.compact(spark, table_dir, ["qty"], max_runs=2)
+    levelled.vacuum(spark, table_dir)
+    return levelled.read(spark, table_dir, ["qty"])
+
+
+def _line_entries(spark, d):
+    """Quantity counters and newest prices of all lines, with the batch (of four) they come in."""
+    li = S.table(spark, d, "lineitem")
+
+    def entry(table, key, qualifier, value):
+        return F.struct(F.lit(table).alias("table_name"), F.col(key).cast("string").alias("row_key"), F.lit("line").alias("family"),
+                        F.col(qualifier).cast("string").alias("qualifier"), F.col("l_shipdate").cast("timestamp_ntz").alias("ts"),
+                        F.col(value).cast("decimal(18,2)").cast("string").alias("value"))
+
+    return li.select((F.col("l_linenumber") % 4).alias("batch"), F.inline(F.array(
+        entry("qty", "l_suppkey", "l_returnflag", "l_quantity"), entry("price", "l_orderkey", "l_linenumber", "l_extendedprice"))))
+
+
 # ---------------------------------------------------------------- bundles
 
 @register("pair_manifests", _cte(S.LANDING_SQL, S.MANIFEST_SQL) + f"""
