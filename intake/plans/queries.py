@@ -22,7 +22,7 @@ from intake.operators import batching, bundle, combine, filters, metrics, shred,
 from intake.plans import lifecycle
 from intake.plans import standins as S
 from intake.session import scratch_dir
-from intake.sinks import bulk, bundles, levelled, live, seen
+from intake.sinks import bulk, bundles, levelled, live, mover, seen
 from intake.sinks.files import folder_exists
 from intake.sinks.framed import write_framed
 from intake.sinks.listing import take_snapshot
@@ -916,6 +916,32 @@ def q_feeder_stream(spark, d):
             .agg(F.count(F.lit(1)).alias("n_items")))
 
 
+@register("move_files", """
+SELECT lang || '/' || doc_id || '.txt' AS name, CASE WHEN doc_id % 9 = 0 THEN 'missing' WHEN doc_id % 10 = 0 THEN 'clash' ELSE 'moved' END AS status,
+       doc_id % 9 > 0 AND doc_id % 10 = 0 AS landed, doc_id % 10 = 0 OR doc_id % 9 > 0 AS flagged,
+       CASE WHEN doc_id % 10 = 0 THEN 4 WHEN doc_id % 9 > 0 THEN strlen(coalesce(text, '')) END AS flagged_length
+FROM documents""")
+def q_move_files(spark, d):
+    """The documents as landed files moved to their flagged targets, run twice: some are gone before, at some targets
+    there is another file.  What became of each, and where the files lie."""
+    root = scratch_dir(spark, "move")
+    docs = S.table(spark, d, "documents").select(
+        "doc_id", F.concat("lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"), F.coalesce("text", F.lit("")).alias("text"))
+    _write_files(docs.select("path", F.col("text").alias("body")), f"{root}/landed")
+    _write_files(docs.where("doc_id % 10 = 0").select("path", F.lit("old.").alias("body")), f"{root}/flagged")
+    inv = landing_inventory(spark, f"{root}/landed", recursive=True)
+    moves = mover.plan_moves(inv.withColumn("target_path", flagged_path("path", f"file:{root}/flagged" if root.startswith("/") else f"{root}/flagged",
+                                                                        f"{root}/landed", True)))
+    _write_files(docs.where("doc_id % 9 = 0").select("path", F.lit(None).cast("string").alias("body")), f"{root}/landed")
+    for _ in range(2):
+        done = mover.move_files(spark, moves, f"{root}/state", "tick-0")
+    name = lambda c, folder: F.regexp_extract(c, f"/{folder}/(.*)$", 1).alias("name")
+    here = landing_inventory(spark, f"{root}/landed", recursive=True).select(name("path", "landed"), F.lit(True).alias("l"))
+    there = landing_inventory(spark, f"{root}/flagged", recursive=True).select(name("path", "flagged"), F.col("length").alias("flagged_length"))
+    return (done.select(name("path", "landed"), "status").join(here, "name", "left").join(there, "name", "left")
+            .select("name", "status", F.coalesce("l", F.lit(False)).alias("landed"), F.col("flagged_length").isNotNull().alias("flagged"), "flagged_length"))
+
+
 @register("ingest_stream", r"""
 SELECT 'count' AS table_name, event_type AS row_key, 'day' AS family, strftime(ts, '%Y-%m-%d') AS qualifier,
        CAST(count(*) AS VARCHAR) AS value, max(date_trunc('day', ts)) AS ts
