@@ -22,7 +22,7 @@ from intake.operators import batching, bundle, combine, filters, metrics, shred,
 from intake.plans import lifecycle
 from intake.plans import standins as S
 from intake.session import scratch_dir
-from intake.sinks import bulk, bundles, levelled, live, mover, seen
+from intake.sinks import bulk, bundles, keyed, levelled, live, mover, seen
 from intake.sinks.files import folder_exists
 from intake.sinks.framed import write_framed
 from intake.sinks.listing import take_snapshot
@@ -1012,6 +1012,25 @@ def q_redelivery_stream(spark, d):
     return spark.read.schema("work_id string, action string, attempt int, at timestamp_ntz").parquet(f"{root}/state/out")
 
 
+@register("keyed_lookup", _cte(S.LINEITEM_ENTRIES_SQL) + """
+SELECT 'key' AS asked, entries.* FROM entries JOIN (SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS k FROM orders WHERE o_orderkey % 50 = 0) o
+  ON entries.row_key = o.k WHERE table_name = 'price'
+UNION ALL SELECT 'range', * FROM entries WHERE table_name = 'qty' AND row_key BETWEEN '10' AND '2'""")
+def q_keyed_lookup(spark, d):
+    """Entries of all lines in two sorted folders merged into one; the prices of every fiftieth order and the
+    quantities of a range of keys looked up."""
+    root = scratch_dir(spark, "keyed")
+    entries = S.lineitem_entries(spark, d)
+    half = F.pmod(F.xxhash64("row_key"), F.lit(2)) == 0
+    for name, part in (("a", half), ("b", ~half)):
+        keyed.write_keyed(entries.where(part), f"{root}/{name}", files=8)
+    keyed.merge_keyed(spark, [f"{root}/a", f"{root}/b"], f"{root}/whole", files=16)
+    keys = S.table(spark, d, "orders").where("o_orderkey % 50 = 0").select(F.lit("price").alias("table_name"), F.col("o_orderkey").cast("string").alias("row_key"))
+    columns = ["table_name", "row_key", "family", "qualifier", "ts", "value"]
+    return (keyed.lookup_keys(spark, f"{root}/whole", keys).select(F.lit("key").alias("asked"), *columns)
+            .unionByName(keyed.lookup_range(spark, f"{root}/whole", "qty", "10", "2").select(F.lit("range").alias("asked"), *columns)))
+
+
 @register("dated_output", """
 SELECT event_id, '/bundles/' || strftime(ts, '%Y/%m/%d') AS dated_dir, '/bundles' AS flat_dir FROM events""")
 def q_dated_output(spark, d):
