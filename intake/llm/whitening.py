@@ -296,7 +296,7 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS, scale: int = SCALE,
     n * x from their sum (null beyond a long).  Repeated rows come out as often as
     they are there.  Other columns are not read."""
     good = vectors.where(usable(F.col(vec_col))).select(
-        F.col(id_col).alias("vec_id"), whole_numbers(F.col(vec_col), scale, shift).alias("x"))
+        F.col(id_col).cast("string").alias("vec_id"), whole_numbers(F.col(vec_col), scale, shift).alias("x"))
     fits = fit(good, components)
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -307,12 +307,11 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS, scale: int = SCALE,
                     "vec_id": part["vec_id"].to_numpy(), "dims": x.shape[1],
                     "deviation": pd.array(f.deviation(x), "Int64"), "w": list(f.whiten(x))})
 
-    name = vectors.schema[id_col].dataType.simpleString()
     shared = vectors.sparkSession.createDataFrame(
         [(d, int(f.n), [float(e / f.trace) for e in f.values], f.error) for d, f in fits.items() if len(f.values)],
         "dims int, n long, share array<double>, identity_error double")
-    # one row a length
-    out = good.mapInPandas(apply, f"vec_id {name}, dims int, deviation long, w array<double>").join(F.broadcast(shared), "dims")
-    return out.select("vec_id", F.posexplode(F.arrays_zip("w", "share")).alias("k", "c"), "n", "deviation", "identity_error").select(
+    # ids travel as texts: pandas would make floats of numbers with nulls among them; one row a length is broadcast
+    out = good.mapInPandas(apply, "vec_id string, dims int, deviation long, w array<double>").join(F.broadcast(shared), "dims")
+    return out.select(F.col("vec_id").cast(vectors.schema[id_col].dataType), F.posexplode(F.arrays_zip("w", "share")).alias("k", "c"), "n", "deviation", "identity_error").select(
         "vec_id", (F.col("k") + 1).alias("component"), "n", "deviation", F.col("c.w").alias("whitened"),
         F.col("c.share").alias("explained"), "identity_error")

@@ -117,6 +117,12 @@ def test_edges(spark):
     assert W.whiten(frame(spark, [(1, [1.0, 2.0]), (2, [1.0, 2.0])])).count() == 0   # one distinct vector: no spread
 
 
+def test_large_ids_beside_missing_ones(spark):
+    ids = [2 ** 62 + 1, None, -2 ** 63, 3]
+    out = W.whiten(frame(spark, [(i, [float(k), float(k * k)]) for k, i in enumerate(ids)]).coalesce(1))
+    assert sorted((r["vec_id"] for r in out.where("component = 1").collect()), key=str) == sorted(ids, key=str)
+
+
 def test_lengths_and_ranks(spark):
     rng = np.random.default_rng(3)
     base = rng.standard_normal((30, 2))
