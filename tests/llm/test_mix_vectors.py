@@ -5,6 +5,7 @@ import re
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -178,6 +179,82 @@ def test_vectors(spark, monkeypatch, chunk, grid):
     assert got[5009] == (1, 5009, True) and got[5010] == (1, 5009, False)  # scaled first: no overflow
 
 
+def near_threshold(cosine=0.93, dims=64, n=300):
+    """Pairs built to lie at the threshold, where only the last bits decide, far from all others."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(n):
+        a = rng.normal(0, 1, dims)
+        a /= np.linalg.norm(a)
+        side = rng.normal(0, 1, dims)
+        side -= (side @ a) * a
+        b = cosine * a + (1 - cosine ** 2) ** 0.5 * side / np.linalg.norm(side)
+        rows += [(2 * i, "x", a.tolist()), (2 * i + 1, "x", (3 * b).tolist())]
+    return rows
+
+
+@pytest.mark.parametrize("chunk", [16384, 40])
+def test_pairs_at_the_threshold_go_by_their_original_components(spark, monkeypatch, chunk):
+    monkeypatch.setattr(E, "CHUNK", chunk)
+    rows = near_threshold()
+    docs = spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in E.near_vectors(docs).collect()}
+    want = {}
+    for (i, _, a), (j, _, b) in zip(rows[::2], rows[1::2]):
+        a, b = np.array(a), np.array(b)
+        c = (a * b).sum() / np.sqrt((a * a).sum() * (b * b).sum())
+        want |= {i: int(c >= 0.93), j: int(c >= 0.93)}
+        assert abs(c - 0.93) < 1e-12
+    assert 0 < sum(want.values()) < len(want)
+    assert got == want
+
+
+def test_a_pair_meets_in_one_cell():
+    """Every pair in range of a block is at home or guest and host in just one cell, for each number of coordinates."""
+    rng = np.random.default_rng(3)
+    q = np.rint(rng.normal(0, 900, (400, 4))).astype(np.int16)
+    share = 600.0 ** 2
+    far = ((q[:, None].astype(float) - q[None]) ** 2).sum(axis=2)
+    for g in (1, 2, 3):
+        met = {}
+        rows, cells, home = E.placements(q, share, g)
+        at = {}
+        for r, c, h in zip(rows.tolist(), map(tuple, cells.tolist()), home.tolist()):
+            at.setdefault(c, []).append((r, h))
+        for group in at.values():
+            for k, (x, hx) in enumerate(group):
+                for y, hy in group[k + 1:]:
+                    if hx or hy:
+                        met[min(x, y), max(x, y)] = met.get((min(x, y), max(x, y)), 0) + 1
+        x, y = np.nonzero(np.triu(far <= share, 1))
+        assert len(x) > 100 and all(met[p] == 1 for p in zip(x.tolist(), y.tolist()))
+
+
+def test_the_range_join_finds_its_pairs_and_evaluates_few_distances():
+    rng = np.random.default_rng(8)
+    v = pd.Series([x.tolist() for x in rng.normal(0, 1, (1500, 64))] + [[1.0] * 64, [1.0] * 63 + [1.01]])
+    q = E.turned(v)
+    counted = []
+    for (lo, hi), share in zip(E.blocks(64), E.shares(64, E.BLOCK_DIMS, 0.93)):
+        own = q[:, lo:hi].astype(float)
+        far = ((own[:, None] - own[None]) ** 2).sum(axis=2)
+        want = set(zip(*(x.tolist() for x in np.nonzero(np.triu(far <= share, 1)))))
+        got = [(min(p), max(p)) for x, y in E.close_pairs(q[:, lo:hi], share, tile=64, count=counted) for p in zip(x.tolist(), y.tolist())]
+        assert len(got) == len(set(got)) and set(got) == want and (1500, 1501) in want
+    assert sum(counted) < 0.2 * len(q) * (len(q) - 1) / 2
+
+
+def test_given_vectors_need_fewer_distances_than_pairs(spark):
+    """Every label of the largest given table, blocks taken together."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").toPandas()
+    for _, part in rows.groupby("label"):
+        q, counted = E.turned(part["embedding"]), []
+        for (lo, hi), share in zip(E.blocks(64), E.shares(64, E.BLOCK_DIMS, 0.93)):
+            for _ in E.close_pairs(q[:, lo:hi], share, count=counted):
+                pass
+        assert sum(counted) < 0.2 * len(q) * (len(q) - 1) / 2
+
+
 def test_repeated_and_missing_ids(spark):
     v = [1.0, 2.0, 3.0]
     docs = spark.createDataFrame([(1, 0, v), (1, 0, v), (2, 0, v), (None, 0, v), (None, 0, v)], "vec_id long, label int, embedding array<float>")
