@@ -43,7 +43,9 @@ from intake.sinks.bundles import bundle_folder, bundled_files, compact_bundles,
 from intake.sinks.live import upsert_live
 from intake.sources.inventory import _norm_uri
 from intake.sources.formats import FORMATS
-from intake.sources.groups import file_stats, rejected_files, whole_files
+from intake.sources.groups import REJECT, file_stats, rejected_files, whole_files
+from intake.sources.members import Members, read_manifest_lines
+from intake.sources.members import read_members as read_by_tasks
 from intake.sources.typed import SPARK_FORMATS, TypeSpec, read_typed_feed
 
 
@@ -195,14 +197,18 @@ def failed_member(error: BaseException) -> str | None:
 
 
 def bundle_files(spark: SparkSession, inventory: DataFrame, failures: DataFrame, scan: ScanConfig,
-                 as_of, folder: str, read_members: Callable[[list[str]], DataFrame],
+                 as_of, folder: str, read_members: Callable[[list[str]], DataFrame] | Members,
                  tick: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Bundle the paired data files of ``inventory`` (data + ``.manifest``).
 
-    ``read_members(paths)`` reads member files into entries with a
-    ``source_path`` column.  Returns (members written, failure log).
+    ``read_members`` is a :class:`Members` (tasks read every member once, bad ones
+    are told in that run and no path reaches the driver) or a function of paths
+    that reads member files into entries with a ``source_path`` column (a run per
+    bad member).  Returns (members written, failure log).
     """
     manifests = inventory.where(F.col("path").endswith(".manifest"))
+    if isinstance(read_members, Members):
+        return _bundle_whole(spark, inventory, manifests, failures, scan, as_of, folder, read_members, tick)
     while True:  # every round but the last quarantines one more file
         files = scan_filters(inventory, failures, scan, as_of, pre_check=exclude_manifests,
                              admit=lambda df: mark_paired(df, manifests))
@@ -223,31 +229,80 @@ def bundle_files(spark: SparkSession, inventory: DataFrame, failures: DataFrame,
             plan.unpersist()
 
 
+def _bundle_whole(spark: SparkSession, inventory: DataFrame, manifests: DataFrame, failures: DataFrame, scan: ScanConfig,
+                  as_of, folder: str, how: Members, tick: str | None) -> tuple[DataFrame, DataFrame]:
+    """Members are read into a staging table; batches are planned again without the bad ones, and what the
+    new plan has beside the old one is read too, until it has nothing unread."""
+    checkpoint_dir(spark)
+    staging = scratch_dir(spark, "members")
+    read = bad = spark.createDataFrame([], "path string")
+    rounds: list[DataFrame] = []
+    while True:
+        files = scan_filters(inventory.join(bad, "path", "left_anti"), failures, scan, as_of, pre_check=exclude_manifests,
+                             admit=lambda df: mark_paired(df, manifests))
+        plan = batch_plan(files, scan, as_of).checkpoint()
+        fresh = plan.where("fired").select("path", "length").join(read, "path", "left_anti").checkpoint()
+        if fresh.isEmpty():
+            break
+        where = f"{staging}/round={len(rounds)}"
+        records = read_by_tasks(spark, fresh, how)
+        records.write.parquet(where)
+        rounds.append(spark.read.schema(records.schema).parquet(where))
+        failed = rejected_files(rounds[-1]).select(F.col("source_path").alias("path"), F.concat(
+            F.lit("unreadable bundle member: "), "reason").alias("reason")).checkpoint()
+        if failed.isEmpty():
+            break
+        read = read.unionByName(fresh.select("path")).checkpoint()
+        bad = bad.unionByName(failed.select("path")).checkpoint()
+        failures = quarantine_update(failures, failed, as_of)
+    if not rounds or plan.where("fired").isEmpty():
+        return plan.limit(0).withColumn("bundle_id", F.lit(None).cast("string")), failures
+    entries = rounds[0]
+    for more in rounds[1:]:
+        entries = entries.unionByName(more)
+    return compact_bundles(entries.where(F.col(REJECT).isNull()).drop(REJECT), plan, folder, tick=tick), failures
+
+
 def bundler_run(spark: SparkSession, inventory: DataFrame, failures: DataFrame, scan: ScanConfig,
-                bundler: BundlerConfig, as_of, read_members: Callable[[list[str]], DataFrame],
+                bundler: BundlerConfig, as_of, read_members: Callable[[list[str]], DataFrame] | Members,
                 flagged: DataFrame | None = None, state_dir: str | None = None,
-                read_lines: Callable[[list[str]], DataFrame] | None = None) -> dict[str, DataFrame | str]:
+                read_lines: Callable[[list[str]], DataFrame] | None = None,
+                tick: str | None = None) -> dict[str, DataFrame | str]:
     """One bundler tick: bundles under ``bundle_output_dir[/as_of date]``,
     then the accounting ledger of the bundled members' manifests (origin,
     loaded path, ``moved`` / ``missing`` against ``flagged`` / ``malformed``).
 
     With a ``state_dir`` the bundler remembers its members: files (path, length,
     mtime) of earlier ticks are not bundled again, and
-    :func:`intake.sinks.bundles.read_bundles` reads what its ledger holds.
+    :func:`intake.sinks.bundles.read_bundles` reads what its ledger holds.  ``tick``
+    names the run (default: its time); a run under the name of one before replaces it.
+    With :class:`Members` a manifest that cannot be read joins the failures.
     ``read_lines(manifest paths)`` reads manifest lines (default: text files); for
     bulk output use :func:`intake.sinks.bulk.bulk_units` as ``inventory`` with
     ``read_units`` and ``read_unit_manifests``."""
-    stamp, tick = spark.range(1).select(F.date_format(as_of_col(as_of), bundler.date_format),
+    stamp, time_name = spark.range(1).select(F.date_format(as_of_col(as_of), bundler.date_format),
                                         F.date_format(as_of_col(as_of), "yyyyMMdd-HHmmssSSSSSS")).first()
+    tick = tick or time_name
     folder = bundle_folder(bundler.bundle_output_dir, stamp, bundler.date_bundle_output)
     if state_dir:
+        checkpoint_dir(spark)
         identity = ["path", "length", "mtime"]
-        inventory = inventory.join(bundled_files(spark, state_dir).select(*identity), identity, "left_anti").checkpoint()
+        others = bundled_files(spark, state_dir).where(F.col("tick") != tick).select(*identity)
+        inventory = inventory.join(others, identity, "left_anti").checkpoint()
     members, failures = bundle_files(spark, inventory, failures, scan, as_of, folder, read_members, tick if state_dir else None)
-    manifest_paths = [r["m"] for r in members.select(F.concat("path", F.lit(".manifest")).alias("m")).collect()]
-    if manifest_paths:
-        lines = read_lines(manifest_paths) if read_lines else spark.read.text(manifest_paths).select(
-            "value", source_file_path().alias("manifest_file"))
+    if isinstance(read_members, Members):
+        lines = None if members.isEmpty() else read_manifest_lines(spark, members, inventory, read_members).checkpoint()
+        if lines is not None:
+            bad = lines.where(F.col(REJECT).isNotNull()).select(
+                F.col("manifest_file").alias("path"), F.concat(F.lit("unreadable manifest: "), REJECT).alias("reason"))
+            failures, lines = quarantine_update(failures, bad, as_of), lines.where(F.col(REJECT).isNull()).drop(REJECT)
+    else:
+        manifest_paths = [r["m"] for r in members.select(F.concat("path", F.lit(".manifest")).alias("m")).collect()]
+        lines = None
+        if manifest_paths:
+            lines = read_lines(manifest_paths) if read_lines else spark.read.text(manifest_paths).select(
+                "value", source_file_path().alias("manifest_file"))
+    if lines is not None:
         accounting = file_accounting(lines, flagged, bundler.manifest_path_to_replace,
                                      bundler.manifest_path_replacement)
         if state_dir:

@@ -21,9 +21,10 @@ from intake.config import BundlerConfig, FeederConfig, ScanConfig
 from intake.operators import batching, bundle, combine, filters, metrics, shred, work
 from intake.plans import lifecycle
 from intake.plans import standins as S
+from intake.schemas import ENTRY_COLUMNS, ENTRY_DDL, QUARANTINE_SCHEMA
 from intake.session import scratch_dir
 from intake.sinks import bulk, bundles, keyed, levelled, live, mover, seen
-from intake.sinks.files import folder_exists
+from intake.sinks.files import folder_exists, folder_names
 from intake.sinks.framed import write_framed
 from intake.sinks.listing import take_snapshot
 from intake.sources import storage
@@ -31,8 +32,10 @@ from intake.sources.entries import read_entries
 from intake.sources.formats import Framed
 from intake.sources.groups import read_groups
 from intake.sources.inventory import landing_inventory
+from intake.sources.members import Members
 from intake.sources.typed import TypeSpec, read_typed_feed
 from intake.streaming import state as timed
+from intake.streaming.bundler import ACCOUNTING, bundler_stream
 from intake.streaming.feed import ingest_stream, stream_feed
 from intake.streaming.feeder import feeder_stream
 
@@ -845,8 +848,7 @@ def end_to_end(spark, d):
     for day in range(2):
         got = lifecycle.bundler_run(
             spark, bulk.bulk_units(spark, f"{root}/out", "bulk"), none, scan, bundler, as_of + dt.timedelta(days=day),
-            lambda paths: bulk.read_units(spark, paths), items.select(F.col("target_path").alias("path")), f"{root}/state",
-            lambda paths: bulk.read_unit_manifests(spark, paths))
+            bulk.unit_members(spark, f"{root}/out"), items.select(F.col("target_path").alias("path")), f"{root}/state")
         lines.append(got["accounting"].select("work_id", "status"))
     moved = lines[0].unionByName(lines[1]).where("status = 'moved'")
     # every input is accounted for, once
@@ -916,6 +918,52 @@ def q_feeder_stream(spark, d):
             .agg(F.count(F.lit(1)).alias("n_items")))
 
 
+@register("bundler_stream", f"""
+WITH e AS (SELECT *, coalesce(event_id, 0) % 16 AS b FROM events)
+SELECT 'bucket-' || b || '.frm' AS file, 'event' AS table_name, CAST(event_id AS VARCHAR) AS row_key, 'events' AS family, 'event_type' AS qualifier, ts,
+       event_type AS value, 'bundled' AS status FROM e WHERE b <> {CUT_BUCKET}
+UNION ALL SELECT DISTINCT 'bucket-' || b || '.frm', NULL, NULL, NULL, NULL, NULL, NULL, 'moved' FROM e WHERE b <> {CUT_BUCKET}
+UNION ALL SELECT DISTINCT 'bucket-{CUT_BUCKET}.frm', NULL, NULL, NULL, NULL, NULL, NULL, 'quarantined' FROM e WHERE b = {CUT_BUCKET}""")
+def q_bundler_stream(spark, d):
+    """Entries of the events as files with manifests, one file cut off, land in two lots; the bundler's loop is
+    stopped in between.  Every bundled entry, every input that is accounted for and the file in quarantine."""
+    root = scratch_dir(spark, "bundler-stream")
+    bucket = F.pmod(F.coalesce("event_id", F.lit(0)), F.lit(16))
+    entries = S.table(spark, d, "events").select(
+        F.lit("event").alias("table_name"), F.col("event_id").cast("string").alias("row_key"), F.lit("events").alias("family"),
+        F.lit("event_type").alias("qualifier"), F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("event_type").alias("value"),
+        F.concat(F.lit("bucket-"), bucket).alias("bucket"), bucket.alias("b"))
+    name = F.regexp_extract("path", "([^/]*)$", 1).alias("file")
+    members = Members(TypeSpec("framed", ENTRY_DDL))
+    for lot, part in enumerate((F.col("b") < 8, F.col("b") >= 8)):
+        here = entries.where(part).drop("b")
+        write_framed(here.repartition("bucket").sortWithinPartitions("bucket", "row_key", "ts", "value"), f"{root}/work/lot-{lot}", file_by="bucket")
+        _write_files(here.select("bucket").distinct().select(
+            F.concat("bucket", F.lit(".frm.manifest")).alias("path"),
+            F.concat(F.lit("w-"), "bucket", F.lit("\t/in/flagged/"), "bucket", F.lit(".frm\n")).alias("body")), f"{root}/work/lot-{lot}")
+        cut = f"{root}/work/lot-{lot}/bucket-{CUT_BUCKET}.frm"
+        if folder_exists(spark, cut):
+            _cut_off(cut, Framed.HEAD.size + 1)
+        time.sleep(1.1)                 # a tick's time has whole seconds; a file must be older
+        q = bundler_stream(spark, f"{root}/state", ScanConfig(max_files=3, max_age=0, error_retry_interval=3_600_000),
+                           BundlerConfig(f"{root}/bundles"), lambda: landing_inventory(spark, f"{root}/work", recursive=True, feed="events"),
+                           lambda: members, trigger_ms=1000)
+        while q.isActive and not any(p["numInputRows"] >= 0 and p["durationMs"].get("addBatch") for p in q.recentProgress):
+            time.sleep(0.2)
+        q.stop()
+        if q.exception():
+            raise q.exception()
+    last = max(int(n.split("=")[1]) for n in folder_names(spark, f"{root}/state/quarantine"))
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (x.split() for x in ENTRY_DDL.split(", "))]
+    bundled = bundles.read_bundles(spark, f"{root}/bundles", f"{root}/state").select(
+        F.regexp_extract("source_path", "([^/]*)$", 1).alias("file"), *ENTRY_COLUMNS, F.lit("bundled").alias("status"))
+    accounted = spark.read.schema(ACCOUNTING).parquet(f"{root}/state/accounting").select(
+        F.regexp_extract("loaded_path", "^/in/loaded/(.*)$", 1).alias("file"), *nothing, "status")
+    failed = spark.read.schema(QUARANTINE_SCHEMA).parquet(f"{root}/state/quarantine/tick={last}").select(
+        name, *nothing, F.lit("quarantined").alias("status"))
+    return bundled.unionByName(accounted).unionByName(failed)
+
+
 @register("move_files", """
 SELECT lang || '/' || doc_id || '.txt' AS name, CASE WHEN doc_id % 9 = 0 THEN 'missing' WHEN doc_id % 10 = 0 THEN 'clash' ELSE 'moved' END AS status,
        doc_id % 9 > 0 AND doc_id % 10 = 0 AS landed, doc_id % 10 = 0 OR doc_id % 9 > 0 AS flagged,

@@ -24,9 +24,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intake.functions.paths import file_name, parent_dir, source_file_path
-from intake.schemas import ENTRY_COLUMNS
+from intake.schemas import ENTRY_COLUMNS, ENTRY_DDL
 from intake.sinks.files import drop_folder, folder_exists, partition_folder
 from intake.sources.inventory import landing_inventory
+from intake.sources.members import Members
+from intake.sources.typed import TypeSpec
 
 DEFAULT_BUCKETS = 64
 
@@ -91,6 +93,22 @@ def read_unit_manifests(spark: SparkSession, manifest_paths: list[str]) -> DataF
     return spark.read.text(folders).select("value", source_file_path().alias("manifest_file"))
 
 
+def unit_members(spark: SparkSession, out_dir: str) -> Members:
+    """How tasks read the units of :func:`bulk_units`: the files of each data and manifest folder."""
+    base = out_dir.rstrip("/")
+
+    def files(root: str, member) -> DataFrame:
+        listed = landing_inventory(spark, f"{base}/{root}", recursive=True)
+        return (listed.where(F.col("path").rlike("/batch_id=[^/]*/bucket=[^/]*/[^/]*$"))
+                .select(member.alias("member"), "path", "length"))
+
+    own = parent_dir("path")
+    manifests = None
+    if folder_exists(spark, f"{base}/manifests"):
+        manifests = files("manifests", F.regexp_replace(own, "/manifests(/batch_id=[^/]*/bucket=[^/]*)$", "/data$1"))
+    return Members(TypeSpec("parquet", f"{ENTRY_DDL}, work_id string"), files("data", own), manifests)
+
+
 def read_work_item(spark: SparkSession, data_dir: str, batch_id: str, work_id: str,
                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Entries of one input: partition pruning on (batch, bucket), then a
