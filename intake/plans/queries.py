@@ -918,6 +918,42 @@ def q_feeder_stream(spark, d):
             .agg(F.count(F.lit(1)).alias("n_items")))
 
 
+@register("feeder_moves", """
+SELECT s_nationkey || '/' || s_suppkey || '.txt' AS name, CASE WHEN s_suppkey % 5 = 0 THEN 'landing' ELSE 'flagged' END AS folder,
+       strlen(s_name)::BIGINT AS length, CASE WHEN s_suppkey % 5 = 0 THEN 'clash' ELSE 'moved' END AS status FROM supplier
+UNION ALL SELECT s_nationkey || '/' || s_suppkey || '.txt', 'flagged', 4, NULL FROM supplier WHERE s_suppkey % 5 = 0""")
+def q_feeder_moves(spark, d):
+    """The suppliers land as files in two lots; the feeder's loop, stopped in between, flags them and moves them.  At
+    some targets lies another file, so these stay.  Where every file lies and what became of its move."""
+    root = scratch_dir(spark, "feeder-moves")
+    rows = S.table(spark, d, "supplier").select(
+        "s_suppkey", F.concat(F.col("s_nationkey").cast("string"), F.lit("/"), F.col("s_suppkey").cast("string"), F.lit(".txt")).alias("path"),
+        F.col("s_name").alias("body"))
+    target = f"file:{root}/flagged" if root.startswith("/") else f"{root}/flagged"
+    _write_files(rows.where("s_suppkey % 5 = 0").select("path", F.lit("old.").alias("body")), f"{root}/flagged")
+    scan = ScanConfig(input_dir=f"{root}/landing", recursive=True, max_files=-1, max_age=0)
+    for half in ("s_suppkey % 2 = 0", "s_suppkey % 2 = 1"):
+        _write_files(rows.where(half).select("path", "body"), f"{root}/landing")
+        time.sleep(1.1)                 # a tick's time has whole seconds; a file must be older
+        _one_tick(feeder_stream(spark, f"{root}/landing", f"{root}/state", scan, FeederConfig(target, "text", "supplier", preserve_path=True),
+                                feed="suppliers", trigger_ms=1000, move=True))
+    lies = [landing_inventory(spark, f"{root}/{f}", recursive=True).select(
+        F.regexp_extract("path", f"/{f}/(.*)$", 1).alias("name"), F.lit(f).alias("folder"), "length") for f in ("landing", "flagged")]
+    moves = spark.read.schema("path string, target string, status string").parquet(f"{root}/state/moves/outcomes").select(
+        F.regexp_extract("path", "/landing/(.*)$", 1).alias("name"), "status",
+        F.when(F.col("status") == "moved", "flagged").otherwise("landing").alias("folder"))
+    return lies[0].unionByName(lies[1]).join(moves, ["name", "folder"], "left").select("name", "folder", "length", "status")
+
+
+def _one_tick(q) -> None:
+    """Run a loop until a tick is done."""
+    while q.isActive and not any(p["numInputRows"] >= 0 and p["durationMs"].get("addBatch") for p in q.recentProgress):
+        time.sleep(0.2)
+    q.stop()
+    if q.exception():
+        raise q.exception()
+
+
 @register("bundler_stream", f"""
 WITH e AS (SELECT *, coalesce(event_id, 0) % 16 AS b FROM events)
 SELECT 'bucket-' || b || '.frm' AS file, 'event' AS table_name, CAST(event_id AS VARCHAR) AS row_key, 'events' AS family, 'event_type' AS qualifier, ts,
@@ -945,14 +981,9 @@ def q_bundler_stream(spark, d):
         if folder_exists(spark, cut):
             _cut_off(cut, Framed.HEAD.size + 1)
         time.sleep(1.1)                 # a tick's time has whole seconds; a file must be older
-        q = bundler_stream(spark, f"{root}/state", ScanConfig(max_files=3, max_age=0, error_retry_interval=3_600_000),
-                           BundlerConfig(f"{root}/bundles"), lambda: landing_inventory(spark, f"{root}/work", recursive=True, feed="events"),
-                           lambda: members, trigger_ms=1000)
-        while q.isActive and not any(p["numInputRows"] >= 0 and p["durationMs"].get("addBatch") for p in q.recentProgress):
-            time.sleep(0.2)
-        q.stop()
-        if q.exception():
-            raise q.exception()
+        _one_tick(bundler_stream(spark, f"{root}/state", ScanConfig(max_files=3, max_age=0, error_retry_interval=3_600_000),
+                                 BundlerConfig(f"{root}/bundles"), lambda: landing_inventory(spark, f"{root}/work", recursive=True, feed="events"),
+                                 lambda: members, trigger_ms=1000))
     last = max(int(n.split("=")[1]) for n in folder_names(spark, f"{root}/state/quarantine"))
     nothing = [F.lit(None).cast(t).alias(c) for c, t in (x.split() for x in ENTRY_DDL.split(", "))]
     bundled = bundles.read_bundles(spark, f"{root}/bundles", f"{root}/state").select(

@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from intake.config import FeederConfig, ScanConfig
 from intake.plans.lifecycle import feeder_tick
 from intake.schemas import QUARANTINE_SCHEMA
+from intake.sinks.mover import move_files, plan_moves
 from intake.sources.inventory import feed_inventories, landing_inventory
 
 
@@ -64,14 +65,26 @@ def taken_before(spark: SparkSession, taken_dir: str, tick: int) -> DataFrame:
 def feeder_stream(spark: SparkSession, landing_dir: str | dict[str, str], state_dir: str, scan: ScanConfig,
                   feeder: FeederConfig, feed: str = "default", trigger_ms: int = 5000,
                   failures_dir: str | None = None, query_name: str | None = None,
-                  limits: DataFrame | None = None) -> StreamingQuery:
+                  limits: DataFrame | None = None, move: bool = False) -> StreamingQuery:
     """Start the feeder loop; see the module docstring.  ``landing_dir`` may
     map several feeds to their folders (``{feed: folder}``), and ``limits``
-    give feeds their own thresholds — all feeds run in the same ticks."""
+    give feeds their own thresholds — all feeds run in the same ticks.
+
+    With ``move`` a tick's files then move to their flagged targets, by tasks and from
+    intents below ``state_dir/moves`` (see :mod:`intake.sinks.mover`): the landing folder
+    keeps what no tick has taken.  A tick that broke off while moving is finished by its
+    items and intents as written, not planned anew."""
     state = state_dir.rstrip("/")
     items_dir, ticks_dir, taken_dir = f"{state}/work_items", f"{state}/ticks", f"{state}/taken"
 
     def tick(_clock: DataFrame, batch_id: int) -> None:
+        if not (move and _exists(spark, f"{taken_dir}/tick={batch_id}/_SUCCESS")):
+            plan(batch_id)
+        if move and _exists(spark, f"{items_dir}/tick={batch_id}"):
+            mine = spark.read.schema("path string, target_path string, length long, tick long").parquet(items_dir).where(F.col("tick") == batch_id)
+            move_files(spark, plan_moves(mine), f"{state}/moves", f"tick-{batch_id}")
+
+    def plan(batch_id: int) -> None:
         as_of = tick_time(spark, ticks_dir, batch_id)
         if isinstance(landing_dir, dict):
             inv = feed_inventories(spark, landing_dir, scan.recursive)

@@ -53,3 +53,52 @@ def test_unknown_stores_are_refused(spark, tmp_path):
     plan = mover.plan_moves(spark.createDataFrame([("odd://x/a", "odd://x/b", 1)], MOVES))
     with pytest.raises(ValueError):
         mover.move_files(spark, plan, str(tmp_path / "state"), "r")
+
+
+def test_the_feeder_finishes_a_tick_that_broke_off_while_moving(spark, tmp_path, monkeypatch):
+    import os
+    import time
+
+    import pytest
+
+    from intake.config import FeederConfig, ScanConfig
+    from intake.streaming import feeder
+
+    land, flagged, state = tmp_path / "landing", tmp_path / "flagged", str(tmp_path / "state")
+    land.mkdir()
+    for i in range(6):
+        (land / f"f{i}.txt").write_text("x" * (i + 1))
+        os.utime(land / f"f{i}.txt", (1000, 1000))
+    scan = ScanConfig(input_dir=str(land), max_files=-1, max_age=0)
+
+    def run():
+        q = feeder.feeder_stream(spark, str(land), state, scan, FeederConfig(f"file:{flagged}", "text", "d"), trigger_ms=500, move=True)
+        until = time.time() + 120
+        try:
+            while q.isActive and time.time() < until and not any(p["durationMs"].get("addBatch") for p in q.recentProgress):
+                time.sleep(0.2)
+        finally:
+            q.stop()
+        if q.exception():
+            raise q.exception()
+
+    real = feeder.move_files
+
+    def some(spark, moves, *rest):        # the intents are written and half of the files are gone when it breaks off
+        real(spark, moves, *rest)
+        for f in ("f0.txt", "f1.txt", "f2.txt"):
+            os.rename(flagged / f, land / f)
+        import shutil
+        shutil.move(f"{state}/moves/outcomes", str(tmp_path / "lost-outcomes"))
+        raise RuntimeError("lost here")
+
+    with monkeypatch.context() as m:
+        m.setattr(feeder, "move_files", some)
+        with pytest.raises(Exception, match="lost here"):
+            run()
+    assert sorted(os.listdir(land)) == ["f0.txt", "f1.txt", "f2.txt"]
+    run()
+    assert os.listdir(land) == [] and sorted(f for f in os.listdir(flagged) if not f.startswith(".")) == [f"f{i}.txt" for i in range(6)]
+    items = spark.read.parquet(f"{state}/work_items").collect()
+    assert sorted(r["path"].rsplit("/", 1)[1] for r in items) == [f"f{i}.txt" for i in range(6)]
+    assert {r["status"] for r in spark.read.parquet(f"{state}/moves/outcomes").collect()} == {"moved"}
