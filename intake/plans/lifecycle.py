@@ -50,6 +50,7 @@ from intake.sources.typed import SPARK_FORMATS, TypeSpec, read_typed_feed
 
 
 Hook = Callable[[DataFrame], DataFrame]
+SHRED_RECORDS = 250_000         # about as many records a task maps to entries and combines
 
 
 def scan_filters(inventory: DataFrame, failures: DataFrame, scan: ScanConfig, as_of,
@@ -180,13 +181,24 @@ def _entries_of(spark: SparkSession, ok: DataFrame, types: Mapping[str, DataType
         times = file_stats(records)
         read = times if read is None else read.unionByName(times)
         lookup = broadcast_if_small(mine.select(path_key("read_path").alias("_key"), "work_id"))
-        part = t.shred(whole_files(records).withColumn("_key", path_key("source_path")).join(lookup, "_key").drop("_key"))
+        whole = whole_files(_dealt(records))
+        part = t.shred(whole.withColumn("_key", path_key("source_path")).join(lookup, "_key").drop("_key"))
         record = [c for c in ("record_id",) if c in part.columns]
         part = combine_entries(part, t.sum_tables, ["work_id"], record)
         entries = entries.unionByName(part.select(*ENTRY_COLUMNS, "work_id"))
     return entries, rejected, read
 
 
+def _dealt(records: DataFrame) -> DataFrame:
+    """The staged records dealt over tasks by their place: a task of the reader stages a whole file or group, and
+    combining sorts a task's entries, which are several a record."""
+    pieces = -(-records.count() // SHRED_RECORDS)
+    if pieces < 2:
+        return records
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    return records.withColumn("_place", place).repartition(pieces, "_place").drop("_place")
+
+
 _FAILED_FILE = re.compile(r"(?:reading file|Could not read footer for file[: ]*|FileStatus\{path=)\s*(\S+?)[.;]?(?:\s|$)")
 
 
