@@ -77,13 +77,21 @@ def plain_number(total: Column) -> Column:
     return F.regexp_replace(text, r"\.?0*$", "")
 
 
-def sort_entries(entries: DataFrame, partitions: int | None = None) -> DataFrame:
+def sort_entries(entries: DataFrame, partitions: int | None = None, tables: Sequence[str] | None = None) -> DataFrame:
     """Key order for a sorted store: range partitions on the full key (so one
     row key holding a third of the entries still spans many partitions), each
-    sorted within.  Partition i holds keys below those of partition i+1."""
+    sorted within.  Partition i holds keys below those of partition i+1.
+
+    ``tables``, all table names that occur in their order (at most 200), lets the sort compare row keys first:
+    the table's number is a character in front of them."""
     n = partitions or int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [*ENTRY_KEY, "ts", "value"]
-    return entries.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    dealt = entries.repartitionByRange(n, *order)
+    if not tables:
+        return dealt.sortWithinPartitions(*order)
+    number = F.coalesce(F.array_position(F.array(*[F.lit(t) for t in tables]), F.col("table_name")), F.lit(0))
+    near = F.concat(F.char(number + 1), F.coalesce("row_key", F.lit("")))
+    return dealt.withColumn("_near", near).sortWithinPartitions("_near", *order).drop("_near")
 
 
 def table_counters(entries: DataFrame) -> DataFrame:

@@ -15,20 +15,44 @@ from pyspark.sql import functions as F
 from intake.operators.combine import sort_entries
 from intake.operators.joins import broadcast_if_small
 from intake.schemas import ENTRY_DDL, ENTRY_KEY
+from intake.session import checkpoint_dir
 
 GROUP_BYTES = 8 << 20           # of a row group
+FILE_ROWS = 2_000_000           # of a file, about: a task sorts one
+TABLES = 200                    # that the sort tells apart by a number
 INDEX = "file string, table_name string, first_key string, last_key string, rows long"
 
 
 def write_keyed(entries: DataFrame, folder: str, files: int | None = None, group_bytes: int = GROUP_BYTES) -> None:
-    """Write ``entries`` (entry columns) as sorted files below ``folder`` (replaced), about ``files`` of them."""
+    """Write ``entries`` (entry columns) as sorted files below ``folder`` (replaced), about ``files`` of them and more
+    where those would hold more than ``FILE_ROWS`` each."""
+    held = entries.groupBy("table_name").agg(F.count(F.lit(1)).alias("rows"))
+    _write_keyed(entries, held, folder, files, group_bytes)
+
+
+def _write_keyed(entries: DataFrame, held: DataFrame, folder: str, files: int | None, group_bytes: int) -> None:
+    """:func:`write_keyed` with the rows of each table (table_name, rows) known."""
     spark, base = entries.sparkSession, folder.rstrip("/")
-    (sort_entries(entries, files).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    checkpoint_dir(spark)
+    held = held.checkpoint()
+    total = held.agg(F.sum("rows")).first()[0] or 0
+    tables = [r["table_name"] for r in held.where("table_name is not null").orderBy("table_name").limit(TABLES + 1).collect()]
+    least = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (sort_entries(entries, max(least, -(-total // FILE_ROWS)), tables if len(tables) <= TABLES else None)
+     .write.mode("overwrite").option("partitionOverwriteMode", "static")
      .option("parquet.block.size", str(group_bytes)).option("parquet.block.size.row.check.min", "100")
      .option("parquet.bloom.filter.enabled#row_key", "true").parquet(f"{base}/data"))
-    rows = spark.read.schema(ENTRY_DDL).parquet(f"{base}/data")
-    (rows.groupBy(F.col("_metadata.file_name").alias("file"), "table_name").agg(
-        F.min("row_key").alias("first_key"), F.max("row_key").alias("last_key"), F.count(F.lit(1)).alias("rows"))
+    # files are in key order: where a table's keys begin and end is told by row numbers, which need no sort
+    rows = spark.read.schema(ENTRY_DDL).parquet(f"{base}/data").select(
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"), "table_name", "row_key")
+    known = F.when(F.col("row_key").isNotNull(), F.col("at"))
+    ends = rows.groupBy("file", "table_name").agg(F.min(known).alias("_first"), F.max(known).alias("_last"), F.count(F.lit(1)).alias("rows")).checkpoint()
+    # two rows a file and table
+    marks = F.broadcast(ends.select("file", F.explode(F.array_distinct(F.array("_first", "_last"))).alias("at")).where("at is not null"))
+    keys = rows.join(marks, ["file", "at"]).select("file", "at", "row_key").checkpoint()
+    first, last = (keys.select("file", F.col("at").alias(f"_{c}"), F.col("row_key").alias(f"{c}_key")) for c in ("first", "last"))
+    (ends.join(first, ["file", "_first"], "left").join(last, ["file", "_last"], "left")
+     .select("file", "table_name", "first_key", "last_key", "rows")
      .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{base}/index"))
 
 
@@ -66,4 +90,8 @@ def lookup_keys(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
 def merge_keyed(spark: SparkSession, folders: list[str], target: str, files: int | None = None, group_bytes: int = GROUP_BYTES) -> None:
     """One folder in key order of several; entries stay as they are, equal ones too."""
     rows = spark.read.schema(ENTRY_DDL).parquet(*[f"{f.rstrip('/')}/data" for f in folders])
-    write_keyed(rows.select(*ENTRY_KEY, "ts", "value"), target, files, group_bytes)
+    held = keyed_index(spark, folders[0])
+    for f in folders[1:]:
+        held = held.unionByName(keyed_index(spark, f))
+    held = held.groupBy("table_name").agg(F.sum("rows").alias("rows"))
+    _write_keyed(rows.select(*ENTRY_KEY, "ts", "value"), held, target, files, group_bytes)
