@@ -71,9 +71,9 @@ def loaded_path(path, mode: str = "all", to_replace: str = "/flagged/",
     raise ValueError(f"mode must be 'all' or 'first', got {mode!r}")
 
 
-def source_file_path() -> Column:
-    """The file a row was read from, spelled like the file listing
+def source_file_path(encoded="_metadata.file_path") -> Column:
+    """The file a row was read from (or what ``encoded`` is of its path), spelled like the file listing
     (``binaryFile``'s ``path``): Spark's ``_metadata.file_path`` is
     URL-encoded (a space is ``%20``), so it is decoded — with a literal ``+``
     protected, which the decoder would otherwise read as a space."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return F.url_decode(F.replace(_col(encoded), F.lit("+"), F.lit("%2B")))

@@ -972,8 +972,10 @@ def q_bundler_stream(spark, d):
     name = F.regexp_extract("path", "([^/]*)$", 1).alias("file")
     members = Members(TypeSpec("framed", ENTRY_DDL))
     for lot, part in enumerate((F.col("b") < 8, F.col("b") >= 8)):
-        here = entries.where(part).drop("b")
-        write_framed(here.repartition("bucket").sortWithinPartitions("bucket", "row_key", "ts", "value"), f"{root}/work/lot-{lot}", file_by="bucket")
+        here = entries.where(part)
+        each = here.repartitionById(8, F.pmod("b", F.lit(8)).cast("int")).drop("b")       # a task per file of the lot
+        here = here.drop("b")
+        write_framed(each.sortWithinPartitions("bucket", "row_key", "ts", "value"), f"{root}/work/lot-{lot}", file_by="bucket")
         _write_files(here.select("bucket").distinct().select(
             F.concat("bucket", F.lit(".frm.manifest")).alias("path"),
             F.concat(F.lit("w-"), "bucket", F.lit("\t/in/flagged/"), "bucket", F.lit(".frm\n")).alias("body")), f"{root}/work/lot-{lot}")
@@ -987,7 +989,7 @@ def q_bundler_stream(spark, d):
     last = max(int(n.split("=")[1]) for n in folder_names(spark, f"{root}/state/quarantine"))
     nothing = [F.lit(None).cast(t).alias(c) for c, t in (x.split() for x in ENTRY_DDL.split(", "))]
     bundled = bundles.read_bundles(spark, f"{root}/bundles", f"{root}/state").select(
-        F.regexp_extract("source_path", "([^/]*)$", 1).alias("file"), *ENTRY_COLUMNS, F.lit("bundled").alias("status"))
+        F.substring_index("source_path", "/", -1).alias("file"), *ENTRY_COLUMNS, F.lit("bundled").alias("status"))
     accounted = spark.read.schema(ACCOUNTING).parquet(f"{root}/state/accounting").select(
         F.regexp_extract("loaded_path", "^/in/loaded/(.*)$", 1).alias("file"), *nothing, "status")
     failed = spark.read.schema(QUARANTINE_SCHEMA).parquet(f"{root}/state/quarantine/tick={last}").select(

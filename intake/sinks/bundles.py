@@ -82,6 +82,7 @@ def read_bundles(spark: SparkSession, output_dir: str, state_dir: str) -> DataFr
     """Entries of all bundles of the ledger, with ``source_path, bundle_id, tick``."""
     rows = (spark.read.schema(f"{ENTRY_DDL}, source_path string, bundle_id string")
             .option("recursiveFileLookup", "true").parquet(output_dir)
-            .withColumn("tick", F.regexp_extract(source_file_path(), "/tick=([^/]*)/", 1)))
+            # of a row's path the tick alone is decoded
+            .withColumn("tick", source_file_path(F.substring_index(F.substring_index("_metadata.file_path", "/tick=", -1), "/", 1))))
     done = bundled_files(spark, state_dir).select("tick", "bundle_id").distinct()
     return rows.join(broadcast_if_small(done), ["tick", "bundle_id"], "left_semi")

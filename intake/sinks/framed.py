@@ -15,7 +15,8 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceWriter, WriterCommitMessage
 
 from intake.sources import storage
 from intake.sources.formats import Framed
@@ -40,19 +41,23 @@ class _FramedWriter(DataSourceWriter):
         self.staging = f"{self.folder}/_staging-{run}"
 
     def write(self, rows):
+        records = (row.asDict(recursive=True) for row in rows)
+        return self.write_records((r.pop(self.by) if self.by else None, r) for r in records)
+
+    def write_records(self, records):
+        """Write (key, record)."""
         from pyspark import TaskContext
 
         task, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
         files, out, last, count = [], None, None, 0
+        encode = json.JSONEncoder(default=_text, ensure_ascii=False).encode
 
         def close():
             out.write(Framed.HEAD.pack(Framed.END, count & 0xFFFFFFFF))
             out.close()
 
         try:
-            for row in rows:
-                record = row.asDict(recursive=True)
-                key = record.pop(self.by) if self.by else None
+            for key, record in records:
                 if out is None or key != last:
                     if out is not None:
                         close()
@@ -61,7 +66,7 @@ class _FramedWriter(DataSourceWriter):
                     out, last, count = storage.open_output(staged), key, 0
                     files.append((staged, f"{self.folder}/{name}"))
                     out.write(Framed.MAGIC)
-                out.write(Framed.frame(json.dumps(record, default=_text, ensure_ascii=False).encode()))
+                out.write(Framed.frame(encode(record).encode()))
                 count += 1
         finally:
             if out is not None and not out.closed:
@@ -78,13 +83,32 @@ class _FramedWriter(DataSourceWriter):
         storage.remove_folder(self.staging)
 
 
+# of these a batch's columns give the values that rows give
+_PLAIN = (T.StringType, T.BooleanType, T.IntegralType, T.FractionalType, T.DateType, T.TimestampNTZType)
+
+
+class _FramedBatchWriter(_FramedWriter, DataSourceArrowWriter):
+    """Records of plain columns, taken from Arrow batches without a row object each."""
+
+    def write(self, batches):
+        return self.write_records(r for b in batches for r in self._records(b))
+
+    def _records(self, batch):
+        names = [n for n in batch.schema.names if n != self.by]
+        keys = batch.column(self.by).to_pylist() if self.by else [None] * batch.num_rows
+        if not names:
+            return ((k, {}) for k in keys)
+        return zip(keys, (dict(zip(names, v)) for v in zip(*[batch.column(n).to_pylist() for n in names])))
+
+
 class FramedSink(DataSource):
     @classmethod
     def name(cls):
         return "framed_sink"
 
     def writer(self, schema, overwrite):
-        return _FramedWriter(self.options, uuid.uuid4().hex)
+        plain = all(isinstance(f.dataType, _PLAIN) for f in schema)
+        return (_FramedBatchWriter if plain else _FramedWriter)(self.options, uuid.uuid4().hex)
 
 
 def write_framed(df: DataFrame, folder: str, file_by: str | None = None) -> None:
