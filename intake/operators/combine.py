@@ -24,6 +24,12 @@ def dedupe_entries(entries: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     return entries.dropDuplicates([*scope, *ENTRY_COLUMNS])
 
 
+def key_hash() -> Column:
+    """The entry key as one number.  The newest value of a key is a text, so aggregates of it sort their rows; with
+    this column in front of the grouping the sorts compare numbers, not texts that mostly begin alike."""
+    return F.xxhash64(*ENTRY_KEY).alias("_hash")
+
+
 def aggregate_entries(entries: DataFrame, sum_tables: Sequence[str] = (),
                       sum_type: str = "decimal(28,9)", scope: Sequence[str] = ()) -> DataFrame:
     """Combine entries of equal key.
@@ -40,7 +46,7 @@ def aggregate_entries(entries: DataFrame, sum_tables: Sequence[str] = (),
     sums = list(sum_tables)
     is_sum = F.col("table_name").isin(sums) if sums else F.lit(False)
     number = F.col("value").try_cast(sum_type)
-    agg = entries.groupBy(*scope, *ENTRY_KEY).agg(
+    agg = entries.groupBy(key_hash(), *scope, *ENTRY_KEY).agg(
         F.max("ts").alias("ts"),
         F.sum(F.when(is_sum, number)).alias("_sum"),
         F.max_by("value", F.struct("ts", "value")).alias("_newest"),
@@ -66,7 +72,7 @@ def combine_entries(entries: DataFrame, sum_tables: Sequence[str] = (), scope: S
         return aggregate_entries(entries, scope=scope).select(*keep)
     is_sum = F.col("table_name").isin(list(sum_tables))
     identity = [F.when(is_sum, F.col(c)).alias(f"_own_{c}") for c in ("ts", "value", *record)]
-    once = entries.groupBy(*scope, *ENTRY_KEY, *identity).agg(
+    once = entries.groupBy(key_hash(), *scope, *ENTRY_KEY, *identity).agg(
         F.max("ts").alias("ts"), F.max_by("value", F.struct("ts", "value")).alias("value"))
     return aggregate_entries(once, sum_tables, scope=scope).select(*keep)
 

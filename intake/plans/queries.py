@@ -753,15 +753,15 @@ def q_levelled_live(spark, d):
 
 def _line_entries(spark, d):
     """Quantity counters and newest prices of all lines, with the batch (of four) they come in."""
-    li = S.table(spark, d, "lineitem")
+    li = S.table(spark, d, "lineitem").select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_kind"))
 
-    def entry(table, key, qualifier, value):
-        return F.struct(F.lit(table).alias("table_name"), F.col(key).cast("string").alias("row_key"), F.lit("line").alias("family"),
-                        F.col(qualifier).cast("string").alias("qualifier"), F.col("l_shipdate").cast("timestamp_ntz").alias("ts"),
-                        F.col(value).cast("decimal(18,2)").cast("string").alias("value"))
+    def of(qty, price):
+        return F.when(F.col("_kind") == 0, qty).otherwise(price)
 
-    return li.select((F.col("l_linenumber") % 4).alias("batch"), F.inline(F.array(
-        entry("qty", "l_suppkey", "l_returnflag", "l_quantity"), entry("price", "l_orderkey", "l_linenumber", "l_extendedprice"))))
+    return li.select((F.col("l_linenumber") % 4).alias("batch"), of(F.lit("qty"), F.lit("price")).alias("table_name"),
+                     of(F.col("l_suppkey"), F.col("l_orderkey")).cast("string").alias("row_key"), F.lit("line").alias("family"),
+                     of(F.col("l_returnflag"), F.col("l_linenumber").cast("string")).alias("qualifier"), F.col("l_shipdate").cast("timestamp_ntz").alias("ts"),
+                     of(F.col("l_quantity"), F.col("l_extendedprice")).cast("decimal(18,2)").cast("string").alias("value"))
 
 
 # ---------------------------------------------------------------- bundles

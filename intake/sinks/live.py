@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from intake.operators.combine import plain_number
+from intake.operators.combine import key_hash, plain_number
 from intake.schemas import ENTRY_COLUMNS, ENTRY_KEY, ENTRY_SCHEMA
 
 
@@ -51,7 +51,7 @@ def newest_per_key(history: DataFrame, sum_tables: Sequence[str] = (), sum_type:
     Tables in ``sum_tables`` are counters whose batches hold partial counts:
     their value is the sum over batches."""
     is_sum = F.col("table_name").isin(list(sum_tables)) if sum_tables else F.lit(False)
-    agg = history.groupBy(*ENTRY_KEY).agg(
+    agg = history.groupBy(key_hash(), *ENTRY_KEY).agg(
         F.max_by("value", F.struct("ts", "batch_id", "value")).alias("_newest"),
         F.sum(F.when(is_sum, F.col("value").try_cast(sum_type))).alias("_sum"),
         F.max("ts").alias("ts"), F.count(F.lit(1)).alias("n_versions"))
