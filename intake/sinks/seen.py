@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +26,7 @@ from intake.sinks.files import drop_folder, folder_exists, partition_folder
 BUCKETS = 64
 BITS, HASHES = 12, 8            # of the filter, an id: about one in 300 wrong answers
 MERGED = "~merged"
+CHUNK = 1 << 16                 # ids whose bits are computed together
 _FILTERS = "bucket int, batch_id string, n long, bits binary"
 
 
@@ -43,13 +44,21 @@ def _places(keys: np.ndarray, size: int) -> np.ndarray:
 
 def bloom(keys: np.ndarray) -> bytes:
     bits = np.zeros(max(64, -(-len(keys) * BITS // 8) * 8), np.uint8)
-    bits[_places(keys, len(bits)).ravel()] = 1
+    for at in range(0, len(keys), CHUNK):
+        bits[_places(keys[at:at + CHUNK], len(bits)).ravel()] = 1
     return np.packbits(bits).tobytes()
 
 
 def may_hold(blob: bytes, keys: np.ndarray) -> np.ndarray:
     bits = np.unpackbits(np.frombuffer(blob, np.uint8))
-    return bits[_places(keys, len(bits))].all(axis=1)
+    hit = np.zeros(len(keys), bool)
+    for at in range(0, len(keys), CHUNK):
+        hit[at:at + CHUNK] = bits[_places(keys[at:at + CHUNK], len(bits))].all(axis=1)
+    return hit
+
+
+def _keys(table: pa.Table) -> np.ndarray:
+    return np.column_stack([table.column(c).to_numpy() for c in ("h1", "h2")])
 
 
 def _hashed(df: DataFrame, buckets: int) -> DataFrame:
@@ -66,8 +75,9 @@ def _write_run(ids: DataFrame, seen_dir: str, tag: str) -> None:
     """A run per bucket of ``ids`` (bucket, rid, h1, h2) and its filters, replacing those of the tag."""
     spark, base = ids.sparkSession, seen_dir.rstrip("/")
 
-    def build(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"bucket": [key[0]], "n": [len(pdf)], "bits": [bloom(pdf[["h1", "h2"]].to_numpy(np.int64))]})
+    def build(key: tuple, run: pa.Table) -> pa.Table:
+        return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "n": pa.array([run.num_rows], pa.int64()),
+                         "bits": pa.array([bloom(_keys(run))], pa.binary())})
 
     over = {"mode": "overwrite"}
     for name in ("filters", "ids"):               # no filter without its run
@@ -76,7 +86,7 @@ def _write_run(ids: DataFrame, seen_dir: str, tag: str) -> None:
     (ids.select("rid", "h1", "h2", "bucket").repartition("bucket").write.option("partitionOverwriteMode", "static")
      .partitionBy("bucket").parquet(where, **over))
     run = spark.read.schema("h1 long, h2 long, bucket int").parquet(where)
-    (run.groupBy("bucket").applyInPandas(build, "bucket int, n long, bits binary")
+    (run.groupBy("bucket").applyInArrow(build, "bucket int, n long, bits binary")
      .write.option("partitionOverwriteMode", "static").parquet(partition_folder(spark, f"{base}/filters", "batch_id", tag), **over))
 
 
@@ -84,17 +94,21 @@ def seen_before(ids: DataFrame, seen_dir: str, tag: str) -> DataFrame:
     """Those of ``ids`` (rid, h1, h2, bucket) that runs of other batches hold: (rid)."""
     spark = ids.sparkSession
 
-    def ask(key: tuple, mine: pd.DataFrame, runs: pd.DataFrame) -> pd.DataFrame:
-        keys, out = mine[["h1", "h2"]].to_numpy(np.int64), []
-        for batch, blob in zip(runs["batch_id"], runs["bits"]):
-            hit = may_hold(bytes(blob), keys)
-            out.append(pd.DataFrame({"rid": mine["rid"][hit], "bucket": key[0], "batch_id": batch}))
-        return pd.concat(out) if out and len(mine) else pd.DataFrame({"rid": [], "bucket": [], "batch_id": []}, dtype=object)
+    # the ids themselves stay with Spark: a bucket's hashes are all that a task of Python holds
+    def ask(key: tuple, mine: pa.Table, runs: pa.Table) -> pa.Table:
+        keys, bucket, out = _keys(mine), key[0].as_py(), []
+        for batch, blob in zip(runs.column("batch_id").to_pylist(), runs.column("bits")):
+            hit = keys[may_hold(blob.as_py(), keys)]
+            out.append(pa.table({"h1": pa.array(hit[:, 0], pa.int64()), "h2": pa.array(hit[:, 1], pa.int64()),
+                                 "bucket": pa.repeat(pa.scalar(bucket, pa.int32()), len(hit)),
+                                 "batch_id": pa.repeat(pa.scalar(batch, pa.string()), len(hit))}))
+        return pa.concat_tables(out) if out else pa.table({c: pa.array([], t) for c, t in (
+            ("h1", pa.int64()), ("h2", pa.int64()), ("bucket", pa.int32()), ("batch_id", pa.string()))})
 
     runs = _filters(spark, seen_dir).where(F.col("batch_id") != tag)
     checkpoint_dir(spark)
-    maybe = (ids.groupBy("bucket").cogroup(runs.groupBy("bucket"))
-             .applyInPandas(ask, "rid string, bucket int, batch_id string").checkpoint())
+    maybe = (ids.select("bucket", "h1", "h2").groupBy("bucket").cogroup(runs.groupBy("bucket"))
+             .applyInArrow(ask, "h1 long, h2 long, bucket int, batch_id string").checkpoint())
     # at most buckets x runs of them
     named = maybe.select("bucket", "batch_id").distinct().collect()
     if not named:
@@ -102,7 +116,8 @@ def seen_before(ids: DataFrame, seen_dir: str, tag: str) -> DataFrame:
     base = seen_dir.rstrip("/")
     folders = [f"{partition_folder(spark, f'{base}/ids', 'batch_id', r['batch_id'])}/bucket={r['bucket']}" for r in named]
     held = spark.read.schema("rid string").parquet(*folders)
-    return maybe.select("rid").distinct().join(held, "rid", "left_semi")
+    asked = ids.join(maybe.select("bucket", "h1", "h2"), ["bucket", "h1", "h2"], "left_semi").select("rid").distinct()
+    return asked.join(held, "rid", "left_semi")
 
 
 def new_records(records: DataFrame, id_cols: Sequence[str], seen_dir: str, tag: str, buckets: int = BUCKETS) -> DataFrame:
