@@ -27,6 +27,7 @@ from intake.sinks.files import drop_folder, folder_exists, folder_names, partiti
 from intake.sinks.live import batch_tag
 
 BUCKETS, MAX_RUNS = 64, 8
+PART_ROWS = 1_000_000       # entries that a task folds when runs are merged or read, about
 ROWS = f"{ENTRY_DDL}, batch_id string"
 # a batch's run has its stream and number, a merged one the last number of every stream in it; rows: entries of the bucket
 VERSION = "bucket int, run string, run_id string, batch long, held map<string, bigint>, rows long"
@@ -65,22 +66,28 @@ def _bucket(buckets: int):
 
 
 def _write_run(rows: DataFrame, table_dir: str, run: str) -> DataFrame:
-    """Write (entry columns, batch_id, bucket) as a run, each bucket in key order; (bucket, rows) of what was written."""
+    """Write (entry columns, batch_id, bucket), dealt by bucket, as a run, each bucket in key order; (bucket, rows) of
+    what was written."""
     where = partition_folder(rows.sparkSession, f"{_base(table_dir)}/data", "run", run)
-    (rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", *ENTRY_KEY).write.mode("overwrite")
+    (rows.sortWithinPartitions("bucket", *ENTRY_KEY).write.mode("overwrite")
      .option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(where))
     return rows.sparkSession.read.schema("table_name string, bucket int").parquet(where).groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _folded(rows: DataFrame, sum_tables: Sequence[str], sum_type: str = "decimal(28,9)") -> DataFrame:
-    """One entry per key: the newest (latest ts, then batch, then value), counters summed."""
+def _folded(rows: DataFrame, sum_tables: Sequence[str], by: Sequence[str] = (), sum_type: str = "decimal(28,9)") -> DataFrame:
+    """One entry per key: the newest (latest ts, then batch, then value), counters summed.
+
+    ``by``: columns the key implies, grouped on as well; ``bucket`` among them is kept.  Aggregates of texts sort and
+    ship their rows.  So the newest is one struct of the entry's own fields, and a short text comes first that is in key
+    order unless tables begin alike: a sort compares eight bytes of its first column without looking into the rows."""
     is_sum = F.col("table_name").isin(list(sum_tables)) if sum_tables else F.lit(False)
-    keep = [c for c in ("bucket",) if c in rows.columns]
-    agg = rows.groupBy(*keep, *ENTRY_KEY).agg(
-        F.max_by("value", F.struct("ts", "batch_id", "value")).alias("_newest"), F.max_by("batch_id", F.struct("ts", "batch_id")).alias("batch_id"),
-        F.sum(F.when(is_sum, F.col("value").try_cast(sum_type))).alias("_sum"), F.max("ts").alias("ts"))
-    value = F.when(is_sum, plain_number(F.col("_sum"))).otherwise(F.col("_newest"))
-    return agg.select(*ENTRY_KEY, "ts", value.alias("value"), "batch_id", *keep)
+    own = [c for c in ("ts", "batch_id") if c in rows.columns]
+    text = F.when(is_sum, F.lit(None)).otherwise(F.col("value")).alias("value")
+    near = F.substring(F.concat(F.substring("table_name", 1, 1), "row_key"), 1, 8).alias("_near")
+    agg = rows.groupBy(near, *by, *ENTRY_KEY).agg(
+        F.max(F.struct(*own, text)).alias("_newest"), F.sum(F.when(is_sum, F.col("value").try_cast(sum_type))).alias("_sum"))
+    value = F.when(is_sum, plain_number(F.col("_sum"))).otherwise(F.col("_newest.value")).alias("value")
+    return agg.select(*ENTRY_KEY, "_newest.ts", value, *[f"_newest.{c}" for c in own[1:]], *[c for c in by if c == "bucket"])
 
 
 def _entries(spark: SparkSession, table_dir: str, runs: DataFrame) -> DataFrame:
@@ -93,6 +100,15 @@ def _entries(spark: SparkSession, table_dir: str, runs: DataFrame) -> DataFrame:
     return spark.read.schema(f"{ROWS}, bucket int").option("basePath", base).parquet(*folders)
 
 
+def _dealt(spark: SparkSession, table_dir: str, runs: DataFrame) -> DataFrame:
+    """Entries of the runs, a task to each part (``_part``) of a bucket.  A run holds a key once and in key order: there is
+    nothing to fold before the rows are dealt, and what a task gets is in order run by run."""
+    size = runs.groupBy("bucket").agg(F.sum("rows").alias("n")).agg(F.max("bucket").alias("last"), F.max("n").alias("n")).first()
+    parts = max(1, -(-(size["n"] or 0) // PART_ROWS))
+    part = F.col("bucket") * parts + F.pmod(F.shiftright(F.xxhash64(*ENTRY_KEY), 32), F.lit(parts)).cast("int")
+    return _entries(spark, table_dir, runs).withColumn("_part", part).repartitionById(((size["last"] or 0) + 1) * parts, F.col("_part"))
+
+
 def upsert(entries: DataFrame, table_dir: str, run_id: str, batch: int, sum_tables: Sequence[str] = (), buckets: int = BUCKETS) -> int:
     """Add batch ``batch`` of the stream ``run_id`` (entry columns) and return the new version.
 
@@ -100,14 +116,17 @@ def upsert(entries: DataFrame, table_dir: str, run_id: str, batch: int, sum_tabl
     merged already its entries are left out, as they are in the merged run."""
     spark = entries.sparkSession
     old, tag = runs_of(spark, table_dir), batch_tag(run_id, batch)
-    rows = _folded(entries.select(*ENTRY_COLUMNS).withColumn("batch_id", F.lit(tag)), sum_tables).select("*", _bucket(buckets))
     # a row per bucket
-    merged = F.broadcast(old.where(F.col("held")[run_id] >= batch).select("bucket").distinct())
+    merged = [r["bucket"] for r in old.where(F.col("held")[run_id] >= batch).select("bucket").distinct().collect()]
+    left = entries.select(*ENTRY_COLUMNS)
+    if merged:
+        left = left.where(~_bucket(buckets).isin(merged))
+    rows = _folded(left, sum_tables).select("*", F.lit(tag).alias("batch_id"), _bucket(buckets))
     mine = F.coalesce((F.col("run_id") == run_id) & (F.col("batch") == batch), F.lit(False))
     name, done = f"batch-{tag}", versions(spark, table_dir)
     if folder_exists(spark, partition_folder(spark, f"{_base(table_dir)}/data", "run", name)):
         name = f"{name}-{done[-1] + 1 if done else 0}"      # versions may name the first one: a replay has a name of its own
-    written = _write_run(rows.join(merged, "bucket", "left_anti"), table_dir, name)
+    written = _write_run(rows.hint("rebalance", "bucket"), table_dir, name)
     new = written.select("bucket", F.lit(name).alias("run"), F.lit(run_id).alias("run_id"), F.lit(batch).cast("long").alias("batch"),
                          F.lit(None).cast("map<string, bigint>").alias("held"), "rows")
     return _commit(old.where(~mine).unionByName(new), table_dir)
@@ -116,7 +135,7 @@ def upsert(entries: DataFrame, table_dir: str, run_id: str, batch: int, sum_tabl
 def read(spark: SparkSession, table_dir: str, sum_tables: Sequence[str] = (), version: int | None = None) -> DataFrame:
     """Current entries of a version (default: the newest), one per key; the version is pinned here, not when the
     frame is evaluated."""
-    return _folded(_entries(spark, table_dir, runs_of(spark, table_dir, version)), sum_tables).select(*ENTRY_COLUMNS)
+    return _folded(_dealt(spark, table_dir, runs_of(spark, table_dir, version)), sum_tables, ["_part", "bucket"]).select(*ENTRY_COLUMNS)
 
 
 def compact(spark: SparkSession, table_dir: str, sum_tables: Sequence[str] = (), max_runs: int = MAX_RUNS) -> list[int]:
@@ -134,7 +153,7 @@ def compact(spark: SparkSession, table_dir: str, sum_tables: Sequence[str] = (),
     here = F.col("bucket").isin(full) & ~F.coalesce(open_, F.lit(False))
     old = runs.where(here)
     name = f"merged-{versions(spark, table_dir)[-1]}"
-    written = _write_run(_folded(_entries(spark, table_dir, old), sum_tables), table_dir, name)
+    written = _write_run(_folded(_dealt(spark, table_dir, old), sum_tables, ["_part", "bucket"]), table_dir, name)
     one = F.when(F.col("run_id").isNotNull(), F.create_map("run_id", "batch")).otherwise(F.col("held"))
     held = (old.select("bucket", F.explode(one).alias("k", "v")).groupBy("bucket", "k").agg(F.max("v").alias("v"))
             .groupBy("bucket").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("held")))

@@ -84,3 +84,44 @@ def test_a_reader_keeps_its_version(spark, tmp_path):
     assert levelled.vacuum(spark, where, keep=1) > 0
     assert current(spark, where)["n", "x"] == "104" and len(levelled.versions(spark, where)) == 1
     assert levelled.read(spark, where, ["n"]).where(F.col("table_name") == "v").count() == 4
+
+
+def test_runs_are_dealt_once_and_folded_where_they_are_written(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(levelled, "PART_ROWS", 20, raising=False)           # several parts to a bucket
+    where = str(tmp_path / "t")
+    for i in range(4):
+        rows = [("v", f"k{j}", (i * 7 + j) % 4, f"{i}-{j}") for j in range(200)] + [("n", f"k{j}", i, "1.5") for j in range(100)]
+        rows += [("n", "k0", 9, None), ("v", "k0", 9, None), ("n", "k1", 0, "no number")]
+        levelled.upsert(batch(spark, rows), where, "b", i, ["n"], buckets=4)
+
+    def right():
+        got = current(spark, where)
+        newest = {("v", f"k{j}"): max(((i * 7 + j) % 4, i, f"{i}-{j}") for i in range(4))[2] for j in range(1, 200)}
+        return got == newest | {("v", "k0"): None} | {("n", f"k{j}"): "6" for j in range(100)}
+
+    assert right()
+    plan = levelled.read(spark, where, ["n"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Aggregate" not in plan.split("Exchange ")[1] and "max_by" not in plan
+    assert levelled.compact(spark, where, ["n"], max_runs=1) == [0, 1, 2, 3]
+    assert right()
+    merged = [d for d, _, names in os.walk(f"{where}/data") if "run=merged" in d and any(n.endswith(".parquet") for n in names)]
+    files = [f"{d}/{n}" for d in merged for n in os.listdir(d) if n.endswith(".parquet")]
+    assert len(merged) == 4 and len(files) > 4
+    for f in files:
+        keys = [tuple(r) for r in spark.read.parquet(f).select("table_name", "row_key").collect()]
+        assert keys == sorted(set(keys))
+
+
+def test_a_replay_of_what_is_merged_is_not_folded(spark, tmp_path, monkeypatch):
+    where, folded, real = str(tmp_path / "t"), [], levelled._folded
+    put = lambda i: levelled.upsert(batch(spark, [("n", f"k{j}", i, "1") for j in range(50)]), where, "b", i, ["n"], buckets=2)
+    for i in range(3):
+        put(i)
+    levelled.compact(spark, where, ["n"], max_runs=1)
+    monkeypatch.setattr(levelled, "_folded", lambda rows, *a, **k: folded.append(rows.count()) or real(rows, *a, **k))
+    put(0)
+    assert folded == [0]
+    put(2)                                              # the newest batch is not in the merged run
+    assert folded == [0, 50]
+    monkeypatch.undo()
+    assert set(current(spark, where).values()) == {"3"}
